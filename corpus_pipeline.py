@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from shelfwise.llm import language_id, line_dedup, near_dups, packing, secrets
 from shelfwise.session import Scratch
 
-#: Texts whose best cosine is below this are taken for no known language.
-MIN_COSINE = 0.10
+#: Texts of at least MIN_JUDGED characters whose best cosine is below MIN_COSINE are in no known language; shorter ones cannot be judged so.
+MIN_COSINE, MIN_JUDGED = 0.10, 50
 
 
 def _sized(docs: DataFrame) -> DataFrame:
@@ -22,7 +22,8 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     """Reject documents of no known language (no letters, or far from every profile)."""
     known = language_id.prototypes(docs)
     out = language_id.predict(docs.select(F.struct(*docs.columns).alias("_given"), "text"), known)
-    return out.where((F.col("lang_pred") != "und") & (F.col("score") >= MIN_COSINE)).select("_given.*")
+    foreign = (F.col("score") < MIN_COSINE) & (F.char_length("text") >= MIN_JUDGED)
+    return out.where((F.col("lang_pred") != "und") & ~foreign).select("_given.*")
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
