@@ -7,10 +7,29 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.llm import language_id, line_dedup, near_dups, packing, secrets
+from shelfwise.llm import language_id, line_dedup, near_dups, nearest, packing, quality_model, quality_rules, secrets
 from shelfwise.llm.common import fold, read
 
 
+def op2_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest.nearest(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+OP2_SQL = """
+WITH good AS (
+  SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+pairs AS (
+  SELECT q.vec_id AS query_id, c.vec_id AS vec_id, sqrt(list_reduce(list_prepend(0::DOUBLE,
+    list_transform(list_zip(q.v, c.v), lambda p: (p[1] - p[2]) * (p[1] - p[2]))), lambda a, b: a + b)) AS score
+  FROM good q JOIN good c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v) WHERE q.vec_id % 100 = 0),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id) AS rank FROM pairs)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 10
+"""
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     held = F.coalesce(fold("doc_id", 4) == 2, F.lit(False))
@@ -19,6 +38,14 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", held.alias("held_out"), "lang_pred", "score")
 
 
+def op4_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    held = F.coalesce(fold("doc_id", 5) == 0, F.lit(False))
+    model = quality_model.fit(docs.where(~held), read(spark, sf_dir, "labels").where(~held))
+    out = quality_model.score(docs, model)
+    return out.select("doc_id", held.alias("held_out"), "score", F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"))
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = line_dedup.dedup_lines(read(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
@@ -41,6 +68,38 @@ FROM marked GROUP BY r, doc_id
 """
 
 
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    book = quality_rules.apply_policy(quality_rules.ledger(read(spark, sf_dir, "documents")), "v1")
+    base = F.col("fail_bits").bitwiseAND(F.lit(quality_rules.mask_of("base"))) != 0
+    return book.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", base.alias("base_failed"), "kept")
+
+
+OP6_SQL = r"""
+WITH texts AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+words AS (
+  SELECT r, list_filter(regexp_split_to_array(t, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w,
+    list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM texts),
+windows AS (
+  SELECT r, i, w[i] || chr(10) || w[i + 1] || chr(10) || w[i + 2] AS g
+  FROM (SELECT r, w, unnest(range(1, len(w) - 1)) AS i FROM words)),
+twice AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, g) AS n FROM windows) WHERE n > 1),
+covered AS (SELECT r, count(DISTINCT p) AS n_repeat_words FROM (SELECT r, unnest([i, i + 1, i + 2]) AS p FROM twice) GROUP BY r),
+measured AS (
+  SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words,
+    CAST(length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g')) AS BIGINT) AS word_chars,
+    CAST(length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+    CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
+    CAST(coalesce(n_repeat_words, 0) AS BIGINT) AS n_repeat_words,
+    len(lines) AS n_lines, length(t) - length(replace(t, '!', '')) AS n_bangs
+  FROM texts JOIN words USING (r) LEFT JOIN covered USING (r)),
+judged AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM measured)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT (base_failed OR n_symbols > n_words OR (n_lines >= 4 AND 2 * n_dup_lines > n_lines)
+    OR (n_words > 0 AND (word_chars < 2 * n_words OR word_chars > 15 * n_words)) OR 2 * n_bangs > n_words) AS kept
+FROM judged
+"""
+
+
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.scan(read(spark, sf_dir, "documents"))
     listed = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
@@ -62,8 +121,11 @@ def op10_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op2_nearest": op2_nearest,
         "op3_language_id": op3_language_id,
+        "op4_quality_model": op4_quality_model,
         "op5_line_dedup": op5_line_dedup,
+        "op6_quality_rules": op6_quality_rules,
         "op7_secret_scan": op7_secret_scan,
         "op9_packing": op9_packing,
         "op10_near_dups": op10_near_dups,
@@ -71,4 +133,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_line_dedup": OP5_SQL}
+    return {"op2_nearest": OP2_SQL, "op5_line_dedup": OP5_SQL, "op6_quality_rules": OP6_SQL}
