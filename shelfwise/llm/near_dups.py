@@ -7,10 +7,11 @@
    with the bucket centre (smallest id) that it meets in most bands, on full sets.
 3. Connected components of the confirmed links are found by alternating large-star and
    small-star.
-4. In every bucket that still holds two components or more, each pair across components
-   whose signatures agree in ``SIGNATURE_FLOOR`` of the minima is confirmed on full sets
-   too.  Pairs inside a component add nothing and are never made.  Large buckets are cut
-   into tiles of bounded size.
+4. In every bucket that still holds two components or more, documents of different
+   components whose signatures agree in ``SIGNATURE_FLOOR`` of the minima are compared on
+   full sets too, inside a task: rows name their suspects in a list, and only links that
+   join components anew come out.  Pairs inside a component add nothing and are never
+   looked at.  Large buckets are cut into tiles of bounded size.
 5. Components joined by such links are merged in the same way.
 
 A pair at the threshold s shares no band with probability (1 - s^ROWS)^BANDS: at 0.85
@@ -39,7 +40,7 @@ SHINGLE = 5
 ROWS, BANDS = 6, 30
 SIGNATURE_FLOOR = 0.70
 #: Rows of a bucket that meet in one tile.
-TILE = 4096
+TILE = 1024
 SEED = 20_240_501
 
 _cache = HashCache()
@@ -175,12 +176,12 @@ def components(edges: DataFrame, scratch: Scratch, label: str) -> DataFrame:
     return state.select(F.col("u").alias("id"), F.col("v").alias("component"))
 
 
-def _across(rows: DataFrame, width: int, floor: float) -> DataFrame:
-    """Pairs (a, b) of a bucket that lie in different components and whose signatures agree well enough.
+def _tiled(rows: DataFrame) -> DataFrame:
+    """Deal the rows of each bucket (key, id, comp, ...) into tiles; adds ``tile`` and ``is_main``.
 
-    ``rows``: key, id, comp, sig.  A bucket's rows of its largest component ("main") and
-    its other rows are dealt into blocks; a tile joins one block of others with one block
-    of either kind, so a task never holds more than two blocks of a bucket at once.
+    A bucket's rows of its largest component ("main") and its other rows are dealt into
+    blocks; a tile joins one block of others with one block of either kind, so a task
+    never holds more than two blocks of a bucket at once, and main never meets main.
     """
     sizes = rows.groupBy("key", "comp").agg(F.count("*").alias("n"))
     buckets = (
@@ -190,62 +191,119 @@ def _across(rows: DataFrame, width: int, floor: float) -> DataFrame:
     )
     placed = rows.join(buckets, "key").withColumn("is_main", F.col("comp") == F.col("main"))
     block = F.pmod(F.xxhash64("id"), F.when(F.col("is_main"), F.col("mains")).otherwise(F.col("others")))
-    span = F.sequence(F.lit(0).cast("long"), F.col("others") - 1)
-    mine = F.when(F.col("is_main"), F.transform(span, lambda o: F.struct(o.alias("other"), F.col("block").alias("second"), F.lit(True).alias("with_main"))))
-    tiles = mine.otherwise(
+    spot = lambda other, second, with_main: F.struct(other.alias("other"), second.alias("second"), F.lit(with_main).alias("with_main"))
+    upto = lambda n: F.sequence(F.lit(0).cast("long"), F.col(n) - 1)
+    block_col = F.col("block")
+    tiles = F.when(F.col("is_main"), F.transform(upto("others"), lambda o: spot(o, block_col, True))).otherwise(
         F.concat(
-            F.transform(F.sequence(F.lit(0).cast("long"), F.col("mains") - 1), lambda m: F.struct(F.col("block").alias("other"), m.alias("second"), F.lit(True).alias("with_main"))),
-            F.transform(span, lambda o: F.struct(F.greatest(o, F.col("block")).alias("other"), F.least(o, F.col("block")).alias("second"), F.lit(False).alias("with_main"))),
+            F.transform(upto("mains"), lambda m: spot(block_col, m, True)),
+            F.transform(upto("others"), lambda o: spot(F.greatest(o, block_col), F.least(o, block_col), False)),
         )
     )
-    dealt = (
-        placed.withColumn("block", block)
-        .select("key", "id", "comp", "is_main", "sig", F.explode(tiles).alias("t"))
-        .select(F.xxhash64("key", "t.other", "t.second", "t.with_main").alias("tile"), "id", "comp", "is_main", "sig")
-    )
+    dealt = placed.withColumn("block", block).select(*rows.columns, "is_main", F.explode(tiles).alias("t"))
+    return dealt.withColumn("tile", F.xxhash64("key", "t.other", "t.second", "t.with_main")).drop("t")
+
+
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """The rows of one tile after another, from batches sorted by tile."""
+    held: list[pa.RecordBatch] = []
+    current = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        tile = batch.column("tile").to_numpy()
+        cuts = [0, *(np.flatnonzero(np.diff(tile)) + 1).tolist(), len(tile)]
+        for a, b in zip(cuts[:-1], cuts[1:]):
+            if held and tile[a] != current:
+                yield pa.Table.from_batches(held).combine_chunks()
+                held = []
+            current = tile[a]
+            held.append(batch.slice(a, b - a))
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks()
+
+
+def _others_first(table: pa.Table) -> tuple[pa.Table, int]:
+    main = table.column("is_main").to_numpy().astype(bool)
+    return table.take(pa.array(np.argsort(main, kind="stable"))), int((~main).sum())
+
+
+def suspects(rows: DataFrame, width: int, bands: int, floor: float) -> DataFrame:
+    """(tile, id, comp, is_main, partners): rows of open buckets that may be linked across components.
+
+    ``rows``: key, band, id, comp, sig, bands.  ``partners`` are the ids whose signatures
+    agree well enough; a pair is named only in the first band that both share, by one of
+    the two.  Rows that are merely named have an empty list.
+    """
 
-    def compare(ids: np.ndarray, comps: np.ndarray, main: np.ndarray, sigs: np.ndarray) -> list[tuple[int, int]]:
-        order = np.argsort(main, kind="stable")  # others first
-        ids, comps, sigs, others = ids[order], comps[order], sigs[order], int((~main).sum())
-        out = []
-        for i in range(others):
-            alike = (sigs[i + 1 :] == sigs[i]).sum(axis=1) >= floor * width
-            alike &= comps[i + 1 :] != comps[i]
-            for j in np.flatnonzero(alike).tolist():
-                x, y = int(ids[i]), int(ids[i + 1 + j])
-                out.append((max(x, y), min(x, y)))
-        return out
-
-    def tiles_in(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple] = []
-        current = None
-
-        def flush() -> pa.RecordBatch | None:
-            if not held:
-                return None
-            ids, comps, main = (np.concatenate([h[k] for h in held]) for k in range(3))
-            sigs = np.concatenate([h[3] for h in held])
-            held.clear()
-            found = compare(ids, comps, main, sigs) if len(ids) > 1 else []
-            return pa.RecordBatch.from_arrays([pa.array([p[k] for p in found], pa.int64()) for k in (0, 1)], ["a", "b"]) if found else None
-
-        for batch in batches:
-            if not batch.num_rows:
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _runs(batches):
+            if table.num_rows < 2:
                 continue
-            tile, ids, comps = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("tile", "id", "comp"))
-            main = batch.column("is_main").to_numpy(zero_copy_only=False).astype(bool)
-            sigs = np.frombuffer(b"".join(batch.column("sig").to_pylist()), np.uint16).reshape(-1, width)
-            cuts = [0, *(np.flatnonzero(np.diff(tile)) + 1).tolist(), len(tile)]
-            for a, b in zip(cuts[:-1], cuts[1:]):
-                if tile[a] != current:
-                    if (done := flush()) is not None:
-                        yield done
-                    current = tile[a]
-                held.append((ids[a:b], comps[a:b], main[a:b], sigs[a:b]))
-        if (done := flush()) is not None:
-            yield done
-
-    return dealt.repartition("tile").sortWithinPartitions("tile").mapInArrow(tiles_in, "a long, b long").distinct()
+            table, others = _others_first(table)
+            ids, comps = table.column("id").to_numpy(), table.column("comp").to_numpy()
+            sigs = np.frombuffer(b"".join(table.column("sig").to_pylist()), np.uint16).reshape(-1, width)
+            keys = table.column("bands").combine_chunks().flatten().to_numpy().reshape(-1, bands)
+            band = int(table.column("band")[0].as_py())
+            partners: list[np.ndarray] = [ids[:0]] * len(ids)
+            met = np.zeros(len(ids), bool)
+            for i in range(others):
+                j = np.flatnonzero(comps[i + 1 :] != comps[i]) + i + 1
+                j = j[(sigs[j] == sigs[i]).sum(axis=1) >= floor * width]
+                j = j[~(keys[j, :band] == keys[i, :band]).any(axis=1)]
+                if len(j):
+                    partners[i] = ids[j]
+                    met[j] = met[i] = True
+            at = np.flatnonzero(met)
+            if len(at):
+                kept = table.select(["tile", "id", "comp", "is_main"]).take(pa.array(at)).combine_chunks().to_batches()[0]
+                yield pa.RecordBatch.from_arrays([*kept.columns, pa.array([partners[i] for i in at], pa.list_(pa.int64()))], [*kept.schema.names, "partners"])
+
+    dealt = _tiled(rows).select("tile", "id", "comp", "is_main", "sig", "band", "bands")
+    return dealt.repartition("tile").sortWithinPartitions("tile").mapInArrow(find, "tile long, id long, comp long, is_main boolean, partners array<long>")
+
+
+def confirm_suspects(found: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) among suspects, confirmed on full sets; per tile only those that join two components anew."""
+
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _runs(batches):
+            table, others = _others_first(table)
+            ids, partners = table.column("id").to_numpy(), table.column("partners").to_pylist()
+            sets = shingle_sets(table.column("text").combine_chunks())
+            sizes = [len(s) for s in sets]
+            codes = np.unique(np.concatenate(sets), return_inverse=True)[1]
+            cuts = np.cumsum([0, *sizes])
+            parts = [codes[cuts[i] : cuts[i + 1]] for i in range(len(sets))]
+            root = {c: c for c in table.column("comp").to_pylist()}
+            comps = table.column("comp").to_pylist()
+            place = {int(x): i for i, x in enumerate(ids)}
+
+            def top(c: int) -> int:
+                while root[c] != c:  # noqa: B023
+                    root[c] = root[root[c]]  # noqa: B023
+                    c = root[c]  # noqa: B023
+                return c
+
+            mark, links = np.zeros(int(codes.max(initial=-1)) + 1, bool), []
+            for i in range(others):
+                if not partners[i]:
+                    continue
+                mark[parts[i]] = True
+                for j in sorted(place[p] for p in partners[i] if p in place):
+                    x, y = top(comps[i]), top(comps[j])
+                    if x == y or 100 * min(sizes[i], sizes[j]) < percent * max(sizes[i], sizes[j]):
+                        continue
+                    both = int(np.count_nonzero(mark[parts[j]]))
+                    if 100 * both >= percent * (sizes[i] + sizes[j] - both):
+                        root[max(x, y)] = min(x, y)
+                        links.append((int(ids[i]), int(ids[j])))
+                mark[parts[i]] = False
+            if links:
+                yield pa.RecordBatch.from_arrays([pa.array([k[n] for k in links], pa.int64()) for n in (0, 1)], ["a", "b"])
+
+    joined = found.join(texts, "id").select("tile", "id", "comp", "is_main", "partners", "text")
+    return joined.repartition("tile").sortWithinPartitions("tile").mapInArrow(check, "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame, percent: int = 85, rows: int = ROWS, bands: int = BANDS, floor: float = SIGNATURE_FLOOR) -> DataFrame:
@@ -262,7 +320,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85, rows: int = ROWS, bands:
     copies = scratch.table(copies, "copies")
     reps = signed.join(copies, [signed.doc_id == copies.rep, signed.d1 == copies.d1, signed.d2 == copies.d2], "left_semi")
 
-    keyed = reps.select(F.col("doc_id").alias("id"), F.explode("bands").alias("key"))
+    keyed = reps.select(F.col("doc_id").alias("id"), F.posexplode("bands").alias("band", "key"))
     buckets = keyed.groupBy("key").agg(F.min("id").alias("centre"), F.max("id").alias("most")).where("centre < most").drop("most")
     met = scratch.table(keyed.join(buckets, "key"), "met")
     wanted = met.select("id").distinct()
@@ -276,13 +334,13 @@ def near_duplicates(docs: DataFrame, percent: int = 85, rows: int = ROWS, bands:
     first = scratch.table(first, "first")
     labels = components(confirm(first, bodies, percent), scratch, "cc")
 
-    placed = met.join(labels, "id", "left").select("key", "id", F.coalesce("component", "id").alias("comp"))
+    placed = met.join(labels, "id", "left").select("key", "band", "id", F.coalesce("component", "id").alias("comp"))
     open_keys = placed.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("key")
     open_rows = placed.join(open_keys, "key", "left_semi")
-    sigs = reps.select(F.col("doc_id").alias("id"), "sig").dropDuplicates(["id"])
+    sigs = reps.select(F.col("doc_id").alias("id"), "sig", "bands").dropDuplicates(["id"])
     open_rows = scratch.table(open_rows.join(sigs, "id"), "open")
-    second = _across(open_rows, rows * bands, floor).join(first, ["a", "b"], "left_anti")
-    links = confirm(second, bodies, percent)
+    found = scratch.table(suspects(open_rows, rows * bands, bands, floor), "suspects")
+    links = confirm_suspects(found, bodies.dropDuplicates(["id"]), percent)
     of = lambda side: labels.select(F.col("id").alias(side), F.col("component").alias(f"c{side}"))
     merged = links.join(of("a"), "a", "left").join(of("b"), "b", "left").select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b"))
     top = components(merged, scratch, "top").select(F.col("id").alias("component"), F.col("component").alias("root"))
