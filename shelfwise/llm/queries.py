@@ -7,10 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.llm import language_id, line_dedup, near_dups, nearest, packing, quality_model, quality_rules, secrets
+from shelfwise.llm import language_id, line_dedup, lm, near_dups, nearest, packing, quality_model, quality_rules, secrets
 from shelfwise.llm.common import fold, read
 
 
+def op1_ngram_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held = F.coalesce(fold("doc_id", 5) == 1, F.lit(False))
+    out = lm.train_and_score(read(spark, sf_dir, "documents"), ~held)
+    return out.select("doc_id", (~F.col("learn")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op2_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest.nearest(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
 
@@ -121,6 +127,7 @@ def op10_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_ngram_lm": op1_ngram_lm,
         "op2_nearest": op2_nearest,
         "op3_language_id": op3_language_id,
         "op4_quality_model": op4_quality_model,
