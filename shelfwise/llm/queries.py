@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.llm import language_id, line_dedup, lm, near_dups, nearest, packing, quality_model, quality_rules, secrets
+from shelfwise.llm import language_id, line_dedup, lm, nbest, near_dups, nearest, packing, quality_model, quality_rules, secrets
 from shelfwise.llm.common import fold, read
 
 
@@ -114,6 +114,13 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", count("assign"), count("access"), count("hex"), F.sha2(listed(base), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"))
 
 
+def op8_nbest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    out = nbest.encode_nbest(read(spark, sf_dir, "documents"), public_tokenizers.path(nbest.MODEL))
+    return out.select("doc_id", "n_pieces", "scores", "ids_crc32", "round_trip")
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -134,6 +141,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_line_dedup": op5_line_dedup,
         "op6_quality_rules": op6_quality_rules,
         "op7_secret_scan": op7_secret_scan,
+        "op8_nbest": op8_nbest,
         "op9_packing": op9_packing,
         "op10_near_dups": op10_near_dups,
     }
