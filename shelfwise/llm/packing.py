@@ -31,7 +31,7 @@ TOKENIZER = "word_bpe_49k.json"
 MAX_LEN = 2048
 END_ID = 1
 #: Words whose ids a Python worker remembers, in each of two generations.
-CACHE_WORDS = 150_000
+CACHE_WORDS = 400_000
 
 _encoders: dict[str, "WordEncoder"] = {}
 
