@@ -15,8 +15,10 @@ pieces; an empty table gives no pieces; further columns are not looked at.
 
 from __future__ import annotations
 
+import itertools
 import os
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,8 +32,10 @@ from shelfwise.session import ship
 TOKENIZER = "word_bpe_49k.json"
 MAX_LEN = 2048
 END_ID = 1
-#: Words whose ids a Python worker remembers, in each of two generations.
-CACHE_WORDS = 400_000
+#: Words whose ids a Python worker remembers.
+CACHE_WORDS = 900_000
+#: Bytes of text that a worker cuts at once; the more, the fewer words are looked up twice.
+TEXT_BYTES = 10 << 20
 
 _encoders: dict[str, "WordEncoder"] = {}
 
@@ -45,38 +49,29 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.limit = limit
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
+        self.known: dict[str, bytes] = {}
 
     def ids(self, words: list[str]) -> list[bytes]:
-        """Little-endian unsigned 32-bit ids of each word."""
-        young, old = self.young, self.old
-        out, unseen = [], []
-        for i, w in enumerate(words):
-            got = young.get(w)
-            if got is None:
-                got = old.get(w)
-                if got is None:
-                    unseen.append(i)
-                else:
-                    young[w] = got
-            out.append(got)
+        """Unsigned 32-bit ids of each word, in the machine's byte order.  The older half of too many known words is forgotten."""
+        known = self.known
+        if len(known) > self.limit:
+            known = self.known = dict(itertools.islice(known.items(), len(known) // 2, None))
+        out = list(map(known.get, words))
+        unseen = [i for i, got in enumerate(out) if got is None]
         for at in range(0, len(unseen), 20_000):
             part = unseen[at : at + 20_000]
             for i, e in zip(part, self.tokenizer.encode_batch_fast([words[i] for i in part], add_special_tokens=False)):
-                out[i] = young[words[i]] = np.asarray(e.ids, "<u4").tobytes()
-        if len(young) > self.limit:
-            self.young, self.old = {}, young
+                out[i] = known[words[i]] = array("I", e.ids).tobytes()
         return out
 
     def texts(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, and where each text's ids begin (one more at the end)."""
         words, starts = words_of(texts)
         if not len(words):
-            return np.empty(0, "<u4"), np.zeros(len(texts) + 1, np.int64)
+            return np.empty(0, np.uint32), np.zeros(len(texts) + 1, np.int64)
         coded = words.dictionary_encode()
         parts = self.ids(coded.dictionary.to_pylist())
-        flat = np.frombuffer(b"".join(parts), "<u4")
+        flat = np.frombuffer(b"".join(parts), np.uint32)
         lengths = np.fromiter(map(len, parts), np.int64, len(parts)) // 4
         begins = np.cumsum(lengths) - lengths
         use = coded.indices.to_numpy()
@@ -112,12 +107,12 @@ def pack(docs: DataFrame, tokenizer_path: str, max_len: int = MAX_LEN, end_id: i
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(tokenizer_path)
         end = np.asarray([end_id], "<u4").tobytes()
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", TEXT_BYTES):
             flat, starts = enc.texts(batch.column("text"))
             owner, start, length, crc, total, ids = [], [], [], [], [], []
             for d in range(batch.num_rows):
                 a, b = int(starts[d]), int(starts[d + 1])
-                raw, n, at = flat[a:b].tobytes() + end, b - a + 1, 0
+                raw, n, at = flat[a:b].astype("<u4", copy=False).tobytes() + end, b - a + 1, 0
                 for size in binary_pieces(n, max_len):
                     piece = raw[at * 4 : (at + size) * 4]
                     owner.append(d)
