@@ -82,14 +82,11 @@ def content_key(*columns: Column, length: int = 20) -> Column:
 
 def ngrams(words: Column, most: int) -> Column:
     """Array of struct(start, n, gram) of all runs of 1..most words."""
-    sized = [
-        F.transform(
-            F.when(F.size(words) >= n, F.sequence(F.lit(0), F.size(words) - n)).otherwise(F.array().cast("array<int>")),
-            lambda i, n=n: F.struct(i.alias("start"), F.lit(n).alias("n"), F.array_join(F.slice(words, i + 1, n), " ").alias("gram")),
-        )
-        for n in range(1, most + 1)
-    ]
-    return F.concat(*sized)
+    def sized(n: int) -> Column:
+        starts = F.when(F.size(words) >= n, F.sequence(F.lit(0), F.size(words) - n)).otherwise(F.array().cast("array<int>"))
+        return F.transform(starts, lambda i: F.struct(i.alias("start"), F.lit(n).alias("n"), F.array_join(F.slice(words, i + 1, n), " ").alias("gram")))
+
+    return F.concat(*[sized(n) for n in range(1, most + 1)])
 
 
 def tight(c: Column) -> Column:
