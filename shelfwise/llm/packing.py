@@ -23,6 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -37,6 +38,9 @@ CACHE_WORDS = 900_000
 #: Bytes of text that a worker cuts at once; the more, the fewer words are looked up twice.
 TEXT_BYTES = 10 << 20
 
+#: The tokenizer always parts a letter from these marks, so a space may part them before it does.
+_LETTER, _MARK = r"([A-Za-z\x{C0}-\x{D6}\x{D8}-\x{F6}\x{F8}-\x{24F}])", "([.,!?;:])"
+
 _encoders: dict[str, "WordEncoder"] = {}
 
 
@@ -66,7 +70,8 @@ class WordEncoder:
 
     def texts(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, and where each text's ids begin (one more at the end)."""
-        words, starts = words_of(texts)
+        texts = pc.replace_substring_regex(texts.cast(pa.string()), _LETTER + _MARK, r"\1 \2")
+        words, starts = words_of(pc.replace_substring_regex(texts, _MARK + _LETTER, r"\1 \2"))
         if not len(words):
             return np.empty(0, np.uint32), np.zeros(len(texts) + 1, np.int64)
         coded = words.dictionary_encode()
