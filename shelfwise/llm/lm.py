@@ -41,7 +41,8 @@ from pyspark.sql import functions as F
 from shelfwise.llm.common import HashCache, hash_words, slices, words_of
 from shelfwise.session import Scratch, ship
 
-WORD_BITS = 5
+#: Documents per shard of words.
+SHARD_DOCS = 4_000
 DISCOUNT = (0.5, 0.6, 0.6)
 MIN_COUNT = 2
 #: Tokens per shard of a gram level, and counts that a task gathers before it sends them.
@@ -302,7 +303,7 @@ class Trie:
 
     def __init__(self, uri: str, info: dict):
         self.uri, self.info = uri, info
-        self.word_starts = np.asarray(info.get("word_starts", [0]), np.int64)
+        self.word_starts, self.bits = np.asarray(info.get("word_starts", [0]), np.int64), info.get("bits", 0)
 
     def words(self, shard: int) -> dict[str, np.ndarray]:
         return mapped(f"{self.uri}/words-{shard}")
@@ -311,13 +312,13 @@ class Trie:
         """Ids of word hashes; -1 for unknown words."""
         order = np.argsort(hashes)
         ordered = hashes[order]
-        shards = (ordered >> np.uint64(64 - WORD_BITS)).astype(np.int64)
+        shards = (ordered >> np.uint64(64 - self.bits)).astype(np.int64)
         out = np.full(len(hashes), -1, np.int64)
         for s in np.unique(shards).tolist():
             if self.word_starts[s] == self.word_starts[s + 1]:
                 continue
             a, b = np.searchsorted(shards, [s, s + 1])
-            place, same = EliasFano.of(self.words(s), "hash").successor(ordered[a:b] & np.uint64((1 << (64 - WORD_BITS)) - 1))
+            place, same = EliasFano.of(self.words(s), "hash").successor(ordered[a:b] & np.uint64((1 << (64 - self.bits)) - 1))
             out[order[a:b]] = np.where(same, place + self.word_starts[s], -1)
         return out
 
@@ -389,10 +390,10 @@ def _lookup(trie: Trie, order: int, context: np.ndarray, word: np.ndarray) -> tu
     return rank, prob, weight
 
 
-def _build_words(uri: str) -> Callable[[pa.Table], pa.Table]:
+def _build_words(uri: str, bits: int) -> Callable[[pa.Table], pa.Table]:
     def build(table: pa.Table) -> pa.Table:
         shard, keys, counts = _merged(table)
-        save_arrays(f"{uri}/words-{shard}", EliasFano.build(keys & np.uint64((1 << (64 - WORD_BITS)) - 1)).arrays("hash") | {"counts": counts.astype(np.uint64)})
+        save_arrays(f"{uri}/words-{shard}", EliasFano.build(keys & np.uint64((1 << (64 - bits)) - 1)).arrays("hash") | {"counts": counts.astype(np.uint64)})
         return pa.table({"shard": pa.array([shard], pa.int32()), "n": pa.array([len(keys)], pa.int64()), "total": pa.array([int(counts.sum())], pa.int64())})
 
     return build
@@ -442,17 +443,18 @@ def train(texts: DataFrame, scratch: Scratch, max_order: int = 3) -> tuple[Trie,
     spark = texts.sparkSession
     ship(spark)
     uri = scratch.path("levels")
+    bits = int(np.clip(np.ceil(np.log2(max(1, texts.where("learn").count()) / SHARD_DOCS)), 3, 14))
 
     def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache, gather, ends = HashCache(), Gatherer(lambda k: (k >> np.uint64(64 - WORD_BITS)).astype(np.int64)), 0
+        cache, gather = HashCache(), Gatherer(lambda k: (k >> np.uint64(64 - bits)).astype(np.int64))
         for batch in slices(batches, "text"):
             yield from gather.add(np.append(hash_words(words_of(batch.column("text"), lower=True)[0], cache), np.repeat(END_HASH, batch.num_rows)))
         yield from gather.flush()
 
     blobs = texts.where("learn").select("text").mapInArrow(count_words, BLOBS)
-    built = {r.shard: r for r in blobs.groupBy("shard").applyInArrow(_build_words(uri), BUILT).collect()}
-    sizes = [built[s].n if s in built else 0 for s in range(1 << WORD_BITS)]
-    info: dict = {"word_starts": [0, *np.cumsum(sizes).tolist()], "N": sum(r.total for r in built.values()), "V": sum(sizes)}
+    built = {r.shard: r for r in blobs.groupBy("shard").applyInArrow(_build_words(uri, bits), BUILT).collect()}
+    sizes = [built[s].n if s in built else 0 for s in range(1 << bits)]
+    info: dict = {"bits": bits, "word_starts": [0, *np.cumsum(sizes).tolist()], "N": sum(r.total for r in built.values()), "V": sum(sizes)}
     trie = Trie(uri, info)
 
     def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
