@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfwise.llm import language_id, line_dedup, near_dups, packing, secrets
+from shelfwise.llm.common import fresh
 from shelfwise.session import Scratch
 
 #: Texts of at least MIN_JUDGED characters whose best cosine is below MIN_COSINE are in no known language; shorter ones cannot be judged so.
@@ -21,9 +22,10 @@ def _sized(docs: DataFrame) -> DataFrame:
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Reject documents of no known language (no letters, or far from every profile)."""
     known = language_id.prototypes(docs)
-    out = language_id.predict(docs.select(F.struct(*docs.columns).alias("_given"), "text"), known)
-    foreign = (F.col("score") < MIN_COSINE) & (F.char_length("text") >= MIN_JUDGED)
-    return out.where((F.col("lang_pred") != "und") & ~foreign).select("_given.*")
+    lang, score = fresh(docs, "_lang_pred"), fresh(docs, "_lang_score")
+    out = language_id.predict(docs, known, names=(lang, score))
+    foreign = (F.col(score) < MIN_COSINE) & (F.char_length("text") >= MIN_JUDGED)
+    return out.where((F.col(lang) != "und") & ~foreign).select(*docs.columns)
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
