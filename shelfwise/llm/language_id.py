@@ -28,7 +28,7 @@ from shelfwise.session import ship
 
 DIMS = 1024
 SEED = 7
-BATCH_BYTES = 2 << 20
+BATCH_BYTES = 1 << 20
 
 _alpha: list[np.ndarray] = []
 
@@ -54,8 +54,8 @@ class Encoder:
         """Trigram counts of each text (a row each), and the trigrams' vectors."""
         lowered = [" " + (t or "").lower() + " " for t in texts]
         sizes = np.fromiter(map(len, lowered), np.int64, len(lowered))
-        codes = np.frombuffer("".join(lowered).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
-        owner = np.repeat(np.arange(len(lowered)), sizes)
+        codes = np.frombuffer("".join(lowered).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int32)
+        owner = np.repeat(np.arange(len(lowered), dtype=np.int32), sizes)
         codes = np.where(_letters()[codes], codes, 0)
         keep = np.ones(len(codes), bool)
         keep[1:] = (codes[1:] != 0) | (codes[:-1] != 0) | (owner[1:] != owner[:-1])
@@ -78,7 +78,7 @@ class Encoder:
             code = code[grams]
         else:
             met, code = np.unique(grams, return_inverse=True)
-        table = np.bincount(owner * len(met) + code, minlength=len(texts) * len(met)).reshape(len(texts), len(met)).astype(np.float32)
+        table = np.bincount(owner.astype(np.int64) * len(met) + code, minlength=len(texts) * len(met)).reshape(len(texts), len(met)).astype(np.float32)
         base = np.stack([self.letter(int(c)) for c in alphabet])
         first, second = np.roll(base, 2, axis=1), np.roll(base, 1, axis=1)
         return table, first[met // (size * size)] * second[met // size % size] * base[met % size]
@@ -111,10 +111,11 @@ def prototypes(docs: DataFrame, dims: int = DIMS, seed: int = SEED) -> dict[str,
     return {k: v / np.linalg.norm(v) for k, v in sorted(out.items()) if v.any()}
 
 
-def predict(docs: DataFrame, known: dict[str, np.ndarray], dims: int = DIMS, seed: int = SEED) -> DataFrame:
-    """``docs`` with lang_pred and score; all columns stay, and a column of such a name is replaced."""
+def predict(docs: DataFrame, known: dict[str, np.ndarray], dims: int = DIMS, seed: int = SEED, names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """``docs`` with two more columns, language and score, called ``names``; all columns stay, but one of such a name is replaced."""
     ship(docs.sparkSession)
-    docs = docs.drop("lang_pred", "score").withColumn("text", F.col("text").cast("string"))
+    made_names = list(names)
+    docs = docs.drop(*names).withColumn("text", F.col("text").cast("string"))
     names, langs = docs.columns, list(known)
     place = [c.lower() for c in names].index("text")
     matrix = np.stack([known[x] for x in langs]).astype(np.float32) if langs else None
@@ -130,6 +131,6 @@ def predict(docs: DataFrame, known: dict[str, np.ndarray], dims: int = DIMS, see
                 best = cosine.argmax(axis=1)
                 pred = [langs[b] if ok else "und" for b, ok in zip(best, some)]
                 score = np.where(some, np.clip(cosine[np.arange(len(best)), best], 0, 1), 0.0)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(pred), pa.array(score.astype(np.float64))], [*names, "lang_pred", "score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(pred), pa.array(score.astype(np.float64))], [*names, *made_names])
 
-    return docs.mapInArrow(label, docs.withColumns({"lang_pred": F.lit(""), "score": F.lit(0.0)}).schema)
+    return docs.mapInArrow(label, docs.withColumns({made_names[0]: F.lit(""), made_names[1]: F.lit(0.0)}).schema)
