@@ -96,10 +96,10 @@ def failures() -> dict[str, Column]:
     return {
         "short": n < MIN_WORDS,
         "repeats": 100 * F.col("n_repeat_words") > 50 * n,
-        "symbols": F.col("n_symbols") > n,
+        "symbols": 10 * F.col("n_symbols") > n,
         "dup_lines": (F.col("n_lines") >= 4) & (2 * F.col("n_dup_lines") > F.col("n_lines")),
         "word_length": (n > 0) & ((F.col("word_chars") < 2 * n) | (F.col("word_chars") > 15 * n)),
-        "shouting": 2 * F.col("n_bangs") > n,
+        "shouting": 5 * F.col("n_bangs") > n,
     }
 
 

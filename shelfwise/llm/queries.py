@@ -100,8 +100,8 @@ measured AS (
   FROM texts JOIN words USING (r) LEFT JOIN covered USING (r)),
 judged AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM measured)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-  NOT (base_failed OR n_symbols > n_words OR (n_lines >= 4 AND 2 * n_dup_lines > n_lines)
-    OR (n_words > 0 AND (word_chars < 2 * n_words OR word_chars > 15 * n_words)) OR 2 * n_bangs > n_words) AS kept
+  NOT (base_failed OR 10 * n_symbols > n_words OR (n_lines >= 4 AND 2 * n_dup_lines > n_lines)
+    OR (n_words > 0 AND (word_chars < 2 * n_words OR word_chars > 15 * n_words)) OR 5 * n_bangs > n_words) AS kept
 FROM judged
 """
 
