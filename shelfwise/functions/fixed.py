@@ -99,6 +99,36 @@ DESCRIPTION_HEADERS = [
 ]
 BRAND_HEADERS = [r"^brand$", r"\bbrand[\s_-]?(name|desc|text)\b", r"\bmanufactur", r"\bsupplier\b", r"\bvendor\b"]
 
+#: Retail texts: units to one spelling, then words to one spelling; each list in order.
+RETAIL_UNITS = [
+    (r"\b(ltr|lt|litre|liter|liters|litres)\b", "l"), (r"\b(grm|gms|gram|grams|gr|gm)\b", "g"),
+    (r"\b(mltr|milliliter|millilitre)\b", "ml"), (r"\b(kilogram|kilograms)\b", "kg"), (r"\b(ounce|ounces)\b", "oz"),
+    (r"\b(piece|pieces)\b", "pcs"), (r"\b(packet|packets|pkt)\b", "pack"),
+]
+RETAIL_WORDS = [
+    (r"\bamcana\b", "americana"), (r"\b(ame|amc|amcn)\b", "americana"), (r"\bcal garden\b", "california garden"),
+    (r"\b(cg)\b", "california garden"), (r"\b(oep)\b", "old el paso"), (r"\b(gg)\b", "green giant"),
+    (r"\b(bc)\b", "betty crocker"), (r"\b(ld)\b", "london dairy"), (r"\blondondairy\b", "london dairy"),
+    (r"\b(kdc|kd)\b", "kdd"), (r"\b(ckn|chk|chkn)\b", "chicken"), (r"\b(fz|frz)\b", "frozen"),
+    (r"\b(veg|veget)\b", "vegetable"), (r"\b(choc|choco)\b", "chocolate"),
+    (r"\b(str|strw|straw|strbry|strwbry)\b", "strawberry"), (r"\b(van|vnla|vanla)\b", "vanilla"),
+    (r"\b(msh|mshm)\b", "mushroom"), (r"\bzawan\b", "zwan"), (r"\bsiella\b", "sirella"),
+    (r"\bindian gate\b", "india gate"), (r"\bnurjuhan\b", "nurjahan"), (r"\btawouk\b", "taouk"),
+    (r"\b(ornge?|orng)\b", "orange"), (r"\b(moz|mozarella|mozzrla)\b", "mozzarella"), (r"\b(jce|juc|nectar)\b", "juice"),
+    (r"\bbanetti\b", "panzani"), (r"\bsparoni\b", "panzani"), (r"\b(rusk|bisc)\b", "biscuit"), (r"\bnacho\b", "tortilla"),
+    (r"\b(gr|gm)\b", "g"), (r"\bmedamma[s]?\b", "foul"), (r"\bcalrose\b", "jasmine"), (r"\b(sella|rozana)\b", "basmati"),
+    (r"\bprsdnt\b", "president"), (r"\bcadburys\b", "cadbury"), (r"\bsaralee\b", "sara lee"), (r"\b(ec|qnie|new)\b", ""),
+]
+RETAIL_STOP_WORDS = (
+    "the a an and or of in for with by from to at on is are new original premium special classic natural fresh pure "
+    "extra super ultra mini big large small best real true fine frozen chilled hot spicy crispy crunchy regular light "
+    "full fat low rich deluxe assorted asstd asst prm prem std alu tetra cpd chopped whole sliced shredded diced minced "
+    "bottle jar tub pouch family traditional artisan sugar lean skimmed piece stem chunk strip sachet squeeze spray "
+    "drinking mineral spring purified organic bio homestyle kids junior baby adult promo offer deal halal kosher vegan "
+    "vegetarian gold silver platinum bronze smoked roasted grilled baked boiled cooked marinated seasoned unseasoned breaded"
+).split()
+NAME_STOP_WORDS = "of the a an and or with for in on at to by new fresh".split()
+
 TIMESTAMP_FORMATS = [
     "M/d/yy H:mm", "M/d/yyyy H:mm", "M/d/yy HH:mm", "M/d/yyyy HH:mm", "M/d/yy H:mm:ss", "M/d/yyyy H:mm:ss",
     "yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd H:mm:ss", "yyyy-MM-dd HH:mm", "yyyy-MM-dd H:mm",

@@ -104,18 +104,68 @@ def pack_bonus(a: Column, b: Column) -> Column:
 
 
 def normalize_weight(w: Column) -> Column:
-    """A weight text such as '1.5 kg' as a number of g, ml or pieces; ounces to two places."""
-    n = F.regexp_extract(F.lower(w), r"^\s*(\d+(?:\.\d+)?)", 1).try_cast("double")
-    unit = F.regexp_extract(F.lower(w), r"([a-z]+)\s*$", 1)
+    """A weight text such as '1.5kg' as a number of g or ml; ounces to two places; null without a unit."""
+    t = F.lower(F.trim(w))
+    found = r"^(\d+(?:\.\d+)?)\s*(grams?|grms?|gms?|gr|g|kg|ml|litre|liter|ltr|l|oz|cl)"
+    n, unit = F.regexp_extract(t, found, 1).try_cast("double"), F.regexp_extract(t, found, 2)
     return (
-        F.when(unit.isin("kg", "kgs"), n * 1000)
-        .when(unit.isin("l", "lt", "ltr", "ltrs", "litre", "liter"), n * 1000)
+        F.when(unit.isin("kg", "l", "ltr", "litre", "liter"), n * 1000)
         .when(unit == "cl", n * 10)
         .when(unit == "oz", F.bround(n * 28.3495, 2))
-        .otherwise(n)
+        .when(unit != "", n)
     )
 
 
 def normalize_pack(p: Column) -> Column:
-    """Lower case without spaces and a final x; null gives ''."""
-    return F.rtrim(F.regexp_replace(F.lower(F.coalesce(p, F.lit(""))), r"\s+", ""), F.lit("x"))
+    """Lower case without a final x; empty gives null."""
+    return F.nullif(F.rtrim(F.lower(F.trim(p)), F.lit("x")), F.lit(""))
+
+
+def clean_description(text: Column) -> Column:
+    """Brackets resolved (kept without the marks if they hold a size, else dropped) and a leading code without a size dropped."""
+    t = F.trim(F.coalesce(text, F.lit("")))
+    sized = rf"(?i)\(([^)]{{0,30}}?{fixed.SIZE.replace('(', '(?:').replace('(?:?:', '(?:')}[^)]{{0,30}}?)\)"
+    t = F.regexp_replace(F.regexp_replace(t, sized, " $1 "), r"\([^)]{0,30}\)", " ")
+    t = F.trim(F.regexp_replace(F.regexp_replace(t, r"[\[\]{}]", " "), r"\s+", " "))
+    code = F.regexp_extract(t, r"^((?:\d[\d.\-]+[A-Z0-9\-]*|[A-Z]\d[A-Z0-9\-]*)\s+)", 1)
+    rest = F.substring(t, F.char_length(code) + 1, F.char_length(t))
+    return F.when((code != "") & (rest != "") & ~code.rlike(f"(?i){fixed.SIZE}"), F.trim(rest)).otherwise(t)
+
+
+UNIT_WORDS = "g|gm|gms|gr|grm|grms|gram|grams|kg|ml|l|ltr|litre|liter|oz|cl"
+
+
+def parse_loose(text: Column, mode: str = "last") -> Column:
+    """struct(name, pack, weight) with pack and weight as texts, the whole text in lower case.
+
+    ``last``      the last weight named, then the first pack
+    ``packed``    a weight inside a pack expression (4x12x50g, 25gx16) first, else the last
+    ``bounded``   the last weight that touches no other letter or digit but an x
+    """
+    unit = rf"(?:{UNIT_WORDS})"
+    plain = rf"\d+(?:\.\d+)?\s*{unit}\b"
+    bounded = rf"(?:(?<!\w)|(?<=x))\d+(?:\.\d+)?{unit}(?:(?!\w)|(?=x))"
+    inside = rf"(?:\d+\s*x\s*)+(\d+(?:\.\d+)?\s*{unit})\b|(\d+(?:\.\d+)?\s*{unit})\s*x\s*\d+"
+    weight_pattern = bounded if mode == "bounded" else plain
+
+    def cut_last(t: Column) -> Column:
+        found = F.try_element_at(F.regexp_extract_all(t, F.lit(f"({weight_pattern})"), 1), F.lit(-1))
+        head = F.regexp_extract(t, rf"(?s)^(.*(?<![\d.]))(?:{weight_pattern})", 1)
+        tail = F.substring(t, F.char_length(head) + F.char_length(found) + 1, F.char_length(t))
+        return F.struct(F.when(found.isNull(), t).otherwise(F.concat(head, F.lit(" "), tail)).alias("t"), F.coalesce(found, F.lit("")).alias("w"))
+
+    def cut_inside(t: Column) -> Column:
+        w = F.concat(F.regexp_extract(t, inside, 1), F.regexp_extract(t, inside, 2))
+        return F.when(t.rlike(inside), F.struct(F.regexp_replace(t, f"^((?s).*?)(?:{inside})", "$1 ").alias("t"), w.alias("w"))).otherwise(cut_last(t))
+
+    def finish(s: Column) -> Column:
+        pack = F.regexp_extract(s["t"], r"(\d+\s*x\s*(?:\d+\s*x\s*)*)", 1)
+        rest = F.when(pack != "", F.concat(F.substring(s["t"], F.lit(1), F.call_function("locate", pack, s["t"]) - 1), F.lit(" "), F.substring(s["t"], F.call_function("locate", pack, s["t"]) + F.char_length(pack), F.char_length(s["t"])))).otherwise(s["t"])
+        return F.struct(
+            F.trim(F.regexp_replace(rest, r"\s+", " ")).alias("name"),
+            F.rtrim(F.regexp_replace(pack, r"\s+", ""), F.lit("x")).alias("pack"),
+            F.regexp_replace(s["w"], r"\s+", "").alias("weight"),
+        )
+
+    t = F.lower(F.trim(F.coalesce(text, F.lit(""))))
+    return let(let(t, cut_inside if mode == "packed" else cut_last), finish)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from shelfwise.functions import fixed
+
 
 def normalize(c: Column) -> Column:
     """Lower case, punctuation to spaces, spaces squeezed; null gives ''."""
@@ -97,3 +99,89 @@ def tight(c: Column) -> Column:
 def words(c: Column) -> Column:
     """Upper-case words of letters and digits, in order."""
     return F.regexp_extract_all(F.upper(F.coalesce(c, F.lit(""))), F.lit("([A-Z0-9]+)"), 1)
+
+
+def normalize_name(c: Column) -> Column:
+    """Name for comparison: units in one spelling, letters and digits only, stop words and single characters dropped."""
+    t = F.lower(F.coalesce(c, F.lit("")))
+    for pattern, unit in (("litre|litres|liter|liters|ltr|ltrs", "l"), ("kilogram|kilograms|kilo|kilos|kg|kgs", "kg"), ("gram|grams|grm|grms|g|gr|gm|gms", "g"), ("millilitre|millilitres|milliliter|milliliters", "ml"), ("pound|pounds", "lb"), ("ounce|ounces", "oz")):
+        t = F.regexp_replace(t, rf"\b({pattern})\b", unit)
+    kept = F.filter(F.split(F.regexp_replace(t, r"[^a-z0-9\s]", " "), r"\s+"), lambda w: ~w.isin(fixed.NAME_STOP_WORDS) & (F.char_length(w) > 1))
+    return F.array_join(kept, " ")
+
+
+def retail_text(c: Column) -> Column:
+    """Retail description for comparison; the passes must run in this order.
+
+    Units in one spelling, packs of packs to their size, sizes glued, counts, pack words,
+    giveaways and percentages dropped, digits parted from letters, words in one spelling,
+    stop words dropped.
+    """
+    t = F.lower(F.trim(F.coalesce(c, F.lit(""))))
+    size = r"\d+\.?\d*(?:ml|l|kg|g|oz|lb)?"
+    passes = [
+        *fixed.RETAIL_UNITS,
+        (r"(\d+)(m)\b(?!l)", "$1ml"),
+        (rf"\b\d+x\d+x\d+x?({size})\b", "$1"),
+        (rf"\b\d+x\d+x({size})\b", "$1"),
+        (r"(\d+\.?\d*)\s*(ml|l|kg|g|oz|lb)\b", "$1$2"),
+        (r"\s*x\s*\d+\b(?!\s*(?:ml|l|kg|g|oz|lb))", " "),
+        (r"\b(carton|ctn|case|pack|pcs?|units?|pieces?|promo|shrink|bundle|offer|sp|foc|eoe|eof|po)\b", ""),
+        (r"\b(ndw|foc|alu|tb|sl|cpd|tetra|ec|qnie)\b", ""),
+        (r"\(\d+\s*free\)|\b\d+\s*free\b", ""),
+        (r"\d+%\s*(?:off|extra|free|discount)?\b", ""),
+        (r"\b(\d+)s\b", "$1"),
+        (r"(?U)[^\w\s]", " "),
+        (r"([a-z])(\d)", "$1 $2"),
+        (r"(\d)([a-z])", "$1 $2"),
+        (r"\b(gr|gm)\b", "g"),
+        *fixed.RETAIL_WORDS,
+    ]
+    for pattern, by in passes:
+        t = F.regexp_replace(t, pattern, by)
+    return F.array_join(F.filter(F.split(t, r"\s+"), lambda w: (w != "") & ~w.isin(fixed.RETAIL_STOP_WORDS)), " ")
+
+
+def extract_brand(norm: Column, known: list[str], aliases: dict[str, str] | None = None) -> Column:
+    """struct(brand, product): the first three, two or one words that are a known brand (or an alias of one), and the rest."""
+    words_ = F.filter(F.split(F.coalesce(norm, F.lit("")), " "), lambda w: w != "")
+    table = F.create_map(*[F.lit(x) for pair in (aliases or {"": ""}).items() for x in pair])
+
+    def attempt(n: int) -> Column:
+        start = F.array_join(F.slice(words_, 1, n), " ")
+        full = F.coalesce(F.try_element_at(table, start), start)
+        brand = F.when(full.isin(known), full).when(start.isin(known), start)
+        rest = F.array_join(F.slice(words_, n + 1, F.greatest(F.lit(0), F.size(words_) - n)), " ")
+        return F.when((F.size(words_) >= n) & brand.isNotNull(), F.struct(brand.alias("brand"), rest.alias("product")))
+
+    none = F.struct(F.lit(None).cast("string").alias("brand"), F.coalesce(norm, F.lit("")).alias("product"))
+    return F.coalesce(attempt(3), attempt(2), attempt(1), none)
+
+
+def hint_text(*columns: Column) -> Column:
+    """Filled columns, joined by ' | '."""
+    return F.concat_ws(" | ", *[blank_to_null(c) for c in columns])
+
+
+def hint_map(columns: dict[str, Column]) -> Column:
+    """Map of the filled columns."""
+    entries = F.array(*[F.struct(F.lit(k).alias("key"), blank_to_null(c).alias("value")) for k, c in columns.items()])
+    return F.map_from_entries(F.filter(entries, lambda e: e["value"].isNotNull()))
+
+
+def first_filled(*columns: Column) -> Column:
+    return F.coalesce(*[blank_to_null(c) for c in columns])
+
+
+def safe_float(c: Column, default: float = 0.0) -> Column:
+    """A number text as a double; the default for null, truth values and anything else."""
+    t = c.cast("string")
+    return F.coalesce(F.when(~F.lower(F.trim(t)).isin("true", "false"), t.try_cast("double")), F.lit(default))
+
+
+def json_answer(raw: Column, schema: str) -> Column:
+    """A JSON object, also where other text stands around it; null if there is none."""
+    clean = F.from_json(F.trim(raw), schema)
+    inner = F.from_json(F.regexp_extract(raw, r"(?s)(\{.*\})", 1), schema)
+    filled = lambda s: F.when(F.to_json(s) != "{}", s)
+    return F.coalesce(filled(clean), filled(inner))

