@@ -10,6 +10,8 @@ import zipfile
 from pyspark.sql import DataFrame, SparkSession
 
 _shipped: set[str] = set()
+#: Bytes of an Arrow batch between the JVM and Python; both sides hold one or two of them per task.
+BATCH_BYTES = 10 << 20
 
 
 def build_session(cores: int | str = "*", shuffle_partitions: int = 8, **conf: str) -> SparkSession:
@@ -28,8 +30,11 @@ def build_session(cores: int | str = "*", shuffle_partitions: int = 8, **conf: s
 
 
 def ship(spark: SparkSession) -> None:
-    """Send this package to the executors, once per application, so that UDF code imports there."""
+    """Send this package to the executors, once per application, so that UDF code imports there, and bound Arrow batches."""
     sc = spark.sparkContext
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(key) == "67108864b":  # Spark's own setting
+        spark.conf.set(key, str(BATCH_BYTES))
     if sc.applicationId in _shipped:
         return
     root = os.path.dirname(os.path.abspath(__file__))
