@@ -44,6 +44,8 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, size: int = SLICE_BYT
             to = max(at + 1, int(np.searchsorted(ends, before + size, side="right")))
             yield batch.slice(at, to - at)
             at = to
+        del batch
+        pa.default_memory_pool().release_unused()
 
 
 def words_of(texts: pa.Array, lower: bool = False) -> tuple[pa.StringArray, np.ndarray]:

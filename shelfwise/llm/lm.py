@@ -46,7 +46,7 @@ SHARD_DOCS = 4_000
 DISCOUNT = (0.5, 0.6, 0.6)
 MIN_COUNT = 2
 #: Tokens per shard of a gram level, and counts that a task gathers before it sends them.
-SHARD_TOKENS, GATHER = 4_000_000, 3_000_000
+SHARD_TOKENS, GATHER = 3_000_000, 2_000_000
 #: Steps per factor of ten of a quantised probability.
 STEPS = 4000
 END_HASH = np.uint64(0x5EED_0F_E4D0_0001)

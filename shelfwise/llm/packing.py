@@ -34,9 +34,9 @@ TOKENIZER = "word_bpe_49k.json"
 MAX_LEN = 2048
 END_ID = 1
 #: Words whose ids a Python worker remembers.
-CACHE_WORDS = 900_000
+CACHE_WORDS = 500_000
 #: Bytes of text that a worker cuts at once; the more, the fewer words are looked up twice.
-TEXT_BYTES = 10 << 20
+TEXT_BYTES = 11 << 20
 
 #: The tokenizer always parts a letter from these marks, so a space may part them before it does.
 _LETTER, _MARK = r"([A-Za-z\x{C0}-\x{D6}\x{D8}-\x{F6}\x{F8}-\x{24F}])", "([.,!?;:])"
@@ -62,8 +62,8 @@ class WordEncoder:
             known = self.known = dict(itertools.islice(known.items(), len(known) // 2, None))
         out = list(map(known.get, words))
         unseen = [i for i, got in enumerate(out) if got is None]
-        for at in range(0, len(unseen), 20_000):
-            part = unseen[at : at + 20_000]
+        for at in range(0, len(unseen), 4_000):
+            part = unseen[at : at + 4_000]
             for i, e in zip(part, self.tokenizer.encode_batch_fast([words[i] for i in part], add_special_tokens=False)):
                 out[i] = known[words[i]] = array("I", e.ids).tobytes()
         return out
