@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from shelfwise.functions import scores, text
 from shelfwise.functions.barcode import normalize_barcode
 from shelfwise.functions.brand import brand_from_name, brand_key, brand_tokens, variant_conflict
-from shelfwise.functions.parse import parse_description, size_band, weight_label, weights_match
-from shelfwise.operators import brands, category, joins, match, report, rows, tfidf, vectors
+from shelfwise.functions.parse import clean_description, parse_description, parse_loose, size_band, weight_label, weights_match
+from shelfwise.operators import adjudicate, brands, category, joins, match, report, rows, tfidf, vectors
 from shelfwise.plans.inputs import CATALOGUE_SQL, CUSTOMERS_SQL, ORDERS_TEXT_SQL, catalogue, customers, orders_text, table
 from shelfwise.session import Scratch
 from shelfwise.sources import ingest
@@ -814,3 +814,203 @@ def feed_priorities(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("c_nationkey") % 4).cast("string").alias("LOAD_FREQUENCY"),
     )
     return ingest.active_feeds(meta).select("SOURCE_TABLE_NAME", "PRIORITY_NO")
+
+
+# ---- further rules --------------------------------------------------------------------
+
+
+@query("exact_text_lookup", f"{WITH}, i AS (SELECT {NORM.format(c='material_name')} AS t, max(src_id) AS hit_id FROM cat GROUP BY 1) SELECT row_id, hit_id FROM cust JOIN i ON {NORM.format(c='cust.material_name')} = t")
+def exact_text_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return joins.exact_text_lookup(customers(spark, sf_dir), catalogue(spark, sf_dir), "material_name", "material_name", "src_id").select("row_id", "hit_id")
+
+
+@query(
+    "reference_lookup",
+    f"""{LINK}, r AS (SELECT c.row_id, c.source_customer, p_type AS category, c.brand, CASE WHEN length(d) >= 6 THEN d END AS k FROM
+  (SELECT *, regexp_replace(regexp_replace(CASE WHEN barcode <> 'nan' THEN barcode END, '\\.0$', ''), '\\D', '', 'g') AS d FROM c) c JOIN part ON row_id = p_partkey),
+o AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY CASE WHEN source_customer = 'CUST_B' THEN 0 ELSE 1 END, row_id) AS n FROM r WHERE k IS NOT NULL)
+SELECT src_id, o.category AS ref_category, o.brand AS ref_brand FROM cat LEFT JOIN o ON o.k = '0' || cat.barcode AND n = 1""",
+)
+def reference_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    part = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("row_id"), F.col("p_type").alias("category"))
+    reference = customers(spark, sf_dir).join(part, "row_id")
+    items = catalogue(spark, sf_dir).select("src_id", F.concat(F.lit("0"), "barcode").alias("barcode"))
+    return joins.reference_lookup(items, reference, "CUST_B").select("src_id", "ref_category", "ref_brand")
+
+
+@query("brand_guess", f"{WITH} SELECT row_id, upper(brand) AS brand, 'exact' AS how FROM cust WHERE row_id % 4 <> 0")
+def brand_guess(spark: SparkSession, sf_dir: str) -> DataFrame:
+    known = catalogue(spark, sf_dir).select("brand").distinct()
+    return brands.guess_by_rule(customers(spark, sf_dir).where("row_id % 4 <> 0"), known, "row_id", "material_name")
+
+
+@query(
+    "two_stage_intersection",
+    """WITH c AS (SELECT l_partkey AS our_id, l_suppkey AS cust_id, max(l_quantity * 2) AS s FROM lineitem GROUP BY 1, 2), d AS (SELECT l_partkey AS our_id, l_suppkey AS cust_id, max(l_tax * 1000 + 20) AS s FROM lineitem GROUP BY 1, 2),
+f AS (SELECT * FROM c WHERE s >= 85), g AS (SELECT * FROM d WHERE s >= 85 AND our_id IN (SELECT our_id FROM f) AND cust_id IN (SELECT cust_id FROM f))
+SELECT our_id, cust_id, f.s AS cat_score, round(g.s, 6) AS desc_score, round(least(f.s, g.s), 6) AS score FROM f JOIN g USING (our_id, cust_id)""",
+)
+def two_stage_intersection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pair = table(spark, sf_dir, "lineitem").groupBy(F.col("l_partkey").alias("our_id"), F.col("l_suppkey").alias("cust_id"))
+    c, d = pair.agg(F.max(F.col("l_quantity") * 2).alias("score")), pair.agg(F.max(F.col("l_tax") * 1000 + 20).alias("score"))
+    out = match.two_stage(c, d, 85.0, 85.0)
+    return out.withColumns({x: F.round(x, 6) for x in ("desc_score", "score")})
+
+
+@query(
+    "adjudication_gates",
+    """SELECT event_id, CASE WHEN s >= 75 AND s < 90 AND v = 'yes' THEN greatest(s, c) WHEN s >= 75 AND s < 90 AND v = 'no' THEN 0.0 ELSE s END AS score,
+  CASE WHEN s >= 75 AND s < 90 AND v = 'no' THEN 'rejected' WHEN s >= 75 AND s < 90 AND v = 'yes' THEN 'confirmed' ELSE 'kept' END AS decision,
+  CASE WHEN s >= 80 AND user_id % 2 = 0 THEN 'ACCEPT' ELSE 'ESCALATE' END AS route, v = 'yes' AND user_id % 2 = 0 AND c >= 60 AS stands
+FROM (SELECT event_id, user_id, (event_id % 101)::DOUBLE AS s, CASE WHEN event_type = 'click' THEN 'yes' WHEN event_type = 'view' THEN 'no' ELSE 'unsure' END AS v, (event_id % 97)::DOUBLE AS c FROM events)""",
+)
+def adjudication_gates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = table(spark, sf_dir, "events").select(
+        "event_id",
+        "user_id",
+        (F.col("event_id") % 101).cast("double").alias("s"),
+        F.when(F.col("event_type") == "click", "yes").when(F.col("event_type") == "view", "no").otherwise("unsure").alias("v"),
+        (F.col("event_id") % 97).cast("double").alias("c"),
+    )
+    even = F.col("user_id") % 2 == 0
+    score, decision = match.adjudicate(F.col("s"), F.col("v"), F.col("c"))
+    picked = F.when(F.col("v") == "yes", F.col("event_id"))
+    return e.select("event_id", score.alias("score"), decision.alias("decision"), match.accept_or_escalate(F.col("s"), even).alias("route"), match.veto(picked, F.lit(True), even, F.col("c")).alias("stands"))
+
+
+@query(
+    "weight_rank_selection",
+    f"""{PARSED}, x AS (SELECT c.id AS row_id, s.id AS src_id, CASE WHEN s.weight = c.weight THEN 0 ELSE 3 END AS wpri, CASE WHEN c.pack <> '' AND c.pack = s.pack THEN 0 ELSE 1 END AS pk, (s.id % 10)::DOUBLE AS score
+  FROM banded c JOIN banded s ON c.side = 'c' AND s.side = 's' AND upper(c.brand) = s.brand AND c.id % 50 = s.id % 50),
+r AS (SELECT *, row_number() OVER (PARTITION BY row_id ORDER BY wpri, pk, score DESC, src_id) AS k FROM x) SELECT row_id, src_id, wpri, score FROM r WHERE k = 1""",
+)
+def weight_rank_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def side(df: DataFrame, i: str, p: str) -> DataFrame:
+        parsed = parse_description(F.col("material_name"))
+        return df.select(i, F.upper("brand").alias("brand"), (F.col(i) % 50).alias("slot"), parsed["weight"].alias(f"{p}_weight"), parsed["pack"].alias(f"{p}_pack"))
+
+    pairs = side(customers(spark, sf_dir), "row_id", "c").join(side(catalogue(spark, sf_dir), "src_id", "s"), ["brand", "slot"])
+    best = match.select_by_weight(pairs.withColumn("score", (F.col("src_id") % 10).cast("double")))
+    return best.select("row_id", "src_id", "wpri", "score")
+
+
+@query(
+    "barcode_review",
+    f"""{PARSED} SELECT c.id AS row_id, CASE WHEN least(c.weight, s.weight) / greatest(c.weight, s.weight) < 0.98 THEN 'REVIEW' ELSE 'MATCHED' END AS status,
+  CASE WHEN least(c.weight, s.weight) / greatest(c.weight, s.weight) < 0.98 THEN 60 ELSE 100 END AS confidence, CASE WHEN c.id % 100 >= 85 THEN 'High' ELSE 'Medium' END AS band
+FROM banded c JOIN banded s ON c.id = s.id AND c.side = 'c' AND s.side = 's'""",
+)
+def barcode_review(spark: SparkSession, sf_dir: str) -> DataFrame:
+    w = lambda df, i, name: df.select(F.col(i).alias("row_id"), parse_description(F.col("material_name"))["weight"].alias(name))
+    both = w(customers(spark, sf_dir), "row_id", "cw").join(w(catalogue(spark, sf_dir), "src_id", "sw"), "row_id")
+    status, confidence = match.review_conflict(weights_match(F.col("cw"), F.col("sw")), F.lit("Exact"))
+    return both.select("row_id", status.alias("status"), confidence.alias("confidence"), match.confidence_band(F.col("row_id") % 100).alias("band"))
+
+
+@query("name_levels", """SELECT p_partkey, CASE WHEN p_size % 2 = 0 AND p_partkey % 3 = 0 THEN 'Name+Weight+Pack' WHEN p_size % 2 = 0 THEN 'Name+Weight' END AS level FROM part""")
+def name_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "part").select("p_partkey", match.level_label(F.col("p_size") % 2 == 0, F.col("p_partkey") % 3 == 0).alias("level"))
+
+
+@query(
+    "alias_dictionary",
+    f"""{WITH}, a AS (SELECT upper(brand) AS src_brand, source_customer AS cust_brand, row_id, (row_id % 25 + 75)::DOUBLE AS score FROM cust)
+SELECT src_brand, arg_min(cust_brand, row_id) AS cust_brand, arg_min(score, row_id) AS score FROM a GROUP BY 1""",
+)
+def alias_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows_ = customers(spark, sf_dir).select(F.upper("brand").alias("src_brand"), F.col("source_customer").alias("cust_brand"), "row_id", (F.col("row_id") % 25 + 75).cast("double").alias("score"))
+    return match.alias_dictionary(rows_)
+
+
+@query(
+    "review_flags",
+    """SELECT c_custkey, c_mktsegment = 'MACHINERY' OR c_nationkey % 5 = 0 OR c_acctbal <= 0 OR c_custkey % 11 = 0 AS review FROM customer""",
+)
+def review_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = table(spark, sf_dir, "customer")
+    kind = F.when(F.col("c_mktsegment") == "MACHINERY", "UNKNOWN").otherwise(F.col("c_mktsegment"))
+    brand = F.when(F.col("c_nationkey") % 5 != 0, F.col("c_name"))
+    return c.select("c_custkey", category.needs_review(kind, brand, F.col("c_acctbal") > 0, F.col("c_custkey") % 11 == 0).alias("review"))
+
+
+@query(
+    "tea_labels",
+    """WITH l AS (SELECT doc_id, CASE doc_id % 6 WHEN 0 THEN 'F6_Green Tea' WHEN 1 THEN 'IH  Black tea (bags)' WHEN 2 THEN 'Herbal_Tea & Infusion' WHEN 3 THEN 'Tea bag' WHEN 4 THEN 'Coffee' ELSE 'Tea' END AS label FROM documents)
+SELECT doc_id, CASE doc_id % 6 WHEN 0 THEN 'GREEN TEA' WHEN 1 THEN 'BLACK TEA BAG' WHEN 2 THEN 'SPECIALITY TEA' WHEN 3 THEN 'TEA BAG' END AS category,
+  CASE doc_id % 6 WHEN 0 THEN 'Green Tea' WHEN 1 THEN 'Black tea bags' WHEN 2 THEN 'Herbal Tea and Infusion' ELSE label END AS clean FROM l""",
+)
+def tea_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    names = ["F6_Green Tea", "IH  Black tea (bags)", "Herbal_Tea & Infusion", "Tea bag", "Coffee", "Tea"]
+    label = F.element_at(F.array(*[F.lit(n) for n in names]), (F.col("doc_id") % 6 + 1).cast("int"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", label.alias("label"))
+    return docs.select("doc_id", category.tea_category(F.col("label")).alias("category"), text.label_text(F.col("label")).alias("clean"))
+
+
+@query(
+    "column_projection",
+    """SELECT c_name AS name, CASE WHEN c_custkey % 3 = 0 THEN 1.0 WHEN c_custkey % 3 = 1 THEN 0.0 ELSE c_custkey::DOUBLE END AS flag, NULL::VARCHAR AS absent, 'QAR' AS currency FROM customer""",
+)
+def column_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mark = F.when(F.col("c_custkey") % 3 == 0, "Yes").when(F.col("c_custkey") % 3 == 1, "false").otherwise(F.col("c_custkey").cast("string"))
+    return ingest.project(table(spark, sf_dir, "customer").withColumn("Mark", mark), {"name": "C_NAME", "flag": "mark", "absent": "nope"}, {"currency": "QAR"}, ["flag"])
+
+
+@query("safe_numbers", """SELECT event_id, CASE WHEN event_id % 3 = 0 THEN value WHEN event_id % 3 = 1 THEN 0.0 ELSE -1.0 END AS n FROM events""")
+def safe_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = table(spark, sf_dir, "events")
+    raw = F.when(F.col("event_id") % 3 == 0, F.col("value").cast("string")).when(F.col("event_id") % 3 == 1, "True").otherwise("-1")
+    return e.select("event_id", text.safe_float(raw).alias("n"))
+
+
+@query(
+    "hint_texts",
+    """SELECT c_custkey, concat_ws(' | ', c_name, CASE WHEN c_custkey % 2 = 0 THEN trim(c_mktsegment) END) AS hint, CASE WHEN c_custkey % 2 = 0 THEN c_mktsegment ELSE c_name END AS filled FROM customer""",
+)
+def hint_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    segment = F.when(F.col("c_custkey") % 2 == 0, F.col("c_mktsegment")).otherwise(" NaN ")
+    return table(spark, sf_dir, "customer").select("c_custkey", text.hint_text(F.col("c_name"), segment).alias("hint"), text.first_filled(segment, F.col("c_name")).alias("filled"))
+
+
+@query("retail_texts")
+def retail_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m = F.col("material_name")
+    return customers(spark, sf_dir).select("row_id", text.retail_text(m).alias("retail"), text.normalize_name(m).alias("name"))
+
+
+@query("loose_parses")
+def loose_parses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m = F.col("material_name")
+    out = customers(spark, sf_dir).select("row_id", *[parse_loose(clean_description(m), mode).alias(mode) for mode in ("last", "packed", "bounded")])
+    return out.select("row_id", *[F.col(f"{a}.{b}").alias(f"{a}_{b}") for a in ("last", "packed", "bounded") for b in ("name", "pack", "weight")])
+
+
+@query("embedded_names")
+def embedded_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vector rescue: hashed-gram neighbours of customer names among catalogue names, reranked by the rules."""
+    cust, cat = _prepared(spark, sf_dir)
+    scratch = Scratch(spark, "embedded")
+    cust, cat = scratch.table(cust, "customers"), scratch.table(cat, "catalogue")
+    embedder = vectors.HashedGrams(64)
+    names = lambda df: scratch.table(df.select("name").distinct().withColumn("id", F.abs(F.xxhash64("name"))), f"names-{df.columns[0]}")
+    a, b = names(cust), names(cat)
+    near = vectors.knn(vectors.embed(a, "name", embedder), vectors.embed(b, "name", embedder), 3, "id", "id")
+    pairs = near.join(a.select(F.col("id").alias("query_id"), F.col("name").alias("qn")), "query_id").join(b.select(F.col("id").alias("item_id"), F.col("name").alias("n2")), "item_id")
+    found = cust.select("row_id", F.col("name").alias("qn")).join(pairs, "qn").join(cat.select("src_id", F.col("name").alias("n2")), "n2").select("row_id", "src_id", "similarity")
+    ranked = match.rerank(match._pairs(found.select("row_id", "src_id"), cust, cat).join(found, ["row_id", "src_id"]), 5)
+    return ranked.select("row_id", "rank", "src_id", F.round("score", 4).alias("score"), "brand_ok", match.accept_or_escalate(F.col("score"), F.col("brand_ok")).alias("route"))
+
+
+@query("judged_pairs")
+def judged_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return adjudicate.ask(_name_pairs(spark, sf_dir), adjudicate.RuleJudge(), ["a", "b"]).select("row_id", "verdict", "confidence", "error")
+
+
+@query("truncated_brands")
+def truncated_brands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    part = table(spark, sf_dir, "part")
+    full = F.concat(F.lit("AL "), F.upper(F.regexp_replace("p_name", " ", "")))
+    source = part.select(
+        F.col("p_partkey").alias("row_id"), F.when(F.col("p_partkey") % 5 == 0, "AL").otherwise(full).alias("brand"), F.concat(full, F.lit(" 500G")).alias("material_name"), F.lit("X").alias("source_customer")
+    )
+    mapping = source.select("brand").distinct().withColumn("standardized_brand", F.col("brand"))
+    return brands.resolve_truncated(source, mapping, "material_name", ["AL"]).select("row_id", "brand", "standardized_brand")
