@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import os
+import shutil
 import tempfile
 import uuid
 import zipfile
@@ -59,10 +62,20 @@ class Scratch:
     def __init__(self, spark: SparkSession, label: str):
         self.spark = spark
         base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-        if not base:
-            base = f"file://{tempfile.gettempdir()}/shelfwise-shared"
+        if not base:  # no cluster named one: a folder of this process, gone when it ends
+            folder = tempfile.mkdtemp(prefix="shelfwise-shared-")
+            atexit.register(shutil.rmtree, folder, ignore_errors=True)
+            base = f"file://{folder}"
             spark.conf.set("spark.checkpoint.dir", base)
-        self.uri = f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+        where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}")
+        #: With its scheme, so that code outside Spark finds the same file system.
+        self.uri = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(where).toString()
+        atexit.register(self._leave)
+
+    def _leave(self) -> None:
+        """Delete the folder when the driver ends, if its session still runs."""
+        with contextlib.suppress(Exception):
+            self.drop()
 
     def path(self, name: str) -> str:
         return f"{self.uri}/{name}"
