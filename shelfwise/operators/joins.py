@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfwise.functions.barcode import normalize_barcode
@@ -90,14 +90,21 @@ def exact_text_lookup(left: DataFrame, right: DataFrame, left_text: str, right_t
     return left.withColumn("_t", normalize(F.col(left_text))).join(index, "_t").drop("_t")
 
 
-def band_candidates(customers: DataFrame, catalogue: DataFrame, wildcards_only: bool = True) -> DataFrame:
+def _with(column: str) -> Column:
+    """The kind and another column as one text; null if either is."""
+    return F.concat(F.col("kind"), F.lit("\x1f"), F.col(column).cast("string"))
+
+
+def band_candidates(customers: DataFrame, catalogue: DataFrame, wildcards_only: bool = True, also: str | None = None) -> DataFrame:
     """(row_id, src_id): same kind and a size band at most one apart, plus catalogue rows without a band.
 
     Customers: row_id, kind, band; catalogue: src_id, kind, band.  A customer asks for up
     to five keys; the join is an equi-join on (kind, band) with stand-ins for null.
     ``wildcards_only``: customers without a band meet only catalogue rows without one;
-    otherwise all rows of their kind.
+    otherwise all rows of their kind.  ``also``: a column that both sides must share too.
     """
+    if also is not None:
+        return band_candidates(customers.withColumn("kind", _with(also)), catalogue.withColumn("kind", _with(also)), wildcards_only)
     kind, no_kind, no_band = F.coalesce("kind", F.lit("-")), F.lit("-"), F.lit(-9999)
     key = lambda k, b: F.struct(k.alias("k"), b.cast("int").alias("b"))
     near = F.when(F.col("band").isNotNull(), F.array(*[key(kind, F.col("band") + d) for d in (-1, 0, 1)])).otherwise(F.array().cast("array<struct<k:string,b:int>>"))
@@ -112,10 +119,22 @@ def band_candidates(customers: DataFrame, catalogue: DataFrame, wildcards_only:
 
 
 def token_candidates(customers: DataFrame, catalogue: DataFrame, least: int = 1) -> DataFrame:
-    """(row_id, src_id, n_shared): rows that share at least ``least`` tokens; both sides hold a ``tokens`` array."""
-    a = customers.select("row_id", F.explode("tokens").alias("token"))
-    b = catalogue.select("src_id", F.explode("tokens").alias("token"))
-    return a.join(b, "token").groupBy("row_id", "src_id").agg(F.count("*").alias("n_shared")).where(F.col("n_shared") >= least)
+    """(row_id, src_id, n_shared): rows that share at least ``least`` tokens; both sides hold a ``tokens`` array.
+
+    Rows that share so many tokens share one of their rarest size - least + 1; only those
+    are joined, and the pairs are then counted on the whole arrays.
+    """
+    seen = catalogue.select(F.explode("tokens").alias("token")).groupBy("token").agg(F.count("*").alias("df"))
+
+    def rarest(df: DataFrame, key: str) -> DataFrame:
+        each = df.select(key, F.explode("tokens").alias("token")).join(seen, "token")
+        order = Window.partitionBy(key).orderBy("df", "token")
+        ranked = each.withColumns({"k": F.row_number().over(order), "n": F.count("*").over(Window.partitionBy(key))})
+        return ranked.where(F.col("k") <= F.col("n") - (least - 1)).select(key, "token")
+
+    pairs = rarest(customers, "row_id").join(rarest(catalogue, "src_id"), "token").select("row_id", "src_id").distinct()
+    whole = pairs.join(customers.select("row_id", F.col("tokens").alias("a")), "row_id").join(catalogue.select("src_id", F.col("tokens").alias("b")), "src_id")
+    return whole.select("row_id", "src_id", F.size(F.array_intersect("a", "b")).cast("long").alias("n_shared")).where(F.col("n_shared") >= least)
 
 
 def with_fallback(pairs: DataFrame, narrower: DataFrame) -> DataFrame:
@@ -125,10 +144,12 @@ def with_fallback(pairs: DataFrame, narrower: DataFrame) -> DataFrame:
     return both.unionByName(rest)
 
 
-def category_candidates(customers: DataFrame, catalogue: DataFrame, customer_category: str, catalogue_category: str) -> DataFrame:
-    """(row_id, src_id): equal normalised categories."""
-    a = customers.select("row_id", normalize(F.col(customer_category)).alias("c")).where("c <> ''")
-    b = catalogue.select("src_id", normalize(F.col(catalogue_category)).alias("c")).where("c <> ''")
+def category_candidates(customers: DataFrame, catalogue: DataFrame, customer_category: str, catalogue_category: str, also: tuple[str, str] | None = None) -> DataFrame:
+    """(row_id, src_id): equal normalised categories, and equal normalised values of a further pair of columns if named."""
+    second = also or (None, None)
+    key = lambda c, x: F.concat_ws("\x1f", normalize(F.col(c)), normalize(F.col(x)) if x else F.lit("")).alias("c")
+    a = customers.where(normalize(F.col(customer_category)) != "").select("row_id", key(customer_category, second[0]))
+    b = catalogue.where(normalize(F.col(catalogue_category)) != "").select("src_id", key(catalogue_category, second[1]))
     return a.join(b, "c").drop("c")
 
 

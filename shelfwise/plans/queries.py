@@ -152,13 +152,15 @@ def parse_descriptions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "size_band_block",
-    f"""{PARSED} SELECT DISTINCT c.id AS row_id, s.id AS src_id FROM banded c JOIN banded s ON c.side = 'c' AND s.side = 's' AND c.kind = s.kind AND s.band BETWEEN c.band - 1 AND c.band + 1
-WHERE c.id % 20 = 1""".replace("WHERE c.id % 20 = 1", ""),
+    f"""{PARSED} SELECT DISTINCT c.id AS row_id, s.id AS src_id FROM banded c JOIN banded s ON c.side = 'c' AND s.side = 's' AND c.kind = s.kind AND s.band BETWEEN c.band - 1 AND c.band + 1 AND upper(c.brand) = upper(s.brand)""",
 )
 def size_band_block(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cust = match.prepare(customers(spark, sf_dir), "row_id")
-    cat = match.prepare(catalogue(spark, sf_dir), "src_id")
-    return joins.band_candidates(cust, cat)
+    def side(df: DataFrame, key: str) -> DataFrame:
+        parsed = df.select(key, F.upper("brand").alias("maker"), parse_description(F.col("material_name")).alias("p"))
+        return parsed.select(key, "maker", "p.kind", size_band(F.col("p.weight")).alias("band"))
+
+    cust, cat = side(customers(spark, sf_dir), "row_id"), side(catalogue(spark, sf_dir), "src_id")
+    return joins.band_candidates(cust, cat, also="maker")
 
 
 @query(
@@ -174,14 +176,11 @@ def weights_and_packs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return both.select("row_id", weights_match(F.col("cw"), F.col("sw")).alias("weight_ok"), weight_label(F.col("sw"), F.col("cw")).alias("label"))
 
 
-@query(
-    "brand_gate",
-    f"""{WITH} SELECT row_id, EXISTS (SELECT 1 FROM cat WHERE src_id % 3 = 0 AND
-  (cat.brand = upper(cust.brand) OR starts_with(cat.brand, left(upper(cust.brand), 5)))) AS passes FROM cust""",
-)
+@query("brand_gate", f"{WITH} SELECT row_id, row_id % 3 <> 0 AS passes FROM cust")
 def brand_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cust = customers(spark, sf_dir).withColumn("brands", brand_tokens(F.col("brand")))
-    cat = catalogue(spark, sf_dir).where("src_id % 3 = 0").withColumn("brands", brand_tokens(F.col("brand")))
+    strange = F.when(F.col("row_id") % 3 == 0, "Zed").otherwise(F.col("brand"))
+    cust = customers(spark, sf_dir).withColumn("brands", brand_tokens(strange))
+    cat = catalogue(spark, sf_dir).withColumn("brands", brand_tokens(F.col("brand")))
     ok, barred = joins.brand_gate(cust, cat)
     return ok.select("row_id", F.lit(True).alias("passes")).unionByName(barred.select("row_id", F.lit(False).alias("passes")))
 
@@ -189,25 +188,21 @@ def brand_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "token_block",
     f"""{WITH},
-b AS (SELECT DISTINCT src_id, unnest(regexp_extract_all(material_name, '[A-Z]{{3,}}')) AS token FROM cat WHERE category = 'PROMO'),
-a AS (SELECT DISTINCT row_id, unnest(regexp_extract_all(upper(material_name), '[A-Z]{{3,}}')) AS token FROM cust)
+b AS (SELECT DISTINCT src_id, unnest(regexp_extract_all(material_name, '[A-Z0-9]{{4,}}')) AS token FROM cat),
+a AS (SELECT DISTINCT row_id, unnest(regexp_extract_all(upper(material_name), '[A-Z0-9]{{4,}}')) AS token FROM cust)
 SELECT row_id, src_id, count(*) AS n_shared FROM a JOIN b USING (token) GROUP BY row_id, src_id HAVING count(*) >= 3""",
 )
 def token_block(spark: SparkSession, sf_dir: str) -> DataFrame:
-    words = lambda c: F.array_distinct(F.regexp_extract_all(F.upper(c), F.lit("([A-Z]{3,})"), 1)).alias("tokens")
+    words = lambda c: F.array_distinct(F.regexp_extract_all(F.upper(c), F.lit("([A-Z0-9]{4,})"), 1)).alias("tokens")
     cust = customers(spark, sf_dir).select("row_id", words(F.col("material_name")))
-    cat = catalogue(spark, sf_dir).where("category = 'PROMO'").select("src_id", words(F.col("material_name")))
+    cat = catalogue(spark, sf_dir).select("src_id", words(F.col("material_name")))
     return joins.token_candidates(cust, cat, 3)
 
 
-@query(
-    "category_block",
-    f"""{WITH} SELECT row_id, src_id FROM cust JOIN part ON row_id = p_partkey JOIN cat ON lower(p_type) = lower(cat.category) AND replace(p_brand, '#', '') = 'Brand3' AND cat.brand = 'BRAND3'""",
-)
+@query("category_block", f"{WITH} SELECT row_id, src_id FROM cust JOIN part ON row_id = p_partkey JOIN cat ON lower(p_type) = lower(cat.category) AND lower(cust.brand) = lower(cat.brand)")
 def category_block(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("row_id"), "p_type")
-    cust = customers(spark, sf_dir).where("brand = 'Brand3'").join(part, "row_id")
-    return joins.category_candidates(cust, catalogue(spark, sf_dir).where("brand = 'BRAND3'"), "p_type", "category")
+    return joins.category_candidates(customers(spark, sf_dir).join(part, "row_id"), catalogue(spark, sf_dir), "p_type", "category", ("brand", "brand"))
 
 
 # ---- scores ---------------------------------------------------------------------------
@@ -312,15 +307,15 @@ def tfidf_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _neighbours(spark: SparkSession, sf_dir: str, k: int) -> DataFrame:
-    """Of vectors whose id is divisible by 50, the k nearest among the others' rows of another id."""
+    """Of vectors whose id is divisible by 50, the k nearest of all rows of another id."""
     every = table(spark, sf_dir, "embeddings")
     asked = every.where("vec_id % 50 = 0").select(F.col("vec_id").alias("query_id"), "embedding")
-    items = every.where("vec_id % 50 <> 0").select(F.col("vec_id").alias("item_id"), "embedding")
-    return vectors.knn(asked, items, k)
+    found = vectors.knn(asked, every.select(F.col("vec_id").alias("item_id"), "embedding"), k + 1).drop("rank")
+    return rows.top_k(found.where("query_id <> item_id"), ["query_id"], [F.col("similarity").desc(), F.col("item_id")], k)
 
 
 KNN = """WITH u AS (SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings WHERE len(embedding) > 0),
-d AS (SELECT q.vec_id AS query_id, i.vec_id AS item_id, i.label AS label, round(list_cosine_similarity(q.v, i.v), 9) AS similarity FROM u q JOIN u i ON q.vec_id % 50 = 0 AND i.vec_id % 50 <> 0),
+d AS (SELECT q.vec_id AS query_id, i.vec_id AS item_id, i.label AS label, round(list_cosine_similarity(q.v, i.v), 9) AS similarity FROM u q JOIN u i ON q.vec_id % 50 = 0 AND i.vec_id <> q.vec_id),
 r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY similarity DESC, item_id) AS rank FROM d),
 n5 AS (SELECT * FROM r WHERE rank <= 5)"""
 
@@ -645,14 +640,14 @@ def keyword_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", category.keyword_category(F.col("text"), F.col("lang"), F.col("source"), rules).alias("category"))
 
 
-PROFILE = """WITH t AS (SELECT p_partkey, p_type, unnest(regexp_extract_all(upper(p_name || ' ' || p_brand), '[A-Z0-9]+')) AS word FROM part),
+PROFILE = """WITH t AS (SELECT p_partkey, p_type, p_size, unnest(regexp_extract_all(upper(p_name || ' ' || p_brand), '[A-Z0-9]+')) AS word FROM part),
 k AS (SELECT DISTINCT * FROM t WHERE word NOT IN ('OLD') AND NOT regexp_full_match(word, '[0-9]+[A-Z]{0,4}')),
-n AS (SELECT word, p_type AS category, count(*) AS n FROM k WHERE p_partkey % 3 = 0 GROUP BY 1, 2), s AS (SELECT word, 1.0 / count(*) AS weight FROM n GROUP BY 1)"""
+n AS (SELECT word, p_type AS category, count(*) AS n FROM k WHERE p_size >= 10 GROUP BY 1, 2), s AS (SELECT word, 1.0 / count(*) AS weight FROM n GROUP BY 1)"""
 
 
 @query("category_profiles", f"{PROFILE} SELECT word, category, n, round(weight, 6) AS weight FROM n JOIN s USING (word)")
 def category_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    trusted = table(spark, sf_dir, "part").where("p_partkey % 3 = 0").withColumn("t", F.concat_ws(" ", "p_name", "p_brand"))
+    trusted = table(spark, sf_dir, "part").where("p_size >= 10").withColumn("t", F.concat_ws(" ", "p_name", "p_brand"))
     return category.category_profiles(trusted, "t", "p_type", ["OLD"]).withColumn("weight", F.round("weight", 6))
 
 
@@ -664,7 +659,7 @@ SELECT row_id, category, score, round(score - coalesce(nxt, 0), 6) AS margin FRO
 )
 def category_profile_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = table(spark, sf_dir, "part").withColumn("t", F.concat_ws(" ", "p_name", "p_brand"))
-    profiles = category.category_profiles(part.where("p_partkey % 3 = 0"), "t", "p_type", ["OLD"])
+    profiles = category.category_profiles(part.where("p_size >= 10"), "t", "p_type", ["OLD"])
     best = category.suggest_categories(part, profiles, "p_partkey", F.col("t"), ["OLD"])
     return best.select("row_id", "category", "score", F.round("margin", 6).alias("margin"))
 
@@ -672,7 +667,7 @@ def category_profile_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("category_audit")
 def category_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = table(spark, sf_dir, "part").withColumn("t", F.concat_ws(" ", "p_name", "p_brand"))
-    profiles = category.category_profiles(part.where("p_partkey % 3 = 0"), "t", "p_type", ["OLD"])
+    profiles = category.category_profiles(part.where("p_size >= 10"), "t", "p_type", ["OLD"])
     best = category.suggest_categories(part, profiles, "p_partkey", F.col("t"), ["OLD"], 0.3, 1.0)
     audited = part.select(
         F.col("p_partkey").alias("row_id"),
@@ -692,13 +687,13 @@ def assign_status(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "category_passes",
-    """SELECT p_partkey, CASE WHEN p_partkey % 2 = 0 THEN p_type WHEN p_partkey % 3 = 0 THEN lower(p_type) END AS new_category,
-  CASE WHEN p_partkey % 2 = 0 THEN 'vote' WHEN p_partkey % 3 = 0 THEN 'borrowed' ELSE 'unresolved' END AS match_source FROM part""",
+    """SELECT p_partkey, CASE WHEN p_size < 20 THEN p_type WHEN p_size < 35 THEN lower(p_type) END AS new_category,
+  CASE WHEN p_size < 20 THEN 'vote' WHEN p_size < 35 THEN 'borrowed' ELSE 'unresolved' END AS match_source FROM part""",
 )
 def category_passes(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = table(spark, sf_dir, "part")
-    first = part.where("p_partkey % 2 = 0").select("p_partkey", F.col("p_type").alias("category"))
-    second = part.where("p_partkey % 3 = 0").select("p_partkey", F.lower("p_type").alias("category"))
+    first = part.where("p_size < 20").select("p_partkey", F.col("p_type").alias("category"))
+    second = part.where("p_size < 35").select("p_partkey", F.lower("p_type").alias("category"))
     return category.coalesce_passes(part.select("p_partkey"), [("vote", first), ("borrowed", second)], "p_partkey")
 
 
@@ -722,12 +717,12 @@ def brand_cluster(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("brand_resolution")
 def brand_resolution(spark: SparkSession, sf_dir: str) -> DataFrame:
-    part = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("row_id"), F.upper(F.regexp_replace("p_brand", "#", "")).alias("brand"), F.col("p_name").alias("mgrp"), F.concat_ws(" ", F.regexp_replace("p_brand", "#", ""), "p_name").alias("desc"))
-    confirmed = part.where("row_id % 2 = 0").withColumn("brand_method", F.when(F.col("row_id") % 4 == 0, "barcode").otherwise("rule_exact"))
+    part = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("row_id"), F.upper(F.regexp_replace("p_brand", "#", "")).alias("brand"), F.col("p_name").alias("mgrp"), F.concat_ws(" ", F.regexp_replace("p_brand", "#", ""), "p_name").alias("desc"), "p_size")
+    confirmed = part.where("p_size >= 25").withColumn("brand_method", F.when(F.col("row_id") % 4 == 0, "barcode").otherwise("rule_exact"))
     generic = ["RED", "OLD", "HOT", "SMALL"]
     dictionary = brands.brand_dictionary(confirmed, generic)
     consensus = brands.group_consensus(confirmed, "mgrp", generic, "row_id")
-    return brands.resolve_brands(part.where("row_id % 2 = 1"), dictionary, consensus, generic, "row_id", "mgrp", "desc")
+    return brands.resolve_brands(part.where("p_size < 25"), dictionary, consensus, generic, "row_id", "mgrp", "desc")
 
 
 # ---- cascades -------------------------------------------------------------------------
@@ -767,7 +762,7 @@ def layered_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
 def learned_barcode_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
     cust, cat = _prepared(spark, sf_dir)
     raw = customers(spark, sf_dir).select("row_id", F.col("source_customer").alias("label"), normalize_barcode(F.col("barcode")).alias("bc"))
-    index = joins.barcode_index(catalogue(spark, sf_dir)).where("src_id % 2 = 0")
+    index = joins.barcode_index(catalogue(spark, sf_dir).where("weight >= 25"))
     side = lambda df, i, p: df.select(i, *[F.col(x).alias(f"{p}_{x}") for x in ("weight", "brands")])
     own = raw.withColumn("src_id", F.col("row_id")).join(side(cust, "row_id", "c"), "row_id").join(side(cat, "src_id", "s"), "src_id")
     matches = own.withColumns({"method": F.lit("Fuzzy"), "confidence": (F.col("row_id") % 20 + 80).cast("int")})
@@ -838,10 +833,10 @@ def reference_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joins.reference_lookup(items, reference, "CUST_B").select("src_id", "ref_category", "ref_brand")
 
 
-@query("brand_guess", f"{WITH} SELECT row_id, upper(brand) AS brand, 'exact' AS how FROM cust WHERE row_id % 4 <> 0")
+@query("brand_guess", f"{WITH} SELECT row_id, upper(brand) AS brand, 'exact' AS how FROM cust WHERE starts_with(upper(material_name), upper(brand))")
 def brand_guess(spark: SparkSession, sf_dir: str) -> DataFrame:
     known = catalogue(spark, sf_dir).select("brand").distinct()
-    return brands.guess_by_rule(customers(spark, sf_dir).where("row_id % 4 <> 0"), known, "row_id", "material_name")
+    return brands.guess_by_rule(customers(spark, sf_dir), known, "row_id", "material_name")
 
 
 @query(
