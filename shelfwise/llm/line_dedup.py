@@ -37,7 +37,8 @@ from shelfwise.llm.common import fresh, mix64, slices
 from shelfwise.session import Scratch, ship
 
 MIN_DOCS, MIN_CHARS = 3, 20
-SHARD_BITS = 6
+#: Least number of shards, as a power of two, and keys per shard from which there are more.
+SHARD_BITS, SHARD_KEYS = 6, 500_000
 SEND_BYTES = 8 << 20
 SLOTS = 4
 
@@ -193,6 +194,7 @@ class LineIndex:
         if self.postings is None:
             self.postings = self._store("postings", batch)
             self.counts = self._store("counts", self._count(self.postings))
+            self.bits = max(self.bits, int(np.ceil(np.log2(max(1, self.counts.count()) / SHARD_KEYS))))
             self.filters = self._store("filters", filters_of(self.counts, self.bits))
             return self
         batch = self._store("batch", batch.distinct().join(self.postings, ["doc_id", "h1", "h2"], "left_anti"))
