@@ -34,7 +34,7 @@ TOKENIZER = "word_bpe_49k.json"
 MAX_LEN = 2048
 END_ID = 1
 #: Words whose ids a Python worker remembers.
-CACHE_WORDS = 500_000
+CACHE_WORDS = 800_000
 #: Bytes of text that a worker cuts at once; the more, the fewer words are looked up twice.
 TEXT_BYTES = 11 << 20
 
