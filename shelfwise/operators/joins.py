@@ -112,10 +112,10 @@ def band_candidates(customers: DataFrame, catalogue: DataFrame, wildcards_only:
     left = customers.select("row_id", F.explode(asks).alias("a")).select("row_id", F.col("a.k").alias("k"), F.col("a.b").alias("b"))
     right = catalogue.select("src_id", kind.alias("k"), F.coalesce("band", no_band).cast("int").alias("b"))
     pairs = left.join(right, ["k", "b"]).select("row_id", "src_id")
-    if not wildcards_only:
-        open_rows = customers.where("band is null").select("row_id", kind.alias("k"))
-        pairs = pairs.union(open_rows.join(catalogue.select("src_id", kind.alias("k")), "k").select("row_id", "src_id"))
-    return pairs.distinct()
+    if wildcards_only:
+        return pairs  # a catalogue row has one key, and a customer asks for each key once
+    open_rows = customers.where("band is null").select("row_id", kind.alias("k"))
+    return pairs.union(open_rows.join(catalogue.select("src_id", kind.alias("k")), "k").select("row_id", "src_id")).distinct()
 
 
 def token_candidates(customers: DataFrame, catalogue: DataFrame, least: int = 1) -> DataFrame:

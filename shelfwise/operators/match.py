@@ -80,6 +80,23 @@ def score_names(pairs: DataFrame, scorer: str = "ensemble") -> DataFrame:
     return pairs.join(made, ["c_name", "s_name"])
 
 
+def _best_of(candidates: DataFrame, customers: DataFrame, catalogue: DataFrame, minimum: float, scorer: str, soft: bool) -> DataFrame:
+    """Best candidate per row_id.  Pairs whose weights conflict score 0 whatever else holds, so (but for soft brands) they
+    are dropped before names and brands are looked at; a row left without a score takes its smallest candidate."""
+    light = candidates.join(customers.select("row_id", F.col("weight").alias("cw")), "row_id").join(catalogue.select("src_id", F.col("weight").alias("sw")), "src_id")
+    open_pairs = candidates if soft else light.where(F.coalesce(weights_match(F.col("cw"), F.col("sw")), F.lit(True))).select("row_id", "src_id")
+    scored = score_names(_pairs(open_pairs, customers, catalogue), scorer).withColumn("score", adjust(F.col("score")))
+    best = best_with_brand(scored, minimum, soft)
+    if soft:
+        return best
+    smallest = candidates.groupBy("row_id").agg(F.min("src_id").alias("least"))
+    both = smallest.join(best, "row_id", "left")
+    some = F.coalesce(F.col("score") > 0, F.lit(False))
+    return both.select(
+        "row_id", F.when(some, F.col("src_id")).otherwise(F.col("least")).alias("src_id"), F.coalesce("score", F.lit(0.0)).alias("score"), F.coalesce("reason", F.lit("brand_mismatch")).alias("reason")
+    )
+
+
 def band_blocked(customers: DataFrame, catalogue: DataFrame, minimum: float = MIN_CONFIDENCE, scorer: str = "ensemble", soft: bool = False, rescue: DataFrame | None = None, rescue_all: bool = False) -> DataFrame:
     """One row per prepared customer: row_id, src_id, score, reason, method.
 
@@ -88,9 +105,8 @@ def band_blocked(customers: DataFrame, catalogue: DataFrame, minimum: float = MI
     without candidates (with ``rescue_all`` for all that fuzzy matching failed).
     """
     allowed, barred = joins.brand_gate(customers, catalogue)
-    pairs = _pairs(joins.band_candidates(allowed, catalogue), allowed, catalogue)
-    scored = score_names(pairs, scorer).withColumn("score", adjust(F.col("score")))
-    found = best_with_brand(scored, minimum, soft).withColumn("method", F.lit("Fuzzy"))
+    candidates = joins.band_candidates(allowed, catalogue)
+    found = _best_of(candidates, allowed, catalogue, minimum, scorer, soft).withColumn("method", F.lit("Fuzzy"))
     lost = allowed.select("row_id").join(found.select("row_id"), "row_id", "left_anti")
     if rescue is not None:
         failed = found.where(~F.col("reason").startswith("ok")).select("row_id")
