@@ -13,6 +13,8 @@ from shelfwise.session import Scratch
 
 #: Texts of at least MIN_JUDGED characters whose best cosine is below MIN_COSINE are in no known language; shorter ones cannot be judged so.
 MIN_COSINE, MIN_JUDGED = 0.10, 50
+#: Near copies share 80 of 100 shingles; bands and floor are fitted to that (a pair at 0.80 shares no band with probability 6e-7, the floor is 5.4 standard deviations below).
+NEAR = {"percent": 80, "rows": 5, "bands": 36, "floor": 0.64}
 
 
 def _sized(docs: DataFrame) -> DataFrame:
@@ -34,8 +36,8 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document of each group of near-duplicates, the smallest doc_id."""
-    found = near_dups.near_duplicates(docs)
+    """Keep one document of each group of near-duplicates (0.80 or more of five-word shingles), the smallest doc_id."""
+    found = near_dups.near_duplicates(docs, **NEAR)
     gone = found.where("not kept").select("doc_id").distinct()
     return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
 

@@ -16,7 +16,8 @@
 
 A pair at the threshold s shares no band with probability (1 - s^ROWS)^BANDS: at 0.85
 with 6 rows and 30 bands under 1e-6.  The floor is more than five standard deviations
-below the threshold, so no link is lost to it in practice.
+below the threshold, so no link is lost to it in practice.  ``ROWS``, ``BANDS`` and
+``SIGNATURE_FLOOR`` are fitted to 0.85; a caller with another threshold gives its own.
 
 Cases: null or empty texts have no shingles and stand alone; texts under five words are
 one shingle; rows that share a doc_id are judged each by its own text; rows with a null

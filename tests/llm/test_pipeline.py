@@ -35,6 +35,18 @@ def test_stages_take_effect(spark, tmp_path):
     assert corpus_pipeline.run(spark, f"file://{tmp_path}").select("doc_id").distinct().count() == len(seen["packing"])
 
 
+def test_near_dedup_stage_links_from_80_percent(spark):
+    texts = {}
+    for g in range(40):
+        words, changed = [f"g{g}w{i}" for i in range(200)], 16 + g % 8
+        texts[2 * g] = " ".join(words)
+        texts[2 * g + 1] = " ".join(words[:-changed] + [f"other{i}" for i in range(changed)])
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in texts.items()], SCHEMA)
+    want = {i for i, (_, c) in brute_components(texts, 80).items() if c == i}
+    assert want != {i for i, (_, c) in brute_components(texts, 85).items() if c == i}
+    assert {r.doc_id for r in corpus_pipeline.drop_near_duplicates(spark, docs, "").collect()} == want
+
+
 @pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
 def test_sql_gives_the_same(spark, sf_dir, name):
     con = duckdb.connect()
