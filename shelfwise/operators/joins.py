@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+from collections import Counter
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -9,6 +14,7 @@ from shelfwise.functions.barcode import normalize_barcode
 from shelfwise.functions.brand import brands_overlap
 from shelfwise.functions.text import name_key, normalize
 from shelfwise.operators.rows import keep_first
+from shelfwise.session import ship
 
 
 def equi_after_dedup(left: DataFrame, right: DataFrame, key: Column, name: str = "key") -> DataFrame:
@@ -153,6 +159,33 @@ def category_candidates(customers: DataFrame, catalogue: DataFrame, customer_cat
     return a.join(b, "c").drop("c")
 
 
+def letter_candidates(names: DataFrame, others: DataFrame, least: float, block: int = 512) -> DataFrame:
+    """(c_name, s_name): every pair of ``names`` (c_name) and ``others`` (s_name) whose token-sorted ratio can reach ``least``.
+
+    The longest common subsequence is no longer than what the letters have in common, so no pair
+    that reaches it is lost.  Blocks of names meet blocks of others; give distinct names.
+    """
+    ship(names.sparkSession)
+
+    def blocks(df: DataFrame, name: str) -> DataFrame:
+        n = max(1, -(-df.count() // block))
+        return df.groupBy(F.pmod(F.xxhash64(name), F.lit(n)).alias("_b")).agg(F.collect_list(name).alias(name)).drop("_b")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for left, right in zip(batch.column("c_name").to_pylist(), batch.column("s_name").to_pylist()):
+                a, b = ([Counter(" ".join(sorted(x.split()))) for x in side] for side in (left, right))
+                total = np.add.outer([c.total() for c in a], [c.total() for c in b])
+                common = np.zeros(total.shape)
+                for letter in set().union(*a) & set().union(*b):
+                    common += np.minimum.outer([c[letter] for c in a], [c[letter] for c in b])
+                i, j = np.nonzero((200.0 * common >= least * total - 1e-6) | (total == 0))
+                yield pa.RecordBatch.from_arrays([pa.array(left, pa.string()).take(pa.array(i)), pa.array(right, pa.string()).take(pa.array(j))], ["c_name", "s_name"])
+
+    met = blocks(names, "c_name").crossJoin(F.broadcast(blocks(others, "s_name")))
+    return met.repartition(F.xxhash64("c_name", "s_name")).mapInArrow(compare, "c_name string, s_name string")
+
+
 def guard_full_scan(customers: DataFrame, limit: int = 20_000) -> None:
     """Refuse unblocked comparison of more customer rows than ``limit``."""
     n = customers.limit(limit + 1).count()

@@ -9,12 +9,14 @@ from shelfwise.functions import fixed, scores
 from shelfwise.functions.brand import brand_from_name, brand_tokens, brands_overlap, variant_conflict
 from shelfwise.functions.parse import pack_bonus, parse_description, size_band, weights_match
 from shelfwise.functions.text import name_tokens, tokens
-from shelfwise.operators import joins
+from shelfwise.operators import joins, tfidf, vectors
 from shelfwise.operators.rows import top_k
 from shelfwise.session import Scratch
 
 #: Defaults of the rules.
 MIN_CONFIDENCE, TOLERANCE, LEARN_FROM, BRIDGED = 75.0, 0.02, 89, 97
+#: Layers of the cascade: catalogue rows that a name may choose from, and the least score.
+FUZZY, SPARSE, SEMANTIC = (10, 85.0), (15, 80.0), (15, 80.0)
 
 
 def prepare(df: DataFrame, id_col: str, name: str = "material_name", brand: str = "brand", hierarchy: list[str] | None = None) -> DataFrame:
@@ -211,6 +213,39 @@ def fuzzy_top_k(pairs: DataFrame, scorer: str, k: int, least: float) -> DataFram
     return top_k(scored, ["row_id"], [F.col("score").desc(), F.col("src_id")], k).select("row_id", "src_id", "score", "rank")
 
 
+def three_layers(customers: DataFrame, catalogue: DataFrame, embedder: vectors.Embedder, scratch: Scratch) -> DataFrame:
+    """(row_id, src_id, score, layer) of prepared customers: fuzzy, then TF-IDF, then vectors, each over all catalogue rows.
+
+    A layer takes the k best catalogue rows of a name at its threshold (ties to the smaller
+    src_id), and weight and pack choose among them.  A name with a candidate is matched, so
+    the next layer is asked for the others only.  Customers without a name are not matched.
+    """
+    mine = customers.select("row_id", F.col("name").alias("c_name")).where("c_name <> ''")
+    theirs = scratch.table(catalogue.select("src_id", F.col("name").alias("s_name")).where("s_name <> ''"), "theirs")
+    asked = scratch.table(mine.select("c_name").distinct().withColumn("id", F.monotonically_increasing_id()), "asked")
+    known = scratch.table(theirs.select("s_name").distinct(), "known")
+
+    def best(rows: DataFrame, k: int, name: str) -> DataFrame:
+        top = top_k(rows.select("c_name", "src_id", "score"), ["c_name"], [F.col("score").desc(), F.col("src_id")], k).drop("rank")
+        return scratch.table(top, name)
+
+    def rest(df: DataFrame, found: DataFrame) -> DataFrame:
+        return df.join(found.select("c_name").distinct(), "c_name", "left_anti")
+
+    scored = score_names(joins.letter_candidates(asked.select("c_name"), known, FUZZY[1]), "token_sort").where(F.col("score") >= FUZZY[1])
+    fuzzy = best(scored.join(theirs, "s_name"), FUZZY[0], "fuzzy")
+    left = rest(asked, fuzzy)
+    near = tfidf.top_matches(left, known, "c_name", "s_name", "c_name", "s_name", max(1, known.count()), SPARSE[1] / 100)
+    near = near.select(F.col("query_id").alias("c_name"), F.col("item_id").alias("s_name"), (F.col("similarity") * 100).alias("score"))
+    sparse = best(near.join(theirs, "s_name"), SPARSE[0], "tfidf")
+    left = scratch.table(rest(left, sparse), "left")
+    close = vectors.knn(vectors.embed(left, "c_name", embedder), vectors.embed(theirs, "s_name", embedder), SEMANTIC[0], "id", "src_id")
+    close = close.select(F.col("query_id").alias("id"), F.col("item_id").alias("src_id"), (F.col("similarity") * 100).alias("score")).where(F.col("score") >= SEMANTIC[1])
+    semantic = close.join(left, "id").select("c_name", "src_id", "score")
+    of = lambda found: mine.join(found, "c_name").select("row_id", "src_id", "score")
+    return layered(customers, catalogue, [("fuzzy", of(fuzzy), FUZZY[1]), ("tfidf", of(sparse), SPARSE[1]), ("semantic", of(semantic), SEMANTIC[1])])
+
+
 def sampled_median(pairs: DataFrame, scorer: str, n: int = 80, seed: int = 42) -> float:
     """Upper median of a score over a repeatable sample; used to choose the best pair of columns."""
     picked = pairs.orderBy(F.xxhash64(F.lit(seed), "c_name", "s_name"), "c_name", "s_name").limit(n)

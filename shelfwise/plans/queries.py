@@ -740,22 +740,12 @@ def band_blocked_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     return match.band_blocked(scratch.table(cust, "customers"), scratch.table(cat, "catalogue")).withColumn("score", F.round("score", 6))
 
 
-def _layers(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
-    cust, cat = _prepared(spark, sf_dir)
-    names = lambda df, i: df.select(i, F.col("name").alias("n"))
-    a, b = names(cust, "row_id"), names(cat, "src_id")
-    near = tfidf.top_matches(a.select("n").distinct(), b.select("n").distinct(), "n", "n", "n", "n", 5, 0.3)
-    pairs = near.select(F.col("query_id").alias("c_name"), F.col("item_id").alias("s_name"), "similarity")
-    return cust, cat, pairs, a.join(pairs, a.n == pairs.c_name).join(b.withColumnRenamed("n", "s_name"), "s_name").select("row_id", "src_id", "c_name", "s_name", "similarity")
-
-
 @query("layered_cascade")
 def layered_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cust, cat, _, pairs = _layers(spark, sf_dir)
-    pairs = Scratch(spark, "layers").table(pairs, "pairs")
-    fuzzy = match.fuzzy_top_k(pairs.select("row_id", "src_id", "c_name", "s_name"), "token_sort", 10, 85.0).drop("rank")
-    sparse = pairs.select("row_id", "src_id", (F.col("similarity") * 100).alias("score"))
-    return match.layered(cust, cat, [("fuzzy", fuzzy, 85.0), ("tfidf", sparse, 80.0)]).withColumn("score", F.round("score", 6))
+    cust, cat = _prepared(spark, sf_dir)
+    scratch = Scratch(spark, "layers")
+    found = match.three_layers(scratch.table(cust, "customers"), scratch.table(cat, "catalogue"), vectors.HashedGrams(), scratch)
+    return found.withColumn("score", F.round("score", 6))
 
 
 @query("learned_barcode_fold")
