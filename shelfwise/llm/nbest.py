@@ -12,7 +12,8 @@ spaces, around a run of line feeds and between a letter and such punctuation: it
 segmentations are free combinations of its segments'.  Each distinct segment of the corpus is searched once; results go
 to sorted tables in the shared folder, which tasks memory-map.  A text's N best combine
 segments: a path among the N best leaves its segment's best only in the N - 1 segments
-with the smallest gaps to their second best, so those alone are combined.
+with the smallest gaps to their second best, so those alone are combined.  The tables hold the ids
+of all N paths of a segment, so each of a text's N segmentations is put together in full.
 
 Characters outside the vocabulary are spelled as byte pieces, each at ``BYTE_PENALTY``
 below the lowest piece score.  Ties go to the smaller ids, compared from the end.
@@ -30,6 +31,7 @@ import bisect
 import re
 import string
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -75,6 +77,9 @@ class Pieces:
         #: Every beginning of a piece, with the piece if it is one.
         self.heads: dict[str, tuple[tuple[int, ...], float] | None] = {p[:k]: None for p in self.pieces for k in range(1, len(p) + 1)}
         self.heads |= {p: ((i,), x) for p, (i, x) in self.pieces.items()}
+        spelled = [bytes([self.id_bytes[i]]) if i in self.id_bytes else self.names[i].replace(SPACE, " ").encode() for i in range(n)]
+        #: The bytes that each id stands for, in a row, and where each id's begin.
+        self.spelled, self.spelled_at = np.frombuffer(b"".join(spelled), np.uint8), np.cumsum([0, *map(len, spelled)])
         self.byte_score = min(s for _, s in self.pieces.values()) - BYTE_PENALTY
 
     def lattice(self, text: str) -> list[list[tuple[int, tuple[int, ...], float]]]:
@@ -129,6 +134,14 @@ class Pieces:
         text = self.spell(ids)
         return text[1:] if text.startswith(" ") else text
 
+    def decode_all(self, ids: np.ndarray, cuts: np.ndarray) -> list[bytes]:
+        """The texts (UTF-8) of many texts' ids in a row, text k's from ``cuts[k]`` to ``cuts[k + 1]``."""
+        begin = self.spelled_at[ids]
+        size = self.spelled_at[ids + 1] - begin
+        raw = self.spelled[_ranges(begin, size)].tobytes()
+        at = np.concatenate(([0], np.cumsum(size)))[cuts].tolist()
+        return [raw[a + 1 : b] if raw[a : a + 1] == b" " and a < b else raw[a:b] for a, b in zip(at[:-1], at[1:])]
+
     def spell(self, ids: list[int] | tuple[int, ...]) -> str:
         raw = b"".join(bytes([self.id_bytes[i]]) if i in self.id_bytes else self.names[i].encode() for i in ids)
         return raw.decode("utf-8", "surrogatepass").replace(SPACE, " ")
@@ -167,24 +180,38 @@ def segments_of(texts: pa.Array, pieces: Pieces) -> tuple[pa.Array, np.ndarray]:
     return flat.filter(pa.array(keep)), np.concatenate(([0], np.cumsum(keep)))[offsets]
 
 
-def combine(gaps: list[list[float]], n: int) -> list[float]:
-    """The n smallest sums of one gap from each list (lists begin with 0)."""
-    sums = [0.0]
+def combine_paths(gaps: list[list[float]], n: int) -> list[tuple[float, tuple[int, ...]]]:
+    """The n smallest sums of one gap from each list (lists begin with 0), and which gap each takes of every list."""
+    sums: list[tuple[float, tuple[int, ...]]] = [(0.0, ())]
     for g in gaps:
-        sums = sorted(a + b for a in sums for b in g)[:n]
+        sums = sorted((a + b, (*chosen, k)) for a, chosen in sums for k, b in enumerate(g))[:n]
     return sums
 
 
+def combine(gaps: list[list[float]], n: int) -> list[float]:
+    """The sums of ``combine_paths`` alone."""
+    return [x for x, _ in combine_paths(gaps, n)]
+
+
+def _nearest(gaps: np.ndarray, k: int) -> list[int]:
+    """Places of the k smallest gaps in order of place; of equal ones the first."""
+    if len(gaps) <= k:
+        return list(range(len(gaps)))
+    most = np.partition(gaps, k - 1)[k - 1]
+    below = np.flatnonzero(gaps < most)
+    return sorted([*below.tolist(), *np.flatnonzero(gaps == most)[: k - len(below)].tolist()])
+
+
 class SegmentTable:
     def __init__(self, uri: str, bits: int):
         self.uri, self.bits = uri, bits
 
     def look_up(self, hashes: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Best score, gaps to the next best (columns), whether decoding restores it, number of ids, and all ids in a row."""
+        """Best score, gaps to the next best (columns), number of ids of each path (columns), where they begin, and all ids in a row."""
         order = np.argsort(hashes)
         ordered = hashes[order]
         best, gaps = np.zeros(len(hashes)), np.zeros((len(hashes), n - 1))
-        count, sound, ids = np.zeros(len(hashes), np.int64), np.zeros(len(hashes), bool), []
+        count, ids = np.zeros((len(hashes), n), np.int64), []
         shards = (ordered >> np.uint64(64 - self.bits)).astype(np.int64)
         cuts = [0, *(np.flatnonzero(np.diff(shards)) + 1).tolist(), len(shards)] if len(shards) else [0]
         for a, b in zip(cuts[:-1], cuts[1:]):
@@ -193,15 +220,15 @@ class SegmentTable:
             place, same = EliasFano.of(level, "hash").successor(ordered[a:b] & np.uint64((1 << (64 - self.bits)) - 1))
             if not same.all():
                 raise KeyError("a segment is missing from the table")
-            best[at], gaps[at], sound[at] = level["best"][place], level["gaps"].reshape(-1, n - 1)[place], level["sound"][place] > 0
-            begin, size = level["starts"][place].astype(np.int64), np.diff(level["starts"])[place].astype(np.int64)
-            count[at] = size
-            ids.append(level["ids"][_ranges(begin, size)])
+            best[at], gaps[at] = level["best"][place], level["gaps"].reshape(-1, n - 1)[place]
+            edges = level["starts"][place[:, None] * n + np.arange(n + 1)].astype(np.int64)
+            count[at] = np.diff(edges, axis=1)
+            ids.append(level["ids"][_ranges(edges[:, 0], edges[:, -1] - edges[:, 0])])
         flat = np.concatenate(ids) if ids else np.empty(0, "<u4")
-        sizes = count[order]
-        begins = np.empty(len(hashes), np.int64)
-        begins[order] = np.cumsum(sizes) - sizes
-        return best, gaps, sound, count, flat[_ranges(begins, count)]
+        sizes = count[order].ravel()
+        begins = np.empty((len(hashes), n), np.int64)
+        begins[order] = (np.cumsum(sizes) - sizes).reshape(-1, n)
+        return best, gaps, count, begins, flat
 
 
 def _ranges(begin: np.ndarray, size: np.ndarray) -> np.ndarray:
@@ -228,17 +255,17 @@ def build_table(texts: DataFrame, scratch: Scratch, model_path: str, n: int) ->
         h = group.column("h").to_numpy().view(np.uint64)
         order = np.argsort(h)
         h, words = h[order], group.column("segment").take(pa.array(order)).to_pylist()
-        best, gaps, sound, starts, ids = np.zeros(len(h)), np.full((len(h), n - 1), np.inf), np.zeros(len(h), np.uint8), [0], []
+        best, gaps, starts, ids = np.zeros(len(h)), np.full((len(h), n - 1), np.inf), [0], array("I")
         for k, word in enumerate(words):
             found = pieces.search(word.replace(" ", SPACE), n)
             best[k] = found[0][0]
             gaps[k, : len(found) - 1] = [found[0][0] - f[0] for f in found[1:]]
-            sound[k] = pieces.spell(found[0][1]) == word
-            ids += found[0][1]
-            starts.append(len(ids))
+            for j in range(n):  # the ids of path j of segment k begin at starts[k * n + j]
+                ids.extend(found[j][1] if j < len(found) else ())
+                starts.append(len(ids))
         shard = int(h[0] >> np.uint64(64 - bits))
         arrays = EliasFano.build(h & np.uint64((1 << (64 - bits)) - 1)).arrays("hash")
-        arrays |= {"best": best, "gaps": gaps.ravel(), "sound": sound, "starts": np.asarray(starts, np.uint32), "ids": np.asarray(ids, "<u4")}
+        arrays |= {"best": best, "gaps": gaps.ravel(), "starts": np.asarray(starts, np.uint32), "ids": np.asarray(ids, "<u4")}
         save_arrays(f"{table.uri}/segments-{shard}", arrays)
         return pa.table({"shard": pa.array([shard], pa.int32()), "n": pa.array([len(h)], pa.int64())})
 
@@ -248,10 +275,12 @@ def build_table(texts: DataFrame, scratch: Scratch, model_path: str, n: int) ->
 
 
 def encode_nbest(docs: DataFrame, model_path: str, n: int = N_BEST, with_ids: bool = True) -> DataFrame:
-    """doc_id, ids (of the best segmentation, if asked for), n_pieces, scores (the n best, falling), ids_crc32, round_trip.
+    """doc_id, n_pieces, scores (the n best, falling), ids_crc32, paths_crc32, round_trip; if asked for, ids and paths.
 
-    ``ids_crc32`` is of the ids as little-endian unsigned 32-bit numbers; ``round_trip``
-    tells whether decoding the ids gives the text.
+    ``paths`` holds the ids of the n best segmentations, in the order of ``scores``; ``ids``
+    and ``n_pieces`` are of the best.  ``ids_crc32`` and ``paths_crc32`` are of ids as
+    little-endian unsigned 32-bit numbers; ``round_trip`` tells whether decoding the text's
+    whole list of ids gives the text.
     """
     if n < 2:
         raise ValueError("n must be at least 2")
@@ -265,27 +294,56 @@ def encode_nbest(docs: DataFrame, model_path: str, n: int = N_BEST, with_ids: bo
             flat, starts = segments_of(batch.column("text"), vocabulary(model_path))
             coded = flat.dictionary_encode()
             use = coded.indices.to_numpy()
-            best, gaps, sound, count, ids = table.look_up(cache.of(coded.dictionary.to_pylist()), n)
-            size = count[use]
+            best, gaps, count, begins, ids = table.look_up(cache.of(coded.dictionary.to_pylist()), n)
+            size = count[:, 0][use]
             ends = np.concatenate(([0], np.cumsum(size)))
-            every = ids[_ranges((np.cumsum(count) - count)[use], size)]
-            total = lambda x: np.diff(np.concatenate(([0], np.cumsum(x[use])))[starts])  # noqa: B023, E731
-            tops, faults = total(best), total(~sound)
+            every = ids[_ranges(begins[:, 0][use], size)]
+            tops = np.diff(np.concatenate(([0], np.cumsum(best[use])))[starts])
             first = gaps[:, 0][use]
-            scores, crc = [], []
+            scores, crc, paths = [], [], []
             for d, (a, b) in enumerate(zip(starts[:-1].tolist(), starts[1:].tolist())):
-                near = np.argpartition(first[a:b], n - 2)[: n - 1] if b - a > n - 1 else np.arange(b - a)
-                lists = [[0.0, *(g for g in gaps[use[a + k]].tolist() if g < np.inf)] for k in near.tolist()]
-                top = float(tops[d])
-                scores.append([top - x for x in combine(lists, n)])
-                crc.append(zlib.crc32(every[ends[a] : ends[b]].tobytes()))
+                near = [a + k for k in _nearest(first[a:b], n - 1)]
+                found = combine_paths([[0.0, *(g for g in gaps[use[k]].tolist() if g < np.inf)] for k in near], n)
+                top, whole = float(tops[d]), every[ends[a] : ends[b]].tobytes()
+                scores.append([top - x for x, _ in found])
+                own = []
+                for _, chosen in found:
+                    parts, at = [], 0
+                    for k, j in zip(near, chosen):
+                        if j:
+                            begin, k_at = begins[use[k], j], int(ends[k] - ends[a]) * 4
+                            parts += [whole[at:k_at], ids[begin : begin + count[use[k], j]].tobytes()]
+                            at = int(ends[k + 1] - ends[a]) * 4
+                    own.append(b"".join([*parts, whole[at:]]) if parts else whole)
+                crc.append([zlib.crc32(x) for x in own])
+                if with_ids:
+                    paths.append([np.frombuffer(x, "<u4").astype(np.int32) for x in own])
             cuts = ends[starts]
-            columns = [batch.column("doc_id"), pa.array(np.diff(cuts)), pa.array(scores, pa.list_(pa.float64())), pa.array(crc, pa.int64()), pa.array(faults == 0)]
-            names = ["doc_id", "n_pieces", "scores", "ids_crc32", "round_trip"]
+            texts_ = pc.fill_null(batch.column("text").cast(pa.binary()), b"").to_pylist()
+            whole = [x == y for x, y in zip(vocabulary(model_path).decode_all(every.astype(np.int64), cuts), texts_)]
+            columns = [batch.column("doc_id"), pa.array(np.diff(cuts)), pa.array(scores, pa.list_(pa.float64())), pa.array([c[0] for c in crc], pa.int64()), pa.array(crc, pa.list_(pa.int64())), pa.array(whole, pa.bool_())]
+            names = ["doc_id", "n_pieces", "scores", "ids_crc32", "paths_crc32", "round_trip"]
             if with_ids:
                 columns.append(pa.ListArray.from_arrays(pa.array(cuts.astype(np.int32)), pa.array(every.astype(np.int32))))
-                names.append("ids")
+                columns.append(pa.array(paths, pa.list_(pa.list_(pa.int32()))))
+                names += ["ids", "paths"]
             yield pa.RecordBatch.from_arrays(columns, names)
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return texts.mapInArrow(run, f"doc_id {kind}, n_pieces long, scores array<double>, ids_crc32 long, round_trip boolean" + (", ids array<int>" if with_ids else ""))
+    return texts.mapInArrow(run, f"doc_id {kind}, n_pieces long, scores array<double>, ids_crc32 long, paths_crc32 array<long>, round_trip boolean" + (", ids array<int>, paths array<array<int>>" if with_ids else ""))
+
+
+def decode(encoded: DataFrame, model_path: str, ids: str = "ids") -> DataFrame:
+    """doc_id and the text that its ids (array<int>) stand for; null ids give null."""
+    ship(encoded.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column("ids")
+            cuts = np.concatenate(([0], np.cumsum(np.asarray(pc.fill_null(pc.list_value_length(lists), 0))))).astype(np.int64)
+            made = vocabulary(model_path).decode_all(lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64), cuts)
+            texts = [t.decode("utf-8", "replace") if ok else None for t, ok in zip(made, lists.is_valid().to_pylist())]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(texts, pa.string())], ["doc_id", "text"])
+
+    kind = encoded.schema["doc_id"].dataType.simpleString()
+    return encoded.select("doc_id", F.col(ids).alias("ids")).mapInArrow(run, f"doc_id {kind}, text string")

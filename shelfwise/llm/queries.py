@@ -118,7 +118,7 @@ def op8_nbest(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     out = nbest.encode_nbest(read(spark, sf_dir, "documents"), public_tokenizers.path(nbest.MODEL), with_ids=False)
-    return out.select("doc_id", "n_pieces", "scores", "ids_crc32", "round_trip")
+    return out.select("doc_id", "n_pieces", "scores", "ids_crc32", "paths_crc32", "round_trip")
 
 
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -452,3 +452,21 @@ def test_encode_and_decode(spark):
         if t and len(t) < 60:
             assert r.scores == pytest.approx([s for s, _ in pieces.search(f" {t}".replace(" ", "▁"), 3)])
     assert got[0].scores == [0.0] and nbest.encode_nbest(frame(spark, texts).limit(0), PIECES).count() == 0
+
+
+def test_all_n_segmentations_are_given(spark):
+    texts = [*ODD[:5], "the  cat, sat.\nOn  it", "same same same", "日本 \x01 x", "word " * 300]
+    pieces = nbest.vocabulary(PIECES)
+    scores = {i: s for i, s in pieces.pieces.values()}
+    encoded = nbest.encode_nbest(frame(spark, texts), PIECES, 4).cache()
+    for r in encoded.collect():
+        text = texts[r.doc_id] or ""
+        assert len(r.paths) == len(r.scores) == len({tuple(p) for p in r.paths}) and r.paths[0] == r.ids
+        assert r.paths_crc32 == [zlib.crc32(np.asarray(p, "<u4").tobytes()) for p in r.paths] and r.paths_crc32[0] == r.ids_crc32
+        for path, score in zip(r.paths, r.scores):
+            assert pieces.decode(path) == text
+            assert sum(scores.get(i, pieces.byte_score) for i in path) == pytest.approx(score)
+    for k in range(4):
+        nth = encoded.where(F.size("paths") > k).withColumn("path", F.col("paths")[k])
+        back = {r.doc_id: r.text for r in nbest.decode(nth, PIECES, "path").collect()}
+        assert back == {i: texts[i] or "" for i in back} and len(back) >= (len(texts) if k == 0 else 3)
