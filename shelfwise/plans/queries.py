@@ -870,15 +870,25 @@ def adjudication_gates(spark: SparkSession, sf_dir: str) -> DataFrame:
 r AS (SELECT *, row_number() OVER (PARTITION BY row_id ORDER BY wpri, pk, score DESC, src_id) AS k FROM x) SELECT row_id, src_id, wpri, score FROM r WHERE k = 1""",
 )
 def weight_rank_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _best_by_weight(spark, sf_dir, ["brand", "slot"])
+
+
+def _best_by_weight(spark: SparkSession, sf_dir: str, on: list[str]) -> DataFrame:
     def side(df: DataFrame, i: str, p: str) -> DataFrame:
         parsed = parse_description(F.col("material_name"))
         return df.select(i, F.upper("brand").alias("brand"), (F.col(i) % 50).alias("slot"), parsed["weight"].alias(f"{p}_weight"), parsed["pack"].alias(f"{p}_pack"))
 
-    pairs = side(customers(spark, sf_dir), "row_id", "c").join(side(catalogue(spark, sf_dir), "src_id", "s"), ["brand", "slot"])
+    pairs = side(customers(spark, sf_dir), "row_id", "c").join(side(catalogue(spark, sf_dir), "src_id", "s"), on)
     best = match.select_by_weight(pairs.withColumn("score", (F.col("src_id") % 10).cast("double")))
     return best.select("row_id", "src_id", "wpri", "score")
 
 
+@query("weight_rank_whole")
+def weight_rank_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rule A8 over all candidates of a brand; ``weight_rank_selection`` and its SQL rank those of equal id modulo 50."""
+    return _best_by_weight(spark, sf_dir, ["brand"])
+
+
 @query(
     "barcode_review",
     f"""{PARSED} SELECT c.id AS row_id, CASE WHEN least(c.weight, s.weight) / greatest(c.weight, s.weight) < 0.98 THEN 'REVIEW' ELSE 'MATCHED' END AS status,
