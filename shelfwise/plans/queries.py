@@ -155,12 +155,21 @@ def parse_descriptions(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"""{PARSED} SELECT DISTINCT c.id AS row_id, s.id AS src_id FROM banded c JOIN banded s ON c.side = 'c' AND s.side = 's' AND c.kind = s.kind AND s.band BETWEEN c.band - 1 AND c.band + 1 AND upper(c.brand) = upper(s.brand)""",
 )
 def size_band_block(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return joins.band_candidates(*_banded(spark, sf_dir), also="maker")
+
+
+def _banded(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     def side(df: DataFrame, key: str) -> DataFrame:
         parsed = df.select(key, F.upper("brand").alias("maker"), parse_description(F.col("material_name")).alias("p"))
         return parsed.select(key, "maker", "p.kind", size_band(F.col("p.weight")).alias("band"))
 
-    cust, cat = side(customers(spark, sf_dir), "row_id"), side(catalogue(spark, sf_dir), "src_id")
-    return joins.band_candidates(cust, cat, also="maker")
+    return side(customers(spark, sf_dir), "row_id"), side(catalogue(spark, sf_dir), "src_id")
+
+
+@query("size_band_whole")
+def size_band_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rule J9: kind and band alone; ``size_band_block`` and its SQL ask for the brand too."""
+    return joins.band_candidates(*_banded(spark, sf_dir))
 
 
 @query(
@@ -193,16 +202,34 @@ a AS (SELECT DISTINCT row_id, unnest(regexp_extract_all(upper(material_name), '[
 SELECT row_id, src_id, count(*) AS n_shared FROM a JOIN b USING (token) GROUP BY row_id, src_id HAVING count(*) >= 3""",
 )
 def token_block(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return joins.token_candidates(*_worded(spark, sf_dir), 3)
+
+
+def _worded(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     words = lambda c: F.array_distinct(F.regexp_extract_all(F.upper(c), F.lit("([A-Z0-9]{4,})"), 1)).alias("tokens")
-    cust = customers(spark, sf_dir).select("row_id", words(F.col("material_name")))
-    cat = catalogue(spark, sf_dir).select("src_id", words(F.col("material_name")))
-    return joins.token_candidates(cust, cat, 3)
+    return customers(spark, sf_dir).select("row_id", words(F.col("material_name"))), catalogue(spark, sf_dir).select("src_id", words(F.col("material_name")))
+
+
+@query("token_whole")
+def token_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rule J10: one shared token is enough; ``token_block`` and its SQL ask for three."""
+    return joins.token_candidates(*_worded(spark, sf_dir))
 
 
 @query("category_block", f"{WITH} SELECT row_id, src_id FROM cust JOIN part ON row_id = p_partkey JOIN cat ON lower(p_type) = lower(cat.category) AND lower(cust.brand) = lower(cat.brand)")
 def category_block(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return joins.category_candidates(*_categorised(spark, sf_dir), "p_type", "category", ("brand", "brand"))
+
+
+def _categorised(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     part = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("row_id"), "p_type")
-    return joins.category_candidates(customers(spark, sf_dir).join(part, "row_id"), catalogue(spark, sf_dir), "p_type", "category", ("brand", "brand"))
+    return customers(spark, sf_dir).join(part, "row_id"), catalogue(spark, sf_dir)
+
+
+@query("category_whole")
+def category_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rule J11: equal category alone; ``category_block`` and its SQL ask for the brand too."""
+    return joins.category_candidates(*_categorised(spark, sf_dir), "p_type", "category")
 
 
 # ---- scores ---------------------------------------------------------------------------
