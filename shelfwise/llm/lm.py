@@ -399,11 +399,11 @@ def _build_words(uri: str, bits: int) -> Callable[[pa.Table], pa.Table]:
     return build
 
 
-def _build_grams(trie: Trie, order: int, shards: int, discount: float) -> Callable[[pa.Table], pa.Table]:
+def _build_grams(trie: Trie, order: int, shards: int, discount: float, least: int = MIN_COUNT) -> Callable[[pa.Table], pa.Table]:
     def build(table: pa.Table) -> pa.Table:
         shard, keys, counts = _merged(table)
         seen = len(keys)
-        keep = counts >= MIN_COUNT
+        keep = counts >= least
         keys, counts = keys[keep], counts[keep]
         edges = shard_edges(trie.info[f"contexts{order}"], shards)
         first, last = int(edges[shard]), int(edges[shard + 1])
@@ -438,7 +438,7 @@ def _with_context(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.nda
     return raw, np.roll(raw, 1) if len(raw) else raw, starts
 
 
-def train(texts: DataFrame, scratch: Scratch, max_order: int = 3) -> tuple[Trie, DataFrame]:
+def train(texts: DataFrame, scratch: Scratch, max_order: int = 3, least: int = MIN_COUNT) -> tuple[Trie, DataFrame]:
     """Build the levels from the rows of ``texts`` (doc_id, text, learn) with ``learn``; also returns all rows' word ids (doc_id, learn, ids)."""
     spark = texts.sparkSession
     ship(spark)
@@ -488,7 +488,7 @@ def train(texts: DataFrame, scratch: Scratch, max_order: int = 3) -> tuple[Trie,
             for batch in slices(batches, "ids"):
                 ids, before, starts = _with_context(batch)
                 if order == 2:
-                    often = trie.word_counts(ids) >= MIN_COUNT
+                    often = trie.word_counts(ids) >= least
                     ok = often & np.roll(often, 1)
                     context = before
                 else:
@@ -500,7 +500,7 @@ def train(texts: DataFrame, scratch: Scratch, max_order: int = 3) -> tuple[Trie,
             yield from gather.flush()
 
         grams = numbered.where("learn").select("ids").mapInArrow(count, BLOBS)
-        built = {r.shard: r for r in grams.groupBy("shard").applyInArrow(_build_grams(trie, order, shards, DISCOUNT[order - 1]), BUILT).collect()}
+        built = {r.shard: r for r in grams.groupBy("shard").applyInArrow(_build_grams(trie, order, shards, DISCOUNT[order - 1], least), BUILT).collect()}
         sizes = [built[s].n if s in built else 0 for s in range(shards)]
         info[f"starts{order}"] = [0, *np.cumsum(sizes).tolist()]
         contexts = sum(sizes)
@@ -541,9 +541,9 @@ def score(trie: Trie, numbered: DataFrame) -> DataFrame:
     return numbered.mapInArrow(run, "doc_id long, learn boolean, n_tokens long, n_known long, base_score double, score double")
 
 
-def train_and_score(docs: DataFrame, learn: F.Column, max_order: int = 3) -> DataFrame:
-    """Score every row of ``docs`` with a model of those where ``learn`` holds; train_tokens is the number of tokens learned from."""
+def train_and_score(docs: DataFrame, learn: F.Column, max_order: int = 3, least: int = MIN_COUNT) -> DataFrame:
+    """Score every row of ``docs`` with a model of those where ``learn`` holds and of its grams seen ``least`` times; train_tokens is the number of tokens learned from."""
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), learn.alias("learn"))
     scratch = Scratch(docs.sparkSession, "lm")
-    trie, numbered = train(texts, scratch, max_order)
+    trie, numbered = train(texts, scratch, max_order, least)
     return score(trie, numbered).withColumn("train_tokens", F.lit(trie.info["N"]).cast("long"))

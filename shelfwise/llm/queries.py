@@ -13,7 +13,7 @@ from shelfwise.llm.common import fold, read
 
 def op1_ngram_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     held = F.coalesce(fold("doc_id", 5) == 1, F.lit(False))
-    out = lm.train_and_score(read(spark, sf_dir, "documents"), ~held)
+    out = lm.train_and_score(read(spark, sf_dir, "documents"), ~held, least=1)
     return out.select("doc_id", (~F.col("learn")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 

@@ -470,3 +470,33 @@ def test_all_n_segmentations_are_given(spark):
         nth = encoded.where(F.size("paths") > k).withColumn("path", F.col("paths")[k])
         back = {r.doc_id: r.text for r in nbest.decode(nth, PIECES, "path").collect()}
         assert back == {i: texts[i] or "" for i in back} and len(back) >= (len(texts) if k == 0 else 3)
+
+
+def test_grams_seen_once_are_kept_if_asked(spark):
+    rng = np.random.default_rng(1)
+    texts = dict(enumerate(" ".join(rng.choice([f"v{i}" for i in range(15)], 20)) for _ in range(12)))
+    docs = frame(spark, list(texts.values()))
+    got = {r.doc_id: r for r in lm.train_and_score(docs, F.col("doc_id") % 3 != 0, least=1).collect()}
+    seqs = {i: ["end", *t.split(), "end"] for i, t in texts.items()}
+    c1, c2, c3 = Counter(), Counter(), Counter()
+    for i, s in seqs.items():
+        if i % 3:
+            c1.update(s[1:])
+            c2.update(zip(s, s[1:]))
+            c3.update(zip(s, s[1:], s[2:]))
+    n, v, once = sum(c1.values()), len(c1), 0
+    for i, s in seqs.items():
+        score = 0.0
+        for j in range(1, len(s)):
+            p = (c1[s[j]] - 0.5 if c1[s[j]] else 0.5 * v) / n
+            for counts, below, k, d in ((c2, {(w,): x for w, x in c1.items()}, 1, 0.6), (c3, c2, 2, lm.DISCOUNT[2])):
+                context, gram = tuple(s[max(0, j - k) : j]), tuple(s[max(0, j - k) : j + 1])
+                if len(context) == k and context in below:
+                    rest = 1 - sum((x - d) / below[context] for g, x in counts.items() if g[:-1] == context)
+                    p = (max(counts.get(gram, 0) - d, 0) / below[context]) + max(rest, 1e-16) * p
+                    once += counts.get(gram, 0) == 1
+            score += math.log10(min(p, 1))
+        assert got[i].score == pytest.approx(score, rel=2e-3), i
+    assert once
+    pruned = {r.doc_id: r.score for r in lm.train_and_score(docs, F.col("doc_id") % 3 != 0).collect()}
+    assert all(abs(pruned[i] - got[i].score) > 0.01 * abs(got[i].score) for i in texts if i % 3)
