@@ -6,9 +6,12 @@ A text bundles (sums) the vectors of its trigrams; word ends count as a letter.
 language's prototype bundles the texts known to be in it.  The prediction is the
 prototype with the largest cosine, and the score that cosine, cut to 0..1.
 
-Only sums of integer vectors, one per language and dimension, reach the driver.
+Only sums of integer vectors, one per language and dimension, reach the driver.  Trigrams
+are counted sparsely and their vectors made for ``CHUNK`` of them at once, so neither very
+long texts nor many letters need much memory.
 
-Cases: null texts and texts without letters are ``und`` with score 0; ties go to the
+Cases: texts beyond ``PIECE`` characters are bundled in pieces, cut at spaces, which changes
+nothing (a stretch without any is cut where it must be); null texts and texts without letters are ``und`` with score 0; ties go to the
 smallest language name; if nothing can be learned every text is ``und``; rows without a
 language teach nothing; empty tables give empty results; further columns are not looked
 at by ``predict``.
@@ -28,7 +31,9 @@ from shelfwise.session import ship
 
 DIMS = 1024
 SEED = 7
-BATCH_BYTES = 1 << 20
+BATCH_BYTES, ROWS = 1 << 20, 2_000
+#: Characters of text whose trigrams are worked out at once, trigrams that have a vector at once, counts held at once, letters remembered.
+PIECE, CHUNK, CELLS, LETTERS_HELD = 1 << 20, 8192, 1 << 23, 20_000
 
 _alpha: list[np.ndarray] = []
 
@@ -50,27 +55,31 @@ class Encoder:
             self.vectors[code] = got
         return got
 
-    def counts(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-        """Trigram counts of each text (a row each), and the trigrams' vectors."""
-        lowered = [" " + (t or "").lower() + " " for t in texts]
+    def letters(self, codes: np.ndarray) -> np.ndarray:
+        if len(self.vectors) > LETTERS_HELD:
+            self.vectors.clear()
+        return np.stack([self.letter(int(c)) for c in codes])
+
+    def add(self, pieces: list[str], owners: np.ndarray, out: np.ndarray) -> None:
+        """Add the trigrams of each piece of text to its owner's row of ``out``."""
+        lowered = [" " + p.lower() + " " for p in pieces]
         sizes = np.fromiter(map(len, lowered), np.int64, len(lowered))
         codes = np.frombuffer("".join(lowered).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int32)
-        owner = np.repeat(np.arange(len(lowered), dtype=np.int32), sizes)
+        piece = np.repeat(np.arange(len(lowered), dtype=np.int32), sizes)
         codes = np.where(_letters()[codes], codes, 0)
         keep = np.ones(len(codes), bool)
-        keep[1:] = (codes[1:] != 0) | (codes[:-1] != 0) | (owner[1:] != owner[:-1])
-        codes, owner = codes[keep], owner[keep]
+        keep[1:] = (codes[1:] != 0) | (codes[:-1] != 0) | (piece[1:] != piece[:-1])
+        codes, piece = codes[keep], piece[keep]
         seen = np.zeros(0x110000, bool)
         seen[codes] = True
         alphabet = np.flatnonzero(seen)
         place = np.zeros(0x110000, np.int64)
         place[alphabet] = np.arange(len(alphabet))
         s, size = place[codes], len(alphabet)
-        if len(s) < 3:
-            return np.zeros((len(texts), 0), np.float32), np.zeros((0, self.dims), np.float32)
-        whole = (owner[2:] == owner[:-2]) & (codes[1:-1] != 0)
+        whole = (piece[2:] == piece[:-2]) & (codes[1:-1] != 0)
         grams = ((s[:-2] * size + s[1:-1]) * size + s[2:])[whole]
-        owner = owner[:-2][whole]
+        if not len(grams):
+            return
         if size**3 <= 1 << 22:
             met = np.flatnonzero(np.bincount(grams, minlength=size**3))
             code = np.zeros(size**3, np.int64)
@@ -78,14 +87,49 @@ class Encoder:
             code = code[grams]
         else:
             met, code = np.unique(grams, return_inverse=True)
-        table = np.bincount(owner.astype(np.int64) * len(met) + code, minlength=len(texts) * len(met)).reshape(len(texts), len(met)).astype(np.float32)
-        base = np.stack([self.letter(int(c)) for c in alphabet])
-        first, second = np.roll(base, 2, axis=1), np.roll(base, 1, axis=1)
-        return table, first[met // (size * size)] * second[met // size % size] * base[met % size]
-
-    def bundle(self, texts: list[str | None]) -> np.ndarray:
-        table, vectors = self.counts(texts)
-        return table @ vectors
+        rows, owner = np.unique(owners, return_inverse=True)
+        owner = owner[piece[:-2][whole]].astype(np.int64)
+        width = max(256, min(CHUNK, CELLS // len(rows)))
+        if len(met) > width:
+            order = np.argsort(code, kind="stable")
+            code, owner = code[order], owner[order]
+        for lo in range(0, len(met), width):
+            here = met[lo : lo + width]
+            a, b = np.searchsorted(code, [lo, lo + len(here)]) if len(met) > width else (0, len(code))
+            table = np.bincount(owner[a:b] * len(here) + code[a:b] - lo, minlength=len(rows) * len(here)).reshape(len(rows), len(here)).astype(np.float32)
+            used, at = np.unique(np.stack([here // (size * size), here // size % size, here % size]), return_inverse=True)
+            base, at = self.letters(alphabet[used]), at.reshape(3, -1)
+            vectors = np.roll(base, 2, axis=1)[at[0]]
+            vectors *= np.roll(base, 1, axis=1)[at[1]]
+            vectors *= base[at[2]]
+            out[rows] += table @ vectors
+
+    def bundle(self, texts: list[str | None], owners: np.ndarray | None = None, n: int | None = None) -> np.ndarray:
+        """The sums of the texts' trigram vectors, a row for each text (or for each of ``n`` owners)."""
+        owners = np.arange(len(texts)) if owners is None else owners
+        out, held, whose, size = np.zeros((len(texts) if n is None else n, self.dims)), [], [], 0
+        for text, owner in zip(texts, owners.tolist()):
+            for piece in pieces_of(text or ""):
+                held.append(piece)
+                whose.append(owner)
+                size += len(piece)
+                if size >= PIECE:
+                    self.add(held, np.asarray(whose), out)
+                    held, whose, size = [], [], 0
+        if held:
+            self.add(held, np.asarray(whose), out)
+        return out
+
+
+def pieces_of(text: str) -> Iterator[str]:
+    """``text`` in pieces of at most PIECE characters, cut at white space where there is some."""
+    at = 0
+    while len(text) - at > PIECE:
+        to = text.rfind(" ", at + 1, at + PIECE)
+        to = to if to > 0 else at + PIECE
+        yield text[at:to]
+        at = to
+    yield text[at:] if at else text
 
 
 def prototypes(docs: DataFrame, dims: int = DIMS, seed: int = SEED) -> dict[str, np.ndarray]:
@@ -95,10 +139,8 @@ def prototypes(docs: DataFrame, dims: int = DIMS, seed: int = SEED) -> dict[str,
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, sums = Encoder(dims, seed), {}
         for batch in slices(batches, "text", BATCH_BYTES):
-            langs = np.asarray(batch.column("lang").to_pylist(), object)
-            table, vectors = enc.counts(batch.column("text").to_pylist())
-            for lang in sorted(set(langs)):
-                total = table[langs == lang].sum(axis=0, dtype=np.float64) @ vectors.astype(np.float64)
+            langs, owners = np.unique(np.asarray(batch.column("lang").to_pylist(), object), return_inverse=True)
+            for lang, total in zip(langs, enc.bundle(batch.column("text").to_pylist(), owners, len(langs))):
                 sums[lang] = sums.get(lang, 0) + np.rint(total).astype(np.int64)
         if sums:
             yield pa.RecordBatch.from_arrays([pa.array(list(sums)), pa.array(list(sums.values()), pa.list_(pa.int64()))], ["lang", "total"])
@@ -122,7 +164,7 @@ def predict(docs: DataFrame, known: dict[str, np.ndarray], dims: int = DIMS, see
 
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = Encoder(dims, seed)
-        for batch in slices(batches, names[place], BATCH_BYTES):
+        for batch in (part.slice(at, ROWS) for part in slices(batches, names[place], BATCH_BYTES) for at in range(0, part.num_rows, ROWS)):
             made = enc.bundle(batch.column(place).to_pylist())
             pred, score = ["und"] * batch.num_rows, np.zeros(batch.num_rows)
             if matrix is not None:
