@@ -8,10 +8,9 @@
 ``insert`` asks the filters first: only keys that may be known are joined with the exact
 counts, the rest are new.  ``delete`` takes a document's references back; a key whose
 count falls to zero leaves its filter.  Inserting and deleting the same documents
-restores counts and answers.  ``apply`` drops lines; a second set of cuckoo filters, of
-the keys frequent enough to lose lines, is sent to the tasks while it is small
-(``SEND_BYTES``) so that few postings reach the exact join; beyond that size the join
-takes all postings.
+restores counts and answers.  ``apply`` drops lines: each shard's keys that are frequent
+enough to lose lines have a cuckoo filter of their own, which the shard's postings ask
+before the exact table.
 
 Keys: the line without ``[\\x20\\x09-\\x0D]`` at both ends, A-Z lower-cased.  Keys of at
 least ``min_chars`` code points found in at least ``min_docs`` documents lose their lines
@@ -39,7 +38,8 @@ from shelfwise.session import Scratch, ship
 MIN_DOCS, MIN_CHARS = 3, 20
 #: Least number of shards, as a power of two, and keys per shard from which there are more.
 SHARD_BITS, SHARD_KEYS = 6, 500_000
-SEND_BYTES = 8 << 20
+#: Postings of a shard from which there are more salts.
+SALT_ROWS = 1_000_000
 SLOTS = 4
 
 
@@ -161,10 +161,17 @@ class LineIndex:
     def __init__(self, spark: SparkSession, min_docs: int = MIN_DOCS, min_chars: int = MIN_CHARS, shard_bits: int = SHARD_BITS):
         ship(spark)
         self.spark, self.min_docs, self.min_chars, self.bits = spark, min_docs, min_chars, shard_bits
-        self.scratch, self.version = Scratch(spark, "lines"), 0
+        self.scratch, self.version, self.salt_rows = Scratch(spark, "lines"), 0, SALT_ROWS
         self.postings: DataFrame | None = None
         self.counts: DataFrame | None = None
-        self.filters: DataFrame | None = None
+        self._filters: DataFrame | None = None
+
+    @property
+    def filters(self) -> DataFrame:
+        """The cuckoo filters of the live keys, built when a second batch or a deletion first needs them."""
+        if self._filters is None:
+            self._filters = self._store("filters", filters_of(self.counts, self.bits))
+        return self._filters
 
     def _store(self, name: str, df: DataFrame) -> DataFrame:
         return self.scratch.table(df, f"{name}-{self.version}")
@@ -195,7 +202,6 @@ class LineIndex:
             self.postings = self._store("postings", batch)
             self.counts = self._store("counts", self._count(self.postings))
             self.bits = max(self.bits, int(np.ceil(np.log2(max(1, self.counts.count()) / SHARD_KEYS))))
-            self.filters = self._store("filters", filters_of(self.counts, self.bits))
             return self
         batch = self._store("batch", batch.distinct().join(self.postings, ["doc_id", "h1", "h2"], "left_anti"))
         added = self._store("added", self._maybe_known(self._count(batch)))
@@ -205,7 +211,7 @@ class LineIndex:
         asked = asked.select("h1", "h2", (F.col("n_docs") + F.coalesce("o_n", F.lit(0))).alias("n_docs"), F.greatest("top", "o_top").alias("top"), "o_n")
         kept = self.counts.join(added.where("known"), ["h1", "h2"], "left_anti")
         fresh_keys = sure.select("h1", "h2").union(asked.where("o_n is null").select("h1", "h2"))
-        self.filters = self._store("filters", self._grown(fresh_keys))
+        self._filters = self._store("filters-grown", self._grown(fresh_keys))
         self.counts = self._store("counts", kept.union(sure).union(asked.drop("o_n")))
         self.postings = self._store("postings", self.postings.union(batch))
         return self
@@ -244,7 +250,7 @@ class LineIndex:
             return pa.table({"shard": right.column("shard"), "slots": pa.array([held.slots], pa.binary())})
 
         grouped = dead.groupBy("shard").cogroup(self.filters.groupBy("shard"))
-        self.filters = self._store("filters", grouped.applyInArrow(shrink, "shard int, slots binary"))
+        self._filters = self._store("filters-shrunk", grouped.applyInArrow(shrink, "shard int, slots binary"))
         self.counts = self._store("counts", self.counts.join(touched, ["h1", "h2"], "left_anti").unionByName(again))
         self.postings = left
         return self
@@ -253,26 +259,48 @@ class LineIndex:
         return self.counts.where(F.col("n_docs") >= self.min_docs).select("h1", "h2", "top")
 
     def losses(self) -> DataFrame:
-        """(doc_id, drop): the keys whose lines a document loses."""
-        frequent = self._store("frequent", self.frequent())
-        rows = self.postings
-        if 2 * SLOTS * frequent.count() <= SEND_BYTES:
-            bits = self.bits
-            held = {r.shard: bytes(r.slots) for r in filters_of(frequent, bits).collect()}
-
-            def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-                filters = {s: CuckooFilter(slots=raw) for s, raw in held.items()}
-                for batch in batches:
-                    h1, h2 = (batch.column(c).to_numpy() for c in ("h1", "h2"))
-                    shards, hit = (h1.view(np.uint64) >> np.uint64(64 - bits)).astype(np.int64), np.zeros(len(h1), bool)
-                    for s in np.unique(shards).tolist():
-                        if s in filters:
-                            here = np.flatnonzero(shards == s)
-                            hit[here] = filters[s].contains(h1[here], h2[here])
-                    yield batch.filter(pa.array(hit))
-
-            rows = rows.mapInArrow(ask, "doc_id long, h1 long, h2 long")
-        lost = rows.join(frequent, ["h1", "h2"]).where("doc_id <> top")
+        """(doc_id, drop): the keys whose lines a document loses.
+
+        Every shard's frequent keys become a packet: a cuckoo filter and, behind it, the
+        exact keys with their largest doc_id.  Postings meet their shard's packet, ask
+        the filter, and only those that it lets through are looked up exactly.  A shard
+        with many postings is dealt over several salts, so a hot line fills no task.
+        """
+        bits, most = self.bits, self.salt_rows
+        frequent = self._store("frequent", self.frequent().withColumn("shard", shard_of(bits)))
+        load = self.counts.groupBy(shard_of(bits).alias("shard")).agg(F.ceil(F.sum("n_docs") / most).cast("int").alias("salts"))
+        load = self._store("load", load.join(frequent.select("shard").distinct(), "shard"))
+
+        def pack(table: pa.Table) -> pa.Table:
+            h1, h2, top = (table.column(c).to_numpy() for c in ("h1", "h2", "top"))
+            order = np.lexsort((h2, h1))
+            blobs = [build_filter(h1, h2).slots, *(x[order].tobytes() for x in (h1, h2, top))]
+            return pa.table({"shard": table.column("shard").slice(0, 1), **{c: pa.array([b], pa.binary()) for c, b in zip(("slots", "k1", "k2", "tops"), blobs)}})
+
+        packets = frequent.groupBy("shard").applyInArrow(pack, "shard int, slots binary, k1 binary, k2 binary, tops binary")
+        packets = packets.join(load, "shard").withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1))).drop("salts")
+        dealt = self.postings.withColumn("shard", shard_of(bits)).join(load, "shard").withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.col("salts")).cast("int")).drop("salts")
+
+        def ask(left: pa.Table, right: pa.Table) -> pa.Table:
+            if not left.num_rows or not right.num_rows:
+                return left.select(["doc_id", "h1", "h2"]).slice(0, 0)
+            blob = lambda c: right.column(c)[0].as_buffer()
+            h1, h2 = (left.column(c).to_numpy() for c in ("h1", "h2"))
+            maybe = np.flatnonzero(CuckooFilter(slots=blob("slots")).contains(h1, h2))
+            left, h1, h2 = left.select(["doc_id", "h1", "h2"]).take(pa.array(maybe)), h1[maybe], h2[maybe]
+            k1, k2, tops = (np.frombuffer(blob(c), np.int64) for c in ("k1", "k2", "tops"))
+            at, end = np.searchsorted(k1, h1), len(k1) - 1
+            while len(at):  # keys that share h1 stand side by side
+                here = np.minimum(at, end)
+                more = (k1[here] == h1) & (k2[here] < h2) & (at < end)
+                if not more.any():
+                    break
+                at = at + more
+            at = np.minimum(at, end)
+            lost = (k1[at] == h1) & (k2[at] == h2) & (tops[at] != left.column("doc_id").to_numpy())
+            return left.filter(pa.array(lost))
+
+        lost = dealt.groupBy("shard", "salt").cogroup(packets.groupBy("shard", "salt")).applyInArrow(ask, "doc_id long, h1 long, h2 long")
         return lost.groupBy("doc_id").agg(F.collect_set(F.struct("h1", "h2")).alias("drop"))
 
     def apply(self, docs: DataFrame) -> DataFrame:

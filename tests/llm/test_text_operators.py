@@ -173,7 +173,9 @@ def digest(df):
     return {r.doc_id: (r.n_lines, r.n_dropped, r.h) for r in df.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("h")).collect()}
 
 
-def test_lines_equal_brute_force(spark):
+@pytest.mark.parametrize("salt_rows", [line_dedup.SALT_ROWS, 2])
+def test_lines_equal_brute_force(spark, monkeypatch, salt_rows):
+    monkeypatch.setattr(line_dedup, "SALT_ROWS", salt_rows)
     texts = line_texts()
     docs = frame(spark, texts).repartition(4)
     out = line_dedup.dedup_lines(docs)
