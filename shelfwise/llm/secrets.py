@@ -6,7 +6,8 @@ The entropy kind looks at candidate strings of at least ``window`` characters.
 character class a window slides over every run of that class; counts are updated for the
 character that leaves and the one that enters, so a step costs O(1).  Windows at or over
 the class's threshold that mix letters and digits are merged into spans.  Spans that
-touch a base span or whose candidate matches the allow-list are suppressed.
+touch a base span or that hold a match of the allow-list are suppressed; the rest of the
+candidate is not.
 
 Offsets are code points, end exclusive.
 
@@ -41,7 +42,13 @@ CLASSES = ((re.compile(r"[0-9A-Fa-f]{20,}"), 3.2), (re.compile(r"[A-Za-z0-9]{20,
 ALLOW = (r"(?i)example|sample|placeholder|changeme|dummy", r"(.)\1{5,}", r"(?i)0123456|1234567|abcdefg")
 UUID = re.compile(r"[0-9A-Fa-f]{8}-(?:[0-9A-Fa-f]{4}-){3}[0-9A-Fa-f]{12}")
 
-_clog = [0.0] + [c * math.log2(c) for c in range(1, 257)]
+_clog = [0.0, 0.0]
+
+
+def _counts_logs(window: int) -> list[float]:
+    """c * log2(c) for the counts that a window can hold."""
+    _clog.extend(c * math.log2(c) for c in range(len(_clog), window + 2))
+    return _clog
 
 
 def base_spans(text: str) -> list[tuple[int, int, str]]:
@@ -62,18 +69,18 @@ def random_windows(run: str, threshold: float, window: int = WINDOW) -> list[tup
         return []
     counts: dict[str, int] = {}
     total, digits, letters, found = 0.0, 0, 0, []
-    most, full = math.log2(window), len(run)
+    most, full, logs = math.log2(window), len(run), _counts_logs(window)
     for i, c in enumerate(run):
         n = counts.get(c, 0)
         counts[c] = n + 1
-        total += _clog[n + 1] - _clog[n]
+        total += logs[n + 1] - logs[n]
         digits += c.isdigit()
         letters += c.isalpha()
         if i >= window:
             c = run[i - window]
             n = counts[c]
             counts[c] = n - 1
-            total += _clog[n - 1] - _clog[n]
+            total += logs[n - 1] - logs[n]
             digits -= c.isdigit()
             letters -= c.isalpha()
         if window - 1 <= i < full and digits >= 2 and letters and most - total / window >= threshold:
@@ -93,7 +100,7 @@ class Scanner:
         out = []
         for m in CANDIDATE.finditer(text):
             word = m[0]
-            if not any("0" <= c <= "9" for c in word) or any(a.search(word) for a in self.allow) or UUID.fullmatch(word):
+            if not any("0" <= c <= "9" for c in word) or UUID.fullmatch(word):
                 continue
             spans = []
             for kind, threshold in CLASSES:
@@ -105,7 +112,7 @@ class Scanner:
                     merged[-1] = (merged[-1][0], max(b, merged[-1][1]))
                 else:
                     merged.append((a, b))
-            out += [(a, b, "entropy") for a, b in merged if not any(a < y and x < b for x, y, _ in base)]
+            out += [(a, b, "entropy") for a, b in merged if not any(a < y and x < b for x, y, _ in base) and not any(p.search(text, a, b) for p in self.allow)]
         return out
 
     def spans(self, text: str | None) -> list[tuple[int, int, str]]:
