@@ -27,10 +27,6 @@ are not looked at.
 
 from __future__ import annotations
 
-import json
-import mmap
-import os
-import tempfile
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -39,6 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfwise.llm.common import HashCache, hash_words, slices, words_of
+from shelfwise.llm.files import mapped, save_arrays
 from shelfwise.session import Scratch, ship
 
 #: Documents per shard of words.
@@ -156,71 +153,6 @@ class EliasFano:
         return EliasFano(n, shift, **{f: level[f"{name}.{f}"] for f in EliasFano.FIELDS})
 
 
-# ---- files of the shared folder -------------------------------------------------------
-
-
-def _filesystem(uri: str):
-    from pyarrow import fs
-
-    if "://" not in uri and not uri.startswith("file:"):
-        return fs.LocalFileSystem(), uri
-    if uri.startswith("file:"):
-        return fs.LocalFileSystem(), "/" + uri[5:].lstrip("/")
-    return fs.FileSystem.from_uri(uri)
-
-
-def save_arrays(uri: str, arrays: dict[str, np.ndarray]) -> None:
-    """One file: length of a JSON table of contents, the table, the arrays.  A task that runs again replaces it whole."""
-    system, path = _filesystem(uri)
-    contents, at, parts = {}, 0, []
-    for name, a in arrays.items():
-        raw = np.ascontiguousarray(a)
-        contents[name] = [str(raw.dtype), len(raw), at]
-        parts.append(raw)
-        at += -(-raw.nbytes // 64) * 64
-    head = json.dumps(contents).encode()
-    start = -(-(8 + len(head)) // 64) * 64
-    system.create_dir(os.path.dirname(path), recursive=True)
-    temp = f"{path}.{os.getpid()}.{os.urandom(4).hex()}"
-    with system.open_output_stream(temp) as out:
-        out.write(len(head).to_bytes(8, "little") + head + bytes(start - 8 - len(head)))
-        for raw in parts:
-            out.write(memoryview(raw).cast("B") if raw.nbytes else b"")
-            out.write(bytes(-raw.nbytes % 64))
-    system.move(temp, path)
-
-
-def map_arrays(uri: str) -> dict[str, np.ndarray]:
-    """Memory-map a file.  From a store that is no file system, a copy is mapped whose name goes at once."""
-    from pyarrow import fs
-
-    system, path = _filesystem(uri)
-    if isinstance(system, fs.LocalFileSystem):
-        file = open(path, "rb")  # noqa: SIM115
-    else:
-        file = tempfile.TemporaryFile()  # noqa: SIM115
-        with system.open_input_stream(path) as src:
-            while piece := src.read(1 << 24):
-                file.write(piece)
-        file.flush()
-    with file:
-        raw = mmap.mmap(file.fileno(), 0, access=mmap.ACCESS_READ)
-    head = int.from_bytes(raw[:8], "little")
-    start = -(-(8 + head) // 64) * 64
-    return {k: np.frombuffer(raw, d, n, start + at) if n else np.empty(0, d) for k, (d, n, at) in json.loads(raw[8 : 8 + head]).items()}
-
-
-_mapped: dict[str, dict[str, np.ndarray]] = {}
-
-
-def mapped(uri: str) -> dict[str, np.ndarray]:
-    if uri not in _mapped:
-        if len(_mapped) > 4000:
-            _mapped.clear()
-        _mapped[uri] = map_arrays(uri)
-    return _mapped[uri]
-
-
 # ---- counting ------------------------------------------------------------------------
 
 

@@ -41,7 +41,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfwise.llm.common import HashCache, slices
-from shelfwise.llm.lm import EliasFano, mapped, save_arrays
+from shelfwise.llm.files import mapped, save_arrays
+from shelfwise.llm.lm import EliasFano
 from shelfwise.session import Scratch, ship
 
 MODEL = "piece_bpe_32k.model"

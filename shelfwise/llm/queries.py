@@ -23,15 +23,15 @@ def op2_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 OP2_SQL = """
 WITH good AS (
-  SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings
+  SELECT row_number() OVER () AS r, vec_id, embedding::DOUBLE[] AS v FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
     AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
     AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
 pairs AS (
-  SELECT q.vec_id AS query_id, c.vec_id AS vec_id, sqrt(list_reduce(list_prepend(0::DOUBLE,
+  SELECT q.r, q.vec_id AS query_id, c.vec_id AS vec_id, sqrt(list_reduce(list_prepend(0::DOUBLE,
     list_transform(list_zip(q.v, c.v), lambda p: (p[1] - p[2]) * (p[1] - p[2]))), lambda a, b: a + b)) AS score
   FROM good q JOIN good c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v) WHERE q.vec_id % 100 = 0),
-ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id) AS rank FROM pairs)
+ranked AS (SELECT *, row_number() OVER (PARTITION BY r ORDER BY score, vec_id) AS rank FROM pairs)
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 10
 """
 

@@ -30,12 +30,41 @@ def test_neighbours_equal_brute_force(spark):
     assert nearest.nearest(df.limit(0), F.col("vec_id") % 100 == 0).count() == 0
 
 
-def test_quantisation_bounds_hold():
+@pytest.mark.parametrize("size", [1e-3, 1.0, 1e6, 1e200])
+def test_quantisation_bounds_hold(size):
     rng = np.random.default_rng(2)
-    a, b = rng.normal(size=(40, 16)), rng.normal(size=(60, 16)) * 3
-    near, error = nearest.approximate(nearest.quantise(a), nearest.quantise(b))
-    true = np.sqrt(((a[:, None] - b[None]) ** 2).sum(-1))
-    assert (np.abs(near - true) <= error).all()
+    a = (rng.normal(size=(40, 16)) + 5) * size
+    b = np.concatenate([rng.normal(size=(20, 16)) * 3 * size, a[:20] + rng.normal(size=(20, 16)) * size * 1e-9])
+    low, high = nearest.bounds(nearest.quantise(a), nearest.quantise(b))
+    with np.errstate(over="ignore"):
+        true = np.sqrt(((a[:, None] - b[None]) ** 2).sum(-1))
+    assert (low <= true).all() and (true <= high).all()
+
+
+def test_repeated_query_ids_are_queries_of_their_own(spark):
+    rng = np.random.default_rng(8)
+    rows = [(i % 40 * 100 if i < 80 else i, rng.normal(size=4).tolist()) for i in range(200)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    got = sorted((r.query_id, r.rank, r.vec_id, r.score) for r in nearest.nearest(df, F.col("vec_id") % 100 == 0).collect())
+    assert got == brute_nearest(rows)
+
+
+def test_many_blocks_take_rounds(spark, monkeypatch):
+    """Over twenty blocks, more than a round holds: each task sends at most k rows a query and round."""
+    monkeypatch.setattr(nearest, "ROUND_BYTES", 8 * 8 * 20 * 5)
+    rng = np.random.default_rng(9)
+    rows = [(i if i % 2 else i * 50, rng.normal(size=8).tolist()) for i in range(1000)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(4)
+    blocks = nearest.write_blocks(df.where("vec_id % 100 = 0"), f"{spark.conf.get('spark.checkpoint.dir')}/blocks-test", 20)
+    rounds = nearest.rounds_of(blocks, nearest.ROUND_BYTES)
+    assert len(blocks) > 20 and len(rounds) > 4 and sorted(f for r in rounds for f in r) == [f for f, _ in blocks]
+    for files in rounds:
+        sent = nearest.compare(df, files, 10).groupBy("asked").count().agg(F.max("count")).first()[0]
+        assert sent <= 4 * 10
+    monkeypatch.setattr(nearest, "BLOCK", 20)
+    want = brute_nearest(rows)
+    got = sorted((r.query_id, r.rank, r.vec_id, r.score) for r in nearest.nearest(df, F.col("vec_id") % 100 == 0).collect())
+    assert got == want
 
 
 def test_quality_on_held_out_documents(spark):
