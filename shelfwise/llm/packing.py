@@ -101,8 +101,8 @@ def binary_pieces(n: int, max_len: int) -> list[int]:
 def pack(docs: DataFrame, tokenizer_path: str, max_len: int = MAX_LEN, end_id: int = END_ID, with_ids: bool = True) -> DataFrame:
     """Pieces of all documents: doc_id, start, length, ids (if asked for), ids_crc32, doc_tokens, bucket, sequence_id, offset.
 
-    ``bucket`` is the binary logarithm of the length: write with ``partitionBy("bucket")``
-    to hold sequences of one length together.
+    ``bucket`` is the binary logarithm of the length; ``write_buckets`` stores sequences of
+    one length together.
     """
     if max_len < 1 or max_len & (max_len - 1):
         raise ValueError("max_len must be a power of two")
@@ -144,3 +144,8 @@ def pack(docs: DataFrame, tokenizer_path: str, max_len: int = MAX_LEN, end_id: i
         F.monotonically_increasing_id().alias("sequence_id"),
         F.lit(0).cast("long").alias("offset"),
     )
+
+
+def write_buckets(pieces: DataFrame, path: str) -> None:
+    """Write pieces to one folder per bucket, so that a reader of a folder sees sequences of one length only."""
+    pieces.write.mode("overwrite").partitionBy("bucket").parquet(path)

@@ -5,12 +5,14 @@ root to a node is a conjunctive rule; lasso logistic regression keeps and weighs
 the weighted rules are compiled into one Spark column expression.
 
 Fitting uses at most ``SAMPLE_ROWS`` labelled rows, those with the smallest hash of the
-doc_id; statistics and scores cover every document and the whole text.
-
-Cases: null and empty texts have statistics of zero and a score like any other; labels
-that are null are not learned from; without both labels the score is the share of label
-1 (0.5 without labels); repeated rows are scored each; an empty table gives an empty
-result; further columns are not looked at.
+doc_id, and each tree at most ``TREE_ROWS`` of them, drawn with replacement; statistics and
+scores cover every document and the whole text.
+
+Cases: of several texts with one doc_id the smallest is learned from; null and empty texts
+have statistics of zero and a score like any other; labels that are null are not learned
+from; without both labels, or where no rule parts the rows, the score is the share of
+label 1 (0.5 without labels); repeated rows are scored each; an empty table gives an
+empty result; further columns are not looked at.
 """
 
 from __future__ import annotations
@@ -25,7 +27,7 @@ from pyspark.sql import functions as F
 from shelfwise.llm.common import HashCache, hash_words, mix64, slices, words_of
 from shelfwise.session import ship
 
-SAMPLE_ROWS = 20_000
+SAMPLE_ROWS, TREE_ROWS = 20_000, 4_000
 TREES, DEPTH, MIN_LEAF = 30, 3, 20
 LASSO = 0.002
 ROUNDS = 400
@@ -146,14 +148,15 @@ class RuleEnsemble:
         self.intercept, self.rules, self.weights = intercept, rules, weights
 
     @staticmethod
-    def fit(x: np.ndarray, y: np.ndarray, seed: int = SEED) -> "RuleEnsemble":
+    def fit(x: np.ndarray, y: np.ndarray, seed: int = SEED, tree_rows: int = TREE_ROWS) -> "RuleEnsemble":
+        share = (y.sum() + 0.5) / (len(y) + 1)
+        constant = RuleEnsemble(float(np.log(share / (1 - share))), [], np.zeros(0))
         if not len(y) or y.min() == y.max():
-            share = (y.sum() + 0.5) / (len(y) + 1)
-            return RuleEnsemble(float(np.log(share / (1 - share))), [], np.zeros(0))
+            return constant
         rng = np.random.default_rng(seed)
         rules: dict[Rule, None] = {}
         for _ in range(TREES):
-            pick = rng.integers(0, len(y), min(len(y), 4000))
+            pick = rng.integers(0, len(y), min(len(y), tree_rows))
             rules.update(dict.fromkeys(grow(x[pick], y[pick], rng, DEPTH)))
         kept, seen = [], set()
         for r in rules:
@@ -162,7 +165,7 @@ class RuleEnsemble:
                 seen.add(mark)
                 kept.append((r, ok))
         if not kept:
-            return RuleEnsemble.fit(x[:0], y)
+            return constant
         z = np.stack([ok for _, ok in kept], axis=1).astype(np.float64)
         intercept, weights = lasso(z, y, LASSO, ROUNDS)
         some = np.flatnonzero(np.abs(weights) > 1e-4)
@@ -185,7 +188,7 @@ class RuleEnsemble:
         return 1 / (1 + np.exp(-total))
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> RuleEnsemble:
+def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, tree_rows: int = TREE_ROWS) -> RuleEnsemble:
     """Learn from ``labels`` (doc_id, quality) and the texts of ``docs``."""
     known = labels.where("quality is not null and doc_id is not null").select(F.col("doc_id").alias("_id"), F.col("quality").cast("int").alias("_y"))
     picked = known.orderBy(F.xxhash64("_id"), "_id", "_y").limit(sample_rows).collect()
@@ -193,9 +196,10 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> R
         return RuleEnsemble.fit(np.zeros((0, len(STATS))), np.zeros(0))
     chosen = docs.sparkSession.createDataFrame([(r._id, r._y) for r in picked], "_id long, _y int")
     rows = docs.select("doc_id", "text").join(F.broadcast(chosen.select("_id").distinct()), F.col("doc_id") == F.col("_id"), "left_semi")
+    rows = rows.groupBy("doc_id").agg(F.min("text").alias("text"))
     found = with_statistics(rows).toPandas().sort_values(["doc_id", *STATS])
     y = found.merge(chosen.toPandas(), left_on="doc_id", right_on="_id")
-    return RuleEnsemble.fit(y[list(STATS)].to_numpy(float), y["_y"].to_numpy(float))
+    return RuleEnsemble.fit(y[list(STATS)].to_numpy(float), y["_y"].to_numpy(float), tree_rows=tree_rows)
 
 
 def score(docs: DataFrame, model: RuleEnsemble) -> DataFrame:

@@ -3,7 +3,8 @@
 ``ledger`` evaluates every rule once per document and stores the measurements and one
 bit per failed rule.  ``apply_policy`` keeps documents whose failures miss a policy's
 mask; ``ablation`` counts, per rule, the documents that it fails and those that it alone
-fails, from the distinct bit patterns.  New policies never read the texts again.
+fails, from the distinct bit patterns.  ``write_ledger`` stores the ledger in the shared
+folder, so that policies and ablations read it and never the texts.
 
 Repeated words: 3-word windows are compared by the 64-bit hash of their words' hashes.
 Only texts in which a window repeats take the sorting path, which is n log n.
@@ -18,6 +19,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shelfwise.session import Scratch
+
 MIN_WORDS = 50
 #: Name of each rule, in the order of the bits.
 RULES = ("short", "repeats", "symbols", "dup_lines", "word_length", "shouting")
@@ -112,12 +115,18 @@ def ledger(docs: DataFrame) -> DataFrame:
     return measure(docs).withColumn("fail_bits", bits)
 
 
+def write_ledger(docs: DataFrame) -> DataFrame:
+    """The ledger, written once; everything that follows reads the table."""
+    return Scratch(docs.sparkSession, "ledger").table(ledger(docs), "ledger")
+
+
 def mask_of(policy: str) -> int:
     return sum(1 << RULES.index(name) for name in POLICIES[policy])
 
 
 def apply_policy(book: DataFrame, policy: str = "v1") -> DataFrame:
-    return book.withColumn("kept", F.col("fail_bits").bitwiseAND(F.lit(mask_of(policy))) == 0)
+    """``book`` with ``policy``, its version, and ``kept``."""
+    return book.withColumns({"policy": F.lit(policy), "kept": F.col("fail_bits").bitwiseAND(F.lit(mask_of(policy))) == 0})
 
 
 def ablation(book: DataFrame, policy: str = "v1") -> DataFrame:

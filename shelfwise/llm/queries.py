@@ -75,12 +75,16 @@ FROM marked GROUP BY r, doc_id
 
 
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    book = quality_rules.apply_policy(quality_rules.ledger(read(spark, sf_dir, "documents")), "v1")
+    book = quality_rules.apply_policy(quality_rules.write_ledger(read(spark, sf_dir, "documents")), "v1")
     base = F.col("fail_bits").bitwiseAND(F.lit(quality_rules.mask_of("base"))) != 0
-    return book.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", base.alias("base_failed"), "kept")
+    return book.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", base.alias("base_failed"), "kept", "fail_bits", "policy")
 
 
-OP6_SQL = r"""
+def quality_rule_ablation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.ablation(quality_rules.write_ledger(read(spark, sf_dir, "documents")), "v1")
+
+
+LEDGER_SQL = r"""
 WITH texts AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
 words AS (
   SELECT r, list_filter(regexp_split_to_array(t, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w,
@@ -98,11 +102,21 @@ measured AS (
     CAST(coalesce(n_repeat_words, 0) AS BIGINT) AS n_repeat_words,
     len(lines) AS n_lines, length(t) - length(replace(t, '!', '')) AS n_bangs
   FROM texts JOIN words USING (r) LEFT JOIN covered USING (r)),
-judged AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM measured)
-SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-  NOT (base_failed OR 10 * n_symbols > n_words OR (n_lines >= 4 AND 2 * n_dup_lines > n_lines)
-    OR (n_words > 0 AND (word_chars < 2 * n_words OR word_chars > 15 * n_words)) OR 5 * n_bangs > n_words) AS kept
-FROM judged
+judged AS (SELECT *, n_words < 50 AS short, 100 * n_repeat_words > 50 * n_words AS repeats, 10 * n_symbols > n_words AS symbols,
+    n_lines >= 4 AND 2 * n_dup_lines > n_lines AS dup_lines, n_words > 0 AND (word_chars < 2 * n_words OR word_chars > 15 * n_words) AS word_length,
+    5 * n_bangs > n_words AS shouting FROM measured),
+book AS (SELECT *, CAST(short::INT + 2 * repeats::INT + 4 * symbols::INT + 8 * dup_lines::INT + 16 * word_length::INT + 32 * shouting::INT AS BIGINT) AS fail_bits FROM judged)
+"""
+
+OP6_SQL = f"""{LEDGER_SQL}
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, short OR repeats AS base_failed, fail_bits = 0 AS kept, fail_bits, 'v1' AS policy
+FROM book
+"""
+
+ABLATION_SQL = f"""{LEDGER_SQL}
+SELECT rule, count(*) AS n_failed, count(*) FILTER (WHERE fail_bits = bit) AS n_only
+FROM book JOIN (VALUES ('short', 1), ('repeats', 2), ('symbols', 4), ('dup_lines', 8), ('word_length', 16), ('shouting', 32)) AS r(rule, bit) ON (fail_bits & bit) <> 0
+GROUP BY rule
 """
 
 
@@ -125,7 +139,7 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     out = packing.pack(read(spark, sf_dir, "documents"), public_tokenizers.path(packing.TOKENIZER), with_ids=False)
-    return out.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+    return out.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "bucket")
 
 
 def op10_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -144,8 +158,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_nbest": op8_nbest,
         "op9_packing": op9_packing,
         "op10_near_dups": op10_near_dups,
+        "quality_rule_ablation": quality_rule_ablation,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_nearest": OP2_SQL, "op5_line_dedup": OP5_SQL, "op6_quality_rules": OP6_SQL}
+    return {"op2_nearest": OP2_SQL, "op5_line_dedup": OP5_SQL, "op6_quality_rules": OP6_SQL, "quality_rule_ablation": ABLATION_SQL}

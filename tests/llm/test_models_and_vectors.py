@@ -1,6 +1,13 @@
 from __future__ import annotations
 
+import math
+import re
+import string
+from collections import Counter
+
 import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -92,3 +99,35 @@ def test_quality_without_labels(spark):
     assert {r.score for r in quality_model.score(docs, quality_model.fit(docs, none)).collect()} == {0.5}
     one = spark.createDataFrame([(1, 1), (2, 1)], "doc_id long, quality int")
     assert {round(r.score, 3) for r in quality_model.score(docs, quality_model.fit(docs, one)).collect()} == {0.833}
+
+
+def plain_statistics(text):
+    """STATS of one text in plain Python."""
+    t = text or ""
+    w = re.findall(r"[^\x20\x09-\x0D]+", t)
+    if not w:
+        return [0.0] * len(quality_model.STATS)
+    n, letters = len(w), max(1, len(re.sub(r"[\x20\x09-\x0D]", "", t)))
+    count = lambda chars: sum(c in chars for c in t)
+    lines = [x for x in t.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+    windows = list(zip(w, w[1:], w[2:]))
+    odd = sum(c < "\x80" and not c.isalnum() and c not in " .,\n\t" for c in t)
+    return [
+        math.log1p(n), letters / n, count("#*$%&|<>") / n, count("!") / n, count(string.ascii_uppercase) / letters, count(string.digits) / letters,
+        len(set(w)) / n, max(Counter(w).values()) / n, 1 - len(set(lines)) / max(1, len(lines)), sum(a == b for a, b in zip(w, w[1:])) / n,
+        1 - len(set(windows)) / max(1, len(windows)), count(".") / n, count(",") / n, n / max(1, len(lines)), odd / letters,
+    ]
+
+
+def test_statistics_equal_plain_python():
+    documents = pq.read_table("/root/testdata/sf0.01/documents.parquet", columns=["text"]).column("text").to_pylist()
+    texts = [*documents, None, "", " \n ", "same", "same", "a\x0bb\x1cc É ünï ★!", "word " * 200_000]
+    found = quality_model.statistics(pa.array(texts))
+    assert np.allclose(found, [plain_statistics(t) for t in texts], atol=2e-9)
+
+
+def test_repeated_labelled_documents_are_learned_once(spark):
+    docs = spark.createDataFrame([(1, "b b"), (1, "a"), (1, "a")] * 50 + [(2, "c c c c"), (3, None)], "doc_id long, text string").withColumn("log_words", F.lit("clash"))
+    labels = spark.createDataFrame([(1, 0), (1, 0), (2, 1), (3, 1), (None, 1)], "doc_id long, quality int")
+    scores = quality_model.score(docs, quality_model.fit(docs, labels))
+    assert scores.count() == 152 and scores.where("score is null or score < 0 or score > 1").count() == 0

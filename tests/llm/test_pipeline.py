@@ -61,16 +61,23 @@ def test_sql_gives_the_same(spark, sf_dir, name):
 
 
 def test_every_operator_has_its_query():
-    names = queries.queries()
+    names = [n for n in queries.queries() if n.startswith("op")]
     assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
 
 
 def test_contract_columns(spark, sf_dir):
     want = {
         "op1_ngram_lm": {"doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"},
-        "op9_packing": {"doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"},
+        "op3_language_id": {"doc_id", "held_out", "lang_pred", "score"},
+        "op4_quality_model": {"doc_id", "held_out", "score", "predicted"},
+        "op5_line_dedup": {"doc_id", "n_lines", "n_dropped", "kept_sha256"},
+        "op6_quality_rules": {"doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "fail_bits", "policy"},
         "op7_secret_scan": {"doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans"},
+        "op8_nbest": {"doc_id", "n_pieces", "scores", "ids_crc32", "paths_crc32", "round_trip"},
+        "op9_packing": {"doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "bucket"},
+        "op10_near_dups": {"doc_id", "n_shingles", "component_id", "kept"},
     }
+    assert {"query_id", "rank", "vec_id", "score"} <= set(queries.op2_nearest(spark, sf_dir).columns)
     n = spark.read.parquet(f"{sf_dir}/documents.parquet").count()
     for name, columns in want.items():
         df = queries.queries()[name](spark, sf_dir)

@@ -61,7 +61,7 @@ def test_pieces_are_binary(n):
     assert sum(pieces) == n and all(p & (p - 1) == 0 and p <= 2048 for p in pieces) and pieces == sorted(pieces, reverse=True)
 
 
-def test_packing_round_trip(spark, tokenizer):
+def test_packing_round_trip(spark, tokenizer, tmp_path):
     docs = frame(spark, ODD)
     got = packing.pack(docs, public_tokenizers.path(packing.TOKENIZER), max_len=64).collect()
     by = defaultdict(list)
@@ -75,6 +75,9 @@ def test_packing_round_trip(spark, tokenizer):
         assert ids == tokenizer.encode(text or "", add_special_tokens=False).ids + [1]
         assert [r.start for r in pieces] == [sum(p.length for p in pieces[:k]) for k in range(len(pieces))]
         assert {r.doc_tokens for r in pieces} == {len(ids)}
+    packing.write_buckets(packing.pack(docs, public_tokenizers.path(packing.TOKENIZER), max_len=64), f"{tmp_path}/buckets")
+    stored = spark.read.parquet(f"{tmp_path}/buckets").groupBy("bucket").agg(F.countDistinct("length"), F.min("length"), F.count("*")).collect()
+    assert all(n == 1 and length == 1 << b for b, n, length, _ in stored) and sum(r[3] for r in stored) == len(got)
     assert packing.pack(docs.limit(0), public_tokenizers.path(packing.TOKENIZER)).count() == 0
     with pytest.raises(ValueError):
         packing.pack(docs, "x", max_len=100)
