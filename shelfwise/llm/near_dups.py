@@ -2,7 +2,8 @@
 
 1. Every text becomes its set of distinct five-word shingles (64-bit hashes), a digest of
    the whole set, and the minima of ``BANDS * ROWS`` universal hashes of it.  Documents
-   with one digest are copies: one of them, the smallest doc_id, stands for all.
+   with one digest are copies, one node of the graph, named by their smallest doc_id (by
+   a hash of the digest where rows that share a doc_id differ).
 2. Representatives whose minima agree in a whole band share a bucket.  Each is compared
    with the bucket centre (smallest id) that it meets in most bands, on full sets.
 3. Connected components of the confirmed links are found by alternating large-star and
@@ -11,7 +12,8 @@
    components whose signatures agree in ``SIGNATURE_FLOOR`` of the minima are compared on
    full sets too, inside a task: rows name their suspects in a list, and only links that
    join components anew come out.  Pairs inside a component add nothing and are never
-   looked at.  Large buckets are cut into tiles of bounded size.
+   looked at.  Large buckets are cut into tiles of bounded size, and the suspects of a
+   tile are dealt on in parts of bounded text.
 5. Components joined by such links are merged in the same way.
 
 A pair at the threshold s shares no band with probability (1 - s^ROWS)^BANDS: at 0.85
@@ -20,8 +22,9 @@ below the threshold, so no link is lost to it in practice.  ``ROWS``, ``BANDS``
 ``SIGNATURE_FLOOR`` are fitted to 0.85; a caller with another threshold gives its own.
 
 Cases: null or empty texts have no shingles and stand alone; texts under five words are
-one shingle; rows that share a doc_id are judged each by its own text; rows with a null
-doc_id are never linked (component_id is null, kept is true); an empty table gives an
+one shingle; rows that share a doc_id are judged each by its own text (their components
+may differ, and "kept" tells whether the row's component is named by its doc_id); rows
+with a null doc_id are never linked (component_id is null, kept is true); an empty table gives an
 empty result; further columns are not looked at.
 """
 
@@ -40,8 +43,10 @@ from shelfwise.session import Scratch, ship
 SHINGLE = 5
 ROWS, BANDS = 6, 30
 SIGNATURE_FLOOR = 0.70
-#: Rows of a bucket that meet in one tile.
-TILE = 1024
+#: Rows of a block of a bucket; two blocks meet in one tile.
+TILE = 256
+#: Shingles of the texts that a task compares at once, and links to one centre from which there are more salts.
+PART_SHINGLES, FAN = 2_000_000, 2_000
 SEED = 20_240_501
 
 _cache = HashCache()
@@ -72,6 +77,13 @@ def shingle_sets(texts: pa.Array) -> list[np.ndarray]:
     return out
 
 
+def digest(hashes: np.ndarray) -> tuple[int, int] | tuple[None, None]:
+    """128-bit hash of a set; none of an empty one."""
+    import xxhash
+
+    return tuple(np.frombuffer(xxhash.xxh3_128_digest(hashes.tobytes()), np.int64).tolist()) if len(hashes) else (None, None)
+
+
 class MinHasher:
     """Minima of many universal hashes a * x + b over 32-bit words."""
 
@@ -100,19 +112,15 @@ def signatures(docs: DataFrame, hasher: MinHasher) -> DataFrame:
     """doc_id, n_shingles, d1, d2 (digest of the set), bands, sig (16 bits of each minimum)."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import xxhash
-
         for batch in slices(batches, "text"):
             n, digests, bands, sigs = [], [], [], []
             for s in shingle_sets(batch.column("text")):
                 n.append(len(s))
+                digests.append(digest(s))
                 if not len(s):
-                    digests.append((None, None))
                     bands.append(None)
                     sigs.append(None)
                     continue
-                d = np.frombuffer(xxhash.xxh3_128_digest(s.tobytes()), np.int64)
-                digests.append((int(d[0]), int(d[1])))
                 least = hasher.minima(s)
                 bands.append(hasher.band_keys(least))
                 sigs.append(least.astype(np.uint16).tobytes())
@@ -131,8 +139,24 @@ def signatures(docs: DataFrame, hasher: MinHasher) -> DataFrame:
     return docs.mapInArrow(sign, "doc_id long, n_shingles long, d1 long, d2 long, bands array<long>, sig binary")
 
 
+def bodies_of(texts: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(id, text) of the nodes ``wanted`` (id, rep, d1, d2): a text of each, told by its digest, since rows may share a doc_id."""
+
+    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text"):
+            found = [digest(s) for s in shingle_sets(batch.column("text"))]
+            yield pa.RecordBatch.from_arrays([*[pa.array([d[k] for d in found], pa.int64()) for k in (0, 1)], batch.column("text")], ["d1", "d2", "text"])
+
+    theirs = texts.join(wanted.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi").select("text")
+    one = theirs.mapInArrow(sign, "d1 long, d2 long, text string").groupBy("d1", "d2").agg(F.first("text").alias("text"))
+    return one.join(wanted, ["d1", "d2"]).select("id", "text")
+
+
 def confirm(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
-    """Those pairs (a, b) whose full sets have 100 * intersection >= percent * union."""
+    """Those pairs (a, b), with a in one pair only, whose full sets have 100 * intersection >= percent * union.
+
+    Pairs of a b that is in many are dealt over salts, and its text is sent to each.
+    """
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -144,9 +168,11 @@ def confirm(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
                     keep.append(both > 0 and 100 * both >= percent * (len(x) + len(y) - both))
                 yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    joined = pairs.join(texts.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a").join(
-        texts.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b"
-    )
+    fans = pairs.groupBy("b").agg(F.ceil(F.count("*") / FAN).alias("salts")).where("salts > 1")
+    dealt = pairs.join(fans, "b", "left").withColumn("salt", F.pmod(F.xxhash64("a"), F.coalesce("salts", F.lit(1)))).drop("salts")
+    right = texts.select(F.col("id").alias("b"), F.col("text").alias("text_b")).join(fans, "b", "left")
+    right = right.select("b", "text_b", F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("salts", F.lit(1)) - 1)).alias("salt"))
+    joined = dealt.join(texts.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a").join(right, ["b", "salt"])
     return joined.select("a", "b", "text_a", "text_b").mapInArrow(check, "a long, b long").distinct()
 
 
@@ -205,14 +231,14 @@ def _tiled(rows: DataFrame) -> DataFrame:
     return dealt.withColumn("tile", F.xxhash64("key", "t.other", "t.second", "t.with_main")).drop("t")
 
 
-def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+def _runs(batches: Iterator[pa.RecordBatch], by: str = "tile") -> Iterator[pa.Table]:
     """The rows of one tile after another, from batches sorted by tile."""
     held: list[pa.RecordBatch] = []
     current = None
     for batch in batches:
         if not batch.num_rows:
             continue
-        tile = batch.column("tile").to_numpy()
+        tile = batch.column(by).to_numpy()
         cuts = [0, *(np.flatnonzero(np.diff(tile)) + 1).tolist(), len(tile)]
         for a, b in zip(cuts[:-1], cuts[1:]):
             if held and tile[a] != current:
@@ -230,11 +256,12 @@ def _others_first(table: pa.Table) -> tuple[pa.Table, int]:
 
 
 def suspects(rows: DataFrame, width: int, bands: int, floor: float) -> DataFrame:
-    """(tile, id, comp, is_main, partners): rows of open buckets that may be linked across components.
+    """(part, id, comp, is_main, partners): rows of open buckets that may be linked across components.
 
-    ``rows``: key, band, id, comp, sig, bands.  ``partners`` are the ids whose signatures
-    agree well enough; a pair is named only in the first band that both share, by one of
-    the two.  Rows that are merely named have an empty list.
+    ``rows``: key, band, id, comp, n_shingles, sig, bands.  ``partners`` are the ids whose
+    signatures agree well enough; a pair is named only in the first band that both share,
+    by one of the two.  Rows that are merely named have an empty list.  The rows of a part
+    have ``PART_SHINGLES`` at most (two texts always fit); a row may be in several parts.
     """
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -245,30 +272,58 @@ def suspects(rows: DataFrame, width: int, bands: int, floor: float) -> DataFrame
             ids, comps = table.column("id").to_numpy(), table.column("comp").to_numpy()
             sigs = np.frombuffer(b"".join(table.column("sig").to_pylist()), np.uint16).reshape(-1, width)
             keys = table.column("bands").combine_chunks().flatten().to_numpy().reshape(-1, bands)
-            band = int(table.column("band")[0].as_py())
-            partners: list[np.ndarray] = [ids[:0]] * len(ids)
-            met = np.zeros(len(ids), bool)
+            band, sizes = int(table.column("band")[0].as_py()), table.column("n_shingles").to_numpy()
+            wanted: list[tuple[int, np.ndarray]] = []
             for i in range(others):
                 j = np.flatnonzero(comps[i + 1 :] != comps[i]) + i + 1
                 j = j[(sigs[j] == sigs[i]).sum(axis=1) >= floor * width]
                 j = j[~(keys[j, :band] == keys[i, :band]).any(axis=1)]
                 if len(j):
-                    partners[i] = ids[j]
-                    met[j] = met[i] = True
-            at = np.flatnonzero(met)
-            if len(at):
-                kept = table.select(["tile", "id", "comp", "is_main"]).take(pa.array(at)).combine_chunks().to_batches()[0]
-                yield pa.RecordBatch.from_arrays([*kept.columns, pa.array([partners[i] for i in at], pa.list_(pa.int64()))], [*kept.schema.names, "partners"])
-
-    dealt = _tiled(rows).select("tile", "id", "comp", "is_main", "sig", "band", "bands")
-    return dealt.repartition("tile").sortWithinPartitions("tile").mapInArrow(find, "tile long, id long, comp long, is_main boolean, partners array<long>")
+                    wanted.append((i, j))
+            for n, part in enumerate(_parts(wanted, sizes)):
+                at = np.unique(np.concatenate([*part.values(), np.fromiter(part, np.int64)]))
+                kept = table.select(["id", "comp", "is_main"]).take(pa.array(at)).combine_chunks().to_batches()[0]
+                number = mix64(np.asarray([int(table.column("tile")[0].as_py()) % 2**64], np.uint64) + np.uint64(n)).view(np.int64)
+                named = [ids[part[i]] if i in part else ids[:0] for i in at.tolist()]
+                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(number, len(at))), *kept.columns, pa.array(named, pa.list_(pa.int64()))], ["part", *kept.schema.names, "partners"])
+
+    dealt = _tiled(rows).select("tile", "id", "comp", "is_main", "n_shingles", "sig", "band", "bands")
+    return dealt.repartition("tile").sortWithinPartitions("tile").mapInArrow(find, "part long, id long, comp long, is_main boolean, partners array<long>")
+
+
+def _parts(wanted: list[tuple[int, np.ndarray]], sizes: np.ndarray) -> Iterator[dict[int, np.ndarray]]:
+    """Cut comparisons (a row, its partners) into parts whose rows have PART_SHINGLES at most, or are two."""
+    part: dict[int, np.ndarray] = {}
+    held: set[int] = set()
+    total = 0
+    for i, partners in wanted:
+        at = 0
+        while at < len(partners):
+            new = [] if i in held else [i]
+            size, to = total + sum(int(sizes[x]) for x in new), at
+            while to < len(partners):
+                j = int(partners[to])
+                more = 0 if j in held or j in new else int(sizes[j])
+                if size + more > PART_SHINGLES and (part or to > at):
+                    break
+                size, to = size + more, to + 1
+                new.append(j)
+            if to > at:
+                part[i] = np.concatenate([part[i], partners[at:to]]) if i in part else partners[at:to]
+                held.update(new)
+                total, at = size, to
+            if at < len(partners):
+                yield part
+                part, held, total = {}, set(), 0
+    if part:
+        yield part
 
 
 def confirm_suspects(found: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
-    """Links (a, b) among suspects, confirmed on full sets; per tile only those that join two components anew."""
+    """Links (a, b) among suspects, confirmed on full sets; per part only those that join two components anew."""
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in _runs(batches):
+        for table in _runs(batches, "part"):
             table, others = _others_first(table)
             ids, partners = table.column("id").to_numpy(), table.column("partners").to_pylist()
             sets = shingle_sets(table.column("text").combine_chunks())
@@ -303,8 +358,8 @@ def confirm_suspects(found: DataFrame, texts: DataFrame, percent: int) -> DataFr
             if links:
                 yield pa.RecordBatch.from_arrays([pa.array([k[n] for k in links], pa.int64()) for n in (0, 1)], ["a", "b"])
 
-    joined = found.join(texts, "id").select("tile", "id", "comp", "is_main", "partners", "text")
-    return joined.repartition("tile").sortWithinPartitions("tile").mapInArrow(check, "a long, b long").distinct()
+    joined = found.join(texts, "id").select("part", "id", "comp", "is_main", "partners", "text")
+    return joined.repartition("part").sortWithinPartitions("part").mapInArrow(check, "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame, percent: int = 85, rows: int = ROWS, bands: int = BANDS, floor: float = SIGNATURE_FLOOR) -> DataFrame:
@@ -317,15 +372,17 @@ def near_duplicates(docs: DataFrame, percent: int = 85, rows: int = ROWS, bands:
     scratch, hasher = Scratch(spark, "near-dups"), MinHasher(rows, bands)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     signed = scratch.table(signatures(texts, hasher), "signed")
-    copies = signed.where("doc_id is not null and d1 is not null").groupBy("d1", "d2").agg(F.min("doc_id").alias("rep"))
-    copies = scratch.table(copies, "copies")
-    reps = signed.join(copies, [signed.doc_id == copies.rep, signed.d1 == copies.d1, signed.d2 == copies.d2], "left_semi")
+    reps = signed.where("doc_id is not null and d1 is not null").groupBy("d1", "d2")
+    reps = scratch.table(reps.agg(F.min("doc_id").alias("rep"), *[F.first(c).alias(c) for c in ("n_shingles", "bands", "sig")]), "reps")
+    shared = reps.groupBy("rep").count().where("count > 1").select("rep", F.lit(True).alias("shared"))
+    apart = shared.isEmpty()
+    reps = reps.withColumn("id", F.col("rep")) if apart else reps.join(shared, "rep", "left").withColumn("id", F.when(F.col("shared"), F.xxhash64("d1", "d2")).otherwise(F.col("rep"))).drop("shared")
 
-    keyed = reps.select(F.col("doc_id").alias("id"), F.posexplode("bands").alias("band", "key"))
+    keyed = reps.select("id", F.posexplode("bands").alias("band", "key"))
     buckets = keyed.groupBy("key").agg(F.min("id").alias("centre"), F.max("id").alias("most")).where("centre < most").drop("most")
     met = scratch.table(keyed.join(buckets, "key"), "met")
-    wanted = met.select("id").distinct()
-    bodies = scratch.table(texts.join(wanted.withColumnRenamed("id", "doc_id"), "doc_id", "left_semi").select(F.col("doc_id").alias("id"), "text").distinct(), "bodies")
+    wanted = reps.select("id", "rep", "d1", "d2").join(met.select("id").distinct(), "id", "left_semi")
+    bodies = scratch.table(bodies_of(texts, wanted), "bodies")
 
     first = (
         met.where("id <> centre").groupBy("id", "centre").count()
@@ -338,18 +395,20 @@ def near_duplicates(docs: DataFrame, percent: int = 85, rows: int = ROWS, bands:
     placed = met.join(labels, "id", "left").select("key", "band", "id", F.coalesce("component", "id").alias("comp"))
     open_keys = placed.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("key")
     open_rows = placed.join(open_keys, "key", "left_semi")
-    sigs = reps.select(F.col("doc_id").alias("id"), "sig", "bands").dropDuplicates(["id"])
-    open_rows = scratch.table(open_rows.join(sigs, "id"), "open")
+    open_rows = scratch.table(open_rows.join(reps.select("id", "n_shingles", "sig", "bands"), "id"), "open")
     found = scratch.table(suspects(open_rows, rows * bands, bands, floor), "suspects")
-    links = confirm_suspects(found, bodies.dropDuplicates(["id"]), percent)
+    links = confirm_suspects(found, bodies, percent)
     of = lambda side: labels.select(F.col("id").alias(side), F.col("component").alias(f"c{side}"))
     merged = links.join(of("a"), "a", "left").join(of("b"), "b", "left").select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b"))
     top = components(merged, scratch, "top").select(F.col("id").alias("component"), F.col("component").alias("root"))
 
-    placed = copies.join(labels, copies.rep == labels.id, "left").select("d1", "d2", F.coalesce("component", "rep").alias("component"))
-    placed = placed.join(top, "component", "left").select("d1", "d2", F.coalesce("root", "component").alias("root"))
-    placed = scratch.table(placed, "placed")
-    scratch.drop("met", "bodies", "open", "first")
+    placed = reps.select("id", "rep", "d1", "d2").join(labels, "id", "left").select("d1", "d2", "rep", F.coalesce("component", "id").alias("component"))
+    placed = placed.join(top, "component", "left").select("d1", "d2", "rep", F.coalesce("root", "component").alias("root"))
+    if not apart:  # a root may then be a hash: the component's smallest doc_id is looked up
+        placed = scratch.table(placed, "rooted")
+        placed = placed.join(placed.groupBy("root").agg(F.min("rep").alias("least")), "root").select("d1", "d2", F.col("least").alias("root"))
+    placed = scratch.table(placed.select("d1", "d2", "root"), "placed")
+    scratch.drop("met", "bodies", "open", "first", "reps")
     result = signed.select("doc_id", "n_shingles", "d1", "d2").join(placed, ["d1", "d2"], "left")
     owner = F.when(F.col("doc_id").isNotNull(), F.coalesce("root", "doc_id"))
     return result.select("doc_id", "n_shingles", owner.alias("component_id"), F.coalesce(F.col("doc_id") == owner, F.lit(True)).alias("kept"))

@@ -125,15 +125,46 @@ def chain_texts():
     return [*texts, *near, *ODD, "one two", "One  TWO", "one two three"]
 
 
-@pytest.mark.parametrize("tile", [near_dups.TILE, 4])
-def test_components_equal_brute_force(spark, monkeypatch, tile):
-    monkeypatch.setattr(near_dups, "TILE", tile)
+@pytest.mark.parametrize(("tile", "part", "fan"), [(near_dups.TILE, near_dups.PART_SHINGLES, near_dups.FAN), (4, 300, 2)])
+def test_components_equal_brute_force(spark, monkeypatch, tile, part, fan):
+    for name, value in (("TILE", tile), ("PART_SHINGLES", part), ("FAN", fan)):
+        monkeypatch.setattr(near_dups, name, value)
     texts = chain_texts()
     docs = frame(spark, texts).repartition(5)
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_dups.near_duplicates(docs).collect()}
     assert got == brute_components(dict(enumerate(texts)))
 
 
+def test_rows_that_share_a_doc_id_are_judged_by_their_own_texts(spark):
+    base = {c: [f"{c}{i}" for i in range(60)] for c in "abc"}
+    close = lambda c, k: " ".join([*base[c][:-k], *(f"x{c}{k}{i}" for i in range(k))])
+    rows = [(7, close("a", 0 or 60)), (7, " ".join(base["a"])), (7, " ".join(base["b"])), (7, " ".join(base["a"])), (9, close("a", 2)), (9, close("b", 2)), (4, close("b", 1)), (12, " ".join(base["c"])), (8, close("a", 1)), (7, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    sets, root = [shingles(t) for _, t in rows], list(range(len(rows)))
+    for _ in rows:
+        for i, a in enumerate(sets):
+            for j, b in enumerate(sets):
+                if a and b and 100 * len(a & b) >= 85 * len(a | b):
+                    root[i] = root[j] = min(root[i], root[j])
+    least = {r: min(rows[i][0] for i in range(len(rows)) if root[i] == r) for r in set(root)}
+    want = sorted((d, len(sets[i]), least[root[i]], d == least[root[i]]) for i, (d, _) in enumerate(rows))
+    assert sorted(tuple(r) for r in near_dups.near_duplicates(docs).collect()) == want
+
+
+@given(st.lists(st.tuples(st.integers(0, 5), st.lists(st.integers(6, 30), min_size=1, max_size=8, unique=True)), max_size=6, unique_by=lambda x: x[0]))
+def test_parts_hold_every_comparison(wanted):
+    sizes = np.arange(31) * 100
+    near_dups.PART_SHINGLES, whole = 4000, near_dups.PART_SHINGLES
+    try:
+        parts = list(near_dups._parts([(i, np.asarray(j)) for i, j in wanted], sizes))
+    finally:
+        near_dups.PART_SHINGLES = whole
+    assert sorted((i, int(j)) for p in parts for i, js in p.items() for j in js) == sorted((i, j) for i, js in wanted for j in js)
+    for p in parts:
+        rows = {int(x) for i, js in p.items() for x in (i, *js)}
+        assert len(rows) == 2 or sum(int(sizes[x]) for x in rows) <= 4000
+
+
 def test_near_duplicate_rows(spark):
     base = " ".join(f"w{i}" for i in range(30))
     docs = spark.createDataFrame([(None, base), (5, base), (3, base), (3, base), (9, None)], "doc_id long, text string")
