@@ -9,6 +9,7 @@ import shutil
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -33,7 +34,11 @@ def build_session(cores: int | str = "*", shuffle_partitions: int = 8, **conf: s
 
 
 def ship(spark: SparkSession) -> None:
-    """Send this package to the executors, once per application, so that UDF code imports there, and bound Arrow batches."""
+    """Send this package to the executors, once per application, so that UDF code imports there, and bound Arrow batches.
+
+    ``spark.sql.execution.arrow.maxBytesPerBatch`` is set for the session where it still has Spark's own value; every
+    operator that runs Python calls this, and a value that the caller set stays.
+    """
     sc = spark.sparkContext
     key = "spark.sql.execution.arrow.maxBytesPerBatch"
     if spark.conf.get(key) == "67108864b":  # Spark's own setting
@@ -52,6 +57,17 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(sc.applicationId)
 
 
+@contextlib.contextmanager
+def setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    """A session setting for the time of a block; the value before it comes back."""
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
 class Scratch:
     """Tables in a folder of their own under ``spark.checkpoint.dir``.
 
@@ -63,6 +79,8 @@ class Scratch:
         self.spark = spark
         base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
         if not base:  # no cluster named one: a folder of this process, gone when it ends
+            if not spark.sparkContext.master.startswith("local"):
+                raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
             folder = tempfile.mkdtemp(prefix="shelfwise-shared-")
             atexit.register(shutil.rmtree, folder, ignore_errors=True)
             base = f"file://{folder}"
@@ -81,8 +99,9 @@ class Scratch:
         return f"{self.uri}/{name}"
 
     def table(self, df: DataFrame, name: str) -> DataFrame:
-        """Write ``df`` and read it back."""
-        df.write.mode("overwrite").parquet(self.path(name))
+        """Write ``df`` and read it back; the shuffle files of writing it go at once."""
+        with setting(self.spark, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true"):
+            df.write.mode("overwrite").parquet(self.path(name))
         return self.spark.read.schema(df.schema).parquet(self.path(name))
 
     def drop(self, *names: str) -> None:
