@@ -99,9 +99,28 @@ class HashCache:
         return out
 
 
-def hash_words(words: pa.StringArray, cache: HashCache | None = None) -> np.ndarray:
-    """64-bit hash of every word; each distinct word is hashed once."""
+#: Bytes of a word that are hashed by table.
+TABLE_BYTES = 64
+#: A random number for every byte at every place of a word.
+_TABLE = np.random.default_rng(20_240_417).integers(0, 2**64, TABLE_BYTES * 256, dtype=np.uint64)
+
+
+def hash_words(words: pa.StringArray) -> np.ndarray:
+    """64-bit hash of every word, none of them null: by tabulation, all words at once (xxHash for words beyond TABLE_BYTES)."""
+    import xxhash
+
     if not len(words):
         return np.empty(0, np.uint64)
-    coded = words.dictionary_encode()
-    return (cache or HashCache()).of(coded.dictionary.to_pylist())[coded.indices.to_numpy()]
+    offsets = np.frombuffer(words.buffers()[1], np.int32)[words.offset : words.offset + len(words) + 1].astype(np.int64)
+    lengths, begins = np.diff(offsets), offsets[:-1] - offsets[0]
+    data = np.frombuffer(words.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]]
+    place = np.arange(len(data), dtype=np.int32) - np.repeat(begins, lengths).astype(np.int32)
+    place &= TABLE_BYTES - 1
+    place <<= 8
+    place |= data
+    out, some = np.zeros(len(words), np.uint64), np.flatnonzero(lengths)
+    if len(some):
+        out[some] = np.bitwise_xor.reduceat(_TABLE[place], begins[some])
+    for i in np.flatnonzero(lengths > TABLE_BYTES).tolist():
+        out[i] = xxhash.xxh3_64_intdigest(data[begins[i] : begins[i] + lengths[i]].tobytes())
+    return out

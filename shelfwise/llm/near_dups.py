@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfwise.llm.common import HashCache, hash_words, mix64, slices, words_of
+from shelfwise.llm.common import hash_words, mix64, slices, words_of
 from shelfwise.session import Scratch, ship
 
 SHINGLE = 5
@@ -49,9 +49,6 @@ TILE = 256
 PART_SHINGLES, FAN = 2_000_000, 2_000
 SEED = 20_240_501
 
-_cache = HashCache()
-
-
 def _multipliers() -> np.ndarray:
     return mix64(np.arange(1, SHINGLE + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
 
@@ -59,7 +56,7 @@ def _multipliers() -> np.ndarray:
 def shingle_sets(texts: pa.Array) -> list[np.ndarray]:
     """Sorted distinct shingle hashes of each text."""
     words, starts = words_of(texts, lower=True)
-    hashed, c = hash_words(words, _cache), _multipliers()
+    hashed, c = hash_words(words), _multipliers()
     out, n = [], len(hashed)
     if n >= SHINGLE:
         windows = hashed[: n - SHINGLE + 1] * c[0]
@@ -264,6 +261,8 @@ def suspects(rows: DataFrame, width: int, bands: int, floor: float) -> DataFrame
     have ``PART_SHINGLES`` at most (two texts always fit); a row may be in several parts.
     """
 
+    most = PART_SHINGLES
+
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in _runs(batches):
             if table.num_rows < 2:
@@ -280,7 +279,7 @@ def suspects(rows: DataFrame, width: int, bands: int, floor: float) -> DataFrame
                 j = j[~(keys[j, :band] == keys[i, :band]).any(axis=1)]
                 if len(j):
                     wanted.append((i, j))
-            for n, part in enumerate(_parts(wanted, sizes)):
+            for n, part in enumerate(_parts(wanted, sizes, most)):
                 at = np.unique(np.concatenate([*part.values(), np.fromiter(part, np.int64)]))
                 kept = table.select(["id", "comp", "is_main"]).take(pa.array(at)).combine_chunks().to_batches()[0]
                 number = mix64(np.asarray([int(table.column("tile")[0].as_py()) % 2**64], np.uint64) + np.uint64(n)).view(np.int64)
@@ -291,8 +290,8 @@ def suspects(rows: DataFrame, width: int, bands: int, floor: float) -> DataFrame
     return dealt.repartition("tile").sortWithinPartitions("tile").mapInArrow(find, "part long, id long, comp long, is_main boolean, partners array<long>")
 
 
-def _parts(wanted: list[tuple[int, np.ndarray]], sizes: np.ndarray) -> Iterator[dict[int, np.ndarray]]:
-    """Cut comparisons (a row, its partners) into parts whose rows have PART_SHINGLES at most, or are two."""
+def _parts(wanted: list[tuple[int, np.ndarray]], sizes: np.ndarray, most: int) -> Iterator[dict[int, np.ndarray]]:
+    """Cut comparisons (a row, its partners) into parts whose rows have ``most`` shingles, or are two."""
     part: dict[int, np.ndarray] = {}
     held: set[int] = set()
     total = 0
@@ -304,7 +303,7 @@ def _parts(wanted: list[tuple[int, np.ndarray]], sizes: np.ndarray) -> Iterator[
             while to < len(partners):
                 j = int(partners[to])
                 more = 0 if j in held or j in new else int(sizes[j])
-                if size + more > PART_SHINGLES and (part or to > at):
+                if size + more > most and (part or to > at):
                     break
                 size, to = size + more, to + 1
                 new.append(j)

@@ -133,7 +133,7 @@ def offer(heap: list[tuple[float, int]], distance: float, i: int, k: int) -> Non
         heapq.heapreplace(heap, entry)
 
 
-def write_blocks(queries: DataFrame, folder: str, size: int = BLOCK) -> list[tuple[str, int]]:
+def write_blocks(queries: DataFrame, folder: str, size: int) -> list[tuple[str, int]]:
     """Write the queries to files of at most ``size`` vectors; (file, bytes of vectors) of each block."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -231,7 +231,7 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = K) -> DataFrame:
     scratch = Scratch(spark, "nearest")
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding"), is_query.alias("is_query"))
     rows = rows.where("vec_id is not null and embedding is not null")
-    blocks = write_blocks(rows.where("is_query").select("vec_id", "embedding"), scratch.path("blocks"))
+    blocks = write_blocks(rows.where("is_query").select("vec_id", "embedding"), scratch.path("blocks"), BLOCK)
     rounds, rows = rounds_of(blocks, ROUND_BYTES) or [[]], rows.select("vec_id", "embedding")
     if len(rounds) == 1:
         return merge(compare(rows, rounds[0], k), k)

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfwise.llm.common import HashCache, hash_words, mix64, slices, words_of
+from shelfwise.llm.common import hash_words, mix64, slices, words_of
 from shelfwise.session import ship
 
 SAMPLE_ROWS, TREE_ROWS = 20_000, 4_000
@@ -37,7 +37,6 @@ STATS = (
     "dup_lines", "same_as_last", "repeated_windows", "stops", "commas", "line_words", "odd",
 )
 
-_cache = HashCache()
 _kind = np.zeros((256, 6), bool)
 for _j, _chars in enumerate((b"#*$%&|<>", b"!", b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"0123456789", b".", b",")):
     _kind[list(_chars), _j] = True
@@ -49,7 +48,7 @@ _odd[128:] = False
 def statistics(texts: pa.Array) -> np.ndarray:
     """One row of STATS per text."""
     words, starts = words_of(texts)
-    hashed = hash_words(words, _cache)
+    hashed = hash_words(words)
     out = np.zeros((len(texts), len(STATS)))
     for d, text in enumerate(texts.cast(pa.binary()).to_pylist()):
         if not text:

@@ -154,11 +154,7 @@ def test_rows_that_share_a_doc_id_are_judged_by_their_own_texts(spark):
 @given(st.lists(st.tuples(st.integers(0, 5), st.lists(st.integers(6, 30), min_size=1, max_size=8, unique=True)), max_size=6, unique_by=lambda x: x[0]))
 def test_parts_hold_every_comparison(wanted):
     sizes = np.arange(31) * 100
-    near_dups.PART_SHINGLES, whole = 4000, near_dups.PART_SHINGLES
-    try:
-        parts = list(near_dups._parts([(i, np.asarray(j)) for i, j in wanted], sizes))
-    finally:
-        near_dups.PART_SHINGLES = whole
+    parts = list(near_dups._parts([(i, np.asarray(j)) for i, j in wanted], sizes, 4000))
     assert sorted((i, int(j)) for p in parts for i, js in p.items() for j in js) == sorted((i, j) for i, js in wanted for j in js)
     for p in parts:
         rows = {int(x) for i, js in p.items() for x in (i, *js)}
@@ -398,7 +394,26 @@ def brute_model(texts, learn):
     return out, n
 
 
-def test_model_equals_brute_force(spark):
+@given(st.lists(st.tuples(st.integers(0, 3) | st.integers(2**40, 2**40 + 2), st.integers(0, 5) | st.integers(2**50, 2**50 + 3), st.integers(1, 2**40)), max_size=40))
+def test_pairs_of_any_size(rows):
+    context, word, counts = (np.asarray([r[j] for r in rows], t) for j, t in enumerate((np.int64, np.uint64, np.int64)))
+    want = Counter()
+    for c, w, n in rows:
+        want[c, w] += n
+    found = lm.sum_pairs(context, word, counts, 51)
+    assert list(zip(*(x.tolist() for x in found))) == [(c, w, n) for (c, w), n in sorted(want.items())]
+    c, w, back = lm.distinct_pairs(context, word, 51)
+    assert (c[back] == context).all() and (w[back] == word).all() and list(zip(c.tolist(), w.tolist())) == sorted(want)
+    assert all((x == y).all() for x, y in zip(lm.unpack_counts(lm.pack_counts(*found)), found))
+
+
+@pytest.mark.parametrize("wide", [False, True])
+def test_model_equals_brute_force(spark, monkeypatch, wide):
+    if wide:  # many shards in several groups, and pairs that do not fit 64 bits
+        for name, value in (("SHARD_TOKENS", 20), ("GROUP", 4), ("SHARD_DOCS", 1), ("GATHER", 50)):
+            monkeypatch.setattr(lm, name, value)
+        monkeypatch.setattr(lm, "_word_bits", lambda v: 64)
+        monkeypatch.setattr(lm, "_ids_type", lambda v: "<i8")
     rng = np.random.default_rng(0)
     vocabulary = [f"v{i}" for i in range(12)]
     texts = dict(enumerate([*(" ".join(rng.choice(vocabulary, 25)) for _ in range(30)), *ODD[:5], "unseen words v1 v2", "V1 v2"]))
@@ -431,7 +446,7 @@ def test_probabilities_sum_to_at_most_one(spark, tmp_path):
     unknown = 0.5 * v / n
     assert p1.sum() + unknown == pytest.approx(1)
     for u in ids:
-        _, prob, weight = lm._lookup(trie, 2, np.full(v, u), ids)
+        _, prob, weight = trie.look_up(2, np.full(v, u), ids)
         assert (prob + weight * p1).sum() + weight[0] * unknown <= 1 + 1e-12
 
 
@@ -536,3 +551,17 @@ def test_grams_seen_once_are_kept_if_asked(spark):
     assert once
     pruned = {r.doc_id: r.score for r in lm.train_and_score(docs, F.col("doc_id") % 3 != 0).collect()}
     assert all(abs(pruned[i] - got[i].score) > 0.01 * abs(got[i].score) for i in texts if i % 3)
+
+
+# ---- word hashes ----------------------------------------------------------------------
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.text(max_size=8) | st.text(alphabet="ab", min_size=60, max_size=70), max_size=12), st.integers(0, 3))
+def test_word_hashes_tell_words_apart(texts, skip):
+    from shelfwise.llm.common import hash_words
+
+    array = pa.array(["é", "", "x", *texts], pa.string())
+    hashes = hash_words(array.slice(skip)).tolist()
+    assert len(set(hashes)) == len(set(array.to_pylist()[skip:]))
+    assert hashes == [int(hash_words(pa.array([w], pa.string()))[0]) for w in array.to_pylist()[skip:]]
