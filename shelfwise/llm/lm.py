@@ -482,12 +482,19 @@ BUILT, BLOBS = "shard long, n long, total long", "shard long, blob binary"
 
 def _level(trie: Trie, scratch: Scratch, order: int, shards: int, blobs: DataFrame, build: Callable[[pa.Table], pa.Table]) -> tuple[int, int]:
     """Build a level's shards and note where each one's entries begin; number of entries, and of what they count."""
-    built = scratch.table(blobs.groupBy("shard").applyInArrow(build, BUILT), f"built{order}")
-    size = trie.info["group"]
+    built, size, uri = blobs.groupBy("shard").applyInArrow(build, BUILT), trie.info["group"], trie.uri
+    if shards <= size:  # one group: its few rows need no table and no further jobs
+        rows = built.collect()
+        sizes = np.zeros(size, np.int64)
+        for r in rows:
+            sizes[r.shard] = r.n
+        save_arrays(f"{uri}/starts{order}-0", {"starts": np.concatenate(([0], np.cumsum(sizes)))})
+        trie.info[f"groups{order}"] = [0, int(sizes.sum())]
+        return int(sizes.sum()), sum(r.total for r in rows)
+    built = scratch.table(built, f"built{order}")
     of = F.floor(F.col("shard") / size).alias("group")
     sums = {r.group: (r.n, r.total) for r in built.groupBy(of).agg(F.sum("n").alias("n"), F.sum("total").alias("total")).collect()}
     groups = [0, *np.cumsum([sums.get(g, (0, 0))[0] for g in range(-(-shards // size))]).tolist()]
-    uri = trie.uri
 
     def note(table: pa.Table) -> pa.Table:
         group, sizes = table.column("group")[0].as_py(), np.zeros(size, np.int64)
