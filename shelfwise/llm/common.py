@@ -77,28 +77,6 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x
 
 
-class HashCache:
-    """64-bit hashes of strings, remembered for as many strings as ``limit`` says."""
-
-    def __init__(self, limit: int = 200_000):
-        self.limit, self.known = limit, {}
-
-    def of(self, strings: list[str]) -> np.ndarray:
-        import xxhash
-
-        known = self.known
-        if len(known) > self.limit:
-            known.clear()
-        digest = xxhash.xxh3_64_intdigest
-        out = np.empty(len(strings), np.uint64)
-        for i, s in enumerate(strings):
-            h = known.get(s)
-            if h is None:
-                h = known[s] = digest(s.encode("utf-8", "surrogatepass"))
-            out[i] = h
-        return out
-
-
 #: Bytes of a word that are hashed by table.
 TABLE_BYTES = 64
 #: A random number for every byte at every place of a word.

@@ -23,6 +23,7 @@ negative merge rank, so the best path need not be what greedy merging yields.
 Cases: null and empty texts have no pieces and one empty segmentation of score 0; a text
 with fewer than N segmentations returns what there is; repeated rows are taken each on
 their own; an empty table gives an empty result; further columns are not looked at.
+Segments are told apart by 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -40,7 +41,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfwise.llm.common import HashCache, slices
+from shelfwise.llm.common import hash_words, slices
 from shelfwise.llm.files import mapped, save_arrays
 from shelfwise.llm.lm import EliasFano
 from shelfwise.session import Scratch, ship
@@ -242,10 +243,10 @@ def build_table(texts: DataFrame, scratch: Scratch, model_path: str, n: int) ->
     """Search every distinct segment of ``texts`` (text) once."""
 
     def distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = HashCache()
         for batch in slices(batches, "text"):
-            found = segments_of(batch.column("text"), vocabulary(model_path))[0].dictionary_encode().dictionary
-            yield pa.RecordBatch.from_arrays([pa.array(cache.of(found.to_pylist()).view(np.int64)), found], ["h", "segment"])
+            flat = segments_of(batch.column("text"), vocabulary(model_path))[0]
+            met, first = np.unique(hash_words(flat), return_index=True)
+            yield pa.RecordBatch.from_arrays([pa.array(met.view(np.int64)), flat.take(pa.array(first))], ["h", "segment"])
 
     segments = scratch.table(texts.mapInArrow(distinct, "h long, segment string").distinct(), "segments")
     bits = max(3, int(np.ceil(np.log2(max(1, segments.count()) / SHARD_SEGMENTS))))
@@ -290,12 +291,10 @@ def encode_nbest(docs: DataFrame, model_path: str, n: int = N_BEST, with_ids: bo
     table = build_table(texts.where("text is not null").select("text"), Scratch(docs.sparkSession, "nbest"), model_path, n)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = HashCache()
         for batch in slices(batches, "text"):
             flat, starts = segments_of(batch.column("text"), vocabulary(model_path))
-            coded = flat.dictionary_encode()
-            use = coded.indices.to_numpy()
-            best, gaps, count, begins, ids = table.look_up(cache.of(coded.dictionary.to_pylist()), n)
+            met, use = np.unique(hash_words(flat), return_inverse=True)
+            best, gaps, count, begins, ids = table.look_up(met, n)
             size = count[:, 0][use]
             ends = np.concatenate(([0], np.cumsum(size)))
             every = ids[_ranges(begins[:, 0][use], size)]

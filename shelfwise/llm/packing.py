@@ -15,7 +15,6 @@ pieces; an empty table gives no pieces; further columns are not looked at.
 
 from __future__ import annotations
 
-import itertools
 import os
 import zlib
 from array import array
@@ -27,7 +26,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfwise.llm.common import slices, words_of
+from shelfwise.llm.common import hash_words, slices, words_of
 from shelfwise.session import ship
 
 TOKENIZER = "word_bpe_49k.json"
@@ -35,8 +34,6 @@ MAX_LEN = 2048
 END_ID = 1
 #: Words whose ids a Python worker remembers.
 CACHE_WORDS = 800_000
-#: Bytes of text that a worker cuts at once; the more, the fewer words are looked up twice.
-TEXT_BYTES = 11 << 20
 
 #: The tokenizer always parts a letter from these marks, so a space may part them before it does.
 _LETTER, _MARK = r"([A-Za-z\x{C0}-\x{D6}\x{D8}-\x{F6}\x{F8}-\x{24F}])", "([.,!?;:])"
@@ -45,7 +42,11 @@ _encoders: dict[str, "WordEncoder"] = {}
 
 
 class WordEncoder:
-    """Ids of words.  The tokenizer drops white space and never joins what it parts, so words stand alone."""
+    """Ids of words.  The tokenizer drops white space and never joins what it parts, so words stand alone.
+
+    Words are told apart by 64-bit hashes; the ids of those met last are remembered in
+    arrays, sorted by hash.
+    """
 
     def __init__(self, path: str, limit: int = CACHE_WORDS):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -53,20 +54,26 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.limit = limit
-        self.known: dict[str, bytes] = {}
-
-    def ids(self, words: list[str]) -> list[bytes]:
-        """Unsigned 32-bit ids of each word, in the machine's byte order.  The older half of too many known words is forgotten."""
-        known = self.known
-        if len(known) > self.limit:
-            known = self.known = dict(itertools.islice(known.items(), len(known) // 2, None))
-        out = list(map(known.get, words))
-        unseen = [i for i, got in enumerate(out) if got is None]
-        for at in range(0, len(unseen), 4_000):
-            part = unseen[at : at + 4_000]
-            for i, e in zip(part, self.tokenizer.encode_batch_fast([words[i] for i in part], add_special_tokens=False)):
-                out[i] = known[words[i]] = array("I", e.ids).tobytes()
-        return out
+        self.keys, self.begin, self.count = np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64)
+        self.flat = np.empty(0, np.uint32)
+
+    def _learn(self, keys: np.ndarray, words: list[str]) -> None:
+        """Remember the ids of words that are not known; the older half of too many goes first."""
+        if len(self.keys) + len(keys) > self.limit and len(self.keys):
+            cut = int(np.median(self.begin))
+            young = self.begin >= cut
+            self.flat, self.keys, self.begin, self.count = self.flat[cut:], self.keys[young], self.begin[young] - cut, self.count[young]
+        ids, count = array("I"), []
+        for at in range(0, len(words), 4_000):
+            for e in self.tokenizer.encode_batch_fast(words[at : at + 4_000], add_special_tokens=False):
+                ids.extend(e.ids)
+                count.append(len(e.ids))
+        counts = np.asarray(count, np.int64)
+        begin = len(self.flat) + np.cumsum(counts) - counts
+        self.flat = np.concatenate((self.flat, np.frombuffer(ids, np.uint32))) if ids else self.flat
+        every = np.concatenate((self.keys, keys))
+        order = np.argsort(every)
+        self.keys, self.begin, self.count = every[order], np.concatenate((self.begin, begin))[order], np.concatenate((self.count, counts))[order]
 
     def texts(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, and where each text's ids begin (one more at the end)."""
@@ -74,16 +81,20 @@ class WordEncoder:
         words, starts = words_of(pc.replace_substring_regex(texts, _MARK + _LETTER, r"\1 \2"))
         if not len(words):
             return np.empty(0, np.uint32), np.zeros(len(texts) + 1, np.int64)
-        coded = words.dictionary_encode()
-        parts = self.ids(coded.dictionary.to_pylist())
-        flat = np.frombuffer(b"".join(parts), np.uint32)
-        lengths = np.fromiter(map(len, parts), np.int64, len(parts)) // 4
-        begins = np.cumsum(lengths) - lengths
-        use = coded.indices.to_numpy()
-        each = lengths[use]
+        met, first, use = np.unique(hash_words(words), return_index=True, return_inverse=True)
+        place = np.minimum(np.searchsorted(self.keys, met), max(0, len(self.keys) - 1))
+        unseen = np.flatnonzero(self.keys[place] != met) if len(self.keys) else np.arange(len(met))
+        if len(unseen):
+            self._learn(met[unseen], words.take(pa.array(first[unseen])).to_pylist())
+            place = np.minimum(np.searchsorted(self.keys, met), len(self.keys) - 1)
+            gone = np.flatnonzero(self.keys[place] != met)
+            if len(gone):  # known before, but just forgotten
+                self._learn(met[gone], words.take(pa.array(first[gone])).to_pylist())
+                place = np.searchsorted(self.keys, met)
+        each = self.count[place][use]
         ends = np.cumsum(each)
-        take = np.arange(int(ends[-1])) + np.repeat(begins[use] - (ends - each), each)
-        return flat[take], np.concatenate(([0], ends))[starts]
+        take = np.arange(int(ends[-1])) + np.repeat(self.begin[place][use] - (ends - each), each)
+        return self.flat[take], np.concatenate(([0], ends))[starts]
 
 
 def encoder(path: str) -> WordEncoder:
@@ -112,7 +123,7 @@ def pack(docs: DataFrame, tokenizer_path: str, max_len: int = MAX_LEN, end_id: i
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(tokenizer_path)
         end = np.asarray([end_id], "<u4").tobytes()
-        for batch in slices(batches, "text", TEXT_BYTES):
+        for batch in slices(batches, "text"):
             flat, starts = enc.texts(batch.column("text"))
             owner, start, length, crc, total, ids = [], [], [], [], [], []
             for d in range(batch.num_rows):
