@@ -35,6 +35,15 @@ def brand_from_name(name: Column, look_at: int = 2) -> Column:
     return F.transform(F.slice(fit, 1, 1), _alias)
 
 
+def source_brand(group: Column, name: Column) -> Column:
+    """struct(tokens, label): brand tokens of the group text and its text; where it has none, the brand that opens the name."""
+    hint, opening = brand_tokens(group), brand_from_name(name)
+    none = F.struct(F.array().cast("array<string>").alias("tokens"), F.lit("").alias("label"))
+    of_group = F.struct(hint.alias("tokens"), F.trim(group.cast("string")).alias("label"))
+    of_name = F.struct(opening.alias("tokens"), F.array_join(opening, ", ").alias("label"))
+    return F.when(F.size(hint) > 0, of_group).when(F.size(opening) > 0, of_name).otherwise(none)
+
+
 def brands_overlap(a: Column, b: Column, min_length: int = 5) -> Column:
     """Whether a token of ``a`` equals one of ``b``, or, both being long enough, contains it or shares its first ``min_length`` characters."""
     long = lambda x, y: (F.char_length(x) >= min_length) & (F.char_length(y) >= min_length)

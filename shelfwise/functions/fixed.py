@@ -40,20 +40,41 @@ BRAND_ALIASES = {
     "MC": "MCCAIN", "MCCAINS": "MCCAINS", "CG": "CALIFORNIA GARDEN",
 }
 
-NOT_BRANDS = (
-    "FRESH FROZEN PREMIUM NATURAL ORGANIC PURE WHOLE GRILLED ROASTED SMOKED BAKED CHILLED DRIED CANNED HOT COLD "
-    "MINI MAXI SUPER EXTRA LIGHT GREEN RED WHITE BLUE BLACK YELLOW BROWN BIG SMALL MED NEW OLD CV EA KG GR GM ML "
-    "CH BRZ BRAZIL AMERICAN SF BK F FV BREADED JUMBO SLICED SLICE STUFFED STRIPS NUGGETS CHICKEN BEEF FISH CHEESE "
-    "TEA COFFEE JUICE WATER OIL RICE PASTA LOCAL BRAND NONE NAN CHOCOLATE CHOCO VANILLA STRAWBERRY RASPBERRY "
-    "BLUEBERRY ORANGE LEMON MANGO PINEAPPLE BANANA APPLE PEACH CHERRY MINT CARAMEL COCOA HONEY PLAIN SPICY SWEET "
-    "SOUR SALT PEPPER FLOUR SUGAR MILK CREAM YOGURT BUTTER GHEE BREAD CAKE COOKIES BISCUIT BISCUITS WAFER CRISPY "
-    "CRUNCHY DELUXE CLASSIC STANDARD REGULAR FULL HALF QUARTER WS AL EL BIN IBN ABU UM AA"
-).split()
+NOT_BRANDS = [
+    "FRESH", "FROZEN", "PREMIUM", "NATURAL", "ORGANIC", "PURE", "WHOLE", "GRILLED", "ROASTED", "SMOKED",
+    "BAKED", "CHILLED", "DRIED", "CANNED", "HOT", "COLD", "MINI", "MAXI", "SUPER", "EXTRA", "LIGHT", "GREEN",
+    "RED", "WHITE", "BLUE", "BLACK", "YELLOW", "BROWN", "BIG", "SMALL", "MED", "NEW", "OLD", "CV", "EA", "KG",
+    "GR", "GM", "ML", "CH", "BRZ", "BRAZIL", "AMERICAN", "SF", "BK", "F", "FV", "BREADED", "JUMBO", "SLICED",
+    "SLICE", "STUFFED", "STRIPS", "NUGGETS", "CHICKEN", "BEEF", "FISH", "CHEESE", "TEA", "COFFEE", "JUICE",
+    "WATER", "OIL", "RICE", "PASTA", "LOCAL", "BRAND", "NONE", "NAN", "CHOCOLATE", "CHOCO", "VANILLA",
+    "STRAWBERRY", "RASPBERRY", "BLUEBERRY", "ORANGE", "LEMON", "MANGO", "PINEAPPLE", "BANANA", "APPLE", "PEACH",
+    "CHERRY", "MINT", "CARAMEL", "COCOA", "HONEY", "PLAIN", "SPICY", "SWEET", "SOUR", "SALT", "PEPPER", "FLOUR",
+    "SUGAR", "MILK", "CREAM", "YOGURT", "BUTTER", "GHEE", "BREAD", "CAKE", "COOKIES", "BISCUIT", "BISCUITS",
+    "WAFER", "CRISPY", "CRUNCHY", "DELUXE", "CLASSIC", "STANDARD", "REGULAR", "FULL", "HALF", "QUARTER", "WS",
+    "AL", "EL", "BIN", "IBN", "ABU", "UM", "AA",
+]
+
+STOP_WORDS = [
+    "AND", "OR", "THE", "OF", "IN", "FOR", "WITH", "A", "AN", "FRESH", "FROZEN", "CHILLED", "CANNED", "DRIED",
+    "WHOLE", "HALF", "SLICED", "MIXED", "ASSORTED", "PRODUCT", "PRODUCTS", "ITEM", "OTHER", "MISC",
+]
+
+#: Words that may stand before the brand that a description opens with.
+LEADING_SKIP_TOKENS = [
+    "FZ", "CH", "FR", "SF", "BF", "KW", "JOR", "UAE", "USA", "AUS", "BRZ", "IND", "UK", "NZ", "KSA", "IQF", "RTE", "RTC", "WHL",
+    "BL", "SL", "BNLS", "SKLS", "IH", "CKN", "CHK", "BF", "LMB", "MTN", "VL", "POL", "ARG", "PLND", "TUR", "CHINA", "RUS", "OMN",
+    "QAR", "THAI", "KOREAN", "GEO", "S.", "S", "CO", "CO.", "FZN",
+]
 
-STOP_WORDS = (
-    "AND OR THE OF IN FOR WITH A AN FRESH FROZEN CHILLED CANNED DRIED WHOLE HALF SLICED MIXED ASSORTED PRODUCT "
-    "PRODUCTS ITEM OTHER MISC"
-).split()
+#: Abbreviations of brands in retail texts.
+RETAIL_BRANDS = {
+    "ame": "americana", "amc": "americana", "amcana": "americana", "amcn": "americana", "ame.": "americana", "amer": "americana",
+    "cg": "california garden", "cal garden": "california garden", "cal": "california garden", "gg": "green giant", "g5": "green giant",
+    "bc": "betty crocker", "ld": "london dairy", "londondairy": "london dairy", "l/d": "london dairy", "oep": "old el paso",
+    "kdc": "kdd", "kd": "kdd", "banetti": "panzani", "sparoni": "panzani", "panz": "panzani", "siella": "sirella",
+    "zawan": "zwan", "zwdh": "zwan", "bb": "butterball", "hershey's": "hershey", "cadburys": "cadbury", "indian gate": "india gate",
+    "prsdnt": "president", "nurjuhan": "nurjahan", "frmland": "farmland",
+}
 
 #: Words of one group that differ between two names mark two different products.
 VARIANT_GROUPS = [
@@ -119,15 +140,21 @@ RETAIL_WORDS = [
     (r"\b(gr|gm)\b", "g"), (r"\bmedamma[s]?\b", "foul"), (r"\bcalrose\b", "jasmine"), (r"\b(sella|rozana)\b", "basmati"),
     (r"\bprsdnt\b", "president"), (r"\bcadburys\b", "cadbury"), (r"\bsaralee\b", "sara lee"), (r"\b(ec|qnie|new)\b", ""),
 ]
-RETAIL_STOP_WORDS = (
-    "the a an and or of in for with by from to at on is are new original premium special classic natural fresh pure "
-    "extra super ultra mini big large small best real true fine frozen chilled hot spicy crispy crunchy regular light "
-    "full fat low rich deluxe assorted asstd asst prm prem std alu tetra cpd chopped whole sliced shredded diced minced "
-    "bottle jar tub pouch family traditional artisan sugar lean skimmed piece stem chunk strip sachet squeeze spray "
-    "drinking mineral spring purified organic bio homestyle kids junior baby adult promo offer deal halal kosher vegan "
-    "vegetarian gold silver platinum bronze smoked roasted grilled baked boiled cooked marinated seasoned unseasoned breaded"
-).split()
-NAME_STOP_WORDS = "of the a an and or with for in on at to by new fresh".split()
+RETAIL_STOP_WORDS = [
+    "the", "a", "an", "and", "or", "of", "in", "for", "with", "by", "from", "to", "at", "on", "is", "are",
+    "new", "original", "premium", "special", "classic", "natural", "fresh", "pure", "extra", "super", "ultra",
+    "mini", "big", "large", "small", "best", "real", "true", "fine", "frozen", "chilled", "hot", "spicy",
+    "crispy", "crunchy", "regular", "light", "full", "fat", "low", "rich", "deluxe", "assorted", "asstd",
+    "asst", "prm", "prem", "std", "alu", "tetra", "cpd", "chopped", "whole", "sliced", "shredded", "diced",
+    "minced", "bottle", "jar", "tub", "pouch", "family", "traditional", "artisan", "sugar", "lean", "skimmed",
+    "piece", "stem", "chunk", "strip", "sachet", "squeeze", "spray", "drinking", "mineral", "spring",
+    "purified", "organic", "bio", "homestyle", "kids", "junior", "baby", "adult", "promo", "offer", "deal",
+    "halal", "kosher", "vegan", "vegetarian", "gold", "silver", "platinum", "bronze", "smoked", "roasted",
+    "grilled", "baked", "boiled", "cooked", "marinated", "seasoned", "unseasoned", "breaded",
+]
+NAME_STOP_WORDS = [
+    "of", "the", "a", "an", "and", "or", "with", "for", "in", "on", "at", "to", "by", "new", "fresh",
+]
 
 TIMESTAMP_FORMATS = [
     "M/d/yy H:mm", "M/d/yyyy H:mm", "M/d/yy HH:mm", "M/d/yyyy HH:mm", "M/d/yy H:mm:ss", "M/d/yyyy H:mm:ss",

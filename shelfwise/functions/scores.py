@@ -59,12 +59,20 @@ def token_set_ratio(a: str, b: str) -> float:
 
 
 def partial_ratio(a: str, b: str) -> float:
-    """Best ratio of the shorter string against every window of its length, windows cut off at the ends included."""
+    """Best ratio of the shorter string against every window of its length, windows cut off at the ends included.
+
+    Of two strings of one length each is taken for the shorter one.
+    """
     short, long = (a, b) if len(a) <= len(b) else (b, a)
     if not short:
         return 100.0 if not long else 0.0
     if short in long:
         return 100.0
+    best = _best_window(short, long)
+    return max(best, _best_window(long, short)) if len(short) == len(long) else best
+
+
+def _best_window(short: str, long: str) -> float:
     m, best = len(short), 0.0
     letters = set(short)
     for end in range(1, len(long) + m):

@@ -158,6 +158,13 @@ def extract_brand(norm: Column, known: list[str], aliases: dict[str, str] | None
     return F.coalesce(attempt(3), attempt(2), attempt(1), none)
 
 
+def brands_match(a: Column, b: Column, ratio: Column, aliases: dict[str, str] | None = None, least: float = 85.0) -> Column:
+    """Whether two brands are one: equal, of one alias, or close; ``ratio`` is that of the two without spaces.  False for null."""
+    table = F.create_map(*[F.lit(x) for pair in (aliases or fixed.RETAIL_BRANDS).items() for x in pair])
+    full = lambda c: F.coalesce(F.try_element_at(table, c), c)
+    return F.coalesce((a == b) | (full(a) == full(b)) | (ratio >= least), F.lit(False))
+
+
 def hint_text(*columns: Column) -> Column:
     """Filled columns, joined by ' | '."""
     return F.concat_ws(" | ", *[blank_to_null(c) for c in columns])

@@ -75,35 +75,35 @@ def ask(questions: DataFrame, judge: Judge, fields: list[str], batch: int = 6, b
 
     Equal questions are asked once.  A batch whose answers do not match in number, or that
     fails in every attempt, gives nulls with the error, so a later run asks again.
-    ``budget`` bounds the batches of a task.
+    ``budget`` bounds the questions of the whole run: the first ones by a hash of the
+    question are asked, the rest get the error "budget".
     """
     ship(questions.sparkSession)
     key = F.sha2(F.to_json(F.struct(*fields)), 256)
     keyed = questions.withColumn("_key", key)
     distinct = keyed.select("_key", *fields).dropDuplicates(["_key"])
+    over = None
+    if budget is not None:
+        asked = distinct.orderBy("_key").limit(budget)
+        over = distinct.join(asked.select("_key"), "_key", "left_anti").select("_key", F.lit(None).cast("string").alias("verdict"), F.lit(None).cast("double").alias("confidence"), F.lit("budget").alias("error"))
+        distinct = asked
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        used = 0
         for frame in frames:
             for at in range(0, len(frame), batch):
                 part = frame.iloc[at : at + batch]
-                answers, error = [{}] * len(part), None
-                if budget is not None and used >= budget:
-                    error = "budget"
-                else:
-                    used += 1
-                    rows = part[fields].to_dict("records")
-
-                    def call(rows: list[dict] = rows) -> list[dict]:
-                        got = judge.answer(rows)
-                        if len(got) != len(rows):
-                            raise ValueError(f"{len(got)} answers to {len(rows)} questions")
-                        return got
-
-                    try:
-                        answers = with_backoff(call, attempts, 0.01, 1.0)
-                    except CallFailed as e:
-                        error = str(e)
+                answers, error, rows = [{}] * len(part), None, part[fields].to_dict("records")
+
+                def call(rows: list[dict] = rows) -> list[dict]:
+                    got = judge.answer(rows)
+                    if len(got) != len(rows):
+                        raise ValueError(f"{len(got)} answers to {len(rows)} questions")
+                    return got
+
+                try:
+                    answers = with_backoff(call, attempts, 0.01, 1.0)
+                except CallFailed as e:
+                    error = str(e)
                 yield pd.DataFrame(
                     {
                         "_key": part["_key"].to_numpy(),
@@ -114,6 +114,7 @@ def ask(questions: DataFrame, judge: Judge, fields: list[str], batch: int = 6, b
                 )
 
     made = distinct.mapInPandas(run, "_key string, verdict string, confidence double, error string")
+    made = made if over is None else made.unionByName(over)
     return keyed.select("row_id", "_key").join(made, "_key").drop("_key")
 
 
@@ -129,3 +130,47 @@ def second_opinion(first: DataFrame, second: DataFrame, least: float = 60.0) ->
     s = second.select("row_id", F.col("verdict").alias("_v"), F.col("confidence").alias("_c"))
     agreed = (F.col("verdict") == F.col("_v")) & (F.col("_c") >= least)
     return first.join(s, "row_id", "left").withColumn("verified", F.coalesce(agreed, F.lit(False))).drop("_v", "_c")
+
+
+class OverlapPicker:
+    """Deterministic stand-in for a model that picks one of a row's candidates: the one that shares most words with it."""
+
+    def answer(self, questions: list[dict]) -> list[dict]:
+        out = []
+        for q in questions:
+            asked = set(str(q["asked"] or "").upper().split())
+            shared = [len(asked & set(str(c["name"] or "").upper().split())) for c in q["candidates"]]
+            best = max(range(len(shared)), key=lambda i: (shared[i], -i), default=None)
+            sure = best is not None and shared[best] > 0
+            out.append({"match_index": best + 1 if sure else None, "confidence": round(100 * shared[best] / len(asked)) if sure else 0})
+        return out
+
+
+def pick_candidates(asked: DataFrame, candidates: DataFrame, judge: Judge, most: int = 5, attempts: int = 3) -> DataFrame:
+    """(row_id, src_id, confidence, error): the one of a row's candidates that the judge picks.
+
+    ``asked``: row_id, name; ``candidates``: row_id, src_id, name, rank (the ``most`` first
+    ones are shown).  The judge gets the name and the list and answers match_index (from 1,
+    null for none) and confidence; an index outside the list is none.  A call that fails in
+    every attempt leaves nulls with the error.
+    """
+    ship(asked.sparkSession)
+    shown = candidates.where(F.col("rank") <= most).groupBy("row_id").agg(F.array_sort(F.collect_list(F.struct("rank", "src_id", "name"))).alias("candidates"))
+    questions = asked.select("row_id", F.col("name").alias("asked")).join(shown, "row_id")
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            rows = []
+            for r in frame.itertuples():
+                listed = [dict(c) if isinstance(c, dict) else c.asDict() for c in r.candidates]
+                try:
+                    got = with_backoff(lambda r=r, listed=listed: judge.answer([{"asked": r.asked, "candidates": listed}])[0], attempts, 0.01, 1.0)
+                    at, error = got.get("match_index"), None
+                    at = int(at) - 1 if isinstance(at, (int, float, str)) and str(at).lstrip("-").isdigit() and 1 <= int(at) <= len(listed) else None
+                    confidence = float(got.get("confidence") or 0)
+                except CallFailed as e:
+                    at, confidence, error = None, None, str(e)
+                rows.append((r.row_id, None if at is None else listed[at]["src_id"], confidence, error))
+            yield pd.DataFrame(rows, columns=["row_id", "src_id", "confidence", "error"]).astype({"src_id": "Int64"})
+
+    return questions.mapInPandas(run, "row_id long, src_id long, confidence double, error string")

@@ -6,6 +6,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from shelfwise.functions import fixed
 from shelfwise.functions.brand import brand_key
 from shelfwise.functions.scores import score
 from shelfwise.functions.text import ngrams, tight, words
@@ -146,51 +147,109 @@ def group_consensus(confirmed: DataFrame, group: str, generic: list[str], row_id
     return weighted_consensus(rows, group, "brand", F.coalesce(F.try_element_at(table, F.col("brand_method")), F.lit(1)), row_id, share)
 
 
-def _grams(rows: DataFrame, row_id: str, text: Column, most: int, generic: list[str]) -> DataFrame:
-    found = rows.select(F.col(row_id).alias("row_id"), F.explode(ngrams(words(text), most)).alias("g")).select("row_id", "g.*")
+def _grams(rows: DataFrame, row_id: str, tokens: Column, most: int, generic: list[str]) -> DataFrame:
+    """(row_id, start, n, gram, key) of the runs of words that are not all generic."""
+    found = rows.select(F.col(row_id).alias("row_id"), F.explode(ngrams(tokens, most)).alias("g")).select("row_id", "g.*")
     return found.where(~all_generic(F.split("gram", " "), generic)).withColumn("key", tight(F.col("gram")))
 
 
+def skipped_words(tokens: Column, most: int = 3) -> Column:
+    """How many of the first ``most`` words are such as stand before a brand, up to the first that is none."""
+    count = F.lit(0)
+    for i in reversed(range(most)):
+        count = F.when(F.coalesce(F.get(tokens, F.lit(i)).isin(fixed.LEADING_SKIP_TOKENS), F.lit(False)), count + 1).otherwise(0)
+    return count
+
+
+def claimed(spans: Column) -> Column:
+    """Those of the spans (less, start, brand, gram, n) in order that share no word with one taken before."""
+    none = F.struct(F.array().cast("array<int>").alias("words"), F.array().cast("array<struct<brand:string,gram:string>>").alias("found"))
+
+    def take(acc: Column, x: Column) -> Column:
+        own = F.sequence(x["start"], x["start"] + x["n"] - 1)
+        more = F.struct(F.concat(acc["words"], own).alias("words"), F.concat(acc["found"], F.array(F.struct(x["brand"].alias("brand"), x["gram"].alias("gram")))).alias("found"))
+        return F.when(F.arrays_overlap(acc["words"], own), acc).otherwise(more)
+
+    return F.aggregate(spans, none, take)["found"]
+
+
 def resolve_brands(rows: DataFrame, dictionary: DataFrame, consensus: DataFrame, generic: list[str], row_id: str, group: str, text: str, most: int = 4) -> DataFrame:
-    """(row_id, brand, method, evidence) by a cascade: group consensus, longest known brand in the group text, in the opening
-    words of the text, anywhere in the text; several different brands there are ambiguous and UNKNOWN."""
-    longest = Window.partitionBy("row_id").orderBy(F.char_length("gram").desc(), "start")
-    hit = lambda grams: grams.join(dictionary.select("key", "brand"), "key")
-    best = lambda df: df.withColumn("_r", F.row_number().over(longest)).where("_r = 1").select("row_id", "brand", F.col("gram").alias("evidence"))
-    base = rows.select(F.col(row_id).alias("row_id"), F.col(group).alias("_group"))
-    a1 = base.join(consensus.select(F.col(group).alias("_group"), "brand"), "_group").select("row_id", "brand", F.col("_group").alias("evidence"))
-    a2 = best(hit(_grams(rows, row_id, F.col(group), most, generic)))
-    text_grams = hit(_grams(rows, row_id, F.col(text), most, generic))
-    b = best(text_grams.where("start = 0"))
-    clean = text_grams.where(~F.exists(F.split("gram", " "), lambda w: w.rlike("^[0-9]+[A-Z]{0,4}$")) & (F.char_length("key") >= 3))
-    spans = clean.select("row_id", "brand", "gram", "start", (F.col("start") + F.col("n")).alias("stop"))
-    wider = spans.select("row_id", F.col("start").alias("s2"), F.col("stop").alias("e2"))
-    inner = spans.join(wider, "row_id").where("s2 <= start and stop <= e2 and (e2 - s2) > (stop - start)").select("row_id", "start", "stop").distinct()
-    outer = spans.join(inner, ["row_id", "start", "stop"], "left_anti")
-    c = outer.groupBy("row_id").agg(F.min("brand").alias("lo"), F.max("brand").alias("hi"), F.min("gram").alias("evidence"))
-    steps = [("group_consensus", a1), ("group_text", a2), ("text_opening", b)]
-    out, names = base.select("row_id"), []
-    for i, (name, found) in enumerate(steps):
-        out = out.join(found.select("row_id", F.struct(F.col("brand"), F.lit(name).alias("method"), F.col("evidence")).alias(f"_x{i}")), "row_id", "left")
-        names.append(F.col(f"_x{i}"))
-    same = F.struct(F.col("lo").alias("brand"), F.lit("text_scan").alias("method"), F.col("evidence"))
-    many = F.struct(F.lit("UNKNOWN").alias("brand"), F.lit("ambiguous").alias("method"), F.col("evidence"))
-    out = out.join(c.select("row_id", F.when(F.col("lo") == F.col("hi"), same).otherwise(many).alias("_x3")), "row_id", "left")
+    """(row_id, brand, method, evidence) by a cascade.
+
+    Group consensus; the whole group text as a known brand, else the longest one in it; the
+    longest known brand that opens the text, then that opens it behind up to three skipped
+    words; known brands anywhere in the text, the longer first, each where no word is taken
+    by one before it: one brand counts, several are ambiguous and UNKNOWN.
+    """
+    known = dictionary.select("key", "brand")
+    base = rows.select(F.col(row_id).alias("row_id"), F.col(group).alias("_group"), words(F.col(group)).alias("_gw"), words(F.col(text)).alias("_tw"))
+    longest = lambda order: F.min_by(F.struct("brand", "gram"), F.struct(*order))
+    a1 = base.join(consensus.select(F.col(group).alias("_group"), "brand"), "_group").select("row_id", F.struct("brand", F.col("_group").alias("evidence")).alias("x"))
+    whole = base.where(~all_generic(F.col("_gw"), generic)).select("row_id", "_group", tight(F.col("_group")).alias("key")).join(known, "key")
+    whole = whole.select("row_id", F.struct("brand", F.trim("_group").alias("evidence")).alias("x"))
+    inside = _grams(base, "row_id", F.col("_gw"), most, generic).join(known, "key")
+    inside = inside.groupBy("row_id").agg(longest([-F.char_length("gram"), -F.col("n"), "start"]).alias("y")).join(base.select("row_id", "_group"), "row_id")
+    inside = inside.select("row_id", F.struct("y.brand", F.trim("_group").alias("evidence")).alias("x"))
+    hits = _grams(base, "row_id", F.col("_tw"), most, generic).join(known, "key")
+    skipped = base.select("row_id", skipped_words(F.col("_tw")).alias("skip"))
+    opening = hits.join(skipped, "row_id").where((F.col("start") == 0) | (F.col("start") == F.col("skip")))
+    opening = opening.groupBy("row_id").agg(longest(["start", -F.col("n")]).alias("y")).select("row_id", F.struct("y.brand", F.col("y.gram").alias("evidence")).alias("x"))
+    clean = hits.where(~F.exists(F.split("gram", " "), lambda w: w.rlike("^[0-9]+[A-Z]{0,4}$")) & (F.char_length("key") >= 3))
+    first = clean.groupBy("row_id", "gram", "brand", "n").agg(F.min("start").alias("start"))
+    taken = first.groupBy("row_id").agg(claimed(F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("less"), "start", "brand", "gram", "n")))).alias("found"))
+    names = F.array_distinct(F.transform("found", lambda x: x["brand"]))
+    best = lambda b: F.array_min(F.transform(F.filter("found", lambda x: x["brand"] == b), lambda x, i: F.struct((-F.char_length(x["gram"])).alias("less"), i.alias("i"), x["gram"].alias("gram"))))["gram"]
+    one = F.struct(F.get(names, F.lit(0)).alias("brand"), F.lit("text_scan").alias("method"), best(F.get(names, F.lit(0))).alias("evidence"))
+    several = F.array_join(F.transform(names, lambda b: F.concat(b, F.lit("~"), best(b))), "; ")
+    many = F.struct(F.lit("UNKNOWN").alias("brand"), F.lit("ambiguous").alias("method"), several.alias("evidence"))
+    out, picked = base.select("row_id"), []
+    for i, (name, found) in enumerate((("group_consensus", a1), ("group_text", whole), ("group_text", inside), ("text_opening", opening))):
+        named = F.struct(F.col("x.brand").alias("brand"), F.lit(name).alias("method"), F.col("x.evidence").alias("evidence"))
+        out = out.join(found.select("row_id", named.alias(f"_x{i}")), "row_id", "left")
+        picked.append(F.col(f"_x{i}"))
+    out = out.join(taken.select("row_id", F.when(F.size(names) == 1, one).otherwise(many).alias("_scan")), "row_id", "left")
     none = F.struct(F.lit("UNKNOWN").alias("brand"), F.lit("unresolved").alias("method"), F.lit("").alias("evidence"))
-    return out.select("row_id", F.coalesce(*names, F.col("_x3"), none).alias("x")).select("row_id", "x.*")
+    return out.select("row_id", F.coalesce(*picked, F.col("_scan"), none).alias("x")).select("row_id", "x.*")
 
 
-def guess_by_rule(rows: DataFrame, brands: DataFrame, row_id: str, name: str, least: float = 90.0, min_length: int = 5) -> DataFrame:
-    """(row_id, brand, how): a known brand that opens the name with three, two or one words; else the closest by token-sort ratio among those with the same first two letters."""
-    known = brands.select(tight(F.col("brand")).alias("key"), "brand").groupBy("key").agg(F.min("brand").alias("brand"))
-    w = words(F.col(name))
-    opened = rows.select(F.col(row_id).alias("row_id"), F.explode(F.array(*[F.struct(F.lit(n).alias("n"), F.array_join(F.slice(w, 1, n), "").alias("key")) for n in (3, 2, 1)])).alias("x"))
-    exact = opened.select("row_id", "x.n", "x.key").join(known, "key")
-    exact = exact.groupBy("row_id").agg(F.max_by("brand", "n").alias("brand")).withColumn("how", F.lit("exact"))
-    rest = rows.select(F.col(row_id).alias("row_id"), tight(F.get(w, F.lit(0))).alias("first")).join(exact, "row_id", "left_anti").where(F.char_length("first") >= min_length)
-    pairs = rest.join(known.where(F.char_length("key") >= min_length), F.substring("first", 1, 2) == F.substring("key", 1, 2))
-    scored = pairs.withColumn("score", score("token_sort", F.col("first"), F.col("key"))).where(F.col("score") >= least)
-    fuzzy = scored.groupBy("row_id").agg(F.max_by("brand", F.struct("score", F.col("brand"))).alias("brand")).withColumn("how", F.lit("fuzzy"))
-    return exact.unionByName(fuzzy)
+def close_texts(asked: DataFrame, known: DataFrame, least: float) -> DataFrame:
+    """(asked, known): every pair of texts (columns of these names) whose ratio can reach ``least``, by an equi-join.
+
+    A ratio of at least ``least`` allows d = (1 - least / 100) * (sum of lengths) letters put
+    in or left out.  If a known text is cut into d + 1 parts, one of them stands unchanged in
+    the other text, moved by d places at most.  So no pair is lost.
+    """
+    slack = 1 - least / 100
+    most = lambda n: F.floor(n * (2 * slack / (1 - slack)) + 1e-9).cast("int")  # noqa: E731  for the longest partner of a text of n letters
+    n, i = F.char_length("known"), F.col("i")
+    parts = known.select("known", n.alias("size"), F.explode(F.sequence(F.lit(0), most(n))).alias("i"))
+    edge = lambda k: F.floor(k * F.col("size") / (most(F.col("size")) + 1)).cast("int")
+    parts = parts.select("known", "size", "i", F.substring(F.col("known"), edge(i) + 1, edge(i + 1) - edge(i)).alias("part"))
+    m = F.char_length("asked")
+    low, high = F.ceil(m * (1 - slack) / (1 + slack) - 1e-9).cast("int"), F.floor(m * (1 + slack) / (1 - slack) + 1e-9).cast("int")
+    probes = asked.select("asked", F.explode(F.sequence(F.greatest(low, F.lit(1)), high)).alias("size"))
+    probes = probes.select("asked", "size", F.explode(F.sequence(F.lit(0), most(F.col("size")))).alias("i"))
+    probes = probes.select("asked", "size", "i", F.explode(F.sequence(-most(F.col("size")), most(F.col("size")))).alias("move"))
+    at, long = edge(i) + F.col("move"), edge(i + 1) - edge(i)
+    probes = probes.where((at >= 0) & (at + long <= m)).select("asked", "size", "i", F.substring(F.col("asked"), at + 1, long).alias("part")).distinct()
+    return probes.join(parts, ["size", "i", "part"]).select("asked", "known").distinct()
 
 
+def guess_by_rule(rows: DataFrame, brands: DataFrame, row_id: str, name: str, least: float = 90.0, min_length: int = 5) -> DataFrame:
+    """(row_id, brand, how, score): the known brand that the first three, two or one words of the name are; else the closest
+    by token-sort ratio to its first two words (or the only one), from ``least`` on, ties to the first in order."""
+    known = brands.select(F.upper(F.trim("brand")).alias("brand")).where("brand <> ''").distinct()
+    w = F.regexp_extract_all(F.upper(F.coalesce(F.col(name), F.lit(""))), F.lit("([A-Z0-9']+)"), 1)
+    start = lambda k: F.array_join(F.slice(w, 1, k), " ")
+    opened = rows.select(F.col(row_id).alias("row_id"), F.explode(F.array(*[F.struct(F.lit(k).alias("n"), F.when(F.size(w) >= k, start(k)).alias("brand")) for k in (3, 2, 1)])).alias("x"))
+    exact = opened.select("row_id", "x.*").join(known, "brand")
+    exact = exact.groupBy("row_id").agg(F.max_by("brand", "n").alias("brand")).withColumns({"how": F.lit("exact"), "score": F.lit(100.0)})
+    rest = rows.select(F.col(row_id).alias("row_id"), start(2).alias("cand")).join(exact, "row_id", "left_anti").where(F.char_length("cand") >= min_length)
+    in_order = lambda c: F.array_join(F.array_sort(F.filter(F.split(c, r"\s+"), lambda x: x != "")), " ")
+    asked = rest.select("cand", in_order("cand").alias("asked")).distinct()
+    pool = known.where(F.char_length("brand") >= min_length).select("brand", in_order("brand").alias("known"))
+    pairs = close_texts(asked.select("asked").distinct(), pool.select("known").distinct(), least)
+    scored = pairs.withColumn("score", score("ratio", F.col("asked"), F.col("known"))).where(F.col("score") >= least)
+    best = scored.join(pool, "known").groupBy("asked").agg(F.min_by(F.struct("brand", "score"), F.struct(-F.col("score"), "brand")).alias("x"))
+    fuzzy = rest.join(asked, "cand").join(best, "asked").select("row_id", "x.brand", F.lit("fuzzy").alias("how"), "x.score")
+    return exact.select("row_id", "brand", "how", "score").unionByName(fuzzy)

@@ -140,6 +140,11 @@ def assign_status(score: Column, match: float = 0.55, review: float = 0.40) -> C
     return F.when(score >= match, "MATCHED").when(score >= review, "REVIEW").otherwise("UNMATCHED")
 
 
+def flagged_for_review(df: DataFrame, status: str = "status") -> DataFrame:
+    """Rows whose status text speaks of REVIEW."""
+    return df.where(F.coalesce(F.col(status).contains("REVIEW"), F.lit(False)))
+
+
 def needs_review(category: Column, brand: Column, verified: Column, ambiguous: Column) -> Column:
     """UNKNOWN category, no brand, not verified or ambiguous; null counts as the worse value."""
     return F.coalesce(category == "UNKNOWN", F.lit(True)) | brand.isNull() | ~F.coalesce(verified, F.lit(False)) | F.coalesce(ambiguous, F.lit(False))

@@ -202,29 +202,44 @@ def full_candidates(customers: DataFrame, catalogue: DataFrame, limit: int = 20_
     return catalogue.select("src_id", blocks).join(asks, "block").select("row_id", "src_id")
 
 
+def brand_links(customers: DataFrame, catalogue: DataFrame) -> DataFrame:
+    """(asked, known): distinct brand tokens of both sides that overlap, by equality, shared prefix or containment."""
+    known = catalogue.select(F.explode("brands").alias("known")).distinct()
+    asked = customers.select(F.explode("brands").alias("asked")).distinct()
+    equal = asked.join(known, F.col("asked") == F.col("known"))
+    long_a, long_k = asked.where("char_length(asked) >= 5"), known.where("char_length(known) >= 5")
+    prefix = long_a.join(long_k, F.substring("asked", 1, 5) == F.substring("known", 1, 5))
+    grams = lambda c: F.transform(F.sequence(F.lit(1), F.char_length(c) - 4), lambda i: F.substring(F.col(c), i, 5))
+    a = long_a.select("asked", F.explode(F.array_distinct(grams("asked"))).alias("g"))
+    b = long_k.select("known", F.explode(F.array_distinct(grams("known"))).alias("g"))
+    inside = a.join(b, "g").where(F.col("asked").contains(F.col("known")) | F.col("known").contains(F.col("asked"))).select("asked", "known")
+    return equal.union(prefix).union(inside).distinct()
+
+
 def brand_gate(customers: DataFrame, catalogue: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Customers that may match by brand, and those whose brands overlap none of the catalogue's.
 
     Both sides hold a ``brands`` array; rows without brands pass.  Overlap is worked out
-    once per pair of distinct tokens, blocked by equality, shared prefix or containment.
+    once per pair of distinct tokens (``brand_links``).
     """
-    known = catalogue.select(F.explode("brands").alias("known")).distinct()
-    asked = customers.select(F.explode("brands").alias("asked")).distinct()
-    equal = asked.join(known, F.col("asked") == F.col("known"), "left_semi")
-    prefix = asked.where("char_length(asked) >= 5").join(
-        known.where("char_length(known) >= 5").select(F.substring("known", 1, 5).alias("p")).distinct(), F.substring("asked", 1, 5) == F.col("p"), "left_semi"
-    )
-    grams = lambda c: F.transform(F.sequence(F.lit(1), F.char_length(c) - 4), lambda i: F.substring(F.col(c), i, 5))
-    a = asked.where("char_length(asked) >= 5").select("asked", F.explode(F.array_distinct(grams("asked"))).alias("g"))
-    b = known.where("char_length(known) >= 5").select("known", F.explode(F.array_distinct(grams("known"))).alias("g"))
-    inside = a.join(b, "g").where(F.col("asked").contains(F.col("known")) | F.col("known").contains(F.col("asked"))).select("asked")
-    ok = equal.union(prefix).union(inside).distinct()
+    ok = brand_links(customers, catalogue).select("asked").distinct()
     passing = customers.select("row_id", F.explode("brands").alias("asked")).join(ok, "asked", "left_semi").select("row_id").distinct()
     free = customers.where(F.size("brands") == 0).select("row_id")
     allowed = passing.union(free).distinct()
     return customers.join(allowed, "row_id", "left_semi"), customers.join(allowed, "row_id", "left_anti")
 
 
+def brand_band_candidates(customers: DataFrame, catalogue: DataFrame) -> DataFrame:
+    """(row_id, src_id): those of ``band_candidates`` whose brands overlap or that both have none (and some that do not).
+
+    The brand is a part of the join key, so only rows of linked brands meet.
+    """
+    makers = lambda df, key: df.select(key, "kind", "band", F.explode(F.when(F.size("brands") > 0, F.col("brands")).otherwise(F.array(F.lit("")))).alias("maker"))
+    links = brand_links(customers, catalogue).select(F.col("asked").alias("maker"), "known")
+    asks = makers(customers, "row_id").join(links, "maker", "left").select("row_id", "kind", "band", F.coalesce("known", "maker").alias("maker")).distinct()
+    return band_candidates(asks, makers(catalogue, "src_id"), also="maker").distinct()
+
+
 def brand_pairs(pairs: DataFrame) -> DataFrame:
     """Pairs (with src_brands and cust_brands) whose brands overlap."""
     return pairs.where(brands_overlap(F.col("cust_brands"), F.col("src_brands")))

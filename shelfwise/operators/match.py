@@ -8,10 +8,10 @@ from pyspark.sql import functions as F
 from shelfwise.functions import fixed, scores
 from shelfwise.functions.brand import brand_from_name, brand_tokens, brands_overlap, variant_conflict
 from shelfwise.functions.parse import pack_bonus, parse_description, size_band, weights_match
-from shelfwise.functions.text import name_tokens, tokens
+from shelfwise.functions.text import name_tokens, normalize, tokens
 from shelfwise.operators import joins, tfidf, vectors
-from shelfwise.operators.rows import top_k
-from shelfwise.session import Scratch
+from shelfwise.operators.rows import hash_sample, top_k
+from shelfwise.session import Scratch, written
 
 #: Defaults of the rules.
 MIN_CONFIDENCE, TOLERANCE, LEARN_FROM, BRIDGED = 75.0, 0.02, 89, 97
@@ -85,8 +85,7 @@ def score_names(pairs: DataFrame, scorer: str = "ensemble") -> DataFrame:
 def _best_of(candidates: DataFrame, customers: DataFrame, catalogue: DataFrame, minimum: float, scorer: str, soft: bool) -> DataFrame:
     """Best candidate per row_id.  Pairs whose weights conflict score 0 whatever else holds, so (but for soft brands) they
     are dropped before names and brands are looked at; a row left without a score takes its smallest candidate."""
-    light = candidates.join(customers.select("row_id", F.col("weight").alias("cw")), "row_id").join(catalogue.select("src_id", F.col("weight").alias("sw")), "src_id")
-    open_pairs = candidates if soft else light.where(F.coalesce(weights_match(F.col("cw"), F.col("sw")), F.lit(True))).select("row_id", "src_id")
+    open_pairs = candidates if soft else _open(candidates, customers, catalogue)
     scored = score_names(_pairs(open_pairs, customers, catalogue), scorer).withColumn("score", adjust(F.col("score")))
     best = best_with_brand(scored, minimum, soft)
     if soft:
@@ -99,16 +98,36 @@ def _best_of(candidates: DataFrame, customers: DataFrame, catalogue: DataFrame,
     )
 
 
+def _passing(candidates: DataFrame, customers: DataFrame, catalogue: DataFrame, minimum: float, scorer: str) -> DataFrame:
+    """The best candidate of each row_id that some candidate satisfies in score and brand."""
+    scored = score_names(_pairs(_open(candidates, customers, catalogue), customers, catalogue), scorer).withColumn("score", adjust(F.col("score")))
+    return best_with_brand(scored, minimum).where("reason <> 'brand_mismatch'")
+
+
+def _open(candidates: DataFrame, customers: DataFrame, catalogue: DataFrame) -> DataFrame:
+    """Candidates whose weights do not conflict."""
+    light = candidates.join(customers.select("row_id", F.col("weight").alias("cw")), "row_id").join(catalogue.select("src_id", F.col("weight").alias("sw")), "src_id")
+    return light.where(F.coalesce(weights_match(F.col("cw"), F.col("sw")), F.lit(True))).select("row_id", "src_id")
+
+
 def band_blocked(customers: DataFrame, catalogue: DataFrame, minimum: float = MIN_CONFIDENCE, scorer: str = "ensemble", soft: bool = False, rescue: DataFrame | None = None, rescue_all: bool = False) -> DataFrame:
     """One row per prepared customer: row_id, src_id, score, reason, method.
 
-    Brand gate, size-band candidates, name score, rules, brand rule.  ``rescue`` holds
-    (row_id, src_id, score) of a second layer, such as vector neighbours, for customers
-    without candidates (with ``rescue_all`` for all that fuzzy matching failed).
+    Brand gate, size-band candidates, name score, rules, brand rule.  Where brands can
+    block, candidates of linked brands are scored first; only customers whom none of
+    these satisfies meet all their candidates.  ``rescue`` holds (row_id, src_id, score) of
+    a second layer, such as vector neighbours, for customers without candidates (with
+    ``rescue_all`` for all that fuzzy matching failed).
     """
+    scratch = Scratch(customers.sparkSession, "band")
     allowed, barred = joins.brand_gate(customers, catalogue)
-    candidates = joins.band_candidates(allowed, catalogue)
-    found = _best_of(candidates, allowed, catalogue, minimum, scorer, soft).withColumn("method", F.lit("Fuzzy"))
+    allowed = scratch.table(allowed, "allowed")
+    rest, sure = allowed, None
+    if not soft:
+        sure = scratch.table(_passing(joins.brand_band_candidates(allowed, catalogue), allowed, catalogue, minimum, scorer), "sure")
+        rest = allowed.join(sure.select("row_id"), "row_id", "left_anti")
+    found = _best_of(joins.band_candidates(rest, catalogue), rest, catalogue, minimum, scorer, soft)
+    found = scratch.table((found if sure is None else found.unionByName(sure)).withColumn("method", F.lit("Fuzzy")), "found")
     lost = allowed.select("row_id").join(found.select("row_id"), "row_id", "left_anti")
     if rescue is not None:
         failed = found.where(~F.col("reason").startswith("ok")).select("row_id")
@@ -246,11 +265,48 @@ def three_layers(customers: DataFrame, catalogue: DataFrame, embedder: vectors.E
     return layered(customers, catalogue, [("fuzzy", of(fuzzy), FUZZY[1]), ("tfidf", of(sparse), SPARSE[1]), ("semantic", of(semantic), SEMANTIC[1])])
 
 
-def sampled_median(pairs: DataFrame, scorer: str, n: int = 80, seed: int = 42) -> float:
-    """Upper median of a score over a repeatable sample; used to choose the best pair of columns."""
-    picked = pairs.orderBy(F.xxhash64(F.lit(seed), "c_name", "s_name"), "c_name", "s_name").limit(n)
-    values = sorted(r.score for r in picked.withColumn("score", scores.score(scorer, F.col("c_name"), F.col("s_name"))).select("score").collect())
-    return values[len(values) // 2] if values else 0.0
+def sampled_best(ours: DataFrame, theirs: DataFrame, our_column: str, their_column: str, n: int = 80, seed: int = 42) -> DataFrame:
+    """(value, score): the best token-sort ratio of each value of a sample of ``theirs`` against a sample of ``ours``.
+
+    Both have a row_id; a sample is of at most ``n`` rows by a seeded hash, so at most n * n pairs are scored.
+    """
+    picked = lambda df, c: hash_sample(df.select("row_id", normalize(F.col(c)).alias("v")), "row_id", n, seed).where("v <> ''")
+    a, b = picked(theirs, their_column).select("row_id", F.col("v").alias("value")), picked(ours, our_column).select(F.col("v").alias("ours"))
+    pairs = a.withColumn("one", F.lit(1)).join(b.withColumn("one", F.lit(1)), "one")
+    scored = pairs.withColumn("score", scores.score("token_sort", F.col("value"), F.col("ours")))
+    return scored.groupBy("row_id", "value").agg(F.max("score").alias("score"))
+
+
+def best_column_pair(ours: DataFrame, theirs: DataFrame, our_columns: list[str], their_columns: list[str], n: int = 80, seed: int = 42) -> tuple[str, str, float]:
+    """The pair of columns with the largest upper median of ``sampled_best``; the first of equal ones."""
+    best = (our_columns[0], their_columns[0], -1.0)
+    for a in our_columns:
+        for b in their_columns:
+            values = sorted(r.score for r in sampled_best(ours, theirs, a, b, n, seed).select("score").collect())
+            if values and values[len(values) // 2] > best[2]:
+                best = (a, b, values[len(values) // 2])
+    return best
+
+
+def strict_stage(ours: DataFrame, theirs: DataFrame, our_column: str, their_column: str, least: float) -> DataFrame:
+    """(our_id, cust_id, score): each row of ``theirs`` with its best row of ``ours`` by token-sort ratio of the two columns,
+    from ``least`` on; ties to the first of ``ours``.  Both have a row_id; no pair that reaches ``least`` is lost."""
+    text_of = lambda df, c, name: df.select(F.col("row_id").alias(f"{name}_id"), normalize(F.col(c)).alias(name)).where(f"{name} <> ''")
+    a, b = text_of(theirs, their_column, "c_name"), text_of(ours, our_column, "s_name")
+    pairs = joins.letter_candidates(a.select("c_name").distinct(), b.select("s_name").distinct(), least)
+    good = score_names(pairs, "token_sort").where(F.col("score") >= least)
+    first = b.groupBy("s_name").agg(F.min("s_name_id").alias("our_id"))
+    best = good.join(first, "s_name").groupBy("c_name").agg(F.max_by(F.struct("our_id", "score"), F.struct("score", -F.col("our_id"))).alias("x"))
+    return a.join(best, "c_name").select("x.our_id", F.col("c_name_id").alias("cust_id"), F.round("x.score", 1).alias("score"))
+
+
+def two_stage_strict(ours: DataFrame, theirs: DataFrame, categories: tuple[list[str], list[str]], descriptions: tuple[list[str], list[str]], category_least: float, description_least: float) -> DataFrame:
+    """Two strict stages, each on its best pair of columns, the second on what the first left; the score is the smaller one."""
+    first = strict_stage(ours, theirs, *best_column_pair(ours, theirs, *categories)[:2], category_least)
+    kept_ours = ours.join(first.select(F.col("our_id").alias("row_id")).distinct(), "row_id", "left_semi")
+    kept_theirs = theirs.join(first.select(F.col("cust_id").alias("row_id")).distinct(), "row_id", "left_semi")
+    second = strict_stage(kept_ours, kept_theirs, *best_column_pair(kept_ours, kept_theirs, *descriptions)[:2], description_least)
+    return two_stage(first, second, category_least, description_least)
 
 
 def two_stage(category: DataFrame, description: DataFrame, category_least: float, description_least: float, pairwise: bool = False, combine: str = "min") -> DataFrame:
@@ -279,37 +335,67 @@ def learnable(matches: DataFrame) -> Column:
     return F.col("bc").isNotNull() & ((F.col("method") == "Barcode (Bridged)") | confident)
 
 
-def learn_in_order(index: DataFrame, matches: DataFrame, labels: list[str], scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+def learn_in_order(index: DataFrame, matches: DataFrame, labels: list[str], scratch: Scratch, cache: str | None = None) -> tuple[DataFrame, DataFrame]:
     """Fold the labels in order: each label's learnable matches extend the index for the labels after it.
 
     ``index``: bc, src_id; ``matches``: label, row_id, bc, src_id, method, confidence and
     the pair columns of ``learnable``.  Within a label the last row wins.  A label's rows
-    whose barcode the index knew are direct.  Returns the final index and one row per
-    match with ``found_by``.  State changes between labels only, so each step is a plain
-    distributed join written to the shared folder.
+    whose barcode the index knew are direct.  Returns the final index (with ``via``, the
+    method and label that taught a barcode) and one row per match with ``found_by``.
+
+    State changes between labels only: each step is a distributed join, and its rows and
+    what it taught are tables of their own.  With ``cache``, a folder whose name should
+    change with the settings, these tables stay there, and a later run replays the steps
+    that it finds (the state learned included) up to the first that is missing.
     """
-    done = None
+    spark, base = matches.sparkSession, cache or scratch.path("learned")
+    index = index.select("bc", "src_id", F.lit(None).cast("string").alias("via"))
+    replay, rows_schema = cache is not None, None
     for i, label in enumerate(labels):
-        mine = matches.where(F.col("label") == label)
-        known = index.select("bc", F.col("src_id").alias("known_id"))
-        seen = mine.join(known, "bc", "left")
-        row = seen.select("label", "row_id", "bc", F.coalesce("known_id", "src_id").alias("src_id"), F.when(F.col("known_id").isNotNull(), "Barcode").otherwise(F.col("method")).alias("found_by"))
-        done = row if done is None else done.unionByName(row)
-        taught = seen.where("known_id is null").where(learnable(seen)).groupBy("bc").agg(F.max_by("src_id", "row_id").alias("src_id"))
-        index = scratch.table(index.join(taught, "bc", "left_anti").unionByName(taught), f"index-{i}")
-    return index, done
+        done, taught = f"{base}/done/step={i}", f"{base}/taught/step={i}"
+        replay = replay and written(spark, taught)
+        if not replay:
+            mine = matches.where(F.col("label") == label)
+            known = index.select("bc", F.col("src_id").alias("known_id"))
+            seen = scratch.table(mine.join(known, "bc", "left"), f"seen-{i}")
+            row = seen.select("label", "row_id", "bc", F.coalesce("known_id", "src_id").alias("src_id"), F.when(F.col("known_id").isNotNull(), "Barcode").otherwise(F.col("method")).alias("found_by"), "confidence")
+            row.write.mode("overwrite").parquet(done)
+            new = seen.where("known_id is null").where(learnable(seen)).groupBy("bc").agg(F.max_by(F.struct("src_id", "method"), "row_id").alias("x"))
+            new.select("bc", "x.src_id", F.concat_ws(" ", "x.method", F.lit(label)).alias("via")).write.mode("overwrite").parquet(taught)
+        found = spark.read.parquet(taught).select("bc", "src_id", "via")
+        index = scratch.table(index.join(found.select("bc"), "bc", "left_anti").unionByName(found), f"index-{i}")
+        rows_schema = rows_schema or spark.read.parquet(done).schema
+    paths = [f"{base}/done/step={i}" for i in range(len(labels))]
+    return index, spark.read.schema(rows_schema).parquet(*paths)
 
 
 def finalise_barcodes(results: DataFrame, original: DataFrame, final: DataFrame) -> DataFrame:
-    """Where each match's barcode comes from: original, learned or none; from the snapshots, whatever the order of labels.
+    """Every column that depends on barcodes, from snapshots only, whatever the order of labels.
 
-    ``original`` and ``final``: bc, src_id.
+    ``results``: row_id, bc (the barcode matched on), src_id, found_by, confidence;
+    ``original`` and ``final``: bc, src_id (and via).  Adds source_barcode and
+    barcode_source (Original, Learned or None) of the item; and, for barcode matches, where
+    the barcode is not one of the item's original ones: borrowed_barcode, the method Barcode
+    (Bridged), confidence 97, and barcode_link, what taught it; else the link is Catalogue.
     """
     first = original.groupBy("src_id").agg(F.min("bc").alias("original_bc"))
     last = final.groupBy("src_id").agg(F.min("bc").alias("any_bc"))
-    out = results.join(first, "src_id", "left").join(last, "src_id", "left")
+    own = original.select("src_id", "bc").distinct().withColumn("_own", F.lit(True))
+    via = final.select("bc", F.col("via").alias("_via")) if "via" in final.columns else original.select("bc", F.lit(None).cast("string").alias("_via")).limit(0)
+    out = results.join(first, "src_id", "left").join(last, "src_id", "left").join(own, ["src_id", "bc"], "left").join(via, "bc", "left")
     source = F.when(F.col("original_bc").isNotNull(), "Original").when(F.col("any_bc").isNotNull(), "Learned").otherwise("None")
-    return out.withColumns({"barcode_source": source, "source_barcode": F.coalesce("original_bc", "any_bc")}).drop("original_bc", "any_bc")
+    by_code = F.col("found_by").isin("Barcode", "Barcode (Bridged)")
+    borrowed = by_code & F.col("bc").isNotNull() & F.col("_own").isNull()
+    return out.withColumns(
+        {
+            "barcode_source": source,
+            "source_barcode": F.coalesce("original_bc", "any_bc"),
+            "borrowed_barcode": F.when(borrowed, F.col("bc")),
+            "found_by": F.when(borrowed, "Barcode (Bridged)").otherwise(F.col("found_by")),
+            "confidence": F.when(borrowed, BRIDGED).otherwise(F.col("confidence")),
+            "barcode_link": F.when(borrowed, F.coalesce("_via", F.lit("Learned (earlier pass)"))).when(by_code, "Catalogue"),
+        }
+    ).drop("original_bc", "any_bc", "_own", "_via")
 
 
 def alias_dictionary(matches: DataFrame) -> DataFrame:

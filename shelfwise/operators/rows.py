@@ -83,8 +83,8 @@ def first_n(df: DataFrame, n: int, row_id: str = "row_id") -> DataFrame:
 
 
 def hash_sample(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:
-    """A repeatable sample of n rows: those with the smallest seeded hash of the key."""
-    return df.orderBy(F.xxhash64(F.lit(seed), F.col(key)), key).limit(n)
+    """A repeatable sample of n rows: those with the smallest seeded hash (MD5) of the key."""
+    return df.orderBy(F.md5(F.concat_ws("|", F.lit(str(seed)), F.col(key))), key).limit(n)
 
 
 def union_all(frames: list[DataFrame]) -> DataFrame:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from typing import Protocol
 
 import numpy as np
@@ -12,6 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from shelfwise.operators.adjudicate import with_backoff
 from shelfwise.operators.rows import runner_up_margin
 from shelfwise.session import Scratch, ship
 
@@ -43,6 +44,37 @@ class HashedGrams:
         return (out / np.where(norm == 0, 1, norm)).astype(np.float32)
 
 
+class RetryingEmbedder:
+    """A remote embedder behind retries, in batches; ``call`` takes a list of texts and gives as many lists of numbers.
+
+    Vectors are brought to unit length.  ``call`` is any function that can be sent to the workers, such as an HTTP request.
+    """
+
+    def __init__(self, name: str, call: Callable[[list[str]], list[list[float]]], batch: int = 64, attempts: int = 5, base: float = 1.0):
+        self.name, self.call, self.batch, self.attempts, self.base = name, call, batch, attempts, base
+
+    def embed(self, texts: list[str]) -> np.ndarray:
+        made: list[list[float]] = []
+        for at in range(0, len(texts), self.batch):
+            part = texts[at : at + self.batch]
+
+            def once(part: list[str] = part) -> list[list[float]]:
+                got = self.call(part)
+                if len(got) != len(part):
+                    raise ValueError(f"{len(got)} vectors for {len(part)} texts")
+                return got
+
+            made += with_backoff(once, self.attempts, self.base)
+        return _unit(made).astype(np.float32) if made else np.zeros((0, 0), np.float32)
+
+
+def sound(cache: DataFrame, dims: int | None = None) -> DataFrame:
+    """Cache rows that can be used: a key, one row each, and a vector of finite numbers (of ``dims`` components)."""
+    fine = F.col("key").isNotNull() & (F.size("embedding") > 0) & F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+    good = cache.where(F.coalesce(fine & (F.size("embedding") == dims if dims else F.lit(True)), F.lit(False)))
+    return good.groupBy("key").agg(F.min("embedding").alias("embedding"))
+
+
 def embed(df: DataFrame, text: str, embedder: Embedder, out: str = "embedding") -> DataFrame:
     """Adds unit vectors of a text column; each distinct text is embedded once."""
     ship(df.sparkSession)
@@ -58,7 +90,11 @@ def embed(df: DataFrame, text: str, embedder: Embedder, out: str = "embedding")
 
 
 def embed_cached(df: DataFrame, text: str, embedder: Embedder, cache: DataFrame | None) -> tuple[DataFrame, DataFrame]:
-    """(embedded rows, cache rows to keep): only texts that the cache lacks are embedded.  Cache: key, embedding."""
+    """(embedded rows, cache rows to keep): only texts that the cache lacks are embedded.  Cache: key, embedding.
+
+    Damaged rows of the cache (``sound``) count as lacking and are made again.
+    """
+    cache = cache if cache is None else sound(cache)
     key = F.sha2(F.concat_ws("\0", F.lit(embedder.name), F.coalesce(F.col(text), F.lit(""))), 256)
     keyed = df.withColumn("_key", key)
     wanted = keyed.select(F.col("_key").alias("key"), F.coalesce(F.col(text), F.lit("")).alias("_text")).distinct()

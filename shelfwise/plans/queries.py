@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from shelfwise.functions import scores, text
 from shelfwise.functions.barcode import normalize_barcode
-from shelfwise.functions.brand import brand_from_name, brand_key, brand_tokens, variant_conflict
+from shelfwise.functions.brand import brand_from_name, variant_conflict
 from shelfwise.functions.parse import clean_description, parse_description, parse_loose, size_band, weight_label, weights_match
 from shelfwise.operators import adjudicate, brands, category, joins, match, report, rows, tfidf, vectors
 from shelfwise.plans.inputs import CATALOGUE_SQL, CUSTOMERS_SQL, ORDERS_TEXT_SQL, catalogue, customers, orders_text, table
@@ -185,15 +185,6 @@ def weights_and_packs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return both.select("row_id", weights_match(F.col("cw"), F.col("sw")).alias("weight_ok"), weight_label(F.col("sw"), F.col("cw")).alias("label"))
 
 
-@query("brand_gate", f"{WITH} SELECT row_id, row_id % 3 <> 0 AS passes FROM cust")
-def brand_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    strange = F.when(F.col("row_id") % 3 == 0, "Zed").otherwise(F.col("brand"))
-    cust = customers(spark, sf_dir).withColumn("brands", brand_tokens(strange))
-    cat = catalogue(spark, sf_dir).withColumn("brands", brand_tokens(F.col("brand")))
-    ok, barred = joins.brand_gate(cust, cat)
-    return ok.select("row_id", F.lit(True).alias("passes")).unionByName(barred.select("row_id", F.lit(False).alias("passes")))
-
-
 @query(
     "token_block",
     f"""{WITH},
@@ -628,14 +619,6 @@ def text_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return customers(spark, sf_dir).select("row_id", text.normalize(m).alias("normal"), text.name_key(m).alias("name_key"), text.content_key(F.col("source_customer"), m).alias("content_key"), text.tight(m).alias("tight"))
 
 
-@query(
-    "brand_tokens",
-    f"""{WITH} SELECT row_id, upper(brand) AS tokens, upper(brand) AS key FROM cust""",
-)
-def brand_token_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return customers(spark, sf_dir).select("row_id", F.array_join(brand_tokens(F.col("brand")), ",").alias("tokens"), brand_key(F.col("brand")).alias("key"))
-
-
 @query("name_brand_and_variants")
 def name_brand_and_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     pairs = _name_pairs(spark, sf_dir)
@@ -742,16 +725,6 @@ def brand_cluster(spark: SparkSession, sf_dir: str) -> DataFrame:
     return brands.crosswalk(source, mapping, counts, "material_name", "row_id")
 
 
-@query("brand_resolution")
-def brand_resolution(spark: SparkSession, sf_dir: str) -> DataFrame:
-    part = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("row_id"), F.upper(F.regexp_replace("p_brand", "#", "")).alias("brand"), F.col("p_name").alias("mgrp"), F.concat_ws(" ", F.regexp_replace("p_brand", "#", ""), "p_name").alias("desc"), "p_size")
-    confirmed = part.where("p_size >= 25").withColumn("brand_method", F.when(F.col("row_id") % 4 == 0, "barcode").otherwise("rule_exact"))
-    generic = ["RED", "OLD", "HOT", "SMALL"]
-    dictionary = brands.brand_dictionary(confirmed, generic)
-    consensus = brands.group_consensus(confirmed, "mgrp", generic, "row_id")
-    return brands.resolve_brands(part.where("p_size < 25"), dictionary, consensus, generic, "row_id", "mgrp", "desc")
-
-
 # ---- cascades -------------------------------------------------------------------------
 
 
@@ -775,20 +748,6 @@ def layered_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("score", F.round("score", 6))
 
 
-@query("learned_barcode_fold")
-def learned_barcode_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cust, cat = _prepared(spark, sf_dir)
-    raw = customers(spark, sf_dir).select("row_id", F.col("source_customer").alias("label"), normalize_barcode(F.col("barcode")).alias("bc"))
-    index = joins.barcode_index(catalogue(spark, sf_dir).where("weight >= 25"))
-    side = lambda df, i, p: df.select(i, *[F.col(x).alias(f"{p}_{x}") for x in ("weight", "brands")])
-    own = raw.withColumn("src_id", F.col("row_id")).join(side(cust, "row_id", "c"), "row_id").join(side(cat, "src_id", "s"), "src_id")
-    matches = own.withColumns({"method": F.lit("Fuzzy"), "confidence": (F.col("row_id") % 20 + 80).cast("int")})
-    scratch = Scratch(spark, "learn")
-    labels = sorted(r.label for r in raw.select("label").distinct().collect())
-    final, done = match.learn_in_order(index, matches, labels, scratch)
-    return match.finalise_barcodes(done, index, final).select("label", "row_id", "bc", "src_id", "found_by", "barcode_source", "source_barcode")
-
-
 # ---- ingestion ------------------------------------------------------------------------
 
 
@@ -850,12 +809,6 @@ def reference_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joins.reference_lookup(items, reference, "CUST_B").select("src_id", "ref_category", "ref_brand")
 
 
-@query("brand_guess", f"{WITH} SELECT row_id, upper(brand) AS brand, 'exact' AS how FROM cust WHERE starts_with(upper(material_name), upper(brand))")
-def brand_guess(spark: SparkSession, sf_dir: str) -> DataFrame:
-    known = catalogue(spark, sf_dir).select("brand").distinct()
-    return brands.guess_by_rule(customers(spark, sf_dir), known, "row_id", "material_name")
-
-
 @query(
     "two_stage_intersection",
     """WITH c AS (SELECT l_partkey AS our_id, l_suppkey AS cust_id, max(l_quantity * 2) AS s FROM lineitem GROUP BY 1, 2), d AS (SELECT l_partkey AS our_id, l_suppkey AS cust_id, max(l_tax * 1000 + 20) AS s FROM lineitem GROUP BY 1, 2),
@@ -1036,3 +989,7 @@ def truncated_brands(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     mapping = source.select("brand").distinct().withColumn("standardized_brand", F.col("brand"))
     return brands.resolve_truncated(source, mapping, "material_name", ["AL"]).select("row_id", "brand", "standardized_brand")
+
+
+from shelfwise.plans import feeds as feeds  # noqa: E402  registers further queries
+from shelfwise.plans import rules as rules  # noqa: E402

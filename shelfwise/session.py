@@ -68,6 +68,12 @@ def setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
         spark.conf.unset(key) if before is None else spark.conf.set(key, before)
 
 
+def written(spark: SparkSession, path: str) -> bool:
+    """Whether a table was written whole to a path."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/_SUCCESS")
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where)
+
+
 class Scratch:
     """Tables in a folder of their own under ``spark.checkpoint.dir``.
 

@@ -6,29 +6,44 @@ import re
 from collections.abc import Callable
 from html.parser import HTMLParser
 
-from pyspark.sql import DataFrame, SparkSession
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfwise.functions import fixed
 from shelfwise.functions.text import clean_header, normalize
 from shelfwise.operators.rows import union_all
+from shelfwise.session import written
 
 ENCODINGS = ("utf-8", "utf-8-sig", "latin-1", "cp1252")
 
 
-def read_delimited(spark: SparkSession, path: str, sep: str = ",", header: bool = True, encoding: str = "utf-8", drop_empty: bool = True) -> DataFrame:
-    """All columns as strings; separators may have several characters; rows of nulls only are dropped."""
+def read_delimited(spark: SparkSession, path: str, sep: str = ",", header: bool = True, encoding: str = "utf-8", drop_empty: bool = True, multiline: bool = False) -> DataFrame:
+    """All columns as strings; separators may have several characters; rows of nulls only are dropped.
+
+    ``multiline`` allows line feeds inside quotes, at the cost that a file is read by one task.
+    """
     name = {"utf-8-sig": "utf-8", "latin-1": "ISO-8859-1", "cp1252": "windows-1252"}.get(encoding, encoding)
-    df = spark.read.csv(path, sep=sep, header=header, inferSchema=False, encoding=name, multiLine=True)
+    df = spark.read.csv(path, sep=sep, header=header, inferSchema=False, encoding=name, multiLine=multiline)
     return df.na.drop("all") if drop_empty else df
 
 
 def pick_encoding(spark: SparkSession, path: str, sample: int = 1 << 20) -> str:
-    """The first encoding of the list that decodes the head of the first file without error."""
-    head = spark.read.format("binaryFile").load(path).select(F.substring("content", 1, sample).alias("head")).limit(1).collect()
-    raw = bytes(head[0].head) if head else b""
+    """The first encoding of the list that decodes the heads of all files without error."""
+
+    @F.pandas_udf("int")
+    def first(heads: pd.Series) -> pd.Series:
+        return heads.map(lambda raw: ENCODINGS.index(encoding_of(bytes(raw))))
+
+    heads = spark.read.format("binaryFile").load(path).select(F.substring("content", 1, sample).alias("head"))
+    found = heads.agg(F.max(first("head")).alias("k")).first()
+    return ENCODINGS[found.k or 0]
+
+
+def encoding_of(raw: bytes) -> str:
+    """The first encoding of the list that decodes a head of a file; its end may lie inside a character."""
     for encoding in ENCODINGS:
-        for cut in range(4):  # the sample may end inside a character
+        for cut in range(4):
             try:
                 raw[: len(raw) - cut].decode(encoding)
                 return "utf-8-sig" if encoding == "utf-8" and raw.startswith(b"\xef\xbb\xbf") else encoding
@@ -41,24 +56,21 @@ def read_any_encoding(spark: SparkSession, path: str, sep: str = ",") -> DataFra
     return read_delimited(spark, path, sep, encoding=pick_encoding(spark, path))
 
 
-def sniff_format(head: bytes) -> str:
-    """Format by the first bytes: zip workbook, legacy workbook, html, xml, else text."""
-    start = head.lstrip()[:200].lower()
-    if head.startswith(b"PK"):
-        return "xlsx"
-    if head.startswith(b"\xd0\xcf\x11\xe0"):
-        return "xls"
-    if start.startswith((b"<html", b"<!doctype html", b"<table")):
-        return "html"
-    if start.startswith(b"<?xml"):
-        return "xml"
-    return "text"
+def sniff_format(head: Column) -> Column:
+    """Format by the first bytes (binary): zip workbook, legacy workbook, html, xml, else text."""
+    start = F.lower(F.ltrim(head.cast("string"), F.lit(" \t\r\n\x0b\x0c")))
+    return (
+        F.when(head.startswith(F.lit(b"PK")), "xlsx")
+        .when(head.startswith(F.lit(b"\xd0\xcf\x11\xe0")), "xls")
+        .when(start.startswith("<html") | start.startswith("<!doctype html") | start.startswith("<table"), "html")
+        .when(start.startswith("<?xml"), "xml")
+        .otherwise("text")
+    )
 
 
 def sniff_files(spark: SparkSession, path: str) -> DataFrame:
     """(path, format) of all files under a path."""
-    sniff = F.udf(lambda head: sniff_format(bytes(head)), "string")
-    return spark.read.format("binaryFile").load(path).select("path", sniff(F.substring("content", 1, 256)).alias("format"))
+    return spark.read.format("binaryFile").load(path).select("path", sniff_format(F.substring("content", 1, 256)).alias("format"))
 
 
 class _Tables(HTMLParser):
@@ -157,20 +169,26 @@ def by_position(df: DataFrame, skip: int, column: int, name: str, row_id: str =
     return df.where(F.col(row_id) >= skip).select(row_id, F.col(plain[column]).alias(name)).where(F.col(name).isNotNull())
 
 
-#: How each kind of customer feed is read: description columns (joined), brand column, code column.
+#: How each kind of customer feed is read: description columns (joined), brand column, code column, and, where the
+#: description is found by its place, that place.
 FEEDS = {
     "plain": {"description": ["Product name"], "brand": "Brand", "code": "Item barcode"},
     "items": {"description": ["Item Name"], "brand": "Brand", "code": "BARCODE"},
+    "named": {"description": ["Product name"], "brand": "Brand", "code": None},
+    "lower": {"description": ["product name"], "brand": "BRAND", "code": None},
+    "placed": {"description": [4], "brand": "Brand", "code": None},
     "family": {"description": ["Retail Article Brand Description Text", "Family Text"], "brand": "Retail Article Brand Description Text", "code": None},
 }
 
 
 def read_feed(df: DataFrame, feed: dict, label: str) -> DataFrame:
     """(source_customer, material_name, brand, barcode): upper-case description without nulls, first of equal ones (row_id)."""
+    plain = [c for c in df.columns if c != "row_id"]
+    wanted = [plain[c] if isinstance(c, int) else c for c in feed["description"]]
     named = df.select(
         "row_id",
         F.lit(label).alias("source_customer"),
-        F.nullif(F.upper(F.concat_ws(" ", *[F.trim(F.col(f"`{c}`")) for c in feed["description"]])), F.lit("")).alias("material_name"),
+        F.nullif(F.upper(F.concat_ws(" ", *[F.trim(F.col(f"`{c}`")) for c in wanted])), F.lit("")).alias("material_name"),
         F.col(f"`{feed['brand']}`").alias("brand"),
         (F.col(f"`{feed['code']}`").cast("string") if feed["code"] else F.lit(None).cast("string")).alias("barcode"),
     )
@@ -183,10 +201,10 @@ def conversion_cache(spark: SparkSession, path: str, cache_dir: str, read: Calla
     """Parquet copy of a source, kept under a key of the files' paths, sizes and times; read once per state of the files."""
     status = spark.read.format("binaryFile").load(path).select("path", "length", "modificationTime")
     line = F.concat_ws("|", "path", "length", F.col("modificationTime").cast("string"))
-    key = status.agg(F.sha2(F.array_join(F.array_sort(F.collect_list(line)), "\n"), 256).alias("k")).first().k[:20]
+    parts = [F.sum(F.xxhash64(F.lit(seed), line).cast("decimal(38,0)")) for seed in (1, 2)]  # no order, no list of files
+    key = status.agg(F.sha2(F.concat_ws("|", F.count("*"), *parts), 256).alias("k")).first().k[:20]
     target = f"{cache_dir.rstrip('/')}/{key}"
-    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{target}/_SUCCESS")
-    if not where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where):
+    if not written(spark, target):
         read().write.mode("overwrite").parquet(target)
     return spark.read.parquet(target)
 

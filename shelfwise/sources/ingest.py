@@ -217,6 +217,10 @@ class FtpStore:
         with self._connect() as server:
             return sorted(n.rsplit("/", 1)[-1] for n in server.nlst(folder or "."))
 
+    def fetch(self, folder: str, names: list[str]) -> dict[str, str]:
+        """First phase of a load: fetch files; paths by name.  The server is not needed after it."""
+        return {name: self.path(folder, name) for name in names}
+
     def path(self, folder: str, name: str) -> str:
         jvm = self.spark.sparkContext._jvm
         target = f"{self.staging.rstrip('/')}/{name}"
@@ -318,6 +322,37 @@ class RunLog:
         return self.spark.createDataFrame(self.events, LOG_SCHEMA)
 
 
+def run_summary(events: DataFrame) -> DataFrame:
+    """(feed, status, n_rows, message): the last event of each feed of a run log, SKIPPED feeds included."""
+    last = events.groupBy("feed").agg(F.max_by(F.struct("status", "n_rows", "message"), F.struct("run_ts", F.when(F.col("status") == "STARTED", 0).otherwise(1))).alias("x"))
+    return last.select("feed", "x.*")
+
+
+def summary_mail(summary: DataFrame, sender: str, receivers: list[str], subject: str = "Feed run"):  # noqa: ANN201
+    """A mail of a run's summary: counts by status in the subject, a table in text and HTML."""
+    from email.message import EmailMessage
+    from html import escape
+
+    rows = summary.orderBy("feed").collect()
+    counts: dict[str, int] = {}
+    for r in rows:
+        counts[r.status] = counts.get(r.status, 0) + 1
+    mail = EmailMessage()
+    mail["From"], mail["To"] = sender, ", ".join(receivers)
+    mail["Subject"] = f"{subject}: " + ", ".join(f"{n} {s}" for s, n in sorted(counts.items()))
+    mail.set_content("\n".join(f"{r.feed}\t{r.status}\t{r.n_rows}\t{r.message}" for r in rows))
+    cells = "".join("<tr>" + "".join(f"<td>{escape(str(v))}</td>" for v in r) + "</tr>" for r in rows)
+    mail.add_alternative(f"<table><tr><th>feed</th><th>status</th><th>rows</th><th>message</th></tr>{cells}</table>", subtype="html")
+    return mail
+
+
+def send_mail(mail, host: str, port: int = 25) -> None:  # noqa: ANN001
+    import smtplib
+
+    with smtplib.SMTP(host, port) as server:
+        server.send_message(mail)
+
+
 def run_hook(spark: SparkSession, text: str | None) -> bool:
     """Run a SQL text; '', TRUE, FALSE and NULL mean none."""
     if (text or "").strip().upper() in ("", "TRUE", "FALSE", "NULL"):

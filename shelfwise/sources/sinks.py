@@ -32,6 +32,23 @@ def write_parquet(df: DataFrame, path: str, mode: str = "append", partition_by:
     return int(seen.get["n"])
 
 
+def append_whole(df: DataFrame, folder: str, load: str) -> int:
+    """Add one load (a file's rows, say) to a folder of loads, all or nothing; a load of the same name is replaced.
+
+    Rows are staged in a folder that readers do not see and come into sight by one rename.  Returns their number.
+    """
+    spark = df.sparkSession
+    base, name = folder.rstrip("/"), sql_name(load)
+    n = write_parquet(df, f"{base}/_staged-{name}", "replace")
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    staged, target = path(f"{base}/_staged-{name}"), path(f"{base}/load={name}")
+    system = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    system.delete(target, True)
+    if not system.rename(staged, target):
+        raise OSError(f"could not rename {staged.toString()} to {target.toString()}")
+    return n
+
+
 def write_table(df: DataFrame, table: str, mode: str = "append", partition_by: list[str] | None = None, bucket_by: tuple[int, str] | None = None) -> None:
     writer = df.write.mode("overwrite" if mode in ("replace", "truncate") else mode).format("parquet")
     writer = writer.partitionBy(*partition_by) if partition_by else writer
@@ -115,3 +132,10 @@ def cached_by_key(rows: DataFrame, cache_path: str, key: str, work, parts: str |
     writer = work(missing.dropDuplicates([key])).write.mode("append")
     (writer.partitionBy(parts) if parts else writer).parquet(cache_path)
     return rows.join(spark.read.parquet(cache_path), key)
+
+
+def cached_in_batches(rows: DataFrame, cache_path: str, key: str, work, batches: int) -> DataFrame:
+    """``cached_by_key`` in batches of keys, each committed before the next begins, so a broken run loses one batch at most."""
+    for i in range(batches):
+        done = cached_by_key(rows.where(F.pmod(F.xxhash64(key), F.lit(batches)) == i), cache_path, key, work)
+    return rows.join(done.sparkSession.read.parquet(cache_path), key)

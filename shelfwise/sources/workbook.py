@@ -7,7 +7,9 @@ shared strings are held at once.  Cells come out as text, as nothing is inferred
 from __future__ import annotations
 
 import io
+import itertools
 import re
+import tempfile
 import zipfile
 from collections.abc import Iterator
 from xml.etree import ElementTree
@@ -103,3 +105,79 @@ def as_table(cells: DataFrame, header_row: int = 0) -> DataFrame:
     names = [(h or f"unnamed_{i}").strip() for i, h in enumerate(head.cells if head else [])]
     body = cells.where(F.col("row_no") > header_row)
     return body.select("row_no", *[F.get("cells", F.lit(i)).alias(n) for i, n in enumerate(names)])
+
+
+#: Rows of a sheet, by the format.
+MOST_ROWS = 1_048_576
+
+
+def column_letters(n: int) -> str:
+    """Letters of a column, from 0: the inverse of ``column_number``."""
+    out, n = "", n + 1
+    while n:
+        n, rest = divmod(n - 1, 26)
+        out = chr(65 + rest) + out
+    return out
+
+
+def write_workbook(sheets: dict[str, DataFrame], path: str, colour: str | None = None) -> None:
+    """One workbook with a sheet for each frame, its columns as a header row, all cells as text.
+
+    A sheet holds at most MOST_ROWS rows by its format; a larger frame is an error, not a cut.
+    Rows stream through the driver one partition at a time.  ``colour`` names a column of
+    hexadecimal colours (RRGGBB, null for none) that is not written but fills its row.
+    """
+    from xml.sax.saxutils import escape, quoteattr
+
+    some = next(iter(sheets.values()))
+    spark = some.sparkSession
+    colours = sorted({r[0] for df in sheets.values() if colour in df.columns for r in df.select(colour).distinct().where(F.col(colour).isNotNull()).collect()}) if colour else []
+    style = {c: i + 1 for i, c in enumerate(colours)}
+    head = '<?xml version="1.0" encoding="UTF-8" standalone="yes"?>'
+    main, rels = MAIN[1:-1], PACKAGE[1:-1]
+    office = LINK[1 : LINK.index("}")]
+    fills = "".join(f'<fill><patternFill patternType="solid"><fgColor rgb="FF{c}"/></patternFill></fill>' for c in colours)
+    xfs = "".join(f'<xf fillId="{i + 2}" applyFill="1"/>' for i in range(len(colours)))
+    parts = {
+        "[Content_Types].xml": '<Types xmlns="http://schemas.openxmlformats.org/package/2006/content-types"><Default Extension="rels" ContentType="application/vnd.openxmlformats-package.relationships+xml"/>'
+        '<Default Extension="xml" ContentType="application/xml"/><Override PartName="/xl/workbook.xml" ContentType="application/vnd.openxmlformats-officedocument.spreadsheetml.sheet.main+xml"/>'
+        '<Override PartName="/xl/styles.xml" ContentType="application/vnd.openxmlformats-officedocument.spreadsheetml.styles+xml"/>'
+        + "".join(f'<Override PartName="/xl/worksheets/sheet{i}.xml" ContentType="application/vnd.openxmlformats-officedocument.spreadsheetml.worksheet+xml"/>' for i in range(1, len(sheets) + 1))
+        + "</Types>",
+        "_rels/.rels": f'<Relationships xmlns="{rels}"><Relationship Id="r1" Type="{office}/officeDocument" Target="xl/workbook.xml"/></Relationships>',
+        "xl/workbook.xml": f'<workbook xmlns="{main}" xmlns:r="{office}"><sheets>' + "".join(f'<sheet name={quoteattr(name[:31])} sheetId="{i}" r:id="r{i}"/>' for i, name in enumerate(sheets, 1)) + "</sheets></workbook>",
+        "xl/_rels/workbook.xml.rels": f'<Relationships xmlns="{rels}">' + "".join(f'<Relationship Id="r{i}" Type="{office}/worksheet" Target="worksheets/sheet{i}.xml"/>' for i in range(1, len(sheets) + 1))
+        + f'<Relationship Id="s" Type="{office}/styles" Target="styles.xml"/></Relationships>',
+        "xl/styles.xml": f'<styleSheet xmlns="{main}"><fonts><font/></fonts><fills><fill><patternFill patternType="none"/></fill><fill><patternFill patternType="gray125"/></fill>{fills}</fills>'
+        f"<borders><border/></borders><cellXfs><xf/>{xfs}</cellXfs></styleSheet>",
+    }
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    with tempfile.TemporaryFile() as file:  # of the driver alone; the workbook goes to the shared path
+        with zipfile.ZipFile(file, "w", zipfile.ZIP_DEFLATED) as book:
+            for name, text in parts.items():
+                book.writestr(name, head + text)
+            for i, df in enumerate(sheets.values(), 1):
+                names = [c for c in df.columns if c != colour]
+                rows = df.select(*[F.col(f"`{c}`").cast("string") for c in names], *([F.col(colour)] if colour in df.columns else []))
+                with book.open(f"xl/worksheets/sheet{i}.xml", "w", force_zip64=True) as sheet:
+                    sheet.write(f'{head}<worksheet xmlns="{main}"><sheetData>'.encode())
+                    for n, values in enumerate(itertools.chain([names], (tuple(r) for r in rows.toLocalIterator())), 1):
+                        if n > MOST_ROWS:
+                            raise ValueError(f"a sheet holds at most {MOST_ROWS} rows")
+                        s = style.get(values[-1], 0) if len(values) > len(names) else 0
+                        cells = "".join(
+                            f'<c r="{column_letters(j)}{n}"' + (f' s="{s}"' if s else "") + f' t="inlineStr"><is><t xml:space="preserve">{escape(_UNPRINTABLE.sub("", v))}</t></is></c>'
+                            for j, v in enumerate(values[: len(names)]) if v is not None
+                        )
+                        sheet.write(f'<row r="{n}">{cells}</row>'.encode())
+                    sheet.write(b"</sheetData></worksheet>")
+        file.seek(0)
+        out = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(where, True)
+        try:
+            while block := file.read(1 << 20):
+                out.write(bytearray(block))
+        finally:
+            out.close()
+
+
+_UNPRINTABLE = re.compile("[\x00-\x08\x0b\x0c\x0e-\x1f\ufffe\uffff]")
