@@ -150,28 +150,28 @@ def parse_descriptions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parsed.withColumn("band", size_band(F.col("weight")))
 
 
+def _digest(pairs: DataFrame, *more: str) -> DataFrame:
+    """Candidate pairs as one row per customer: their number, the sum of their ids, and the sums of further columns."""
+    return pairs.groupBy("row_id").agg(F.count("*").alias("n_candidates"), F.sum("src_id").alias("id_sum"), *[F.sum(c).alias(c) for c in more])
+
+
 @query(
     "size_band_block",
-    f"""{PARSED} SELECT DISTINCT c.id AS row_id, s.id AS src_id FROM banded c JOIN banded s ON c.side = 'c' AND s.side = 's' AND c.kind = s.kind AND s.band BETWEEN c.band - 1 AND c.band + 1 AND upper(c.brand) = upper(s.brand)""",
+    f"""{PARSED} SELECT c.id AS row_id, count(*) AS n_candidates, CAST(sum(s.id) AS BIGINT) AS id_sum FROM banded c JOIN banded s ON c.side = 'c' AND s.side = 's' AND c.kind = s.kind AND s.band BETWEEN c.band - 1 AND c.band + 1 GROUP BY 1""",
 )
 def size_band_block(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return joins.band_candidates(*_banded(spark, sf_dir), also="maker")
+    """Rule J9: kind and band alone."""
+    return _digest(joins.band_candidates(*_banded(spark, sf_dir)))
 
 
 def _banded(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     def side(df: DataFrame, key: str) -> DataFrame:
-        parsed = df.select(key, F.upper("brand").alias("maker"), parse_description(F.col("material_name")).alias("p"))
-        return parsed.select(key, "maker", "p.kind", size_band(F.col("p.weight")).alias("band"))
+        parsed = df.select(key, parse_description(F.col("material_name")).alias("p"))
+        return parsed.select(key, "p.kind", size_band(F.col("p.weight")).alias("band"))
 
     return side(customers(spark, sf_dir), "row_id"), side(catalogue(spark, sf_dir), "src_id")
 
 
-@query("size_band_whole")
-def size_band_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rule J9: kind and band alone; ``size_band_block`` and its SQL ask for the brand too."""
-    return joins.band_candidates(*_banded(spark, sf_dir))
-
-
 @query(
     "weights_and_packs",
     f"""{PARSED} SELECT c.id AS row_id, least(c.weight, s.weight) / greatest(c.weight, s.weight) >= 0.98 AS weight_ok,
@@ -190,10 +190,11 @@ def weights_and_packs(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"""{WITH},
 b AS (SELECT DISTINCT src_id, unnest(regexp_extract_all(material_name, '[A-Z0-9]{{4,}}')) AS token FROM cat),
 a AS (SELECT DISTINCT row_id, unnest(regexp_extract_all(upper(material_name), '[A-Z0-9]{{4,}}')) AS token FROM cust)
-SELECT row_id, src_id, count(*) AS n_shared FROM a JOIN b USING (token) GROUP BY row_id, src_id HAVING count(*) >= 3""",
+SELECT row_id, count(*) AS n_candidates, CAST(sum(src_id) AS BIGINT) AS id_sum, CAST(sum(n) AS BIGINT) AS n_shared FROM (SELECT row_id, src_id, count(*) AS n FROM a JOIN b USING (token) GROUP BY row_id, src_id) GROUP BY row_id""",
 )
 def token_block(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return joins.token_candidates(*_worded(spark, sf_dir), 3)
+    """Rule J10: one shared token is enough."""
+    return _digest(joins.token_candidates(*_worded(spark, sf_dir)), "n_shared")
 
 
 def _worded(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -201,15 +202,13 @@ def _worded(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     return customers(spark, sf_dir).select("row_id", words(F.col("material_name"))), catalogue(spark, sf_dir).select("src_id", words(F.col("material_name")))
 
 
-@query("token_whole")
-def token_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rule J10: one shared token is enough; ``token_block`` and its SQL ask for three."""
-    return joins.token_candidates(*_worded(spark, sf_dir))
-
-
-@query("category_block", f"{WITH} SELECT row_id, src_id FROM cust JOIN part ON row_id = p_partkey JOIN cat ON lower(p_type) = lower(cat.category) AND lower(cust.brand) = lower(cat.brand)")
+@query(
+    "category_block",
+    f"{WITH} SELECT row_id, count(*) AS n_candidates, CAST(sum(src_id) AS BIGINT) AS id_sum FROM cust JOIN part ON row_id = p_partkey JOIN cat ON lower(p_type) = lower(cat.category) GROUP BY 1",
+)
 def category_block(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return joins.category_candidates(*_categorised(spark, sf_dir), "p_type", "category", ("brand", "brand"))
+    """Rule J11: equal category alone."""
+    return _digest(joins.category_candidates(*_categorised(spark, sf_dir), "p_type", "category"))
 
 
 def _categorised(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -217,12 +216,6 @@ def _categorised(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame
     return customers(spark, sf_dir).join(part, "row_id"), catalogue(spark, sf_dir)
 
 
-@query("category_whole")
-def category_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rule J11: equal category alone; ``category_block`` and its SQL ask for the brand too."""
-    return joins.category_candidates(*_categorised(spark, sf_dir), "p_type", "category")
-
-
 # ---- scores ---------------------------------------------------------------------------
 
 
@@ -231,12 +224,13 @@ NAMES = "names AS (SELECT DISTINCT p_name AS name FROM part)"
 
 @query(
     "levenshtein_topk",
-    f"""WITH {NAMES}, pairs AS (SELECT a.name AS query, b.name AS item, levenshtein(a.name, b.name) AS distance FROM names a JOIN names b ON a.name <> b.name AND left(a.name, 1) = left(b.name, 1)),
+    f"""WITH {NAMES}, pairs AS (SELECT a.name AS query, b.name AS item, levenshtein(a.name, b.name) AS distance FROM names a JOIN names b ON a.name <> b.name),
 r AS (SELECT *, row_number() OVER (PARTITION BY query ORDER BY distance, item) AS rank FROM pairs) SELECT query, item, distance, CAST(rank AS INTEGER) AS rank FROM r WHERE rank <= 3""",
 )
 def levenshtein_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    names = table(spark, sf_dir, "part").select(F.col("p_name").alias("query")).distinct().withColumn("block", F.substring("query", 1, 1))
-    pairs = names.join(names.withColumnRenamed("query", "item"), "block").where("query <> item")
+    """The nearest of all other names; the number of names asked for is bounded by the guard of the full scan."""
+    names = table(spark, sf_dir, "part").select(F.col("p_name").alias("query")).distinct()
+    pairs = joins.full_candidates(names.select(F.col("query").alias("row_id")), names.select(F.col("query").alias("src_id"))).toDF("query", "item").where("query <> item")
     scored = pairs.select("query", "item", F.levenshtein("query", "item").alias("distance"))
     return rows.top_k(scored, ["query"], [F.col("distance"), F.col("item")], 3)
 
@@ -846,29 +840,21 @@ def adjudication_gates(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "weight_rank_selection",
     f"""{PARSED}, x AS (SELECT c.id AS row_id, s.id AS src_id, CASE WHEN s.weight = c.weight THEN 0 ELSE 3 END AS wpri, CASE WHEN c.pack <> '' AND c.pack = s.pack THEN 0 ELSE 1 END AS pk, (s.id % 10)::DOUBLE AS score
-  FROM banded c JOIN banded s ON c.side = 'c' AND s.side = 's' AND upper(c.brand) = s.brand AND c.id % 50 = s.id % 50),
+  FROM banded c JOIN banded s ON c.side = 'c' AND s.side = 's' AND upper(c.brand) = s.brand),
 r AS (SELECT *, row_number() OVER (PARTITION BY row_id ORDER BY wpri, pk, score DESC, src_id) AS k FROM x) SELECT row_id, src_id, wpri, score FROM r WHERE k = 1""",
 )
 def weight_rank_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _best_by_weight(spark, sf_dir, ["brand", "slot"])
+    """Rule A8 over all candidates of a brand."""
 
-
-def _best_by_weight(spark: SparkSession, sf_dir: str, on: list[str]) -> DataFrame:
     def side(df: DataFrame, i: str, p: str) -> DataFrame:
         parsed = parse_description(F.col("material_name"))
-        return df.select(i, F.upper("brand").alias("brand"), (F.col(i) % 50).alias("slot"), parsed["weight"].alias(f"{p}_weight"), parsed["pack"].alias(f"{p}_pack"))
+        return df.select(i, F.upper("brand").alias("brand"), parsed["weight"].alias(f"{p}_weight"), parsed["pack"].alias(f"{p}_pack"))
 
-    pairs = side(customers(spark, sf_dir), "row_id", "c").join(side(catalogue(spark, sf_dir), "src_id", "s"), on)
+    pairs = side(customers(spark, sf_dir), "row_id", "c").join(side(catalogue(spark, sf_dir), "src_id", "s"), "brand")
     best = match.select_by_weight(pairs.withColumn("score", (F.col("src_id") % 10).cast("double")))
     return best.select("row_id", "src_id", "wpri", "score")
 
 
-@query("weight_rank_whole")
-def weight_rank_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rule A8 over all candidates of a brand; ``weight_rank_selection`` and its SQL rank those of equal id modulo 50."""
-    return _best_by_weight(spark, sf_dir, ["brand"])
-
-
 @query(
     "barcode_review",
     f"""{PARSED} SELECT c.id AS row_id, CASE WHEN least(c.weight, s.weight) / greatest(c.weight, s.weight) < 0.98 THEN 'REVIEW' ELSE 'MATCHED' END AS status,

@@ -33,17 +33,17 @@ def pick_encoding(spark: SparkSession, path: str, sample: int = 1 << 20) -> str:
 
     @F.pandas_udf("int")
     def first(heads: pd.Series) -> pd.Series:
-        return heads.map(lambda raw: ENCODINGS.index(encoding_of(bytes(raw))))
+        return heads.map(lambda raw: ENCODINGS.index(encoding_of(bytes(raw), len(raw) == sample)))
 
     heads = spark.read.format("binaryFile").load(path).select(F.substring("content", 1, sample).alias("head"))
     found = heads.agg(F.max(first("head")).alias("k")).first()
     return ENCODINGS[found.k or 0]
 
 
-def encoding_of(raw: bytes) -> str:
-    """The first encoding of the list that decodes a head of a file; its end may lie inside a character."""
+def encoding_of(raw: bytes, cut_off: bool = False) -> str:
+    """The first encoding of the list that decodes some bytes; if they are cut off, the end may lie inside a character."""
     for encoding in ENCODINGS:
-        for cut in range(4):
+        for cut in range(4 if cut_off else 1):
             try:
                 raw[: len(raw) - cut].decode(encoding)
                 return "utf-8-sig" if encoding == "utf-8" and raw.startswith(b"\xef\xbb\xbf") else encoding
