@@ -59,6 +59,43 @@ STOP_WORDS = [
     "WHOLE", "HALF", "SLICED", "MIXED", "ASSORTED", "PRODUCT", "PRODUCTS", "ITEM", "OTHER", "MISC",
 ]
 
+#: Brands that are one, found by hand; a later group wins.
+CURATED_BRANDS = [
+    ["DEEMAH", "DEEMAHH"], ["DI MARTINO", "G.DI MARTINO"], ["DIVELA", "DIVELLA"], ["MAJDI", "AJDI"], ["ASAK", "ASMAK"],
+    ["DSCHAR", "SCHAR"], ["HAAGE", "HAAGEN", "HAAGENDAZS"], ["KASIH", "KASSIH"], ["LOACKER", "LOCKER"], ["LOTTE", "LOTTEE"],
+    ["LOV", "LOVE"], ["MC VIITIES", "MCVITIES'S"], ["MUCHEE", "MUNCHEE"], ["NAMET", "NAMLET"], ["OREAO", "OREO"], ["POMI", "POMMI"],
+    ["RAYAN", "RAYYAN"], ["SEARA", "SEARRA"], ["SHAHAD", "SHAHD"], ["SICAM", "SICA"], ["SPRING", "SPRNG"], ["TACHIBO", "TCHIBO"],
+    ["TAYBAT", "TAYEBAT"], ["SAHHA", "SAHA"], ["ALICAFE", "ALICAFÉ"], ["BRITANNIA", "BRITANIA"], ["TIM"],
+    ["ULKER", "PLADIS : ULKER", "PLADIS : ULKER - BISKREM", "PLADIS : ULKER - HALLEY", "PLADIS :ULKER - KAT KAT TAT", "PLADIS : ULKER KELLOGGS", "PLADIS : ULKER - RONDO", "ULKER KELLOGGS"],
+    ["AMERICANA GARDEN", "AMERICAN GARDEN"], ["3SUNICH", "SUNICH"], ["ABOSHEBA", "BOSHEBA"], ["ACORASA", "ACORSA", "ACORS"],
+    ["ACQUA PANNA", "AQUA PANNA"], ["AL AILA", "AL AILAH"], ["AL TAGHZIAH", "TAGHZIAH"], ["BANJABI KHORY", "PANJABI KHORY"],
+    ["BINGRE", "BINGREE"], ["BR BEEF", "BRZ BEEF"], ["C LUXURY", "LUXURY"], ["FRITO", "FRITOS"], ["G/SABA", "SABA"],
+    ["GARDEIN", "GARDEN"], ["GDY-PASTA", "GOODY-PASTA"], ["GRAN", "GRANO"], ["HALAAL", "HALAL"], ["HILLI", "HILLLI"], ["HIPO", "HIPPO"],
+    ["AHMAD", "AHMAD TEA"], ["AHMED", "AHMED FOOD"],
+    ["PARLE", "PARLE - FAB!", "PARLE - HIDE & SEEK", "PARLE - KRACKJACK", "PARLE - MONACO", "PARLE - PARLE", "PARLE - PARLE-G", "PARLE - POPPINS", "PARLE - RUSK", "PARLE-G"],
+    ["AL BARAKAH", "AL BARAKA", "ALBARAKA"], ["AL KABER", "AL KABEER", "ALKABEER"], ["AL MARRAI", "AL MARAI", "ALMARAI"],
+    ["AL MARRAI", "AL MARAAI", "ALMARAAI"], ["AL NUTRICAA", "AL NUTRICA", "ALNUTRICA"], ["ALKRAMAH", "AL KARAMAH", "ALKARAMAH"],
+    ["ALWLIMAH", "AL WALIMAH", "ALWALIMAH"], ["AL TAYAB", "AL TAYYAB", "ALTAYYAB"],
+]
+
+#: Names that stand for all of their spellings, whatever else was found.
+FORCED_BRANDS = {
+    "BUSH'S": ["BUSH", "BUSHS", "BUSH'S", "BUSH'S BEST"],
+    "KANNAN DEVAN": ["KANNAN DEVAN", "KANNAN"],
+    "KELLOGG'S": [
+        "KELLOGG'S", "KELLOGGS", "KELLOGS", "KELLOGGS'S", "KELLOG'S", "KELLOGG S", "KELLOGG S IMP", "KELLOGG'S - CORN FLAKES", "KELLOGG'S - EGGO",
+        "KELLOGG'S - RICE KRISPIES", "KELLOGG'S - FROSTIES", "KELLOGG'S - SPECIAL K", "KELLOGG'S - KELLOGG'S", "KELLOGG'S - COCO POPS",
+        "KELLOGG'S - POP TARTS", "KELLOGG'S FROOT LOOPS", "KELLOGG'S RICE KRSPIES", "KELLOGG'S CORN POP", "KELLOGG'S GRANOLA",
+    ],
+    "KHALAS": ["KHALAS", "KHALAS AL NADEEM"],
+}
+
+#: Close keys that are two brands.
+NOT_ONE_BRAND = [
+    ("CAPRI", "CAPRIO"), ("BARAKAT", "BARAKA"), ("BUSAN", "BUSTAN"), ("BENATURAL", "NATURAL"), ("ALWANI", "HALWANI"), ("CLASSIC", "CLASSICO"),
+    ("GOODWAY", "GOODDAY"), ("WALTERS", "WALKERS"), ("EUROBAKE", "EUROCAKE"), ("SUMMERFRESH", "SUPERFRESH"),
+]
+
 #: Words that may stand before the brand that a description opens with.
 LEADING_SKIP_TOKENS = [
     "FZ", "CH", "FR", "SF", "BF", "KW", "JOR", "UAE", "USA", "AUS", "BRZ", "IND", "UK", "NZ", "KSA", "IQF", "RTE", "RTC", "WHL",

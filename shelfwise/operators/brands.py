@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shelfwise.functions import fixed
@@ -11,11 +11,9 @@ from shelfwise.functions.brand import brand_key
 from shelfwise.functions.scores import score
 from shelfwise.functions.text import ngrams, tight, words
 from shelfwise.operators.report import first_distinct
-from shelfwise.session import ship
+from shelfwise.session import Scratch, ship
 
 METHOD_WEIGHTS = {"barcode": 4, "rule_exact": 3, "rule_fuzzy": 2, "llm": 1}
-#: Bound of the list of distinct brand keys that are clustered in one task.
-MOST_KEYS = 200_000
 
 
 def brand_counts(df: DataFrame, brand: str = "brand", customer: str = "source_customer") -> DataFrame:
@@ -41,19 +39,33 @@ def close_keys(keys: DataFrame, exclude: DataFrame | None = None, cutoff: float
     return pairs.withColumn("score", score("ratio", F.col("a"), F.col("b"))).where(F.col("score") >= cutoff)
 
 
+def linked(close: DataFrame, scratch: Scratch) -> DataFrame:
+    """(key, part): the smallest key that each key is linked to by close pairs (both ways in ``close``), round by round."""
+    state = scratch.table(close.select(F.col("a").alias("key"), F.col("a").alias("part")).distinct(), "part-0")
+    pairs, step = scratch.table(close.select("a", "b").distinct(), "pairs"), 0
+    while True:
+        step += 1
+        near = pairs.join(state.select(F.col("key").alias("b"), "part"), "b").groupBy("a").agg(F.min("part").alias("least"))
+        new = state.join(near.withColumnRenamed("a", "key"), "key", "left").select("key", F.least("part", "least").alias("new"), "part")
+        new = scratch.table(new, f"part-{step}")
+        if new.where("new <> part").isEmpty():
+            return new.select("key", "part")
+        state = new.select("key", F.col("new").alias("part"))
+
+
 def greedy_stars(keys: DataFrame, close: DataFrame, most: int = 8) -> DataFrame:
     """(key, leader): keys are taken in order (``position``); a free key leads itself and its closest free neighbours.
 
-    The rule is sequential and not transitive.  Keys without a close pair lead
-    themselves; only keys that have one meet in a task, and their number is checked.
+    The rule is sequential and not transitive, but keys that no chain of close pairs links
+    do not touch each other: each linked part is worked through on its own, and keys
+    without a close pair lead themselves.
     """
-    involved = close.select(F.col("a").alias("key")).distinct()
-    n = involved.count()
-    if n > MOST_KEYS:
-        raise ValueError(f"{n} brand keys have close neighbours; the sequential rule is bounded to {MOST_KEYS}")
     ship(keys.sparkSession)
+    scratch = Scratch(keys.sparkSession, "stars")
+    close = scratch.table(close, "close")
+    involved = linked(close, scratch)
     near = close.groupBy(F.col("a").alias("key")).agg(F.collect_list(F.struct(F.col("score"), F.col("b"))).alias("near"))
-    rows = keys.select("key", "position").join(near, "key").withColumn("one", F.lit(1))
+    rows = keys.select("key", "position").join(near, "key").join(involved, "key")
 
     def group(pdf: pd.DataFrame) -> pd.DataFrame:
         used: set[str] = set()
@@ -70,22 +82,49 @@ def greedy_stars(keys: DataFrame, close: DataFrame, most: int = 8) -> DataFrame:
                     out.append((b, row["key"]))
         return pd.DataFrame(out, columns=["key", "leader"])
 
-    stars = rows.groupBy("one").applyInPandas(group, "key string, leader string")
-    alone = keys.join(involved, "key", "left_anti").select("key", F.col("key").alias("leader"))
+    stars = rows.groupBy("part").applyInPandas(group, "key string, leader string")
+    alone = keys.join(involved.select("key"), "key", "left_anti").select("key", F.col("key").alias("leader"))
     return stars.unionByName(alone)
 
 
+def _preference(master: str) -> list[Column]:
+    """Order of the names of a group: of the master customer first, then without punctuation, shorter, first in order."""
+    return [(~F.array_contains("customers", master)).cast("int"), F.col("brand").rlike("['.-]").cast("int"), F.char_length("brand"), F.col("brand")]
+
+
+def curated(counts: DataFrame, groups: list[list[str]], master: str, names: list[str] | None = None) -> DataFrame:
+    """(brand, standardized_brand, n_keys) of groups made by hand of which two members or more occur; a later group wins.
+
+    ``names`` holds each group's name; without it the name is picked as ``standardise`` does.
+    """
+    listed = counts.sparkSession.createDataFrame([(i, b, names[i] if names else None) for i, g in enumerate(groups) for b in g], "i int, brand string, forced string")
+    met = listed.join(counts.select("brand", "key", "customers"), "brand")
+    best = met.groupBy("i").agg(F.count("*").alias("n"), F.countDistinct("key").alias("n_keys"), F.coalesce(F.first("forced"), F.min_by("brand", F.struct(*_preference(master)))).alias("std"))
+    last = met.join(best.where("n > 1"), "i").groupBy("brand").agg(F.max_by(F.struct("std", "n_keys"), "i").alias("x"))
+    return last.select("brand", F.col("x.std").alias("standardized_brand"), "x.n_keys")
+
+
+def by_hand(counts: DataFrame, master: str) -> DataFrame:
+    """(brand, standardized_brand, match_type) of the curated groups and, over them, of the forced names."""
+    groups = curated(counts, fixed.CURATED_BRANDS, master).withColumn("match_type", F.when(F.col("n_keys") == 1, "exact_normalized").otherwise("fuzzy_curated"))
+    forced = curated(counts, list(fixed.FORCED_BRANDS.values()), master, list(fixed.FORCED_BRANDS)).withColumn("match_type", F.lit("curated_forced_canonical"))
+    return forced.unionByName(groups.join(forced.select("brand"), "brand", "left_anti")).select("brand", "standardized_brand", "match_type")
+
+
+def not_one(spark: SparkSession) -> DataFrame:
+    """(a, b): keys that ``close_keys`` must not pair."""
+    return spark.createDataFrame(fixed.NOT_ONE_BRAND, "a string, b string")
+
+
 def standardise(counts: DataFrame, stars: DataFrame, master: str, forced: DataFrame | None = None) -> DataFrame:
     """(brand, standardized_brand, match_type): one name per group.
 
     The name is a member that the master customer uses, else any; of these the one without
     punctuation, then the shortest, then the first in order.  ``forced`` (brand,
-    standardized_brand) wins over the groups.
+    standardized_brand, and match_type if it differs from "forced") wins over the groups.
     """
     grouped = counts.join(stars, "key")
-    order = Window.partitionBy("leader").orderBy(
-        (~F.array_contains("customers", master)).cast("int"), F.col("brand").rlike("['.-]").cast("int"), F.char_length("brand"), "brand"
-    )
+    order = Window.partitionBy("leader").orderBy(*_preference(master))
     whole = Window.partitionBy("leader")
     named = grouped.withColumns(
         {
@@ -98,10 +137,10 @@ def standardise(counts: DataFrame, stars: DataFrame, master: str, forced: DataFr
     out = named.select("brand", "standardized_brand", kind.alias("match_type"))
     if forced is None:
         return out
-    f = forced.select("brand", F.col("standardized_brand").alias("_forced"))
+    f = forced.select("brand", F.col("standardized_brand").alias("_forced"), (F.col("match_type") if "match_type" in forced.columns else F.lit("forced")).alias("_type"))
     both = out.join(f, "brand", "left")
     return both.select(
-        "brand", F.coalesce("_forced", "standardized_brand").alias("standardized_brand"), F.when(F.col("_forced").isNotNull(), "forced").otherwise(F.col("match_type")).alias("match_type")
+        "brand", F.coalesce("_forced", "standardized_brand").alias("standardized_brand"), F.coalesce("_type", "match_type").alias("match_type")
     )
 
 

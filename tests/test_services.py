@@ -185,3 +185,16 @@ def test_lineage_and_corrupt_rows(spark, tmp_path):
     assert files.read_delimited(spark, f"{tmp_path}/m.csv", multiline=True).first().t == "two\nlines"
     (tmp_path / "l.csv").write_bytes("k\né\n".encode("latin-1"))
     assert files.pick_encoding(spark, str(tmp_path)) == "latin-1"  # one of several files decides
+
+
+def test_brands_merged_by_hand(spark):
+    rows = [("OREO", "MASTER"), ("OREAO", "OTHER"), ("POMI", "OTHER"), ("BUSH", "OTHER"), ("BUSH'S BEST", "MASTER"), ("AL MARRAI", "OTHER"), ("AL MARAI", "OTHER"), ("ALMARAAI", "OTHER"), ("CLASSIC", "OTHER"), ("CLASSICO", "OTHER"), ("KELLOGGS", "X")]
+    df = spark.createDataFrame(rows, "brand string, source_customer string")
+    counts = brands.brand_counts(df)
+    keys = counts.groupBy("key").agg(F.min("brand").alias("position"))
+    stars = brands.greedy_stars(keys, brands.close_keys(keys, brands.not_one(spark)))
+    got = {r.brand: (r.standardized_brand, r.match_type) for r in brands.standardise(counts, stars, "MASTER", brands.by_hand(counts, "MASTER")).collect()}
+    assert got["OREAO"] == got["OREO"] == ("OREO", "fuzzy_curated")
+    assert got["POMI"] == ("POMI", "single") and got["CLASSICO"] == ("CLASSICO", "single") and got["KELLOGGS"][0] == "KELLOGGS"
+    assert got["BUSH"] == got["BUSH'S BEST"] == ("BUSH'S", "curated_forced_canonical")
+    assert got["AL MARRAI"][0] == got["ALMARAAI"][0] == "ALMARAAI" and got["AL MARAI"][0] in ("AL MARAI", "AL MARRAI")
