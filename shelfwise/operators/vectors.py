@@ -9,6 +9,7 @@ from typing import Protocol
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -16,7 +17,9 @@ from shelfwise.operators.adjudicate import with_backoff
 from shelfwise.operators.rows import runner_up_margin
 from shelfwise.session import Scratch, ship
 
-BLOCK, TILE, SALTS = 1024, 4096, 32
+BLOCK, TILE = 1024, 4096
+#: Bytes of query vectors that are broadcast at once.
+ROUND_BYTES = 64 << 20
 
 
 class Embedder(Protocol):
@@ -110,55 +113,87 @@ def _unit(rows: list) -> np.ndarray:
     return x / np.where(norm == 0, 1, norm)
 
 
+def _matrices(batch: pa.RecordBatch, as_is: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Ids and vectors (a row each, unit length unless ``as_is``) of the rows of a batch, one dimension after another.
+
+    Rows with a null or non-finite component are left out.
+    """
+    lists = batch.column("v")
+    lengths = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    flat = lists.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+    ends = np.cumsum(lengths)
+    odd = np.concatenate(([0], np.cumsum(~np.isfinite(flat))))
+    good = (lengths > 0) & (odd[ends] == odd[ends - lengths])
+    ids = batch.column("id").to_numpy()
+    for d in np.unique(lengths[good]).tolist():
+        at = np.flatnonzero(good & (lengths == d))
+        x = flat[(ends - lengths)[at][:, None] + np.arange(d)]
+        yield ids[at], x if as_is else _unit(x)
+
+
+class _Best:
+    """The k most similar items of each query of a block."""
+
+    def __init__(self, ids: np.ndarray, x: np.ndarray, k: int):
+        self.ids, self.x, self.k = ids, x, k
+        self.row, self.sim, self.item = np.empty(0, np.int64), np.empty(0), np.empty(0, np.int64)
+        self.worst = np.full(len(ids), -np.inf)
+
+    def meet(self, ids: np.ndarray, x: np.ndarray) -> None:
+        s, k = np.round(self.x @ x.T, 9), self.k
+        limit = self.worst if s.shape[1] < k else np.maximum(self.worst, np.partition(s, s.shape[1] - k, axis=1)[:, s.shape[1] - k])
+        rows, columns = np.nonzero(s >= limit[:, None])
+        row, sim, item = np.append(self.row, rows), np.append(self.sim, s[rows, columns]), np.append(self.item, ids[columns])
+        order = np.lexsort((item, -sim, row))
+        row, sim, item = row[order], sim[order], item[order]
+        rank = np.arange(len(row)) - np.searchsorted(row, row)
+        kept = rank < k
+        self.row, self.sim, self.item = row[kept], sim[kept], item[kept]
+        full = rank == k - 1
+        self.worst[row[full]] = sim[full]
+
+    def found(self) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(self.ids[self.row]), pa.array(self.item), pa.array(self.sim)], ["query_id", "item_id", "similarity"])
+
+
 def knn(queries: DataFrame, items: DataFrame, k: int, query_id: str = "query_id", item_id: str = "item_id", metric: str = "cosine") -> DataFrame:
     """(query_id, item_id, similarity, rank): the k items with the largest cosine or inner product, ties to the smaller id.
 
-    Exact.  Blocks of queries meet tiles of items in an equi-join on (block, salt); each
-    meeting is one matrix product that keeps k per query.
+    Exact.  Items stay where they are read: each task compares its own with a round of
+    queries, at most ROUND_BYTES of vectors, which are broadcast, and sends k per query.
+    More queries take more rounds, each a pass over the items.
     """
     spark = queries.sparkSession
     ship(spark)
-    scratch = Scratch(spark, "knn")
-    n = max(1, -(-queries.count() // BLOCK))
     as_is = metric == "dot"
-
-    def matrix(values: pa.Array) -> np.ndarray:
-        x = np.asarray(values.to_pylist(), np.float64)
-        return x if as_is else _unit(x)
-
-    def pack_block(key: tuple, table: pa.Table) -> pa.Table:
-        x = matrix(table.column("v").combine_chunks())
-        ids = table.column("id").to_numpy()
-        return pa.table({"block": [key[0].as_py()], "dim": [x.shape[1]], "q_ids": [ids.tobytes()], "q": [x.tobytes()]})
-
-    def pack_tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, TILE):
-                part = batch.slice(at, TILE)
-                x = matrix(part.column("v"))
-                yield pa.RecordBatch.from_pylist([{"ids": part.column("id").to_numpy().tobytes(), "x": x.tobytes()}])
-
     usable = lambda df, i: df.select(F.col(i).cast("long").alias("id"), F.col("embedding").alias("v")).where("id is not null and size(v) > 0")
-    blocks = usable(queries, query_id).withColumn("block", F.pmod(F.xxhash64("id"), F.lit(n))).groupBy("block").applyInArrow(pack_block, "block long, dim long, q_ids binary, q binary")
-    blocks = scratch.table(blocks, "blocks").withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
-    tiles = usable(items, item_id).mapInArrow(pack_tiles, "ids binary, x binary").withColumn("salt", F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)))
-    tiles = tiles.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long"))))
-
-    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for r in range(batch.num_rows):
-                read = lambda c, kind: np.frombuffer(batch.column(c)[r].as_buffer(), kind)  # noqa: B023, E731
-                dim = batch.column("dim")[r].as_py()
-                q_ids, ids = read("q_ids", np.int64), read("ids", np.int64)
-                s = read("q", np.float64).reshape(-1, dim) @ read("x", np.float64).reshape(-1, dim).T
-                s = np.round(s, 9)
-                order = np.lexsort((np.broadcast_to(ids, s.shape), -s), axis=1)[:, :k]
-                rows = np.arange(len(q_ids))[:, None]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.repeat(q_ids, order.shape[1])), pa.array(ids[order].ravel()), pa.array(s[rows, order].ravel())], ["query_id", "item_id", "similarity"]
-                )
-
-    found = tiles.join(blocks, ["block", "salt"]).select("dim", "q_ids", "q", "ids", "x").mapInArrow(meet, "query_id long, item_id long, similarity double")
+    asked, offered, scratch = usable(queries, query_id), usable(items, item_id), Scratch(spark, "knn")
+    size = asked.agg(F.sum(F.size("v") * 8)).first()[0] or 0
+    n = max(1, -(-size // ROUND_BYTES))
+    asked = asked if n == 1 else scratch.table(asked.withColumn("round", F.pmod(F.xxhash64("id"), F.lit(n))), "asked")
+
+    def compare(r: int) -> DataFrame:
+        table = (asked if n == 1 else asked.where(F.col("round") == r).select("id", "v")).toArrow()
+        held = spark.sparkContext.broadcast([(ids[a : a + BLOCK], x[a : a + BLOCK]) for batch in table.combine_chunks().to_batches() for ids, x in _matrices(batch, as_is) for a in range(0, len(ids), BLOCK)])
+
+        def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            blocks = [_Best(ids, x, k) for ids, x in held.value]
+            for batch in batches:
+                for ids, x in _matrices(batch, as_is):
+                    for at in range(0, len(ids), TILE):
+                        for block in blocks:
+                            if block.x.shape[1] == x.shape[1]:
+                                block.meet(ids[at : at + TILE], x[at : at + TILE])
+            for block in blocks:
+                yield block.found()
+
+        return offered.mapInArrow(meet, "query_id long, item_id long, similarity double")
+
+    found = compare(0)
+    if n > 1:
+        for r in range(n):
+            compare(r).write.mode("overwrite").parquet(scratch.path(f"found/{r:06d}"))
+        found = spark.read.schema(found.schema).parquet(scratch.path("found/*"))
     order = Window.partitionBy("query_id").orderBy(F.col("similarity").desc(), "item_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 

@@ -198,3 +198,19 @@ def test_brands_merged_by_hand(spark):
     assert got["POMI"] == ("POMI", "single") and got["CLASSICO"] == ("CLASSICO", "single") and got["KELLOGGS"][0] == "KELLOGGS"
     assert got["BUSH"] == got["BUSH'S BEST"] == ("BUSH'S", "curated_forced_canonical")
     assert got["AL MARRAI"][0] == got["ALMARAAI"][0] == "ALMARAAI" and got["AL MARAI"][0] in ("AL MARAI", "AL MARRAI")
+
+
+def test_neighbours_in_rounds(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    rows = [(i, rng.integers(-2, 3, 3 if i % 10 else 4).astype(float).tolist()) for i in range(400)] + [(900, [1.0, float("nan"), 0.0]), (901, None), (902, [0.0, 0.0, 0.0])]
+    df = spark.createDataFrame(rows, "id long, embedding array<double>").repartition(3)
+    queries = df.where("id % 4 = 0").withColumnRenamed("id", "query_id")
+    unit = {i: np.asarray(v) / (np.linalg.norm(v) or 1) for i, v in rows if v and np.isfinite(v).all()}
+    want = set()
+    for q in (i for i in unit if i % 4 == 0):
+        near = sorted((-round(float(unit[q] @ v), 9), i) for i, v in unit.items() if len(v) == len(unit[q]))[:5]
+        want |= {(q, i, r + 1) for r, (_, i) in enumerate(near)}
+    for size in (vectors.ROUND_BYTES, 900):
+        monkeypatch.setattr(vectors, "ROUND_BYTES", size)
+        got = {(r.query_id, r.item_id, r.rank) for r in vectors.knn(queries, df.withColumnRenamed("id", "item_id"), 5).collect()}
+        assert got == want
