@@ -45,8 +45,9 @@ ROWS, BANDS = 6, 30
 SIGNATURE_FLOOR = 0.70
 #: Rows of a block of a bucket; two blocks meet in one tile.
 TILE = 256
-#: Shingles of the texts that a task compares at once, and links to one centre from which there are more salts.
-PART_SHINGLES, FAN = 2_000_000, 2_000
+#: Shingles of the texts that a task compares at once, rows of either side of such a part, and links to one centre from
+#: which there are more salts.
+PART_SHINGLES, PART_ROWS, FAN = 2_000_000, 128, 2_000
 SEED = 20_240_501
 
 def _multipliers() -> np.ndarray:
@@ -257,11 +258,12 @@ def suspects(rows: DataFrame, width: int, bands: int, floor: float) -> DataFrame
 
     ``rows``: key, band, id, comp, n_shingles, sig, bands.  ``partners`` are the ids whose
     signatures agree well enough; a pair is named only in the first band that both share,
-    by one of the two.  Rows that are merely named have an empty list.  The rows of a part
-    have ``PART_SHINGLES`` at most (two texts always fit); a row may be in several parts.
+    by one of the two.  Rows that are merely named have an empty list.  A part holds at most
+    ``PART_ROWS`` rows with partners and as many partners, of ``PART_SHINGLES`` in all (two
+    texts always fit); a row may be in several parts.
     """
 
-    most = PART_SHINGLES
+    most, side = PART_SHINGLES, PART_ROWS
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in _runs(batches):
@@ -279,7 +281,7 @@ def suspects(rows: DataFrame, width: int, bands: int, floor: float) -> DataFrame
                 j = j[~(keys[j, :band] == keys[i, :band]).any(axis=1)]
                 if len(j):
                     wanted.append((i, j))
-            for n, part in enumerate(_parts(wanted, sizes, most)):
+            for n, part in enumerate(p for some in _squares(wanted, side) for p in _parts(some, sizes, most)):
                 at = np.unique(np.concatenate([*part.values(), np.fromiter(part, np.int64)]))
                 kept = table.select(["id", "comp", "is_main"]).take(pa.array(at)).combine_chunks().to_batches()[0]
                 number = mix64(np.asarray([int(table.column("tile")[0].as_py()) % 2**64], np.uint64) + np.uint64(n)).view(np.int64)
@@ -290,6 +292,15 @@ def suspects(rows: DataFrame, width: int, bands: int, floor: float) -> DataFrame
     return dealt.repartition("tile").sortWithinPartitions("tile").mapInArrow(find, "part long, id long, comp long, is_main boolean, partners array<long>")
 
 
+def _squares(wanted: list[tuple[int, np.ndarray]], side: int) -> Iterator[list[tuple[int, np.ndarray]]]:
+    """Comparisons (a row, its partners) dealt into squares of ``side`` rows and as many partners."""
+    squares: dict[tuple[int, int], list[tuple[int, np.ndarray]]] = {}
+    for i, partners in wanted:
+        for b in np.unique(partners // side).tolist():
+            squares.setdefault((i // side, b), []).append((i, partners[partners // side == b]))
+    yield from squares.values()
+
+
 def _parts(wanted: list[tuple[int, np.ndarray]], sizes: np.ndarray, most: int) -> Iterator[dict[int, np.ndarray]]:
     """Cut comparisons (a row, its partners) into parts whose rows have ``most`` shingles, or are two."""
     part: dict[int, np.ndarray] = {}

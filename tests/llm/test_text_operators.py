@@ -125,9 +125,9 @@ def chain_texts():
     return [*texts, *near, *ODD, "one two", "One  TWO", "one two three"]
 
 
-@pytest.mark.parametrize(("tile", "part", "fan"), [(near_dups.TILE, near_dups.PART_SHINGLES, near_dups.FAN), (4, 300, 2)])
-def test_components_equal_brute_force(spark, monkeypatch, tile, part, fan):
-    for name, value in (("TILE", tile), ("PART_SHINGLES", part), ("FAN", fan)):
+@pytest.mark.parametrize(("tile", "part", "side", "fan"), [(near_dups.TILE, near_dups.PART_SHINGLES, near_dups.PART_ROWS, near_dups.FAN), (4, 300, 2, 2)])
+def test_components_equal_brute_force(spark, monkeypatch, tile, part, side, fan):
+    for name, value in (("TILE", tile), ("PART_SHINGLES", part), ("PART_ROWS", side), ("FAN", fan)):
         monkeypatch.setattr(near_dups, name, value)
     texts = chain_texts()
     docs = frame(spark, texts).repartition(5)
@@ -155,7 +155,11 @@ def test_rows_that_share_a_doc_id_are_judged_by_their_own_texts(spark):
 def test_parts_hold_every_comparison(wanted):
     sizes = np.arange(31) * 100
     parts = list(near_dups._parts([(i, np.asarray(j)) for i, j in wanted], sizes, 4000))
-    assert sorted((i, int(j)) for p in parts for i, js in p.items() for j in js) == sorted((i, j) for i, js in wanted for j in js)
+    pairs = sorted((i, j) for i, js in wanted for j in js)
+    assert sorted((i, int(j)) for p in parts for i, js in p.items() for j in js) == pairs
+    squares = list(near_dups._squares([(i, np.asarray(j)) for i, j in wanted], 4))
+    assert sorted((i, int(j)) for p in squares for i, js in p for j in js) == pairs
+    assert all(len({i // 4 for i, _ in p}) == len({int(j) // 4 for _, js in p for j in js}) == 1 for p in squares)
     for p in parts:
         rows = {int(x) for i, js in p.items() for x in (i, *js)}
         assert len(rows) == 2 or sum(int(sizes[x]) for x in rows) <= 4000
