@@ -1,4 +1,10 @@
-"""From raw documents to packed sequences: five stages, each an operator of ``shelfwise.llm``."""
+"""From raw documents to packed sequences: five stages, each an operator of ``shelfwise.llm``.
+
+Cases, in every stage: a null text is an empty one (language ID rejects both, as they have no letters); texts are taken
+whole, however long; an empty table gives an empty one; further columns stay as they are, whatever their names, until
+packing, which returns pieces.  Rows that share a doc_id are documents of their own, but that line dedup counts them as
+one.  Rows with a null doc_id lose no lines and are nobody's copy.
+"""
 
 from __future__ import annotations
 
@@ -36,10 +42,21 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document of each group of near-duplicates (0.80 or more of five-word shingles), the smallest doc_id."""
-    found = near_dups.near_duplicates(docs, **NEAR)
-    gone = found.where("not kept").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """Keep one document of each group of near-duplicates (0.80 or more of five-word shingles), the smallest doc_id.
+
+    Where rows share a doc_id, rows are numbered and of a group the first of those with the smallest doc_id stays.
+    """
+    repeated = docs.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1")
+    if repeated.isEmpty():
+        gone = near_dups.near_duplicates(docs, **NEAR).where("not kept").select("doc_id").distinct()
+        return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    row = fresh(docs, "_row")
+    numbered = Scratch(spark, "numbered").table(docs.withColumn(row, F.monotonically_increasing_id()), "docs")
+    texts = numbered.where("doc_id is not null").select(F.col(row).alias("doc_id"), "text")
+    found = near_dups.near_duplicates(texts, **NEAR).select(F.col("doc_id").alias(row), "component_id")
+    first = found.join(numbered.select(row, "doc_id"), row).groupBy("component_id").agg(F.min_by(row, F.struct("doc_id", row)).alias("first"))
+    gone = found.join(first, "component_id").where(F.col(row) != F.col("first")).select(row)
+    return numbered.join(gone, row, "left_anti").select(*docs.columns)
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

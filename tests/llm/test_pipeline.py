@@ -47,6 +47,32 @@ def test_near_dedup_stage_links_from_80_percent(spark):
     assert {r.doc_id for r in corpus_pipeline.drop_near_duplicates(spark, docs, "").collect()} == want
 
 
+def odd_documents(spark):
+    """Null and repeated doc_ids, null and empty texts, and columns whose names the stages use inside."""
+    base = [" ".join(f"{a}{b}{c}{d}" for d in "kl" for c in "pqrst" for b in "xyzuvw") for a in ("alpha", "beta", "gamma")]
+    line = "this line is in many of the documents"
+    rows = [(1, base[0]), (1, base[1]), (1, base[0]), (2, base[0] + " more"), (None, base[0]), (None, base[0]), (3, None), (4, ""), (0, base[1]), *((i, f"{base[2]} number {i}\n{line}") for i in (5, 5, 6, 7, 8))]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in rows], SCHEMA)
+    return docs.withColumns({c: F.lit(c) for c in ("_row", "kept", "score", "lang_pred", "n_lines", "_line_owner", "drop", "spans", "start", "ids", "component_id")}), rows
+
+
+def test_stages_on_odd_rows(spark):
+    docs, rows = odd_documents(spark)
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, docs.limit(0), "").count() == 0, name
+    kept = corpus_pipeline.identify_language(spark, docs, "")
+    assert kept.columns == docs.columns and sorted((r.doc_id or 0, r.text) for r in kept.collect()) == sorted((i or 0, t) for i, t in rows if t)
+    lines = corpus_pipeline.drop_repeated_lines(spark, docs, "")
+    assert lines.columns == docs.columns and sorted(r.doc_id for r in lines.collect() if r.text and "many of" in r.text) == [8]
+    near = corpus_pipeline.drop_near_duplicates(spark, docs, "")
+    got = sorted(((-1 if r.doc_id is None else r.doc_id), (r.text or "")[:5], r["_row"]) for r in near.collect())
+    assert near.columns == docs.columns and got == [(-1, "alpha", "_row"), (-1, "alpha", "_row"), (0, "betax", "_row"), (1, "alpha", "_row"), (3, "", "_row"), (4, "", "_row"), (5, "gamma", "_row")]
+    secret = corpus_pipeline.redact_secrets(spark, docs, "")
+    assert secret.columns == docs.columns and secret.count() == len(rows)
+    packed = corpus_pipeline.pack_sequences(spark, docs, "").where("start = 0")
+    assert packed.count() == len(rows)
+
+
 @pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
 def test_sql_gives_the_same(spark, sf_dir, name):
     con = duckdb.connect()
