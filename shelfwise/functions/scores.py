@@ -6,6 +6,7 @@ Arrow UDFs over a bit-parallel LCS.  The rest are column expressions.
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -121,20 +122,160 @@ SCORERS = {
 }
 
 
+# ---- many pairs at once ---------------------------------------------------------------
+
+#: Letters of the shorter text of a pair that fit a machine word, with room for a carry.
+WORD = 62
+
+
+def _letters(texts: list[str]) -> np.ndarray:
+    """Code points of texts, a column each, filled up with zeros."""
+    width = max(1, max(map(len, texts), default=1))
+    return np.ascontiguousarray(np.asarray(texts, f"<U{width}").view(np.uint32).reshape(len(texts), width).T)
+
+
+def _matches(short: np.ndarray, long: np.ndarray) -> np.ndarray:
+    """For each letter of the long texts, the places of it in the short ones as bits."""
+    out = np.zeros(long.shape, np.uint64)
+    for i in range(len(short)):
+        out |= ((long == short[i]) & (short[i] != 0)).astype(np.uint64) << np.uint64(i)
+    return out
+
+
+def _lcs_of(places: np.ndarray, full: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Lengths of longest common subsequences from the matches of each letter, all pairs a step at a time."""
+    row = full.copy()
+    for m in places:
+        hit = row & m
+        row = (row + hit) | (row - hit)
+    return sizes - np.bitwise_count(row & full)
+
+
+def _full(sizes: np.ndarray) -> np.ndarray:
+    return (np.uint64(1) << sizes.astype(np.uint64)) - np.uint64(1)
+
+
+def lcs_lengths(a: list[str], b: list[str]) -> np.ndarray:
+    """``lcs_length`` of many pairs."""
+    out = np.zeros(len(a), np.int64)
+    pairs = [(x, y) if len(x) <= len(y) else (y, x) for x, y in zip(a, b)]
+    fit = [i for i, (x, y) in enumerate(pairs) if x and len(x) <= WORD and "\0" not in x and "\0" not in y]
+    for i in set(range(len(a))) - set(fit):
+        out[i] = lcs_length(*pairs[i])
+    for at in range(0, len(fit), 4096):
+        some = fit[at : at + 4096]
+        short, long = [pairs[i][0] for i in some], [pairs[i][1] for i in some]
+        sizes = np.fromiter(map(len, short), np.int64, len(short))
+        out[some] = _lcs_of(_matches(_letters(short), _letters(long)), _full(sizes), sizes)
+    return out
+
+
+def ratios(a: list[str], b: list[str]) -> np.ndarray:
+    total = np.fromiter((len(x) + len(y) for x, y in zip(a, b)), np.int64, len(a))
+    return np.where(total > 0, 200.0 * lcs_lengths(a, b) / np.maximum(total, 1), 100.0)
+
+
+def _best_windows(short: list[str], long: list[str]) -> np.ndarray:
+    """``_best_window`` of many pairs whose short texts have one length."""
+    m, size = len(short[0]), np.fromiter(map(len, long), np.int64, len(long))
+    places, full = _matches(_letters(short), _letters(long)), _full(np.full(len(short), m))
+    best, most = np.zeros(len(short)), len(places)
+    for end in sorted(range(1, most + m), key=lambda e: abs(2 * e - most - m)):  # whole windows first, then those cut off
+        begin = max(0, end - m)
+        width = np.minimum(end, size) - begin
+        limit = np.where(width > 0, 200.0 * np.minimum(m, width) / np.maximum(m + width, 1), 0.0)
+        if (limit > best).any():
+            common = _lcs_of(places[begin:end], full, np.int64(m))
+            best = np.maximum(best, np.where(width > 0, 200.0 * common / np.maximum(m + width, 1), 0.0))
+    return best
+
+
+def partial_ratios(a: list[str], b: list[str]) -> np.ndarray:
+    out, groups = np.zeros(len(a)), {}
+    for i, (x, y) in enumerate(zip(a, b)):
+        short, long = (x, y) if len(x) <= len(y) else (y, x)
+        if not short:
+            out[i] = 0.0 if long else 100.0
+        elif short in long:
+            out[i] = 100.0
+        elif len(short) > WORD or "\0" in short or "\0" in long:
+            out[i] = partial_ratio(x, y)
+        else:
+            groups.setdefault(len(short), []).append((i, short, long))
+            if len(short) == len(long):
+                groups[len(short)].append((i, long, short))
+    for rows in groups.values():
+        rows.sort(key=lambda r: len(r[2]))
+        for at in range(0, len(rows), 2048):
+            some = rows[at : at + 2048]
+            np.maximum.at(out, [r[0] for r in some], _best_windows([r[1] for r in some], [r[2] for r in some]))
+    return out
+
+
+def _in_order(texts: list[str]) -> list[str]:
+    known = {t: " ".join(sorted(t.split())) for t in set(texts)}
+    return [known[t] for t in texts]
+
+
+def token_set_ratios(a: list[str], b: list[str]) -> np.ndarray:
+    words = {t: frozenset(t.split()) for t in {*a, *b}}
+    joined = lambda w: " ".join(sorted(w))
+    out, open_, left, right, shared = np.zeros(len(a)), [], [], [], []
+    for i, (x, y) in enumerate(zip(a, b)):
+        u, v = words[x], words[y]
+        both = u & v
+        if u and v:
+            if both and (len(both) == len(u) or len(both) == len(v)):
+                out[i] = 100.0
+            else:
+                open_.append(i)
+                left.append(joined(u - both))
+                right.append(joined(v - both))
+                shared.append(sum(map(len, both)) + max(0, len(both) - 1))
+    if open_:
+        n, n_l, n_r = (np.asarray(x, np.int64) for x in (shared, list(map(len, left)), list(map(len, right))))
+        gap = (n > 0).astype(np.int64)
+        one, two = n + gap + n_l, n + gap + n_r
+        best = 100.0 - 100.0 * (n_l + n_r - 2 * lcs_lengths(left, right)) / (one + two)
+        for whole, rest in ((one, n_l), (two, n_r)):
+            best = np.where(n > 0, np.maximum(best, 100.0 - 100.0 * (gap + rest) / (n + whole)), best)
+        out[open_] = best
+    return out
+
+
+def weighted_ratios(a: list[str], b: list[str], token_set: np.ndarray | None = None) -> np.ndarray:
+    size = lambda t: np.fromiter(map(len, t), np.float64, len(t))
+    small, large = np.minimum(size(a), size(b)), np.maximum(size(a), size(b))
+    out = np.maximum(ratios(a, b), 0.95 * np.maximum(ratios(_in_order(a), _in_order(b)), token_set_ratios(a, b) if token_set is None else token_set))
+    for i in np.flatnonzero((small == 0) | (large >= 1.5 * np.maximum(small, 1))).tolist():
+        out[i] = weighted_ratio(a[i], b[i])
+    return out
+
+
+def ensembles(a: list[str], b: list[str]) -> np.ndarray:
+    token_set = token_set_ratios(a, b)
+    return (weighted_ratios(a, b, token_set) + token_set + partial_ratios(a, b)) / 3.0
+
+
+MANY = {
+    "ratio": ratios,
+    "token_sort": lambda a, b: ratios(_in_order(a), _in_order(b)),
+    "token_set": token_set_ratios,
+    "partial": partial_ratios,
+    "weighted": weighted_ratios,
+    "ensemble": ensembles,
+}
+
+
 def score(name: str, a: Column, b: Column) -> Column:
-    """An edit-based score of two string columns; null counts as ''.  Equal pairs of a batch are worked out once."""
-    one = SCORERS[name]
+    """An edit-based score of two string columns; null counts as ''.  Equal pairs of a batch are worked out once, all at a time."""
 
     @F.pandas_udf("double")
     def run(x: pd.Series, y: pd.Series) -> pd.Series:
-        known: dict[tuple[str, str], float] = {}
-        out = []
-        for pair in zip(x.fillna(""), y.fillna("")):
-            got = known.get(pair)
-            if got is None:
-                got = known[pair] = one(*pair)
-            out.append(got)
-        return pd.Series(out, dtype="float64")
+        pairs = list(zip(x.fillna(""), y.fillna("")))
+        distinct = list(dict.fromkeys(pairs))
+        made = dict(zip(distinct, MANY[name]([p[0] for p in distinct], [p[1] for p in distinct]).tolist()))
+        return pd.Series([made[p] for p in pairs], dtype="float64")
 
     return run(a, b)
 

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from shelfwise.functions.barcode import normalize_barcode
 from shelfwise.functions.brand import brands_overlap
+from shelfwise.functions.parse import weights_match
 from shelfwise.functions.text import name_key, normalize
 from shelfwise.operators.rows import keep_first
 from shelfwise.session import ship
@@ -101,35 +102,50 @@ def _with(column: str) -> Column:
     return F.concat(F.col("kind"), F.lit("\x1f"), F.col(column).cast("string"))
 
 
-def band_candidates(customers: DataFrame, catalogue: DataFrame, wildcards_only: bool = True, also: str | None = None) -> DataFrame:
+def band_candidates(customers: DataFrame, catalogue: DataFrame, wildcards_only: bool = True, also: str | None = None, weights: bool = False) -> DataFrame:
     """(row_id, src_id): same kind and a size band at most one apart, plus catalogue rows without a band.
 
     Customers: row_id, kind, band; catalogue: src_id, kind, band.  A customer asks for up
     to five keys; the join is an equi-join on (kind, band) with stand-ins for null.
     ``wildcards_only``: customers without a band meet only catalogue rows without one;
     otherwise all rows of their kind.  ``also``: a column that both sides must share too.
+    ``weights``: pairs whose weights (column weight) conflict are left out.
     """
     if also is not None:
-        return band_candidates(customers.withColumn("kind", _with(also)), catalogue.withColumn("kind", _with(also)), wildcards_only)
+        return band_candidates(customers.withColumn("kind", _with(also)), catalogue.withColumn("kind", _with(also)), wildcards_only, weights=weights)
+    held = lambda _: F.col("weight") if weights else F.lit(None).cast("double")
     kind, no_kind, no_band = F.coalesce("kind", F.lit("-")), F.lit("-"), F.lit(-9999)
     key = lambda k, b: F.struct(k.alias("k"), b.cast("int").alias("b"))
     near = F.when(F.col("band").isNotNull(), F.array(*[key(kind, F.col("band") + d) for d in (-1, 0, 1)])).otherwise(F.array().cast("array<struct<k:string,b:int>>"))
     asks = F.array_distinct(F.concat(near, F.array(key(kind, no_band), key(no_kind, no_band))))
-    left = customers.select("row_id", F.explode(asks).alias("a")).select("row_id", F.col("a.k").alias("k"), F.col("a.b").alias("b"))
-    right = catalogue.select("src_id", kind.alias("k"), F.coalesce("band", no_band).cast("int").alias("b"))
-    pairs = left.join(right, ["k", "b"]).select("row_id", "src_id")
+    left = customers.select("row_id", held(customers).alias("cw"), F.explode(asks).alias("a")).select("row_id", "cw", F.col("a.k").alias("k"), F.col("a.b").alias("b"))
+    right = catalogue.select("src_id", held(catalogue).alias("sw"), kind.alias("k"), F.coalesce("band", no_band).cast("int").alias("b"))
+    fits = F.coalesce(weights_match(F.col("cw"), F.col("sw")), F.lit(True))
+    pairs = left.join(right, ["k", "b"]).where(fits).select("row_id", "src_id")
     if wildcards_only:
         return pairs  # a catalogue row has one key, and a customer asks for each key once
-    open_rows = customers.where("band is null").select("row_id", kind.alias("k"))
-    return pairs.union(open_rows.join(catalogue.select("src_id", kind.alias("k")), "k").select("row_id", "src_id")).distinct()
+    open_rows = customers.where("band is null").select("row_id", held(customers).alias("cw"), kind.alias("k"))
+    return pairs.union(open_rows.join(catalogue.select("src_id", held(catalogue).alias("sw"), kind.alias("k")), "k").where(fits).select("row_id", "src_id")).distinct()
 
 
 def token_candidates(customers: DataFrame, catalogue: DataFrame, least: int = 1) -> DataFrame:
     """(row_id, src_id, n_shared): rows that share at least ``least`` tokens; both sides hold a ``tokens`` array.
 
-    Rows that share so many tokens share one of their rarest size - least + 1; only those
-    are joined, and the pairs are then counted on the whole arrays.
+    Distinct lists of tokens meet, and their pairs are then spread over the rows that have
+    them.  Lists that share so many tokens share one of their rarest size - least + 1; only
+    those are joined, and the pairs are then counted on the whole arrays.
     """
+    listed = lambda df, key: df.select(key, F.array_join(F.array_sort(F.array_distinct("tokens")), "\x1f").alias("list"), F.array_distinct("tokens").alias("tokens"))
+    mine, theirs = listed(customers, "row_id"), listed(catalogue, "src_id")
+    one = lambda df: df.groupBy("list").agg(F.first("tokens").alias("tokens"))
+    a, b = one(mine).withColumnRenamed("list", "row_id"), one(theirs).withColumnRenamed("list", "src_id")
+    met = _token_pairs(a, b, least).toDF("a", "b", "n_shared")
+    spread = met.join(mine.select("row_id", F.col("list").alias("a")), "a").join(theirs.select("src_id", F.col("list").alias("b")), "b")
+    return spread.select("row_id", "src_id", "n_shared")
+
+
+def _token_pairs(customers: DataFrame, catalogue: DataFrame, least: int) -> DataFrame:
+    """``token_candidates`` of rows that differ in their lists."""
     seen = catalogue.select(F.explode("tokens").alias("token")).groupBy("token").agg(F.count("*").alias("df"))
 
     def rarest(df: DataFrame, key: str) -> DataFrame:
@@ -230,14 +246,14 @@ def brand_gate(customers: DataFrame, catalogue: DataFrame) -> tuple[DataFrame, D
 
 
 def brand_band_candidates(customers: DataFrame, catalogue: DataFrame) -> DataFrame:
-    """(row_id, src_id): those of ``band_candidates`` whose brands overlap or that both have none (and some that do not).
+    """(row_id, src_id): those of ``band_candidates`` whose weights do not conflict and whose brands overlap or that both have none (and some that do not).
 
     The brand is a part of the join key, so only rows of linked brands meet.
     """
-    makers = lambda df, key: df.select(key, "kind", "band", F.explode(F.when(F.size("brands") > 0, F.col("brands")).otherwise(F.array(F.lit("")))).alias("maker"))
+    makers = lambda df, key: df.select(key, "kind", "band", "weight", F.explode(F.when(F.size("brands") > 0, F.col("brands")).otherwise(F.array(F.lit("")))).alias("maker"))
     links = brand_links(customers, catalogue).select(F.col("asked").alias("maker"), "known")
-    asks = makers(customers, "row_id").join(links, "maker", "left").select("row_id", "kind", "band", F.coalesce("known", "maker").alias("maker")).distinct()
-    return band_candidates(asks, makers(catalogue, "src_id"), also="maker").distinct()
+    asks = makers(customers, "row_id").join(links, "maker", "left").select("row_id", "kind", "band", "weight", F.coalesce("known", "maker").alias("maker")).distinct()
+    return band_candidates(asks, makers(catalogue, "src_id"), also="maker", weights=True).distinct()
 
 
 def brand_pairs(pairs: DataFrame) -> DataFrame:

@@ -99,8 +99,8 @@ def _best_of(candidates: DataFrame, customers: DataFrame, catalogue: DataFrame,
 
 
 def _passing(candidates: DataFrame, customers: DataFrame, catalogue: DataFrame, minimum: float, scorer: str) -> DataFrame:
-    """The best candidate of each row_id that some candidate satisfies in score and brand."""
-    scored = score_names(_pairs(_open(candidates, customers, catalogue), customers, catalogue), scorer).withColumn("score", adjust(F.col("score")))
+    """The best of the candidates (without weight conflicts) of each row_id that some satisfies in score and brand."""
+    scored = score_names(_pairs(candidates, customers, catalogue), scorer).withColumn("score", adjust(F.col("score")))
     return best_with_brand(scored, minimum).where("reason <> 'brand_mismatch'")
 
 

@@ -1,7 +1,7 @@
 from __future__ import annotations
 
 import pytest
-from hypothesis import given
+from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
@@ -45,8 +45,9 @@ def test_partial_ratio_equals_all_windows(a, b):
     short, long = (a, b) if len(a) <= len(b) else (b, a)
     if short:
         m = len(short)
-        windows = [long[max(0, e - m) : e] for e in range(1, len(long) + m)]
-        assert scores.partial_ratio(a, b) == pytest.approx(max(scores.ratio(short, w) for w in windows if w))
+        best = lambda x, y: max(scores.ratio(x, w) for w in (y[max(0, e - m) : e] for e in range(1, len(y) + m)) if w)
+        want = max(best(short, long), best(long, short)) if len(short) == len(long) else best(short, long)  # of one length: either may be the shorter
+        assert scores.partial_ratio(a, b) == pytest.approx(want)
 
 
 def test_known_values():
@@ -77,3 +78,14 @@ def test_blends(spark):
     r = df.first()
     assert (r.closed, r.other, r.clash, r.mid, r.pct) == (0.0, 0.9, 0.0, 0.88, 50.0)
     assert r.short == pytest.approx(0.82) and r.same == pytest.approx(0.64)
+
+
+TEXT = st.text(alphabet="ab c12é", max_size=14) | st.text(alphabet="abc d", min_size=55, max_size=75) | st.sampled_from(["", " ", "a\0b", "x" * 70])
+
+
+@settings(max_examples=120, deadline=None)
+@given(st.lists(st.tuples(TEXT, TEXT), min_size=1, max_size=30))
+def test_many_pairs_at_once_score_as_one_by_one(pairs):
+    a, b = [p[0] for p in pairs], [p[1] for p in pairs]
+    for name, one in scores.SCORERS.items():
+        assert scores.MANY[name](a, b).tolist() == pytest.approx([one(x, y) for x, y in pairs], abs=1e-9), name
