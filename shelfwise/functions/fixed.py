@@ -135,6 +135,8 @@ UNITS = {
 SIZE = r"(\d+(?:\.\d+)?)\s*(KG|KGS|G|GR|GM|GMS|GRM|GRMS|GRAMS?|MG|L|LT|LTR|LTRS|LITRE|LITER|ML|CL|CC|S)\b"
 PACK = r"\b(\d+\s*X\s*\d+(?:\s*X\s*\d+(?:\.\d+)?)?(?:\s*(?:KG|KGS|G|GR|GM|GMS|ML|L|LT|LTR|LTRS|MG|S))?)\b"
 GLUED = r"(\d+(?:\.\d+)?)\s*(KG|KGS|G|GR|GM|GMS|ML|L|LT|LTR|MG|S)\s*X\s*(\d+)\b"
+#: What else is cut out of a name, after glued sizes, packs and sizes.
+NAME_CUTS = [r"\bX\s*\d+\b", r"\bWS\b"]
 PRODUCT_CODE = r"\(\s*\d{5,}\s*\)"
 
 #: Header patterns: first those of code columns, then of category columns, then of description columns.
@@ -193,6 +195,10 @@ NAME_STOP_WORDS = [
     "of", "the", "a", "an", "and", "or", "with", "for", "in", "on", "at", "to", "by", "new", "fresh",
 ]
 
+#: Numbers as text: brackets and a trailing minus mean a negative number, commas and spaces go; identifiers lose a decimal zero.
+NUMBER_IN_BRACKETS, NUMBER_MARKS, TRAILING_MINUS = r"^\((.*)\)$", r"[,\s]", r"^([+-]?[0-9]*\.?[0-9]+)-$"
+DECIMAL_ZEROS = r"\.0+$"
+
 TIMESTAMP_FORMATS = [
     "M/d/yy H:mm", "M/d/yyyy H:mm", "M/d/yy HH:mm", "M/d/yyyy HH:mm", "M/d/yy H:mm:ss", "M/d/yyyy H:mm:ss",
     "yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd H:mm:ss", "yyyy-MM-dd HH:mm", "yyyy-MM-dd H:mm",

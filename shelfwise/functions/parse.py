@@ -59,7 +59,7 @@ def pack_of(t: Column) -> Column:
 
 
 def name_of(t: Column) -> Column:
-    for pattern in (fixed.GLUED, fixed.PACK, fixed.SIZE, r"\bX\s*\d+\b", r"\bWS\b"):
+    for pattern in (fixed.GLUED, fixed.PACK, fixed.SIZE, *fixed.NAME_CUTS):
         t = F.regexp_replace(t, pattern, " ")
     return F.trim(F.regexp_replace(t, r"\s+", " "))
 

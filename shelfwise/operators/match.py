@@ -38,13 +38,17 @@ def category_bonus(tokens_: Column, hier_tokens: Column, each: float = 4.0, most
     return F.least(F.lit(most), F.size(F.array_intersect(tokens_, hier_tokens)) * each)
 
 
-def adjust(score: Column, tolerance: float = TOLERANCE) -> Column:
-    """Score of a pair (columns c_* and s_*) after bonus, variant penalty, weight gate, kind penalty and pack bonus."""
+def adjust(score: Column, tolerance: float = TOLERANCE, clash: Column | None = None) -> Column:
+    """Score of a pair (columns c_* and s_*) after bonus, variant penalty, weight gate, kind penalty and pack bonus.
+
+    ``clash``: whether the names are of two variants, if that is known already.
+    """
+    clash = variant_conflict(tokens(F.col("c_name")), tokens(F.col("s_name"))) if clash is None else clash
     cap = lambda x: F.least(F.lit(100.0), x)
     floor = lambda x: F.greatest(F.lit(0.0), x)
     same = weights_match(F.col("c_weight"), F.col("s_weight"), tolerance)
     x = cap(score + category_bonus(F.col("c_tokens"), F.col("s_hier_tokens")))
-    x = F.when(variant_conflict(tokens(F.col("c_name")), tokens(F.col("s_name"))), floor(x - 30.0)).otherwise(x)
+    x = F.when(clash, floor(x - 30.0)).otherwise(x)
     other_kind = F.col("c_kind").isNotNull() & F.col("s_kind").isNotNull() & (F.col("c_kind") != F.col("s_kind"))
     heavier = F.when(same, F.when(other_kind, floor(cap(x + 5.0) - 20.0)).otherwise(cap(x + 5.0))).otherwise(x)
     return F.when(same == F.lit(False), 0.0).otherwise(cap(heavier + pack_bonus(F.col("c_pack"), F.col("s_pack"))))
@@ -76,9 +80,10 @@ def best_with_brand(scored: DataFrame, minimum: float = MIN_CONFIDENCE, soft: bo
 
 
 def score_names(pairs: DataFrame, scorer: str = "ensemble") -> DataFrame:
-    """Adds ``score`` of c_name and s_name; each distinct pair of names is scored once."""
+    """Adds ``score`` of c_name and s_name, and ``clash``, whether they are of two variants; each distinct pair of names is looked at once."""
     distinct = pairs.select("c_name", "s_name").distinct()
-    made = distinct.withColumn("score", scores.score(scorer, F.col("c_name"), F.col("s_name")))
+    clash = variant_conflict(tokens(F.col("c_name")), tokens(F.col("s_name")))
+    made = distinct.withColumns({"score": scores.score(scorer, F.col("c_name"), F.col("s_name")), "clash": clash})
     return pairs.join(made, ["c_name", "s_name"])
 
 
@@ -86,7 +91,7 @@ def _best_of(candidates: DataFrame, customers: DataFrame, catalogue: DataFrame,
     """Best candidate per row_id.  Pairs whose weights conflict score 0 whatever else holds, so (but for soft brands) they
     are dropped before names and brands are looked at; a row left without a score takes its smallest candidate."""
     open_pairs = candidates if soft else _open(candidates, customers, catalogue)
-    scored = score_names(_pairs(open_pairs, customers, catalogue), scorer).withColumn("score", adjust(F.col("score")))
+    scored = score_names(_pairs(open_pairs, customers, catalogue), scorer).withColumn("score", adjust(F.col("score"), clash=F.col("clash")))
     best = best_with_brand(scored, minimum, soft)
     if soft:
         return best
@@ -100,7 +105,7 @@ def _best_of(candidates: DataFrame, customers: DataFrame, catalogue: DataFrame,
 
 def _passing(candidates: DataFrame, customers: DataFrame, catalogue: DataFrame, minimum: float, scorer: str) -> DataFrame:
     """The best of the candidates (without weight conflicts) of each row_id that some satisfies in score and brand."""
-    scored = score_names(_pairs(candidates, customers, catalogue), scorer).withColumn("score", adjust(F.col("score")))
+    scored = score_names(_pairs(candidates, customers, catalogue), scorer).withColumn("score", adjust(F.col("score"), clash=F.col("clash")))
     return best_with_brand(scored, minimum).where("reason <> 'brand_mismatch'")
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from shelfwise.functions import fixed, scores, text
 from shelfwise.functions.brand import brand_key, brand_label, brand_tokens, source_brand
-from shelfwise.functions.parse import clean_description, normalize_pack, normalize_weight
+from shelfwise.functions.parse import clean_description, normalize_pack, normalize_weight, parse_description
 from shelfwise.operators import brands, category, joins, match, rows, vectors
 from shelfwise.plans import oracle
 from shelfwise.plans.inputs import catalogue, customers, table
@@ -546,3 +546,94 @@ def vector_cache(spark: SparkSession, sf_dir: str) -> DataFrame:
     good = scratch.table(vectors.sound(kept, 16), "kept")
     n = rows_.join(names.groupBy("name").agg(F.count("*").alias("n_same")), "name").withColumn("has_vector", (F.size("embedding") == 16) & F.lit(good.count() == names.select("name").distinct().count()))
     return n.select("row_id", "has_vector", "n_same", F.when(F.col("row_id") % 2 == 0, "asked again").otherwise("first").alias("run"))
+
+
+# ---- descriptions of many forms -------------------------------------------------------
+
+#: Descriptions with packs, glued packs, volumes, counts, codes and abbreviations; the same text for both engines.
+FORMS = """CASE p_partkey % 10 WHEN 0 THEN 'Pkt ' || p_name || ' 500G' WHEN 1 THEN p_name || ' 1L X 12' WHEN 2 THEN p_name || ' 12X500ML' WHEN 3 THEN 'choc ' || p_name || ' 6X4X100GM'
+ WHEN 4 THEN p_name || ' 250MLX24' WHEN 5 THEN p_name || ' (123456) 30S' WHEN 6 THEN p_name || ' & chkn' WHEN 7 THEN 'ORG. ' || p_name || ', 2 KG; 750 GM WS' WHEN 8 THEN 'A-' || p_name || ' 33CL X 6' ELSE '' END"""
+
+
+def _forms_sql() -> str:
+    spell = lambda t, table: f"array_to_string(list_transform(regexp_extract_all({t}, '\\w+|\\W+'), lambda w: {oracle.mapped(table, 'w')}), '')"
+    plain = f"regexp_replace(replace(regexp_replace(upper(raw), '[=\\.,;:]', ' ', 'g'), '-', ''), '{fixed.PRODUCT_CODE}', ' ', 'g')"
+    units = f"map({oracle.listed(list(fixed.UNITS))}, [{', '.join(f'{v[0]}::DOUBLE' for v in fixed.UNITS.values())}])"
+    kinds = f"map({oracle.listed(list(fixed.UNITS))}, {oracle.listed([v[1] for v in fixed.UNITS.values()])})"
+    found = lambda p: f"list_zip(regexp_extract_all(t, '{p}', 1), regexp_extract_all(t, '{p}', 2))"
+    sizes = f"list_concat({found(fixed.SIZE)}, {found(fixed.GLUED)})"
+    name = "t"
+    for pattern in (fixed.GLUED, fixed.PACK, fixed.SIZE, *fixed.NAME_CUTS):
+        name = f"regexp_replace({name}, '{pattern}', ' ', 'g')"
+    return f"""WITH r AS (SELECT p_partkey AS row_id, {FORMS} AS raw FROM part), p AS (SELECT row_id, {plain} AS t FROM r), q AS (SELECT row_id, regexp_replace({spell('t', fixed.SPELLED_FIRST)}, '\\b&\\b', 'and', 'g') AS t FROM p),
+s AS (SELECT row_id, {spell('t', fixed.SPELLED_AFTER)} AS t FROM q),
+z AS (SELECT row_id, unnest({sizes}) AS x, generate_subscripts({sizes}, 1) AS i FROM s), w AS (SELECT row_id, x[1]::DOUBLE * {units}[x[2]] AS size, {kinds}[x[2]] AS kind, i FROM z),
+b AS (SELECT row_id, size, kind FROM (SELECT *, row_number() OVER (PARTITION BY row_id ORDER BY size, i) AS k FROM w) WHERE k = 1),
+m AS (SELECT row_id, unnest(regexp_extract_all(t, '{fixed.PACK}', 0)) AS m, generate_subscripts(regexp_extract_all(t, '{fixed.PACK}', 0), 1) AS i FROM s), l AS (SELECT row_id, m FROM (SELECT *, row_number() OVER (PARTITION BY row_id ORDER BY length(m) DESC, i) AS k FROM m) WHERE k = 1)
+SELECT row_id, trim(regexp_replace({name}, '\\s+', ' ', 'g')) AS name, size AS weight, kind,
+  CASE WHEN m IS NOT NULL THEN trim(regexp_replace(trim(regexp_replace(m, '{fixed.SIZE}', '', 'g')), '\\s*X\\s*', 'X', 'g'), 'X') ELSE regexp_extract(t, '{fixed.GLUED}', 3) END AS pack
+FROM s LEFT JOIN b USING (row_id) LEFT JOIN l USING (row_id)"""
+
+
+@query("description_forms", _forms_sql())
+def description_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names, weights, kinds and packs of descriptions of many forms."""
+    raw = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("row_id"), F.expr(FORMS).alias("raw"))
+    return raw.select("row_id", parse_description(F.col("raw")).alias("p")).select("row_id", "p.*")
+
+
+LABELS = """CASE p_partkey % 10 WHEN 0 THEN 'F6_Green Tea (loose)' WHEN 1 THEN 'IH  Black_tea/bags' WHEN 2 THEN 'Herbal tea & Infusions' WHEN 3 THEN p_type || ' Tea bag' WHEN 4 THEN 'Coffee ' || p_name WHEN 5 THEN 'Tea' WHEN 6 THEN 'Lemon tea'
+ WHEN 7 THEN ' f6_Teas and cookies, glasses' WHEN 8 THEN 'green ' || p_name ELSE 'Ginger  TEA ' || p_size END"""
+
+
+@query(
+    "label_rules",
+    rf"""WITH r AS (SELECT p_partkey AS row_id, {LABELS} AS raw FROM part), c AS (SELECT row_id, raw, trim(regexp_replace(replace(regexp_replace(regexp_replace(trim(raw), '(?i)^(F6_|IH\s+)', ''), '[()/_]', ' ', 'g'), '&', ' and '), '\s+', ' ', 'g')) AS clean FROM r),
+w AS (SELECT *, list_distinct(list_transform(regexp_extract_all(lower(raw), '[a-z]+'), lambda x: CASE WHEN length(x) > 4 AND ends_with(x, 'ies') THEN left(x, length(x) - 3) || 'y' WHEN length(x) > 4 AND regexp_matches(x, '[sxzh]es$') THEN left(x, length(x) - 2)
+  WHEN length(x) > 3 AND ends_with(x, 's') AND NOT ends_with(x, 'ss') THEN left(x, length(x) - 1) ELSE x END)) AS words FROM c)
+SELECT row_id, clean, CASE WHEN NOT contains(upper(clean), 'TEA') THEN NULL {" ".join(f"WHEN regexp_matches(upper(clean), '{p}') THEN '{v}'" for p, v in category.TEA_RULES)} WHEN contains(upper(clean), 'TEA BAG') THEN 'TEA BAG' END AS category,
+  array_to_string(list_sort(words), ',') AS words FROM w""",
+)
+def label_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Category labels cleaned, in singular words, and their kind of tea."""
+    raw = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("row_id"), F.expr(LABELS).alias("raw"))
+    words = F.array_join(F.array_sort(text.label_tokens(F.col("raw"))), ",")
+    return raw.select("row_id", text.label_text(F.col("raw")).alias("clean"), category.tea_category(F.col("raw")).alias("category"), words.alias("words"))
+
+
+# ---- stages and candidates ------------------------------------------------------------
+
+
+@query(
+    "two_stage_mean",
+    """WITH c AS (SELECT l_partkey AS our_id, l_suppkey AS cust_id, max(l_quantity * 2) AS s FROM lineitem GROUP BY 1, 2), d AS (SELECT l_partkey AS our_id, l_suppkey AS cust_id, max(l_tax * 1000 + 20) AS s FROM lineitem GROUP BY 1, 2)
+SELECT our_id, cust_id, c.s AS cat_score, round(d.s, 6) AS desc_score, round((c.s + d.s) / 2, 6) AS score FROM c JOIN d USING (our_id, cust_id) WHERE c.s >= 80 AND d.s >= 70""",
+)
+def two_stage_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rule J15: the second stage takes the first one's pairs, and the score is the mean of both."""
+    pair = table(spark, sf_dir, "lineitem").groupBy(F.col("l_partkey").alias("our_id"), F.col("l_suppkey").alias("cust_id"))
+    first, second = pair.agg(F.max(F.col("l_quantity") * 2).alias("score")), pair.agg(F.max(F.col("l_tax") * 1000 + 20).alias("score"))
+    out = match.two_stage(first, second, 80.0, 70.0, pairwise=True, combine="mean")
+    return out.withColumns({x: F.round(x, 6) for x in ("desc_score", "score")})
+
+
+@query(
+    "reranked_candidates",
+    f"""{PARSED}, i AS (SELECT side, id, name, weight, pack, list_distinct(list_concat({oracle.brand_tokens('brand')}, list_transform(list_filter({oracle.words('name')}[1:2], lambda x: NOT list_contains({oracle.listed(fixed.NOT_BRANDS)}, x)
+    AND NOT regexp_full_match(x, '[0-9]+') AND length(x) >= 3)[1:1], lambda x: {oracle.mapped(fixed.BRAND_ALIASES, 'x')}))) AS brands, {oracle.tokens('name')} AS toks,
+  list_filter({oracle.tokens('name')}, lambda x: length(x) >= 3 AND NOT list_contains({oracle.listed(fixed.STOP_WORDS)}, x)) AS words FROM banded),
+h AS (SELECT src_id, list_filter({oracle.tokens("upper(material_name || ' ' || category)")}, lambda x: length(x) >= 3 AND NOT list_contains({oracle.listed(fixed.STOP_WORDS)}, x)) AS hier FROM cat),
+x AS (SELECT c.id AS row_id, s.id AS src_id, (((c.id * 7 + s.id * 3) % 100) / 100)::DOUBLE AS sim, least(c.weight, s.weight) / greatest(c.weight, s.weight) >= 0.98 AS ok, c.pack AS cp, s.pack AS sp, c.toks AS ct, s.toks AS st, c.brands AS cb, s.brands AS sb, c.words AS cw, h.hier AS hw
+  FROM i c JOIN i s ON c.side = 'c' AND s.side = 's' AND s.id BETWEEN c.id - 3 AND c.id + 4 JOIN h ON h.src_id = s.id),
+y AS (SELECT row_id, src_id, CASE WHEN {oracle.variant_conflict('ct', 'st')} OR NOT ok THEN 0.0 ELSE least(100.0, greatest(0.0, least(100.0, (sim + 1) / 2 * 100)) + least(10.0, len(list_intersect(cw, hw)) * 4.0) + 5.0 + CASE WHEN cp <> '' AND cp = sp THEN 3.0 ELSE 0.0 END) END AS score,
+  len(cb) = 0 OR len(sb) = 0 OR {oracle.overlap('cb', 'sb')} AS brand_ok FROM x), r AS (SELECT *, row_number() OVER (PARTITION BY row_id ORDER BY score DESC, src_id) AS rank FROM y)
+SELECT row_id, CAST(rank AS INTEGER) AS rank, src_id, CAST(round(score, 4) AS DOUBLE) AS score, brand_ok, CASE WHEN score >= 80 AND brand_ok THEN 'ACCEPT' ELSE 'ESCALATE' END AS route FROM r WHERE rank <= 5""",
+)
+def reranked_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rules A1 to A6, A11, A12, C16: vector candidates (here with given similarities) as percent, with bonuses, gates and a brand flag."""
+    items = catalogue(spark, sf_dir).withColumns({"h1": F.upper("material_name"), "h2": F.upper("category")})
+    cust, cat = match.prepare(customers(spark, sf_dir), "row_id"), match.prepare(items, "src_id", hierarchy=["h1", "h2"])
+    near = cust.select("row_id", F.explode(F.sequence(F.col("row_id") - 3, F.col("row_id") + 4)).alias("src_id"))
+    pairs = match._pairs(near, cust, cat).withColumn("similarity", ((F.col("row_id") * 7 + F.col("src_id") * 3) % 100) / 100)
+    ranked = match.rerank(pairs, 5)
+    return ranked.select("row_id", "rank", "src_id", F.round("score", 4).alias("score"), "brand_ok", match.accept_or_escalate(F.col("score"), F.col("brand_ok")).alias("route"))

@@ -43,12 +43,12 @@ def month_start(c: Column) -> Column:
 
 def clean_numeric(c: Column) -> Column:
     """Number text: brackets and a trailing minus become a leading minus, commas and spaces go; stays text."""
-    t = F.regexp_replace(_present(c), r"^\((.*)\)$", "-$1")
-    return F.regexp_replace(F.regexp_replace(t, r"[,\s]", ""), r"^([+-]?[0-9]*\.?[0-9]+)-$", "-$1")
+    t = F.regexp_replace(_present(c), fixed.NUMBER_IN_BRACKETS, "-$1")
+    return F.regexp_replace(F.regexp_replace(t, fixed.NUMBER_MARKS, ""), fixed.TRAILING_MINUS, "-$1")
 
 
 def clean_identifier(c: Column) -> Column:
-    return F.regexp_replace(F.regexp_replace(F.trim(c.cast("string")), r"[,\s]", ""), r"\.0+$", "")
+    return F.regexp_replace(F.regexp_replace(F.trim(c.cast("string")), fixed.NUMBER_MARKS, ""), fixed.DECIMAL_ZEROS, "")
 
 
 # ---- the step language: "step; step:col|col; step:src->dst" ----------------------------
