@@ -29,10 +29,10 @@ def counts(df: DataFrame, id_col: str, text: str, low: int = 3, high: int = 5) -
 
 
 def weights(tf: DataFrame, idf: DataFrame) -> DataFrame:
-    """(id, gram, w): tf * idf with unit length per id; grams without an idf are dropped."""
+    """(id, gram, w, idf): tf * idf with unit length per id; grams without an idf are dropped."""
     raw = tf.join(idf, "gram").withColumn("x", F.col("tf") * F.col("idf"))
     norm = F.sqrt(F.sum(F.col("x") * F.col("x")).over(Window.partitionBy("id")))
-    return raw.select("id", "gram", (F.col("x") / norm).alias("w"))
+    return raw.select("id", "gram", (F.col("x") / norm).alias("w"), "idf")
 
 
 def inverse_frequency(tf: DataFrame, n: Column) -> DataFrame:
@@ -43,13 +43,22 @@ def inverse_frequency(tf: DataFrame, n: Column) -> DataFrame:
 def top_matches(queries: DataFrame, items: DataFrame, query_id: str, item_id: str, query_text: str, item_text: str, k: int = 10, least: float = 0.0, low: int = 3, high: int = 5) -> DataFrame:
     """(query_id, item_id, similarity, rank): the k items with the largest TF-IDF cosine; idf comes from the items.
 
-    An equi-join on grams; only pairs that share one exist.
+    An equi-join on grams; only pairs that share one exist.  With ``least``, pairs must share
+    one of the query's rarest grams: those whose left-out rest is shorter than ``least``, as
+    a dot product with the rest cannot reach it.  So common grams make no pairs.
     """
     item_tf = counts(items, item_id, item_text, low, high)
     n = F.lit(items.select(item_id).distinct().count())
     idf = inverse_frequency(item_tf, n)
-    a = weights(counts(queries, query_id, query_text, low, high), idf).select(F.col("id").alias("query_id"), "gram", F.col("w").alias("qw"))
+    a = weights(counts(queries, query_id, query_text, low, high), idf).select(F.col("id").alias("query_id"), "gram", F.col("w").alias("qw"), "idf")
     b = weights(item_tf, idf).select(F.col("id").alias("item_id"), "gram", F.col("w").alias("iw"))
-    dots = a.join(b, "gram").groupBy("query_id", "item_id").agg(F.round(F.sum(F.col("qw") * F.col("iw")), 6).alias("similarity"))
+    met = a.join(b, "gram")
+    if least > 0:
+        before = Window.partitionBy("query_id").orderBy(F.col("idf").desc(), "gram").rowsBetween(Window.unboundedPreceding, -1)
+        rest = 1 - F.coalesce(F.sum(F.col("qw") * F.col("qw")).over(before), F.lit(0.0))
+        rare = a.withColumn("rest", rest).where(F.col("rest") >= (least - 1e-6) ** 2 - 1e-9).select("query_id", "gram")
+        pairs = rare.join(b.select("item_id", "gram"), "gram").select("query_id", "item_id").distinct()
+        met = pairs.join(a, "query_id").join(b, ["item_id", "gram"])
+    dots = met.groupBy("query_id", "item_id").agg(F.round(F.sum(F.col("qw") * F.col("iw")), 6).alias("similarity"))
     order = Window.partitionBy("query_id").orderBy(F.col("similarity").desc(), "item_id")
     return dots.where(F.col("similarity") >= least).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
