@@ -82,8 +82,9 @@ def best_with_brand(scored: DataFrame, minimum: float = MIN_CONFIDENCE, soft: bo
 def score_names(pairs: DataFrame, scorer: str = "ensemble") -> DataFrame:
     """Adds ``score`` of c_name and s_name, and ``clash``, whether they are of two variants; each distinct pair of names is looked at once."""
     distinct = pairs.select("c_name", "s_name").distinct()
-    clash = variant_conflict(tokens(F.col("c_name")), tokens(F.col("s_name")))
-    made = distinct.withColumns({"score": scores.score(scorer, F.col("c_name"), F.col("s_name")), "clash": clash})
+    split = distinct.withColumns({"_c": tokens(F.col("c_name")), "_s": tokens(F.col("s_name"))})  # once, not in every group of variants
+    made = split.withColumn("clash", variant_conflict(F.col("_c"), F.col("_s"))).drop("_c", "_s")
+    made = made.withColumn("score", scores.score(scorer, F.col("c_name"), F.col("s_name")))
     return pairs.join(made, ["c_name", "s_name"])
 
 
