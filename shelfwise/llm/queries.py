@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.llm import language_id, line_dedup, lm, nbest, near_dups, nearest, packing, quality_model, quality_rules, secrets
+from shelfwise.llm import filter_audit, language_id, line_dedup, lm, nbest, merkle, near_dups, nearest, packing, quality_model, quality_rules, secrets
 from shelfwise.llm.common import fold, read
 
 
@@ -167,6 +167,83 @@ SELECT doc_id, n_shingles, component_id, coalesce(doc_id = component_id, TRUE) A
 """
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+OP11_SQL = r"""
+WITH RECURSIVE
+marks AS (SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic FROM labels GROUP BY doc_id),
+texts AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t,
+    list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+judged AS (
+  SELECT part, coalesce(good, 0) = 1 AS good, coalesce(toxic, 0) = 1 AS toxic,
+    CAST(len(w) < 50 AS INT) + 2 * CAST(100 * len(list_distinct(w)) < 65 * len(w) AS INT)
+    + 4 * CAST(100 * (length(t) - length(regexp_replace(t, '[A-Z]', '', 'g'))) > 5 * length(t) AS INT)
+    + 8 * CAST(regexp_matches(t, '[#$%&*|]') AS INT)
+    + 16 * CAST(coalesce(texts.doc_id > min(texts.doc_id) OVER (PARTITION BY t), FALSE) AS INT) AS f
+  FROM texts LEFT JOIN marks ON texts.doc_id = marks.doc_id),
+found AS (SELECT part, f, good, toxic, count(*) AS n FROM judged GROUP BY ALL),
+letters AS (SELECT * FROM (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)) AS l(letter, bit)),
+steps AS (
+  SELECT letter AS prefix, 0 AS before, bit, 1 AS step FROM letters
+  UNION ALL SELECT prefix || letter, before + steps.bit, letters.bit, step + 1 FROM steps JOIN letters ON strpos(prefix, letter) = 0),
+counts AS (
+  SELECT part, before, bit, any_value(step) AS step,
+    sum(n) FILTER (WHERE f & before = 0 AND f & bit = 0) AS kept, sum(n) FILTER (WHERE f & before = 0 AND f & bit <> 0) AS removed,
+    sum(n) FILTER (WHERE f & before <> 0 AND f & bit <> 0) AS redundant, sum(n) FILTER (WHERE f = bit) AS unique_fails,
+    sum(n) FILTER (WHERE f & before = 0 AND f & bit <> 0 AND good) AS good_lost, sum(n) FILTER (WHERE f & before = 0 AND f & bit <> 0 AND toxic) AS toxic_lost
+  FROM found CROSS JOIN (SELECT DISTINCT before, bit, step FROM steps) GROUP BY part, before, bit),
+shares AS (SELECT part, bit, sum(removed * [24, 6, 4, 6, 24][step]) AS shapley FROM counts GROUP BY part, bit)
+SELECT counts.part, whole.prefix AS filter_order, CAST(steps.step AS INT) AS step, CAST(coalesce(kept, 0) AS BIGINT) AS kept, CAST(coalesce(removed, 0) AS BIGINT) AS removed,
+  CAST(coalesce(redundant, 0) AS BIGINT) AS redundant, CAST(coalesce(unique_fails, 0) AS BIGINT) AS unique_fails, CAST(coalesce(good_lost, 0) AS BIGINT) AS good_lost,
+  CAST(coalesce(toxic_lost, 0) AS BIGINT) AS toxic_lost, CAST(coalesce(shapley, 0) AS BIGINT) AS shapley
+FROM steps JOIN steps AS whole ON whole.step = 5 AND starts_with(whole.prefix, steps.prefix)
+JOIN counts ON counts.before = steps.before AND counts.bit = steps.bit JOIN shares ON shares.part = counts.part AND shares.bit = counts.bit
+"""
+
+
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = merkle.documents_manifest(read(spark, sf_dir, "documents"))
+    return out.select("doc_id", "leaf", "subroot", "root", F.sha2(F.col("proof").cast("binary"), 256).alias("proof_sha256"), "folded_root", "verified")
+
+
+OP13_SQL = r"""
+WITH RECURSIVE
+crc_table AS (
+  SELECT list(c ORDER BY i) AS tab FROM (SELECT i, list_reduce(list_prepend(i::BIGINT, [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]),
+    lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c FROM range(256) AS b(i))),
+texts AS (SELECT row_number() OVER () AS r, *, CAST(doc_id AS VARCHAR) AS d FROM documents),
+fields AS (
+  SELECT r, doc_id, lang, n_chars, coalesce(strlen(d) || ':' || d, '-') || coalesce(strlen(source) || ':' || source, '-') || coalesce(strlen(lang) || ':' || lang, '-') AS head,
+    coalesce(strlen(text) || ':' || text, '-') AS tail, coalesce(xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(1, len(d) + 1), lambda i: CAST(ord(d[i]) AS BIGINT))),
+      lambda c, x: xor(c >> 8, tab[(xor(c, x) & 255) + 1])), 4294967295) % 7 = 0, FALSE) AS hit FROM texts, crc_table),
+counted AS (SELECT *, coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-') AS now,
+    coalesce(strlen(CAST(n_chars::HUGEINT + 1 AS VARCHAR)) || ':' || (n_chars::HUGEINT + 1), '-') AS later FROM fields),
+leaves AS (SELECT r, doc_id, lang, sha256(head || now || tail) AS leaf, sha256(head || CASE WHEN hit THEN later ELSE now END || tail) AS start FROM counted),
+placed AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf, r) - 1 AS spot FROM leaves),
+levels AS (
+  SELECT lang, 0 AS level, list(leaf ORDER BY spot) AS l FROM placed GROUP BY lang
+  UNION ALL SELECT lang, level + 1, list_transform(range(0, (len(l) + 1) // 2), lambda i: sha256(l[2 * i + 1] || coalesce(l[2 * i + 2], ''))) FROM levels WHERE len(l) > 1),
+subroots AS (SELECT lang, l[1] AS subroot, level AS top, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS tree_at FROM levels WHERE len(l) = 1),
+over_levels AS (
+  SELECT 0 AS level, list(subroot ORDER BY tree_at) AS l FROM subroots
+  UNION ALL SELECT level + 1, list_transform(range(0, (len(l) + 1) // 2), lambda i: sha256(l[2 * i + 1] || coalesce(l[2 * i + 2], ''))) FROM over_levels WHERE len(l) > 1),
+ways AS (
+  SELECT r, level, (spot >> level) & 1 AS side, l[xor(spot >> level, 1) + 1] AS beside FROM placed JOIN levels ON placed.lang IS NOT DISTINCT FROM levels.lang WHERE len(l) > 1
+  UNION ALL SELECT r, top + level, (tree_at >> level) & 1, l[xor(tree_at >> level, 1) + 1] FROM placed JOIN subroots ON placed.lang IS NOT DISTINCT FROM subroots.lang, over_levels WHERE len(l) > 1),
+proofs AS (SELECT r, list(struct_pack(side := side, beside := beside) ORDER BY level) AS way, sha256(coalesce(string_agg(beside, '' ORDER BY level), '')) AS proof_sha256 FROM ways GROUP BY r),
+folded AS (
+  SELECT r, 0 AS level, start AS x FROM placed
+  UNION ALL SELECT folded.r, level + 1, sha256(CASE WHEN way[level + 1].side = 1 THEN way[level + 1].beside || x ELSE x || coalesce(way[level + 1].beside, '') END)
+  FROM folded JOIN proofs ON folded.r = proofs.r WHERE level < len(way)),
+ends AS (SELECT r, arg_max(x, level) AS folded_root FROM folded GROUP BY r)
+SELECT doc_id, leaf, subroot, root, coalesce(proof_sha256, sha256('')) AS proof_sha256, folded_root, folded_root = root AS verified
+FROM placed JOIN ends USING (r) LEFT JOIN proofs USING (r) JOIN subroots ON placed.lang IS NOT DISTINCT FROM subroots.lang,
+  (SELECT l[1] AS root FROM over_levels WHERE len(l) = 1)
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_ngram_lm": op1_ngram_lm,
@@ -179,9 +256,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_nbest": op8_nbest,
         "op9_packing": op9_packing,
         "op10_near_dups": op10_near_dups,
+        "op11_filter_audit": op11_filter_audit,
+        "op13_merkle": op13_merkle,
         "quality_rule_ablation": quality_rule_ablation,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_nearest": OP2_SQL, "op5_line_dedup": OP5_SQL, "op6_quality_rules": OP6_SQL, "op10_near_dups": OP10_SQL, "quality_rule_ablation": ABLATION_SQL}
+    return {"op2_nearest": OP2_SQL, "op5_line_dedup": OP5_SQL, "op6_quality_rules": OP6_SQL, "op10_near_dups": OP10_SQL, "op11_filter_audit": OP11_SQL, "op13_merkle": OP13_SQL, "quality_rule_ablation": ABLATION_SQL}
