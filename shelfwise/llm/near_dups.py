@@ -50,23 +50,23 @@ TILE = 256
 PART_SHINGLES, PART_ROWS, FAN = 2_000_000, 128, 2_000
 SEED = 20_240_501
 
-def _multipliers() -> np.ndarray:
-    return mix64(np.arange(1, SHINGLE + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
+def _multipliers(size: int) -> np.ndarray:
+    return mix64(np.arange(1, size + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
 
 
-def shingle_sets(texts: pa.Array) -> list[np.ndarray]:
-    """Sorted distinct shingle hashes of each text."""
+def shingle_sets(texts: pa.Array, size: int = SHINGLE) -> list[np.ndarray]:
+    """Sorted distinct hashes of each text's shingles of ``size`` words."""
     words, starts = words_of(texts, lower=True)
-    hashed, c = hash_words(words), _multipliers()
+    hashed, c = hash_words(words), _multipliers(size)
     out, n = [], len(hashed)
-    if n >= SHINGLE:
-        windows = hashed[: n - SHINGLE + 1] * c[0]
-        for k in range(1, SHINGLE):
-            windows += hashed[k : n - SHINGLE + 1 + k] * c[k]
+    if n >= size:
+        windows = hashed[: n - size + 1] * c[0]
+        for k in range(1, size):
+            windows += hashed[k : n - size + 1 + k] * c[k]
         windows = mix64(windows)
     for a, b in zip(starts[:-1].tolist(), starts[1:].tolist()):
-        if b - a >= SHINGLE:
-            out.append(np.unique(windows[a : b - SHINGLE + 1]))
+        if b - a >= size:
+            out.append(np.unique(windows[a : b - size + 1]))
         elif b > a:
             short = (hashed[a:b] * c[: b - a]).sum(dtype=np.uint64) + np.uint64(b - a)
             out.append(mix64(np.asarray([short], np.uint64)))
@@ -137,12 +137,12 @@ def signatures(docs: DataFrame, hasher: MinHasher) -> DataFrame:
     return docs.mapInArrow(sign, "doc_id long, n_shingles long, d1 long, d2 long, bands array<long>, sig binary")
 
 
-def bodies_of(texts: DataFrame, wanted: DataFrame) -> DataFrame:
+def bodies_of(texts: DataFrame, wanted: DataFrame, size: int = SHINGLE) -> DataFrame:
     """(id, text) of the nodes ``wanted`` (id, rep, d1, d2): a text of each, told by its digest, since rows may share a doc_id."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
-            found = [digest(s) for s in shingle_sets(batch.column("text"))]
+            found = [digest(s) for s in shingle_sets(batch.column("text"), size)]
             yield pa.RecordBatch.from_arrays([*[pa.array([d[k] for d in found], pa.int64()) for k in (0, 1)], batch.column("text")], ["d1", "d2", "text"])
 
     theirs = texts.join(wanted.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi").select("text")
@@ -372,6 +372,34 @@ def confirm_suspects(found: DataFrame, texts: DataFrame, percent: int) -> DataFr
     return joined.repartition("part").sortWithinPartitions("part").mapInArrow(check, "a long, b long").distinct()
 
 
+def representatives(signed: DataFrame, keep: list[str], scratch: Scratch) -> tuple[DataFrame, bool]:
+    """(d1, d2, rep, id, ...): one row per set, and whether no two sets share their smallest doc_id (``rep``, then ``id`` too)."""
+    reps = signed.where("doc_id is not null and d1 is not null").groupBy("d1", "d2")
+    reps = scratch.table(reps.agg(F.min("doc_id").alias("rep"), *[F.first(c).alias(c) for c in keep]), "reps")
+    shared = reps.groupBy("rep").count().where("count > 1").select("rep", F.lit(True).alias("shared"))
+    apart = shared.isEmpty()
+    reps = reps.withColumn("id", F.col("rep")) if apart else reps.join(shared, "rep", "left").withColumn("id", F.when(F.col("shared"), F.xxhash64("d1", "d2")).otherwise(F.col("rep"))).drop("shared")
+    return reps, apart
+
+
+def settle(signed: DataFrame, reps: DataFrame, apart: bool, labels: DataFrame, links: DataFrame, scratch: Scratch) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept of every row: components ``labels`` merged by ``links``, spread to all copies."""
+    of = lambda side: labels.select(F.col("id").alias(side), F.col("component").alias(f"c{side}"))
+    merged = links.join(of("a"), "a", "left").join(of("b"), "b", "left").select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b"))
+    top = components(merged, scratch, "top").select(F.col("id").alias("component"), F.col("component").alias("root"))
+
+    placed = reps.select("id", "rep", "d1", "d2").join(labels, "id", "left").select("d1", "d2", "rep", F.coalesce("component", "id").alias("component"))
+    placed = placed.join(top, "component", "left").select("d1", "d2", "rep", F.coalesce("root", "component").alias("root"))
+    if not apart:  # a root may then be a hash: the component's smallest doc_id is looked up
+        placed = scratch.table(placed, "rooted")
+        placed = placed.join(placed.groupBy("root").agg(F.min("rep").alias("least")), "root").select("d1", "d2", F.col("least").alias("root"))
+    placed = scratch.table(placed.select("d1", "d2", "root"), "placed")
+    scratch.drop("bodies", "reps")
+    result = signed.select("doc_id", "n_shingles", "d1", "d2").join(placed, ["d1", "d2"], "left")
+    owner = F.when(F.col("doc_id").isNotNull(), F.coalesce("root", "doc_id"))
+    return result.select("doc_id", "n_shingles", owner.alias("component_id"), F.coalesce(F.col("doc_id") == owner, F.lit(True)).alias("kept"))
+
+
 def near_duplicates(docs: DataFrame, percent: int = 85, rows: int = ROWS, bands: int = BANDS, floor: float = SIGNATURE_FLOOR) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id, kept.
 
@@ -382,12 +410,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85, rows: int = ROWS, bands:
     scratch, hasher = Scratch(spark, "near-dups"), MinHasher(rows, bands)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     signed = scratch.table(signatures(texts, hasher), "signed")
-    reps = signed.where("doc_id is not null and d1 is not null").groupBy("d1", "d2")
-    reps = scratch.table(reps.agg(F.min("doc_id").alias("rep"), *[F.first(c).alias(c) for c in ("n_shingles", "bands", "sig")]), "reps")
-    shared = reps.groupBy("rep").count().where("count > 1").select("rep", F.lit(True).alias("shared"))
-    apart = shared.isEmpty()
-    reps = reps.withColumn("id", F.col("rep")) if apart else reps.join(shared, "rep", "left").withColumn("id", F.when(F.col("shared"), F.xxhash64("d1", "d2")).otherwise(F.col("rep"))).drop("shared")
-
+    reps, apart = representatives(signed, ["n_shingles", "bands", "sig"], scratch)
     keyed = reps.select("id", F.posexplode("bands").alias("band", "key"))
     buckets = keyed.groupBy("key").agg(F.min("id").alias("centre"), F.max("id").alias("most")).where("centre < most").drop("most")
     met = scratch.table(keyed.join(buckets, "key"), "met")
@@ -408,17 +431,5 @@ def near_duplicates(docs: DataFrame, percent: int = 85, rows: int = ROWS, bands:
     open_rows = scratch.table(open_rows.join(reps.select("id", "n_shingles", "sig", "bands"), "id"), "open")
     found = scratch.table(suspects(open_rows, rows * bands, bands, floor), "suspects")
     links = confirm_suspects(found, bodies, percent)
-    of = lambda side: labels.select(F.col("id").alias(side), F.col("component").alias(f"c{side}"))
-    merged = links.join(of("a"), "a", "left").join(of("b"), "b", "left").select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b"))
-    top = components(merged, scratch, "top").select(F.col("id").alias("component"), F.col("component").alias("root"))
-
-    placed = reps.select("id", "rep", "d1", "d2").join(labels, "id", "left").select("d1", "d2", "rep", F.coalesce("component", "id").alias("component"))
-    placed = placed.join(top, "component", "left").select("d1", "d2", "rep", F.coalesce("root", "component").alias("root"))
-    if not apart:  # a root may then be a hash: the component's smallest doc_id is looked up
-        placed = scratch.table(placed, "rooted")
-        placed = placed.join(placed.groupBy("root").agg(F.min("rep").alias("least")), "root").select("d1", "d2", F.col("least").alias("root"))
-    placed = scratch.table(placed.select("d1", "d2", "root"), "placed")
-    scratch.drop("met", "bodies", "open", "first", "reps")
-    result = signed.select("doc_id", "n_shingles", "d1", "d2").join(placed, ["d1", "d2"], "left")
-    owner = F.when(F.col("doc_id").isNotNull(), F.coalesce("root", "doc_id"))
-    return result.select("doc_id", "n_shingles", owner.alias("component_id"), F.coalesce(F.col("doc_id") == owner, F.lit(True)).alias("kept"))
+    scratch.drop("met", "open", "first")
+    return settle(signed, reps, apart, labels, links, scratch)

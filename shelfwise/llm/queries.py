@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.llm import filter_audit, language_id, line_dedup, lm, nbest, merkle, near_dups, nearest, packing, quality_model, quality_rules, secrets
+from shelfwise.llm import filter_audit, jaccard_join, language_id, line_dedup, lm, merkle, nbest, near_dups, nearest, packing, quality_model, quality_rules, secrets
 from shelfwise.llm.common import fold, read
 
 
@@ -146,26 +146,29 @@ def op10_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dups.near_duplicates(read(spark, sf_dir, "documents"))
 
 
-OP10_SQL = r"""
+#: Components of documents whose shingle sets link; SIZE, LAST and PERCENT are put in.
+SETS_SQL = r"""
 WITH RECURSIVE
 texts AS (
   SELECT row_number() OVER () AS r, doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''),
     'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
 sets AS (
-  SELECT r, doc_id, list_sort(list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, chr(10))]
-    ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], chr(10))) END)) AS s FROM texts),
+  SELECT r, doc_id, list_sort(list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < SIZE THEN [array_to_string(w, chr(10))]
+    ELSE list_transform(range(1, len(w) - LAST), lambda i: array_to_string(w[i:i + LAST + 1], chr(10))) END)) AS s FROM texts),
 marked AS (SELECT r, doc_id, s, len(s) AS n, CASE WHEN len(s) > 0 AND doc_id IS NOT NULL THEN md5(array_to_string(s, chr(13))) END AS d FROM sets),
 nodes AS (SELECT d, min(doc_id) AS rep, any_value(n) AS n, any_value(s) AS s FROM marked WHERE d IS NOT NULL GROUP BY d),
 grams AS (SELECT d, n, unnest(s) AS g FROM nodes),
 links AS (
-  SELECT a.d AS x, b.d AS y FROM grams a JOIN grams b ON a.g = b.g AND a.d <> b.d AND 100 * least(a.n, b.n) >= 85 * greatest(a.n, b.n)
-  GROUP BY a.d, b.d, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))),
+  SELECT a.d AS x, b.d AS y FROM grams a JOIN grams b ON a.g = b.g AND a.d <> b.d AND 100 * least(a.n, b.n) >= PERCENT * greatest(a.n, b.n)
+  GROUP BY a.d, b.d, a.n, b.n HAVING 100 * count(*) >= PERCENT * (a.n + b.n - count(*))),
 reach AS (SELECT d AS x, d AS y FROM nodes UNION SELECT reach.x, links.y FROM reach JOIN links ON reach.y = links.x),
 owners AS (SELECT x AS d, min(rep) AS least FROM reach JOIN nodes ON y = d GROUP BY x),
 judged AS (SELECT doc_id, CAST(n AS BIGINT) AS n_shingles, CASE WHEN doc_id IS NOT NULL THEN coalesce(least, doc_id) END AS component_id FROM marked LEFT JOIN owners USING (d))
-SELECT doc_id, n_shingles, component_id, coalesce(doc_id = component_id, TRUE) AS kept FROM judged
 """
 
+OP10_SQL = SETS_SQL.replace("SIZE", "5").replace("LAST", "3").replace("PERCENT", "85") + "SELECT doc_id, n_shingles, component_id, coalesce(doc_id = component_id, TRUE) AS kept FROM judged"
+OP12_SQL = SETS_SQL.replace("SIZE", "3").replace("LAST", "1").replace("PERCENT", "90") + "SELECT doc_id, n_shingles, component_id FROM judged"
+
 
 def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
@@ -203,6 +206,10 @@ JOIN counts ON counts.before = steps.before AND counts.bit = steps.bit JOIN shar
 """
 
 
+def op12_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_components(read(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
 def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = merkle.documents_manifest(read(spark, sf_dir, "documents"))
     return out.select("doc_id", "leaf", "subroot", "root", F.sha2(F.col("proof").cast("binary"), 256).alias("proof_sha256"), "folded_root", "verified")
@@ -257,10 +264,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_packing": op9_packing,
         "op10_near_dups": op10_near_dups,
         "op11_filter_audit": op11_filter_audit,
+        "op12_jaccard_join": op12_jaccard_join,
         "op13_merkle": op13_merkle,
         "quality_rule_ablation": quality_rule_ablation,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_nearest": OP2_SQL, "op5_line_dedup": OP5_SQL, "op6_quality_rules": OP6_SQL, "op10_near_dups": OP10_SQL, "op11_filter_audit": OP11_SQL, "op13_merkle": OP13_SQL, "quality_rule_ablation": ABLATION_SQL}
+    return {"op2_nearest": OP2_SQL, "op5_line_dedup": OP5_SQL, "op6_quality_rules": OP6_SQL, "op10_near_dups": OP10_SQL, "op11_filter_audit": OP11_SQL, "op12_jaccard_join": OP12_SQL, "op13_merkle": OP13_SQL, "quality_rule_ablation": ABLATION_SQL}
