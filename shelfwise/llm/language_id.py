@@ -10,8 +10,8 @@ Only sums of integer vectors, one per language and dimension, reach the driver.
 are counted sparsely and their vectors made for ``CHUNK`` of them at once, so neither very
 long texts nor many letters need much memory.
 
-Cases: texts beyond ``PIECE`` characters are bundled in pieces, cut at spaces, which changes
-nothing (a stretch without any is cut where it must be); null texts and texts without letters are ``und`` with score 0; ties go to the
+Cases: texts beyond ``PIECE`` characters are bundled in pieces that share two characters, which changes
+nothing; null texts and texts without letters are ``und`` with score 0; ties go to the
 smallest language name; if nothing can be learned every text is ``und``; rows without a
 language teach nothing; empty tables give empty results; further columns are not looked
 at by ``predict``.
@@ -61,11 +61,10 @@ class Encoder:
         return np.stack([self.letter(int(c)) for c in codes])
 
     def add(self, pieces: list[str], owners: np.ndarray, out: np.ndarray) -> None:
-        """Add the trigrams of each piece of text to its owner's row of ``out``."""
-        lowered = [" " + p.lower() + " " for p in pieces]
-        sizes = np.fromiter(map(len, lowered), np.int64, len(lowered))
-        codes = np.frombuffer("".join(lowered).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int32)
-        piece = np.repeat(np.arange(len(lowered), dtype=np.int32), sizes)
+        """Add the trigrams of each piece (``pieces_of``) to its owner's row of ``out``."""
+        sizes = np.fromiter(map(len, pieces), np.int64, len(pieces))
+        codes = np.frombuffer("".join(pieces).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int32)
+        piece = np.repeat(np.arange(len(pieces), dtype=np.int32), sizes)
         codes = np.where(_letters()[codes], codes, 0)
         keep = np.ones(len(codes), bool)
         keep[1:] = (codes[1:] != 0) | (codes[:-1] != 0) | (piece[1:] != piece[:-1])
@@ -122,14 +121,23 @@ class Encoder:
 
 
 def pieces_of(text: str) -> Iterator[str]:
-    """``text`` in pieces of at most PIECE characters, cut at white space where there is some."""
-    at = 0
-    while len(text) - at > PIECE:
-        to = text.rfind(" ", at + 1, at + PIECE)
-        to = to if to > 0 else at + PIECE
-        yield text[at:to]
-        at = to
-    yield text[at:] if at else text
+    """The text, lower-cased and with an end on both sides, in pieces of at most PIECE characters.
+
+    A piece ends behind a letter and the next one begins with its last two characters, so every
+    trigram of the text is one of exactly one piece.  Characters that are no letters count as one.
+    """
+    line, at = f" {text.lower()} ", 0
+    while len(line) - at > PIECE:
+        to = at + PIECE
+        while to > at + 2 and not line[to - 1].isalpha():
+            to -= 1
+        if to > at + 2:
+            yield line[at:to]
+            at = to - 2
+        else:  # no letter but perhaps in the first two places
+            yield line[at : at + 3]
+            at += PIECE - 1
+    yield line[at:]
 
 
 def prototypes(docs: DataFrame, dims: int = DIMS, seed: int = SEED) -> dict[str, np.ndarray]:

@@ -13,7 +13,8 @@ Smoothing is interpolated absolute discounting.  For a context u seen c(u) times
 P(w|u) = (c(u,w) - D) / c(u) + g(u) * P(w|shorter), where g(u) is all that the kept
 successors leave.  Lowest order: (c(w) - D) / N for known words, D * V / N for any
 unknown word.  Quantising rounds down, so a context's probabilities never sum to over 1.
-Grams of two words or more seen once are pruned; their mass is part of g.
+Grams of two words or more seen fewer than ``least`` times (by default none) are left out;
+their mass is part of g.
 
 Tasks send sorted, delta-coded blobs of counts per shard, so each gram crosses the
 network at most once per task and no gram is hot.  Shard sizes follow from the number of
@@ -44,7 +45,7 @@ from shelfwise.session import Scratch, ship
 #: Documents per shard of words.
 SHARD_DOCS = 4_000
 DISCOUNT = (0.5, 0.6, 0.6)
-MIN_COUNT = 2
+MIN_COUNT = 1
 #: Tokens per shard of a gram level, and counts that a task gathers before it sends them.
 SHARD_TOKENS, GATHER = 3_000_000, 2_000_000
 #: Shards whose places are noted in one file.

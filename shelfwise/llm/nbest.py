@@ -20,7 +20,8 @@ below the lowest piece score.  Ties go to the smaller ids, compared from the end
 A piece's score is the one that the model file gives it; in a BPE vocabulary that is its
 negative merge rank, so the best path need not be what greedy merging yields.
 
-Cases: null and empty texts have no pieces and one empty segmentation of score 0; a text
+Cases: a text that holds U+2581, the space mark, is encoded as if it held spaces there, so its
+``round_trip`` is false; null and empty texts have no pieces and one empty segmentation of score 0; a text
 with fewer than N segmentations returns what there is; repeated rows are taken each on
 their own; an empty table gives an empty result; further columns are not looked at.
 Segments are told apart by 64-bit hashes.
@@ -29,6 +30,7 @@ Segments are told apart by 64-bit hashes.
 from __future__ import annotations
 
 import bisect
+import itertools
 import re
 import string
 import zlib
@@ -51,10 +53,33 @@ N_BEST = 4
 BYTE_PENALTY = 10.0
 SHARD_SEGMENTS = 150_000
 SPACE = "▁"
+#: Places of a text whose pieces a search remembers.
+HELD_PLACES = 50_000
 
 _vocabularies: dict[str, "Pieces"] = {}
 
 
+class Branch:
+    """An open path: what it falls short of the best, where it left the best path on its way from the end, and its place.
+
+    A turn is (place, ids of its piece, ids that the best path has there), so two paths of one shortfall are told apart
+    from the end without their pieces.
+    """
+
+    __slots__ = ("short", "turns", "start")
+
+    def __init__(self, short: float, turns: tuple[tuple[int, tuple[int, ...], tuple[int, ...]], ...], start: int):
+        self.short, self.turns, self.start = short, turns, start
+
+    def __lt__(self, other: "Branch") -> bool:
+        if self.short != other.short:
+            return self.short < other.short
+        for a, b in itertools.zip_longest(self.turns, other.turns, fillvalue=(-1, (), ())):
+            if a[:2] != b[:2]:  # the first place where they part: one of them may still follow the best path there
+                return a[1] < (b[1] if b[0] == a[0] else a[2]) if a[0] >= b[0] else b[2] < b[1]
+        return False
+
+
 class Pieces:
     """The vocabulary of a SentencePiece model, its lattice search and its decoder."""
 
@@ -76,59 +101,76 @@ class Pieces:
         #: ASCII punctuation that in no piece follows a letter, and that in none precedes one.
         self.before = "".join(c for c in string.punctuation if not any(b == c and a.isalpha() for a, b in beside))
         self.after = "".join(c for c in string.punctuation if not any(a == c and b.isalpha() for a, b in beside))
-        #: Every beginning of a piece, with the piece if it is one.
-        self.heads: dict[str, tuple[tuple[int, ...], float] | None] = {p[:k]: None for p in self.pieces for k in range(1, len(p) + 1)}
-        self.heads |= {p: ((i,), x) for p, (i, x) in self.pieces.items()}
+        #: Every ending of a piece, with the piece if it is one.
+        self.tails: dict[str, tuple[tuple[int, ...], float] | None] = {p[k:]: None for p in self.pieces for k in range(len(p))}
+        self.tails |= {p: ((i,), x) for p, (i, x) in self.pieces.items()}
         spelled = [bytes([self.id_bytes[i]]) if i in self.id_bytes else self.names[i].replace(SPACE, " ").encode() for i in range(n)]
         #: The bytes that each id stands for, in a row, and where each id's begin.
         self.spelled, self.spelled_at = np.frombuffer(b"".join(spelled), np.uint8), np.cumsum([0, *map(len, spelled)])
         self.byte_score = min(s for _, s in self.pieces.values()) - BYTE_PENALTY
 
-    def lattice(self, text: str) -> list[list[tuple[int, tuple[int, ...], float]]]:
-        """For each place, the pieces that end there: (start, ids, score)."""
-        n = len(text)
-        into: list[list] = [[] for _ in range(n + 1)]
-        get = self.heads.get
-        for i in range(n):
-            single = False
-            for j in range(i + 1, n + 1):
-                got = get(text[i:j], 0)
-                if got:
-                    into[j].append((i, *got))
-                    single = single or j == i + 1
-                elif got == 0:
-                    break
-            if not single:
-                raw = text[i].encode("utf-8", "surrogatepass")
-                into[i + 1].append((i, tuple([self.byte_ids[b] for b in raw]), self.byte_score * len(raw)))
-        return into
+    def into(self, text: str, end: int) -> list[tuple[int, tuple[int, ...], float]]:
+        """The pieces that end at ``end``: (start, ids, score)."""
+        edges, get = [], self.tails.get
+        for start in range(end - 1, -1, -1):
+            got = get(text[start:end], 0)
+            if got:
+                edges.append((start, *got))
+            elif got == 0:
+                break
+        if not edges or edges[0][0] != end - 1:
+            raw = text[end - 1].encode("utf-8", "surrogatepass")
+            edges.append((end - 1, tuple([self.byte_ids[b] for b in raw]), self.byte_score * len(raw)))
+        return edges
 
     def search(self, text: str, n: int) -> list[tuple[float, tuple[int, ...]]]:
-        """The n best segmentations of ``text`` (space marks in place): (score, ids), best first."""
-        into = self.lattice(text)
-        best, last = [0.0] * (len(text) + 1), [None] * (len(text) + 1)
-        for j in range(1, len(text) + 1):  # forward: best score up to j, and the piece that ends it (smaller ids on ties)
-            top = None
-            for edge in into[j]:
-                x = best[edge[0]] + edge[2]
-                if top is None or x > top or (x == top and edge[1] < last[j][1]):
-                    top, last[j] = x, edge
-            best[j] = top
+        """The n best segmentations of ``text`` (space marks in place): (score, ids), best first.
+
+        Time and memory follow the text's length: of the lattice ``HELD_PLACES`` places are remembered, and an open path
+        is where it leaves the best one, not its pieces.
+        """
+        held: dict[int, tuple[list, tuple]] = {}
+        best = array("d", [0.0]) * (len(text) + 1)
+
+        def at_place(end: int) -> tuple[list, tuple]:
+            """The pieces that end here, and the one that the best path up to here takes (smaller ids on ties)."""
+            if end not in held:
+                if len(held) >= HELD_PLACES:
+                    held.clear()
+                edges = self.into(text, end)
+                chosen, top = edges[0], best[edges[0][0]] + edges[0][2]
+                for edge in edges[1:]:
+                    x = best[edge[0]] + edge[2]
+                    if x > top or (x == top and edge[1] < chosen[1]):
+                        chosen, top = edge, x
+                held[end] = edges, chosen
+            return held[end]
+
+        for j in range(1, len(text) + 1):  # forward: the best score up to j
+            chosen = at_place(j)[1]
+            best[j] = best[chosen[0]] + chosen[2]
         found: list[tuple[float, tuple[int, ...]]] = []
-        open_paths: list[tuple] = [(0.0, (), len(text))]  # what the path falls short of the best, its pieces from the end, its place
+        open_paths = [Branch(0.0, (), len(text))]
         while open_paths and len(found) < n:
-            short, pieces, at = open_paths.pop(0)
-            room = n - len(found) - 1
+            path = open_paths.pop(0)
+            room, at = n - len(found) - 1, path.start
             while at:
-                here, chosen = best[at], last[at]
-                for edge in into[at]:
+                edges, chosen = at_place(at)
+                for edge in edges if room else ():
                     if edge is not chosen:
-                        x = short + here - best[edge[0]] - edge[2]
-                        if len(open_paths) < room or (room and x <= open_paths[-1][0]):
-                            bisect.insort(open_paths, (x, (*pieces, edge[1]), edge[0]))
+                        x = path.short + best[at] - best[edge[0]] - edge[2]
+                        if len(open_paths) < room or x <= open_paths[-1].short:
+                            bisect.insort(open_paths, Branch(x, (*path.turns, (at, edge[1], chosen[1])), edge[0]))
                             del open_paths[room:]
-                pieces, at = (*pieces, chosen[1]), chosen[0]
-            found.append((best[-1] - short, tuple([k for ids in reversed(pieces) for k in ids])))
+                at = chosen[0]
+            turns, pieces, at = {a: ids for a, ids, _ in path.turns}, [], len(text)
+            while at:  # the pieces of the path, from the end: its own where it turns, else the best ones
+                edges, chosen = at_place(at)
+                if at in turns:
+                    chosen = next(e for e in edges if e[1] == turns[at])
+                pieces.append(chosen[1])
+                at = chosen[0]
+            found.append((best[-1] - path.short, tuple([k for ids in reversed(pieces) for k in ids])))
         return found
 
     def decode(self, ids: list[int]) -> str:

@@ -16,6 +16,7 @@ pieces; an empty table gives no pieces; further columns are not looked at.
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -35,12 +36,25 @@ END_ID = 1
 #: Words whose ids a Python worker remembers.
 CACHE_WORDS = 800_000
 
-#: The tokenizer always parts a letter from these marks, so a space may part them before it does.
-_LETTER, _MARK = r"([A-Za-z\x{C0}-\x{D6}\x{D8}-\x{F6}\x{F8}-\x{24F}])", "([.,!?;:])"
+#: Marks and letters that a space may part before the tokenizer does; each is proved with the tokenizer at hand (``parted``).
+MARKS = ".,!?;:"
+LETTERS = "".join(c for c in map(chr, range(0x250)) if c.isalpha() and (c.isascii() or c >= "\xc0"))
 
 _encoders: dict[str, "WordEncoder"] = {}
 
 
+def parted(tokenizer) -> str:
+    """The letters of ``LETTERS`` that the tokenizer parts from every mark on either side, whatever stands beyond.
+
+    A letter that it takes for more than a letter (a capital I with a dot, which it lowers to an i and a combining dot
+    that joins the mark behind it) is left out, and keeps its place inside its word.
+    """
+    cases = [(c, x, y) for c in LETTERS for m in MARKS for b in ("", "a", "\u0301") for x, y in ((b + c, m), (c, m + b), (b + m, c), (m, c + b))]
+    ids = [e.ids for e in tokenizer.encode_batch_fast([t for _, x, y in cases for t in (x + y, f"{x} {y}")], add_special_tokens=False)]
+    bad = {c for k, (c, _, _) in enumerate(cases) if ids[2 * k] != ids[2 * k + 1]}
+    return "".join(c for c in LETTERS if c not in bad)
+
+
 class WordEncoder:
     """Ids of words.  The tokenizer drops white space and never joins what it parts, so words stand alone.
 
@@ -53,6 +67,9 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        letters, mark = parted(self.tokenizer), f"([{re.escape(MARKS)}])"
+        letter = "([" + "".join(rf"\x{{{ord(c):X}}}" for c in letters) + "])" if letters else r"([^\s\S])"
+        self.letter_mark, self.mark_letter = letter + mark, mark + letter
         self.limit = limit
         self.keys, self.begin, self.count = np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64)
         self.flat = np.empty(0, np.uint32)
@@ -77,8 +94,8 @@ class WordEncoder:
 
     def texts(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, and where each text's ids begin (one more at the end)."""
-        texts = pc.replace_substring_regex(texts.cast(pa.string()), _LETTER + _MARK, r"\1 \2")
-        words, starts = words_of(pc.replace_substring_regex(texts, _MARK + _LETTER, r"\1 \2"))
+        texts = pc.replace_substring_regex(texts.cast(pa.string()), self.letter_mark, r"\1 \2")
+        words, starts = words_of(pc.replace_substring_regex(texts, self.mark_letter, r"\1 \2"))
         if not len(words):
             return np.empty(0, np.uint32), np.zeros(len(texts) + 1, np.int64)
         met, first, use = np.unique(hash_words(words), return_index=True, return_inverse=True)

@@ -30,7 +30,7 @@ def test_bundles_equal_brute_force(monkeypatch, piece, chunk):
     monkeypatch.setattr(language_id, "PIECE", piece)
     monkeypatch.setattr(language_id, "CHUNK", chunk)
     enc = language_id.Encoder(64, 3)
-    texts = [t for t in TEXTS if piece > 1000 or not t or " " in t]
+    texts = [*TEXTS, "line\nfeeds\tonly\n" * 40, "." * 300 + "a" + "!" * 200 + "bc" + "-" * 64, "İstanbul ΟΔΟΣ" * 30]
     made = enc.bundle(texts)
     for text, row in zip(texts, made):
         assert np.array_equal(row, brute_bundle(enc, text)), text
@@ -38,6 +38,14 @@ def test_bundles_equal_brute_force(monkeypatch, piece, chunk):
     assert np.array_equal(enc.bundle(texts, owners, 2), np.stack([made[0::2].sum(axis=0), made[1::2].sum(axis=0)]))
 
 
+def test_pieces_of_a_text_without_spaces_bundle_exactly(monkeypatch):
+    text = "".join(chr(97 + i * i % 23) for i in range(1_300_000)) + "\n" + "日本語" * 100_000
+    enc = language_id.Encoder(64, 3)
+    cut = enc.bundle([text])
+    monkeypatch.setattr(language_id, "PIECE", 1 << 30)
+    assert np.array_equal(cut, enc.bundle([text]))
+
+
 @pytest.mark.parametrize("many", [300, 1])
 def test_many_letters_and_long_texts_need_little_memory(many):
     rng = np.random.default_rng(0)

@@ -3,6 +3,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -55,6 +56,16 @@ def test_cached_ids_equal_the_tokenizer(texts):
         assert flat[a:b].tolist() == plain.encode(t or "", add_special_tokens=False).ids
 
 
+def test_ids_of_every_letter_beside_every_mark(tokenizer):
+    """Letters that the tokenizer takes for more than one character stay with their marks."""
+    enc = packing.encoder(public_tokenizers.path(packing.TOKENIZER))
+    letters = [chr(c) for c in range(0x530) if chr(c).isalpha()] + ["\u0301", "1", "İ", "ß"]
+    texts = [t for c in letters for m in packing.MARKS for t in (f"{c}{m}{c}", f"a{c}{m}b", f"{m}{c}{m}", f"{c}.i{m}{c}", f"{m}{c}\u0307{m}x")]
+    flat, starts = enc.texts(pa.array(texts))
+    want = [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
+    assert [flat[a:b].tolist() for a, b in zip(starts[:-1], starts[1:])] == want
+
+
 @pytest.mark.parametrize("n", [1, 2, 7, 8, 2047, 2048, 2049, 5000])
 def test_pieces_are_binary(n):
     pieces = packing.binary_pieces(n, 2048)
@@ -423,7 +434,7 @@ def test_model_equals_brute_force(spark, monkeypatch, wide):
     texts = dict(enumerate([*(" ".join(rng.choice(vocabulary, 25)) for _ in range(30)), *ODD[:5], "unseen words v1 v2", "V1 v2"]))
     learn = [i for i in texts if i % 3]
     docs = frame(spark, list(texts.values())).repartition(3)
-    got = {r.doc_id: r for r in lm.train_and_score(docs, F.col("doc_id") % 3 != 0).collect()}
+    got = {r.doc_id: r for r in lm.train_and_score(docs, F.col("doc_id") % 3 != 0, least=2).collect()}
     want, n = brute_model(texts, learn)
     for i, (tokens, known, base, score) in want.items():
         r = got[i]
@@ -461,12 +472,12 @@ PIECES = public_tokenizers.path(nbest.MODEL)
 
 
 def brute_paths(pieces, text, n):
-    into, out = pieces.lattice(text), []
+    out = []
 
     def back(at, ids, score):
         if not at:
             out.append((score, ids))
-        for i, own, s in into[at] if at else []:
+        for i, own, s in pieces.into(text, at) if at else []:
             back(i, own + ids, score + s)
 
     back(len(text), (), 0.0)
@@ -483,6 +494,41 @@ def test_search_finds_the_n_best(text, n):
     assert all(pieces.spell(ids) == text.replace("▁", " ") for _, ids in found)
 
 
+@pytest.mark.parametrize("letters", ["a", "abcdefghij", "é日"])
+def test_long_runs_take_time_in_proportion(letters, monkeypatch):
+    """Two million letters without a cut, and the same paths whatever is remembered of the lattice."""
+    rng, pieces = np.random.default_rng(3), nbest.vocabulary(PIECES)
+    text = "".join(np.asarray(list(letters))[rng.integers(0, len(letters), 2_000_000 if len(letters) != 2 else 200_000)])
+    began = time.perf_counter()
+    found = pieces.search(text, 4)
+    assert time.perf_counter() - began < 120
+    assert len({f for _, f in found}) == 4 and all(pieces.spell(f) == text for _, f in found[:2]) and [s for s, _ in found] == sorted((s for s, _ in found), reverse=True)
+    whole = pieces.search(text[:3000], 5)
+    monkeypatch.setattr(nbest, "HELD_PLACES", 7)
+    assert pieces.search(text[:3000], 5) == whole
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.text(alphabet="aab e", max_size=9), st.integers(1, 7))
+def test_ties_go_to_smaller_ids_from_the_end(text, n):
+    pieces = nbest.vocabulary(PIECES)
+    flat = {k: (ids, -1.0) for k, (ids, _) in ((k, v) for k, v in pieces.tails.items() if v)}
+    tails, pieces.tails = pieces.tails, {k: flat.get(k) for k in pieces.tails}  # every piece scores alike: ties all over
+    try:
+        got, out = pieces.search(text, n), []
+
+        def back(at, own, score):
+            if not at:
+                out.append((-score, own))
+            for i, ids, s in pieces.into(text, at) if at else []:
+                back(i, (*own, ids), score + s)
+
+        back(len(text), (), 0.0)
+    finally:
+        pieces.tails = tails
+    assert [ids for _, ids in got] == [tuple(k for ids in reversed(own) for k in ids) for _, own in sorted(out)[:n]]
+
+
 @settings(max_examples=80, deadline=None)
 @given(st.text(alphabet="ab .,!\n'|é%\x01", max_size=8))
 def test_segments_are_independent(text):
@@ -527,11 +573,11 @@ def test_all_n_segmentations_are_given(spark):
         assert back == {i: texts[i] or "" for i in back} and len(back) >= (len(texts) if k == 0 else 3)
 
 
-def test_grams_seen_once_are_kept_if_asked(spark):
+def test_grams_seen_once_are_kept_but_if_asked(spark):
     rng = np.random.default_rng(1)
     texts = dict(enumerate(" ".join(rng.choice([f"v{i}" for i in range(15)], 20)) for _ in range(12)))
     docs = frame(spark, list(texts.values()))
-    got = {r.doc_id: r for r in lm.train_and_score(docs, F.col("doc_id") % 3 != 0, least=1).collect()}
+    got = {r.doc_id: r for r in lm.train_and_score(docs, F.col("doc_id") % 3 != 0).collect()}
     seqs = {i: ["end", *t.split(), "end"] for i, t in texts.items()}
     c1, c2, c3 = Counter(), Counter(), Counter()
     for i, s in seqs.items():
@@ -553,7 +599,7 @@ def test_grams_seen_once_are_kept_if_asked(spark):
             score += math.log10(min(p, 1))
         assert got[i].score == pytest.approx(score, rel=2e-3), i
     assert once
-    pruned = {r.doc_id: r.score for r in lm.train_and_score(docs, F.col("doc_id") % 3 != 0).collect()}
+    pruned = {r.doc_id: r.score for r in lm.train_and_score(docs, F.col("doc_id") % 3 != 0, least=2).collect()}
     assert all(abs(pruned[i] - got[i].score) > 0.01 * abs(got[i].score) for i in texts if i % 3)
 
 
