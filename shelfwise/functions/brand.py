@@ -69,6 +69,11 @@ def brand_key(raw: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(F.trim(child), r"\s*\(?\b(IMP|IMPORT)\b\)?\s*$", ""), "[^A-Z0-9]", "")
 
 
+def variant_words(a: Column) -> Column:
+    """For each variant group, its words in a token array, sorted and joined; an empty text if there are none."""
+    return F.array(*[F.array_join(F.array_sort(F.array_intersect(a, F.array(*[F.lit(w) for w in group]))), " ") for group in fixed.VARIANT_GROUPS])
+
+
 def variant_conflict(a: Column, b: Column) -> Column:
     """Whether two token arrays hold different words of one variant group."""
     clash = F.lit(False)

@@ -2,11 +2,6 @@
 
 from __future__ import annotations
 
-from collections import Counter
-from collections.abc import Iterator
-
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -14,8 +9,8 @@ from shelfwise.functions.barcode import normalize_barcode
 from shelfwise.functions.brand import brands_overlap
 from shelfwise.functions.parse import weights_match
 from shelfwise.functions.text import name_key, normalize
+from shelfwise.operators import cells
 from shelfwise.operators.rows import keep_first
-from shelfwise.session import ship
 
 
 def equi_after_dedup(left: DataFrame, right: DataFrame, key: Column, name: str = "key") -> DataFrame:
@@ -128,6 +123,16 @@ def band_candidates(customers: DataFrame, catalogue: DataFrame, wildcards_only:
     return pairs.union(open_rows.join(catalogue.select("src_id", held(catalogue).alias("sw"), kind.alias("k")), "k").where(fits).select("row_id", "src_id")).distinct()
 
 
+def least_candidates(customers: DataFrame, catalogue: DataFrame) -> DataFrame:
+    """(row_id, least): the smallest src_id of each row's ``band_candidates``; rows without any are left out.  No pairs are made."""
+    kind, no_band = F.coalesce("kind", F.lit("-")), F.lit(-9999)
+    first = catalogue.groupBy(kind.alias("k"), F.coalesce("band", no_band).cast("int").alias("b")).agg(F.min("src_id").alias("least"))
+    key = lambda k, b: F.struct(k.alias("k"), b.cast("int").alias("b"))
+    near = F.when(F.col("band").isNotNull(), F.array(*[key(kind, F.col("band") + d) for d in (-1, 0, 1)])).otherwise(F.array().cast("array<struct<k:string,b:int>>"))
+    asks = customers.select("row_id", F.explode(F.concat(near, F.array(key(kind, no_band), key(F.lit("-"), no_band)))).alias("a"))
+    return asks.select("row_id", "a.*").join(first, ["k", "b"]).groupBy("row_id").agg(F.min("least").alias("least"))
+
+
 def token_candidates(customers: DataFrame, catalogue: DataFrame, least: int = 1) -> DataFrame:
     """(row_id, src_id, n_shared): rows that share at least ``least`` tokens; both sides hold a ``tokens`` array.
 
@@ -175,31 +180,20 @@ def category_candidates(customers: DataFrame, catalogue: DataFrame, customer_cat
     return a.join(b, "c").drop("c")
 
 
-def letter_candidates(names: DataFrame, others: DataFrame, least: float, block: int = 512) -> DataFrame:
-    """(c_name, s_name): every pair of ``names`` (c_name) and ``others`` (s_name) whose token-sorted ratio can reach ``least``.
+def name_pairs(names: DataFrame, others: DataFrame, least: float, scorer: str = "token_sort") -> DataFrame:
+    """(c_name, s_name, score): every pair of distinct ``names`` (c_name) and ``others`` (s_name) that scores ``least`` or more.
 
-    The longest common subsequence is no longer than what the letters have in common, so no pair
-    that reaches it is lost.  Blocks of names meet blocks of others; give distinct names.
+    For ratios of whole strings (ratio, token_sort).  Names meet by their lengths, dealt into cells (``cells.pairs_from``).
     """
-    ship(names.sparkSession)
-
-    def blocks(df: DataFrame, name: str) -> DataFrame:
-        n = max(1, -(-df.count() // block))
-        return df.groupBy(F.pmod(F.xxhash64(name), F.lit(n)).alias("_b")).agg(F.collect_list(name).alias(name)).drop("_b")
-
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for left, right in zip(batch.column("c_name").to_pylist(), batch.column("s_name").to_pylist()):
-                a, b = ([Counter(" ".join(sorted(x.split()))) for x in side] for side in (left, right))
-                total = np.add.outer([c.total() for c in a], [c.total() for c in b])
-                common = np.zeros(total.shape)
-                for letter in set().union(*a) & set().union(*b):
-                    common += np.minimum.outer([c[letter] for c in a], [c[letter] for c in b])
-                i, j = np.nonzero((200.0 * common >= least * total - 1e-6) | (total == 0))
-                yield pa.RecordBatch.from_arrays([pa.array(left, pa.string()).take(pa.array(i)), pa.array(right, pa.string()).take(pa.array(j))], ["c_name", "s_name"])
-
-    met = blocks(names, "c_name").crossJoin(F.broadcast(blocks(others, "s_name")))
-    return met.repartition(F.xxhash64("c_name", "s_name")).mapInArrow(compare, "c_name string, s_name string")
+    sides = cells.length_keys(names, "c_name", least, True), cells.length_keys(others, "s_name", least, False)
+    return cells.pairs_from(*sides, scorer, least)
+
+
+def letter_candidates(names: DataFrame, others: DataFrame, least: float, block: int = 512) -> DataFrame:
+    """(c_name, s_name): every pair of ``names`` (c_name) and ``others`` (s_name) whose token-sorted ratio can reach ``least``
+    by its lengths and letters; give distinct names.  A cell has ``block`` names of one side and as many of the other, at most."""
+    sides = cells.length_keys(names, "c_name", least, True), cells.length_keys(others, "s_name", least, False)
+    return cells.pairs_from(*sides, "token_sort", least, False, block, block).select("c_name", "s_name")
 
 
 def guard_full_scan(customers: DataFrame, limit: int = 20_000) -> None:

@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfwise.functions import fixed, scores
-from shelfwise.functions.brand import brand_from_name, brand_tokens, brands_overlap, variant_conflict
+from shelfwise.functions.brand import brand_from_name, brand_tokens, brands_overlap, variant_conflict, variant_words
 from shelfwise.functions.parse import pack_bonus, parse_description, size_band, weights_match
 from shelfwise.functions.text import name_tokens, normalize, tokens
-from shelfwise.operators import joins, tfidf, vectors
+from shelfwise.operators import cells, joins, tfidf, vectors
 from shelfwise.operators.rows import hash_sample, top_k
 from shelfwise.session import Scratch, written
 
@@ -89,25 +90,104 @@ def score_names(pairs: DataFrame, scorer: str = "ensemble") -> DataFrame:
 
 
 def _best_of(candidates: DataFrame, customers: DataFrame, catalogue: DataFrame, minimum: float, scorer: str, soft: bool) -> DataFrame:
-    """Best candidate per row_id.  Pairs whose weights conflict score 0 whatever else holds, so (but for soft brands) they
-    are dropped before names and brands are looked at; a row left without a score takes its smallest candidate."""
+    """Best candidate per row_id, all of them scored: the plain form of ``best_of_bands``, and with ``soft`` the only one, as
+    then brands add to or take from every score.  A row left without a score takes its smallest candidate."""
     open_pairs = candidates if soft else _open(candidates, customers, catalogue)
     scored = score_names(_pairs(open_pairs, customers, catalogue), scorer).withColumn("score", adjust(F.col("score"), clash=F.col("clash")))
     best = best_with_brand(scored, minimum, soft)
     if soft:
         return best
-    smallest = candidates.groupBy("row_id").agg(F.min("src_id").alias("least"))
-    both = smallest.join(best, "row_id", "left")
+    both = candidates.groupBy("row_id").agg(F.min("src_id").alias("least")).join(best, "row_id", "left")
     some = F.coalesce(F.col("score") > 0, F.lit(False))
     return both.select(
         "row_id", F.when(some, F.col("src_id")).otherwise(F.col("least")).alias("src_id"), F.coalesce("score", F.lit(0.0)).alias("score"), F.coalesce("reason", F.lit("brand_mismatch")).alias("reason")
     )
 
 
-def _passing(candidates: DataFrame, customers: DataFrame, catalogue: DataFrame, minimum: float, scorer: str) -> DataFrame:
-    """The best of the candidates (without weight conflicts) of each row_id that some satisfies in score and brand."""
-    scored = score_names(_pairs(candidates, customers, catalogue), scorer).withColumn("score", adjust(F.col("score"), clash=F.col("clash")))
-    return best_with_brand(scored, minimum).where("reason <> 'brand_mismatch'")
+def adjusting(left: dict[str, list], right: dict[str, list], tolerance: float = TOLERANCE):
+    """``adjust`` of the pairs of two blocks at once (weight, kind, pack, variants; tokens on the left, hier_tokens on the right)."""
+
+    def codes(name: str, blank: str | None) -> tuple[np.ndarray, np.ndarray]:
+        known = {blank: 0, None: 0}
+        return tuple(np.asarray([known.setdefault(v, len(known)) for v in side[name]]) for side in (left, right))
+
+    def both_differ(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        return (a[:, None] > 0) & (b[None, :] > 0) & (a[:, None] != b[None, :])
+
+    weights = [np.asarray([v or 0.0 for v in side["weight"]], np.float64) for side in (left, right)]
+    known = (weights[0][:, None] > 0) & (weights[1][None, :] > 0)
+    alike = np.minimum.outer(*weights) / np.where(known, np.maximum.outer(*weights), 1.0) >= 1 - tolerance
+    same, apart = known & alike, known & ~alike
+    other_kind = both_differ(*codes("kind", None))
+    packs = codes("pack", "")
+    pack = np.where((packs[0][:, None] > 0) & (packs[0][:, None] == packs[1][None, :]), 3.0, 0.0)
+    clash = np.zeros(known.shape, bool)
+    for k in range(len(left["variants"][0]) if left["variants"] and right["variants"] else 0):
+        group: dict[str, int] = {"": 0}
+        clash |= both_differ(*[np.asarray([group.setdefault(v[k], len(group)) for v in side["variants"]]) for side in (left, right)])
+    place: dict[str, int] = {}
+    for row in right["hier_tokens"]:
+        for t in row:
+            place.setdefault(t, len(place))
+    marks = [np.zeros((n, len(place)), np.float32) for n in known.shape]
+    for grid, rows in zip(marks, (left["tokens"], right["hier_tokens"])):
+        for i, row in enumerate(rows):
+            grid[i, [place[t] for t in set(row) if t in place]] = 1
+    bonus = np.minimum(10.0, (marks[0] @ marks[1].T).astype(np.float64) * 4.0)
+
+    def result(score: np.ndarray, where: tuple[np.ndarray, np.ndarray] | None) -> np.ndarray:
+        at = lambda grid: grid if where is None else grid[where]
+        x = np.minimum(100.0, score + at(bonus))
+        x = np.where(at(clash), np.maximum(0.0, x - 30.0), x)
+        more = np.minimum(100.0, x + 5.0)
+        x = np.where(at(same), np.where(at(other_kind), np.maximum(0.0, more - 20.0), more), x)
+        return np.where(at(apart), 0.0, np.minimum(100.0, x + at(pack)))
+
+    return result
+
+
+def _keyed(customers: DataFrame, catalogue: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Both sides with ``key``: kind and a step of the weight, such that weights without conflict are one step apart at most.
+
+    As weights that match are in neighbouring bands, rows meet as by ``joins.band_candidates``, but for pairs whose weights conflict.
+    """
+    step = F.when(F.col("weight") > 0, F.floor(F.log("weight") / (-float(np.log(1 - TOLERANCE)) * (1 + 1e-9))))
+    key = lambda kind, x: F.concat_ws("\x1f", kind, F.coalesce(x.cast("string"), F.lit("")))
+    kind, none = F.coalesce("kind", F.lit("-")), F.lit(None).cast("long")
+    near = F.when(step.isNotNull(), F.array(*[key(kind, step + d) for d in (-1, 0, 1)])).otherwise(F.array().cast("array<string>"))
+    asks = F.array_distinct(F.concat(near, F.array(key(kind, none), key(F.lit("-"), none))))
+    look = ["name", "weight", "kind", "pack"]
+    words = variant_words(tokens(F.col("name"))).alias("variants")
+    left = customers.select("row_id", *look, "tokens", words, *[c for c in ("maker",) if c in customers.columns], F.explode(asks).alias("key"))
+    return left, catalogue.select("src_id", *look, "hier_tokens", words, *[c for c in ("maker",) if c in catalogue.columns], key(kind, step).alias("key"))
+
+
+def _by_maker(customers: DataFrame, catalogue: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``_keyed`` with linked brands in the key; rows without brands meet rows without brands."""
+    makers = lambda df: df.withColumn("maker", F.explode(F.when(F.size("brands") > 0, F.col("brands")).otherwise(F.array(F.lit("")))))
+    links = joins.brand_links(customers, catalogue).select(F.col("asked").alias("maker"), "known")
+    asks = makers(customers).join(links, "maker", "left").withColumn("maker", F.coalesce("known", "maker")).drop("known").dropDuplicates(["row_id", "maker"])
+    both = _keyed(asks, makers(catalogue))
+    return tuple(df.withColumn("key", F.concat_ws("\x1e", "key", "maker")).drop("maker") for df in both)
+
+
+def best_of_bands(customers: DataFrame, catalogue: DataFrame, minimum: float = MIN_CONFIDENCE, scorer: str = "ensemble", scratch: Scratch | None = None) -> DataFrame:
+    """(row_id, src_id, score, reason, n_scored): what ``best_with_brand`` chooses among the band candidates of each row.
+
+    A row left without a score takes its smallest candidate.  First only rows of linked brands meet, and results below the
+    minimum do not count; rows that find none meet all rows of their kind and weight.  Pairs are scored by falling bound
+    (``cells.best_matches``).
+    """
+    scratch = scratch or Scratch(customers.sparkSession, "bands")
+    sure = scratch.table(cells.best_matches(*_by_maker(customers, catalogue), scorer, adjusting, minimum), "sure")
+    brands = lambda df, key, name: df.select(key, F.col("brands").alias(name))
+    named = sure.join(brands(customers, "row_id", "c"), "row_id").join(brands(catalogue, "src_id", "s"), "src_id")
+    sure = named.select("row_id", "src_id", "score", F.when(brands_overlap(F.col("c"), F.col("s")), "ok").otherwise("ok_no_brand").alias("reason"), "n_scored")
+    rest = scratch.table(customers.join(sure.select("row_id"), "row_id", "left_anti"), "rest")
+    best = cells.best_matches(*_keyed(rest, catalogue), scorer, adjusting, 0.0, above=True)
+    both = joins.least_candidates(rest, catalogue).join(best, "row_id", "left")
+    other = both.select("row_id", F.coalesce("src_id", "least").alias("src_id"), F.coalesce("score", F.lit(0.0)).alias("score"), F.lit("brand_mismatch").alias("reason"), F.coalesce("n_scored", F.lit(0)).alias("n_scored"))
+    return sure.unionByName(other)
 
 
 def _open(candidates: DataFrame, customers: DataFrame, catalogue: DataFrame) -> DataFrame:
@@ -119,21 +199,15 @@ def _open(candidates: DataFrame, customers: DataFrame, catalogue: DataFrame) ->
 def band_blocked(customers: DataFrame, catalogue: DataFrame, minimum: float = MIN_CONFIDENCE, scorer: str = "ensemble", soft: bool = False, rescue: DataFrame | None = None, rescue_all: bool = False) -> DataFrame:
     """One row per prepared customer: row_id, src_id, score, reason, method.
 
-    Brand gate, size-band candidates, name score, rules, brand rule.  Where brands can
-    block, candidates of linked brands are scored first; only customers whom none of
-    these satisfies meet all their candidates.  ``rescue`` holds (row_id, src_id, score) of
+    Brand gate, size-band candidates, name score, rules, brand rule (``best_of_bands``).  ``rescue`` holds (row_id, src_id, score) of
     a second layer, such as vector neighbours, for customers without candidates (with
     ``rescue_all`` for all that fuzzy matching failed).
     """
     scratch = Scratch(customers.sparkSession, "band")
     allowed, barred = joins.brand_gate(customers, catalogue)
     allowed = scratch.table(allowed, "allowed")
-    rest, sure = allowed, None
-    if not soft:
-        sure = scratch.table(_passing(joins.brand_band_candidates(allowed, catalogue), allowed, catalogue, minimum, scorer), "sure")
-        rest = allowed.join(sure.select("row_id"), "row_id", "left_anti")
-    found = _best_of(joins.band_candidates(rest, catalogue), rest, catalogue, minimum, scorer, soft)
-    found = scratch.table((found if sure is None else found.unionByName(sure)).withColumn("method", F.lit("Fuzzy")), "found")
+    found = _best_of(joins.band_candidates(allowed, catalogue), allowed, catalogue, minimum, scorer, True) if soft else best_of_bands(allowed, catalogue, minimum, scorer, scratch).drop("n_scored")
+    found = scratch.table(found.withColumn("method", F.lit("Fuzzy")), "found")
     lost = allowed.select("row_id").join(found.select("row_id"), "row_id", "left_anti")
     if rescue is not None:
         failed = found.where(~F.col("reason").startswith("ok")).select("row_id")
@@ -257,7 +331,7 @@ def three_layers(customers: DataFrame, catalogue: DataFrame, embedder: vectors.E
     def rest(df: DataFrame, found: DataFrame) -> DataFrame:
         return df.join(found.select("c_name").distinct(), "c_name", "left_anti")
 
-    scored = score_names(joins.letter_candidates(asked.select("c_name"), known, FUZZY[1]), "token_sort").where(F.col("score") >= FUZZY[1])
+    scored = joins.name_pairs(asked.select("c_name"), known, FUZZY[1])
     fuzzy = best(scored.join(theirs, "s_name"), FUZZY[0], "fuzzy")
     left = rest(asked, fuzzy)
     near = tfidf.top_matches(left, known, "c_name", "s_name", "c_name", "s_name", max(1, known.count()), SPARSE[1] / 100)
@@ -299,8 +373,7 @@ def strict_stage(ours: DataFrame, theirs: DataFrame, our_column: str, their_colu
     from ``least`` on; ties to the first of ``ours``.  Both have a row_id; no pair that reaches ``least`` is lost."""
     text_of = lambda df, c, name: df.select(F.col("row_id").alias(f"{name}_id"), normalize(F.col(c)).alias(name)).where(f"{name} <> ''")
     a, b = text_of(theirs, their_column, "c_name"), text_of(ours, our_column, "s_name")
-    pairs = joins.letter_candidates(a.select("c_name").distinct(), b.select("s_name").distinct(), least)
-    good = score_names(pairs, "token_sort").where(F.col("score") >= least)
+    good = joins.name_pairs(a.select("c_name").distinct(), b.select("s_name").distinct(), least)
     first = b.groupBy("s_name").agg(F.min("s_name_id").alias("our_id"))
     best = good.join(first, "s_name").groupBy("c_name").agg(F.max_by(F.struct("our_id", "score"), F.struct("score", -F.col("our_id"))).alias("x"))
     return a.join(best, "c_name").select("x.our_id", F.col("c_name_id").alias("cust_id"), F.round("x.score", 1).alias("score"))
