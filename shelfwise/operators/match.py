@@ -156,38 +156,73 @@ def _keyed(customers: DataFrame, catalogue: DataFrame) -> tuple[DataFrame, DataF
     kind, none = F.coalesce("kind", F.lit("-")), F.lit(None).cast("long")
     near = F.when(step.isNotNull(), F.array(*[key(kind, step + d) for d in (-1, 0, 1)])).otherwise(F.array().cast("array<string>"))
     asks = F.array_distinct(F.concat(near, F.array(key(kind, none), key(F.lit("-"), none))))
-    look = ["name", "weight", "kind", "pack"]
-    words = variant_words(tokens(F.col("name"))).alias("variants")
-    left = customers.select("row_id", *look, "tokens", words, *[c for c in ("maker",) if c in customers.columns], F.explode(asks).alias("key"))
-    return left, catalogue.select("src_id", *look, "hier_tokens", words, *[c for c in ("maker",) if c in catalogue.columns], key(kind, step).alias("key"))
+    look = ["name", "weight", "kind", "pack", "brands", variant_words(tokens(F.col("name"))).alias("variants")]
+    left = customers.select("row_id", *look, "tokens", F.explode(asks).alias("key"))
+    return left, catalogue.select("src_id", *look, "hier_tokens", key(kind, step).alias("key"))
+
+
+#: What results below the brand rule are multiplied by (a power of two, so that they come back whole).
+BARRED = 2.0**-20
+
+
+def token_overlaps(left: list[str], right: list[str], min_length: int = 5) -> np.ndarray:
+    """``brands_overlap`` of single tokens, each of ``left`` with each of ``right``."""
+    out = np.zeros((len(left), len(right)), np.float32)
+    by_token, by_opening, by_part = {}, {}, {}
+    for i, t in enumerate(left):
+        by_token.setdefault(t, []).append(i)
+        if len(t) >= min_length:
+            by_opening.setdefault(t[:min_length], []).append(i)
+            for part in {t[a:b] for a in range(len(t)) for b in range(a + min_length, len(t) + 1)}:
+                by_part.setdefault(part, []).append(i)
+    for j, t in enumerate(right):
+        out[by_token.get(t, []), j] = 1
+        if len(t) >= min_length:
+            out[by_opening.get(t[:min_length], []), j] = 1
+            out[by_part.get(t, []), j] = 1
+            for part in {t[a:b] for a in range(len(t)) for b in range(a + min_length, len(t) + 1)}:
+                out[by_token.get(part, []), j] = 1
+    return out
+
+
+def preferring(minimum: float):
+    """``adjusting``, and the brand rule after it: results from ``minimum`` on with brands that overlap, or none on either side,
+    stay; all others are multiplied by ``BARRED`` and so come after them, in their own order."""
+
+    def rule(left: dict[str, list], right: dict[str, list]):
+        adjusted = adjusting(left, right)
+        places = [{t: k for k, t in enumerate(dict.fromkeys(t for row in side["brands"] for t in row))} for side in (left, right)]
+        marks = [np.zeros((len(side["brands"]), len(place)), np.float32) for side, place in zip((left, right), places)]
+        for grid, place, side in zip(marks, places, (left, right)):
+            for i, row in enumerate(side["brands"]):
+                grid[i, [place[t] for t in row]] = 1
+        fits = (marks[0] @ token_overlaps(*map(list, places)) @ marks[1].T) > 0
+        fits |= np.logical_and.outer(*[np.asarray([not row for row in side["brands"]], bool) for side in (left, right)])
+
+        def result(score: np.ndarray, where: tuple[np.ndarray, np.ndarray] | None) -> np.ndarray:
+            x = adjusted(score, where)
+            return np.where((fits if where is None else fits[where]) & (x >= minimum), x, x * BARRED)
 
+        return result
 
-def _by_maker(customers: DataFrame, catalogue: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """``_keyed`` with linked brands in the key; rows without brands meet rows without brands."""
-    makers = lambda df: df.withColumn("maker", F.explode(F.when(F.size("brands") > 0, F.col("brands")).otherwise(F.array(F.lit("")))))
-    links = joins.brand_links(customers, catalogue).select(F.col("asked").alias("maker"), "known")
-    asks = makers(customers).join(links, "maker", "left").withColumn("maker", F.coalesce("known", "maker")).drop("known").dropDuplicates(["row_id", "maker"])
-    both = _keyed(asks, makers(catalogue))
-    return tuple(df.withColumn("key", F.concat_ws("\x1e", "key", "maker")).drop("maker") for df in both)
+    return rule
 
 
-def best_of_bands(customers: DataFrame, catalogue: DataFrame, minimum: float = MIN_CONFIDENCE, scorer: str = "ensemble", scratch: Scratch | None = None) -> DataFrame:
+def best_of_bands(customers: DataFrame, catalogue: DataFrame, minimum: float = MIN_CONFIDENCE, scorer: str = "ensemble") -> DataFrame:
     """(row_id, src_id, score, reason, n_scored): what ``best_with_brand`` chooses among the band candidates of each row.
 
-    A row left without a score takes its smallest candidate.  First only rows of linked brands meet, and results below the
-    minimum do not count; rows that find none meet all rows of their kind and weight.  Pairs are scored by falling bound
-    (``cells.best_matches``).
+    A row left without a score takes its smallest candidate.  Pairs are scored by falling bound (``cells.best_matches``), those
+    that may satisfy the brand rule before all others.
     """
-    scratch = scratch or Scratch(customers.sparkSession, "bands")
-    sure = scratch.table(cells.best_matches(*_by_maker(customers, catalogue), scorer, adjusting, minimum), "sure")
-    brands = lambda df, key, name: df.select(key, F.col("brands").alias(name))
-    named = sure.join(brands(customers, "row_id", "c"), "row_id").join(brands(catalogue, "src_id", "s"), "src_id")
-    sure = named.select("row_id", "src_id", "score", F.when(brands_overlap(F.col("c"), F.col("s")), "ok").otherwise("ok_no_brand").alias("reason"), "n_scored")
-    rest = scratch.table(customers.join(sure.select("row_id"), "row_id", "left_anti"), "rest")
-    best = cells.best_matches(*_keyed(rest, catalogue), scorer, adjusting, 0.0, above=True)
-    both = joins.least_candidates(rest, catalogue).join(best, "row_id", "left")
-    other = both.select("row_id", F.coalesce("src_id", "least").alias("src_id"), F.coalesce("score", F.lit(0.0)).alias("score"), F.lit("brand_mismatch").alias("reason"), F.coalesce("n_scored", F.lit(0)).alias("n_scored"))
-    return sure.unionByName(other)
+    if minimum <= 1:
+        raise ValueError("the minimum must be over 1")
+    best = cells.best_matches(*_keyed(customers, catalogue), scorer, preferring(minimum), 0.0, above=True)
+    sure = F.col("score") > 1
+    best = best.withColumn("sure", sure).withColumn("score", F.when(sure, F.col("score")).otherwise(F.col("score") / BARRED))
+    of = lambda df, key, name: df.select(key, F.col("brands").alias(name))
+    named = joins.least_candidates(customers, catalogue).join(best, "row_id", "left").join(of(customers, "row_id", "c"), "row_id").join(of(catalogue, "src_id", "s"), "src_id", "left")
+    reason = F.when(~F.coalesce("sure", F.lit(False)), "brand_mismatch").when(brands_overlap(F.col("c"), F.col("s")), "ok").otherwise("ok_no_brand")
+    return named.select("row_id", F.coalesce("src_id", "least").alias("src_id"), F.coalesce("score", F.lit(0.0)).alias("score"), reason.alias("reason"), F.coalesce("n_scored", F.lit(0)).alias("n_scored"))
 
 
 def _open(candidates: DataFrame, customers: DataFrame, catalogue: DataFrame) -> DataFrame:
@@ -206,7 +241,7 @@ def band_blocked(customers: DataFrame, catalogue: DataFrame, minimum: float = MI
     scratch = Scratch(customers.sparkSession, "band")
     allowed, barred = joins.brand_gate(customers, catalogue)
     allowed = scratch.table(allowed, "allowed")
-    found = _best_of(joins.band_candidates(allowed, catalogue), allowed, catalogue, minimum, scorer, True) if soft else best_of_bands(allowed, catalogue, minimum, scorer, scratch).drop("n_scored")
+    found = _best_of(joins.band_candidates(allowed, catalogue), allowed, catalogue, minimum, scorer, True) if soft else best_of_bands(allowed, catalogue, minimum, scorer).drop("n_scored")
     found = scratch.table(found.withColumn("method", F.lit("Fuzzy")), "found")
     lost = allowed.select("row_id").join(found.select("row_id"), "row_id", "left_anti")
     if rescue is not None:

@@ -92,3 +92,10 @@ def test_adjusting_equals_the_column_rule(spark):
     grid = np.asarray([r[-1] for r in rows]).reshape(12, 12)
     got = match.adjusting(block(a, "tokens"), block(b, "hier_tokens"))(grid, None)
     assert all(got[k // 100, k % 100] == x for k, x in want.items())
+
+
+def test_token_overlaps_equal_the_column_rule(spark):
+    words = ["NESTLE", "NESTLES", "STLES", "NEST", "KITKAT", "MYKITKAT", "KITKA", "ABCDE", "ABCDEX", "XABCDE", "A", "B"]
+    got = match.token_overlaps(words, words)
+    df = spark.createDataFrame([(i, j, [a], [b]) for i, a in enumerate(words) for j, b in enumerate(words)], "i int, j int, a array<string>, b array<string>")
+    assert all(bool(got[r.i, r.j]) == r.x for r in df.select("i", "j", match.brands_overlap(df.a, df.b).alias("x")).collect())
