@@ -239,3 +239,104 @@ def length_keys(names: DataFrame, name: str, least: float, asks: bool) -> DataFr
     own: Column = F.when(F.char_length(name) > 0, F.floor(step)).otherwise(F.lit(-9)).cast("long")
     near = F.array_distinct(F.when(own >= 0, F.array(own - 1, own, own + 1)).otherwise(F.array(own)))
     return names.withColumn("key", F.explode(near) if asks else own)
+
+
+# ---- shared tokens --------------------------------------------------------------------
+
+#: A token in more than one of HEAVY_SHARE right rows is heavy.
+HEAVY_SHARE = 256
+
+
+def _token_sides(left: DataFrame, right: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Both sides (row_id or src_id, tokens) with their heavy and light tokens; tokens that no right row has go."""
+    seen = right.select(F.explode("tokens").alias("token")).groupBy("token").agg(F.count("*").alias("df"))
+    seen = seen.select("token", (F.col("df") * HEAVY_SHARE > right.count()).alias("is_heavy"))
+
+    def apart(df: DataFrame, key: str) -> DataFrame:
+        each = df.select(key, F.explode("tokens").alias("token")).join(seen, "token")
+        some = lambda kind: F.collect_list(F.when(kind, F.col("token")))
+        return each.groupBy(key).agg(some(F.col("is_heavy")).alias("heavy"), some(~F.col("is_heavy")).alias("light"))
+
+    return apart(left, "row_id"), apart(right, "src_id")
+
+
+def _products(x: pa.Table, y: pa.Table):
+    """Of every two blocks: where they begin, tokens in common, and whether a heavy one is among them."""
+
+    def grid(rows: list[list[str]], place: dict[str, int]) -> np.ndarray:
+        out = np.zeros((len(rows), max(1, len(place))), np.float32)
+        for i, row in enumerate(rows):
+            out[i, [place[t] for t in row if t in place]] = 1
+        return out
+
+    sides = [[t.column(c).to_pylist() for c in ("heavy", "light")] for t in (x, y)]
+    for i in range(0, x.num_rows, BLOCK):
+        mine = [rows[i : i + BLOCK] for rows in sides[0]]
+        places = [{t: k for k, t in enumerate(dict.fromkeys(t for row in rows for t in row))} for rows in mine]
+        left = [grid(rows, place) for rows, place in zip(mine, places)]
+        for j in range(0, y.num_rows, BLOCK):
+            heavy, light = (a @ grid(rows[j : j + BLOCK], place).T for a, rows, place in zip(left, sides[1], places))
+            yield i, j, np.where(heavy > 0, heavy + light, 0).astype(np.int64)
+
+
+def _light_pairs(a: DataFrame, b: DataFrame, least: int) -> DataFrame:
+    """(row_id, src_id, n_shared) of pairs that share light tokens only."""
+    of = lambda df, key, name: df.select(key, F.col("heavy").alias(name), F.explode("light").alias("token"))
+    met = of(a, "row_id", "_a").join(of(b, "src_id", "_b"), "token").where(~F.arrays_overlap("_a", "_b"))
+    return met.groupBy("row_id", "src_id").agg(F.count("*").alias("n_shared")).where(F.col("n_shared") >= least)
+
+
+def _heavy_cells(a: DataFrame, b: DataFrame) -> tuple[DataFrame, DataFrame]:
+    some = lambda df: df.where(F.size("heavy") > 0).withColumn("key", F.lit(0))
+    return tuple(df.groupBy("cell") for df in deal(some(a), some(b)))
+
+
+def shared_tokens(left: DataFrame, right: DataFrame, least: int = 1) -> DataFrame:
+    """(row_id, src_id, n_shared): rows (row_id, tokens; src_id, tokens) with ``least`` tokens or more in common.
+
+    Ids are texts, and tokens of a row distinct.  Light tokens meet by a join; rows with heavy ones are dealt into cells
+    and their sets of tokens multiplied in blocks, so no token's pairs are made in one task.
+    """
+    ship(left.sparkSession)
+    a, b = _token_sides(left, right)
+    schema = "row_id string, src_id string, n_shared long"
+
+    def meet(x: pa.Table, y: pa.Table) -> pa.Table:
+        found: list[list] = [[], [], []]
+        ids = x.column("row_id").to_numpy(zero_copy_only=False), y.column("src_id").to_numpy(zero_copy_only=False)
+        for i, j, n in _products(x, y):
+            p, q = np.nonzero(n >= max(1, least))
+            for out, values in zip(found, (ids[0][i + p], ids[1][j + q], n[p, q])):
+                out.append(values)
+        whole = [np.concatenate(v) if v else [] for v in found]
+        return _frame(dict(zip(("row_id", "src_id", "n_shared"), whole)), schema)
+
+    x, y = _heavy_cells(a, b)
+    return x.cogroup(y).applyInArrow(meet, schema).unionByName(_light_pairs(a, b, least))
+
+
+def shared_token_sums(left: DataFrame, right: DataFrame, least: int = 1) -> DataFrame:
+    """(row_id, n_candidates, id_sum, n_shared): sums over the pairs of ``shared_tokens``, which are not made for heavy tokens.
+
+    A right row stands for ``n`` rows whose ids sum to ``ids``.
+    """
+    ship(left.sparkSession)
+    a, b = _token_sides(left, right)
+    b = b.join(right.select("src_id", "n", "ids"), "src_id")
+    schema = "row_id string, n_candidates long, id_sum long, n_shared long"
+
+    def meet(x: pa.Table, y: pa.Table) -> pa.Table:
+        n, ids = (y.column(c).to_numpy() for c in ("n", "ids"))
+        sums = np.zeros((3, x.num_rows), np.int64)
+        for i, j, shared in _products(x, y):
+            to, here = slice(i, i + len(shared)), slice(j, j + shared.shape[1])
+            hit = shared >= max(1, least)
+            for k, (grid, weight) in enumerate(((hit, n), (hit, ids), (shared * hit, n))):
+                sums[k, to] += grid @ weight[here]
+        return _frame({"row_id": x.column("row_id").to_pylist(), **dict(zip(("n_candidates", "id_sum", "n_shared"), sums))}, schema)
+
+    x, y = _heavy_cells(a, b.select("src_id", "heavy", "light", "n", "ids"))
+    light = _light_pairs(a, b, least).join(right.select("src_id", "n", "ids"), "src_id")
+    light = light.select("row_id", F.col("n").alias("n_candidates"), F.col("ids").alias("id_sum"), (F.col("n") * F.col("n_shared")).alias("n_shared"))
+    sums = x.cogroup(y).applyInArrow(meet, schema).unionByName(light).groupBy("row_id")
+    return sums.agg(*[F.sum(c).alias(c) for c in ("n_candidates", "id_sum", "n_shared")]).where("n_candidates > 0")

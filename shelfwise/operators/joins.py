@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfwise.functions.barcode import normalize_barcode
@@ -133,35 +133,29 @@ def least_candidates(customers: DataFrame, catalogue: DataFrame) -> DataFrame:
     return asks.select("row_id", "a.*").join(first, ["k", "b"]).groupBy("row_id").agg(F.min("least").alias("least"))
 
 
+def _token_lists(df: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+    """(key, list) of each row, and the distinct lists with their tokens, rows and sum of keys."""
+    listed = df.select(key, F.array_join(F.array_sort(F.array_distinct("tokens")), "\x1f").alias("list"), F.array_distinct("tokens").alias("tokens"))
+    one = listed.groupBy("list").agg(F.first("tokens").alias("tokens"), F.count("*").alias("n"), F.sum(F.col(key).cast("long")).alias("ids"))
+    return listed.select(key, "list"), one
+
+
 def token_candidates(customers: DataFrame, catalogue: DataFrame, least: int = 1) -> DataFrame:
     """(row_id, src_id, n_shared): rows that share at least ``least`` tokens; both sides hold a ``tokens`` array.
 
-    Distinct lists of tokens meet, and their pairs are then spread over the rows that have
-    them.  Lists that share so many tokens share one of their rarest size - least + 1; only
-    those are joined, and the pairs are then counted on the whole arrays.
+    Distinct lists of tokens meet (``cells.shared_tokens``), and their pairs are then spread over the rows that have them.
     """
-    listed = lambda df, key: df.select(key, F.array_join(F.array_sort(F.array_distinct("tokens")), "\x1f").alias("list"), F.array_distinct("tokens").alias("tokens"))
-    mine, theirs = listed(customers, "row_id"), listed(catalogue, "src_id")
-    one = lambda df: df.groupBy("list").agg(F.first("tokens").alias("tokens"))
-    a, b = one(mine).withColumnRenamed("list", "row_id"), one(theirs).withColumnRenamed("list", "src_id")
-    met = _token_pairs(a, b, least).toDF("a", "b", "n_shared")
-    spread = met.join(mine.select("row_id", F.col("list").alias("a")), "a").join(theirs.select("src_id", F.col("list").alias("b")), "b")
+    (mine, a), (theirs, b) = _token_lists(customers, "row_id"), _token_lists(catalogue, "src_id")
+    met = cells.shared_tokens(a.select(F.col("list").alias("row_id"), "tokens"), b.select(F.col("list").alias("src_id"), "tokens"), least).toDF("a", "b", "n_shared")
+    spread = met.join(mine.withColumnRenamed("list", "a"), "a").join(theirs.withColumnRenamed("list", "b"), "b")
     return spread.select("row_id", "src_id", "n_shared")
 
 
-def _token_pairs(customers: DataFrame, catalogue: DataFrame, least: int) -> DataFrame:
-    """``token_candidates`` of rows that differ in their lists."""
-    seen = catalogue.select(F.explode("tokens").alias("token")).groupBy("token").agg(F.count("*").alias("df"))
-
-    def rarest(df: DataFrame, key: str) -> DataFrame:
-        each = df.select(key, F.explode("tokens").alias("token")).join(seen, "token")
-        order = Window.partitionBy(key).orderBy("df", "token")
-        ranked = each.withColumns({"k": F.row_number().over(order), "n": F.count("*").over(Window.partitionBy(key))})
-        return ranked.where(F.col("k") <= F.col("n") - (least - 1)).select(key, "token")
-
-    pairs = rarest(customers, "row_id").join(rarest(catalogue, "src_id"), "token").select("row_id", "src_id").distinct()
-    whole = pairs.join(customers.select("row_id", F.col("tokens").alias("a")), "row_id").join(catalogue.select("src_id", F.col("tokens").alias("b")), "src_id")
-    return whole.select("row_id", "src_id", F.size(F.array_intersect("a", "b")).cast("long").alias("n_shared")).where(F.col("n_shared") >= least)
+def token_candidate_sums(customers: DataFrame, catalogue: DataFrame, least: int = 1) -> DataFrame:
+    """(row_id, n_candidates, id_sum, n_shared): sums over the pairs of ``token_candidates`` of each row, most of which are never made."""
+    (mine, a), (_, b) = _token_lists(customers, "row_id"), _token_lists(catalogue, "src_id")
+    sums = cells.shared_token_sums(a.select(F.col("list").alias("row_id"), "tokens"), b.select(F.col("list").alias("src_id"), "tokens", "n", "ids"), least)
+    return mine.join(sums.withColumnRenamed("row_id", "list"), "list").drop("list")
 
 
 def with_fallback(pairs: DataFrame, narrower: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ from shelfwise.functions import scores, text
 from shelfwise.functions.barcode import normalize_barcode
 from shelfwise.functions.brand import brand_from_name, variant_conflict
 from shelfwise.functions.parse import clean_description, parse_description, parse_loose, size_band, weight_label, weights_match
-from shelfwise.operators import adjudicate, brands, category, joins, match, report, rows, tfidf, vectors
+from shelfwise.operators import adjudicate, brands, category, cells, joins, match, report, rows, tfidf, vectors
 from shelfwise.plans.inputs import CATALOGUE_SQL, CUSTOMERS_SQL, ORDERS_TEXT_SQL, catalogue, customers, orders_text, table
 from shelfwise.session import Scratch
 from shelfwise.sources import ingest
@@ -194,7 +194,7 @@ SELECT row_id, count(*) AS n_candidates, CAST(sum(src_id) AS BIGINT) AS id_sum,
 )
 def token_block(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rule J10: one shared token is enough."""
-    return _digest(joins.token_candidates(*_worded(spark, sf_dir)), "n_shared")
+    return joins.token_candidate_sums(*_worded(spark, sf_dir))
 
 
 def _worded(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -242,9 +242,9 @@ pairs AS (SELECT a.name AS query, b.name AS item, len(list_intersect(a.t, b.t))
 r AS (SELECT *, row_number() OVER (PARTITION BY query ORDER BY overlap DESC, item) AS rank FROM pairs) SELECT query, item, round(overlap, 6) AS overlap FROM r WHERE rank <= 3""",
 )
 def token_jaccard_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    words = table(spark, sf_dir, "part").select(F.col("p_name").alias("name")).distinct().withColumn("token", F.explode(F.array_distinct(F.split("name", " "))))
-    a, b = words.withColumnRenamed("name", "query"), words.withColumnRenamed("name", "item")
-    pairs = a.join(b, "token").where("query <> item").select("query", "item").distinct()
+    words = table(spark, sf_dir, "part").select(F.col("p_name").alias("name")).distinct().withColumn("tokens", F.array_distinct(F.split("name", " ")))
+    found = cells.shared_tokens(words.withColumnRenamed("name", "row_id"), words.withColumnRenamed("name", "src_id"))
+    pairs = found.where("row_id <> src_id").select(F.col("row_id").alias("query"), F.col("src_id").alias("item"))
     scored = pairs.withColumn("overlap", scores.word_overlap(F.col("query"), F.col("item")))
     top = rows.top_k(scored, ["query"], [F.col("overlap").desc(), F.col("item")], 3)
     return top.select("query", "item", F.round("overlap", 6).alias("overlap"))

@@ -99,3 +99,21 @@ def test_token_overlaps_equal_the_column_rule(spark):
     got = match.token_overlaps(words, words)
     df = spark.createDataFrame([(i, j, [a], [b]) for i, a in enumerate(words) for j, b in enumerate(words)], "i int, j int, a array<string>, b array<string>")
     assert all(bool(got[r.i, r.j]) == r.x for r in df.select("i", "j", match.brands_overlap(df.a, df.b).alias("x")).collect())
+
+
+@pytest.mark.parametrize(("least", "share", "sizes"), [(1, 256, None), (1, 6, (5, 7)), (2, 3, None), (3, 10**6, (5, 7))])
+def test_shared_tokens_lose_no_pair(spark, monkeypatch, least, share, sizes):
+    """Whatever share of the tokens is heavy, and however rows are dealt; sums are those of the pairs."""
+    monkeypatch.setattr(cells, "HEAVY_SHARE", share)
+    monkeypatch.setattr(cells, "BLOCK", 8)
+    if sizes:
+        deal = cells.deal
+        monkeypatch.setattr(cells, "deal", lambda a, b: deal(a, b, *sizes))
+    rng = random.Random(4)
+    bag = ["HOT"] * 6 + ["WARM"] * 3 + [f"T{i}" for i in range(25)]
+    a, b = ([(i, [rng.choice(bag) for _ in range(rng.randrange(0, 6))]) for i in range(40)] for _ in range(2))
+    left, right = spark.createDataFrame(a, "row_id long, tokens array<string>"), spark.createDataFrame(b, "src_id long, tokens array<string>")
+    want = sorted((i, j, len(set(x) & set(y))) for i, x in a for j, y in b if len(set(x) & set(y)) >= least)
+    assert sorted(tuple(r) for r in joins.token_candidates(left, right, least).select("row_id", "src_id", "n_shared").collect()) == want
+    sums = {r.row_id: (r.n_candidates, r.id_sum, r.n_shared) for r in joins.token_candidate_sums(left, right, least).collect()}
+    assert sums == {i: tuple(sum(x) for x in zip(*[(1, j, n) for k, j, n in want if k == i])) for i, _, _ in want}
