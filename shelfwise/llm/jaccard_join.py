@@ -8,8 +8,11 @@ lists of x's shingles, and a search may leave T - 1 of them out: it merges the s
 1. ``ListLengths`` counts in how many texts the shingles of each of ``SLOTS`` slots are: an
    array of fixed size, summed over tasks, that all tasks map from the shared folder.  It
    orders shingles by the length of their lists; any order gives right results.
-2. Each distinct set (copies are one node, as in ``near_dups``) posts its id on its short
-   lists, a tenth of its shingles for 90 %.  Spark merges them by shingle.
+2. Each distinct set (copies are one node, as in ``near_dups``) posts its id on its
+   |x| - T + K short lists, somewhat over a tenth of its shingles for 90 %.  Linked sets have K
+   of them in common, the first K shingles of their overlap in the order of lengths.  Spark
+   merges the lists by shingle, cuts them by the sizes of their sets and drops sets that
+   are on fewer than K lists with another one (``sized_lists``).
 3. Every set is searched for from the set of smallest id ("centre") that it meets on most
    lists, and linked to it if it holds; large-star and small-star give the components.
 4. A list with two components left is dealt into tiles.  Sets of different components are
@@ -49,8 +52,10 @@ from shelfwise.session import Scratch, ship
 SHINGLE, PERCENT = 3, 90
 #: Counters of list lengths, and those of a block that is summed together.
 SLOTS, BLOCK = 1 << 22, 1 << 12
-#: Hash classes whose numbers of shingles bound an overlap, and short lists that a row carries to be compared once only.
-CLASSES, LEAD = 256, 64
+#: Hash classes whose numbers of shingles bound an overlap, and lists that a row carries to be compared once only.
+CLASSES, LEAD = 64, 8
+#: Shingles of a set for each short list, after the first, that it must share.
+PER_LIST = 50
 #: Sets that are searched for from one centre in one task.
 FAN = 256
 #: What a heap step costs against a binary search, in DivideSkip's choice of long lists.
@@ -62,6 +67,11 @@ def least_overlap(size: int, percent: int) -> int:
     return -(-percent * size // 100)
 
 
+def in_common(size: int, percent: int) -> int:
+    """K: short lists that a set of ``size`` shares with a linked set of its size or more."""
+    return min(max(1, least_overlap(size, percent)), 1 + size // PER_LIST)
+
+
 class Lists:
     """An inverted index of a few sets: for each shingle the ascending numbers of the sets that hold it."""
 
@@ -169,9 +179,17 @@ class ListLengths:
         return hashes[np.argsort(mapped(self.uri)["lengths"][(hashes & np.uint64(self.slots - 1)).astype(np.int64)], kind="stable")]
 
 
-def class_counts(hashes: np.ndarray) -> np.ndarray:
-    """Shingles per hash class; a full counter stands for any number."""
-    return np.minimum(np.bincount((hashes >> np.uint64(40)).astype(np.int64) % CLASSES, minlength=CLASSES), 65_535).astype(np.uint16)
+def class_counts(hashes: np.ndarray) -> bytes:
+    """Shingles per hash class in a byte each, rounded up to a step, and the step (4 bytes) in front."""
+    found = np.bincount((hashes >> np.uint64(40)).astype(np.int64) % CLASSES, minlength=CLASSES)
+    step = max(1, -(-int(found.max()) // 255))
+    return np.uint32(step).tobytes() + (-(-found // step)).astype(np.uint8).tobytes()
+
+
+def class_bounds(rows: list[bytes]) -> np.ndarray:
+    """Of each row of ``class_counts``, numbers that are at least the true ones."""
+    raw = np.frombuffer(b"".join(rows), np.uint8).reshape(len(rows), 4 + CLASSES)
+    return raw[:, 4:].astype(np.int32) * raw[:, :4].copy().view(np.uint32).astype(np.int32)
 
 
 def postings(texts: DataFrame, lengths: ListLengths, percent: int, size: int = SHINGLE) -> DataFrame:
@@ -181,14 +199,50 @@ def postings(texts: DataFrame, lengths: ListLengths, percent: int, size: int = S
         for batch in slices(batches, "text"):
             sets = near_dups.shingle_sets(batch.column("text"), size)
             digests = [near_dups.digest(s) for s in sets]
-            short = [lengths.order(s)[: len(s) - least_overlap(len(s), percent) + 1].view(np.int64) if len(s) else None for s in sets]
+            short = [lengths.order(s)[: len(s) - least_overlap(len(s), percent) + in_common(len(s), percent)].view(np.int64) if len(s) else None for s in sets]
             columns = [batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), *[pa.array([d[k] for d in digests], pa.int64()) for k in (0, 1)]]
-            columns += [pa.array(short, pa.list_(pa.int64())), pa.array([class_counts(s).tobytes() if len(s) else None for s in sets], pa.binary())]
+            columns += [pa.array(short, pa.list_(pa.int64())), pa.array([class_counts(s) if len(s) else None for s in sets], pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_shingles", "d1", "d2", "short", "classes"])
 
     return texts.mapInArrow(post, "doc_id long, n_shingles long, d1 long, d2 long, short array<long>, classes binary")
 
 
+def sized_lists(reps: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
+    """(key, id, centre): short lists cut by size, with two sets or more; ``centre`` is the smallest id.
+
+    Linked sets differ in size by a factor of 100 / percent at most, so a set stands in the
+    list's part of its own size step and in that of the next.  A set that shares fewer than K
+    lists of a step (K of the smallest size that it may link to) leaves that step.
+    """
+
+    def several(rows: DataFrame) -> DataFrame:
+        lists = rows.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi").select("key")
+        return rows.join(lists, "key", "left_semi")
+
+    def often(rows: DataFrame, *by: str) -> DataFrame:
+        return rows.join(rows.groupBy(*by).agg(F.count("*").alias("_n"), F.min("needed").alias("_k")).where("_n >= _k").select(*by), list(by), "left_semi")
+
+    least = lambda n: F.ceil(n * percent / 100.0 - 1e-9)
+    needed = F.least(F.greatest(F.lit(1), least(least(F.col("n_shingles")))), 1 + F.floor(least(F.col("n_shingles")) / PER_LIST))
+    keyed = reps.select("id", F.explode("short").alias("key"))
+    sizes = reps.select("id", "n_shingles", needed.alias("needed"))
+    shared = scratch.table(several(keyed), "shared").join(sizes, "id")
+    step = F.floor(F.log(F.col("n_shingles")) / (math.log(100 / percent) * (1 + 1e-9))) if percent < 100 else F.col("n_shingles")
+    parts = often(shared, "id").select("id", "needed", F.explode(F.array(step, step + 1)).alias("step"), "key").withColumn("key", F.xxhash64("key", "step"))
+    parts = scratch.table(often(scratch.table(several(parts), "steps"), "id", "step").select("key", "id"), "parts")
+    lists = parts.groupBy("key").agg(F.min("id").alias("centre"), F.max("id").alias("hi")).where("centre < hi").drop("hi")
+    met = scratch.table(parts.join(lists, "key").select("key", "id", "centre"), "met")
+    scratch.drop("shared", "steps", "parts")
+    return met
+
+
+def texts_of(texts: DataFrame, wanted: DataFrame, signed: DataFrame, size: int = SHINGLE) -> DataFrame:
+    """(id, text) of the nodes ``wanted`` (id, rep, d1, d2), each once; texts cross the network once where doc_ids are not repeated."""
+    if not signed.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").isEmpty():
+        return near_dups.bodies_of(texts, wanted, size)
+    return texts.join(wanted.select(F.col("rep").alias("doc_id"), "id"), "doc_id").select("id", "text")
+
+
 def search_centres(pairs: DataFrame, bodies: DataFrame, percent: int, size: int = SHINGLE) -> DataFrame:
     """Those (a, b) of ``pairs``, with a in one pair only, that link: every b is searched for in an index of its a's.
 
@@ -218,38 +272,75 @@ def search_centres(pairs: DataFrame, bodies: DataFrame, percent: int, size: int
     return dealt.mapInArrow(search, "a long, b long")
 
 
+def whole_tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Rows sorted by tile in tables that end where a tile does."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        tile = batch.column("tile").to_numpy()
+        last = int(np.searchsorted(tile, tile[-1]))  # where the last tile of the batch begins
+        if held and (last or held[-1].column("tile")[0].as_py() != tile[0]):
+            end = int(np.searchsorted(tile, held[-1].column("tile")[0].as_py(), side="right"))
+            yield pa.Table.from_batches([*held, batch.slice(0, max(end, last))]).combine_chunks()
+            held, batch = [], batch.slice(max(end, last))
+        elif last:
+            yield pa.Table.from_batches([batch.slice(0, last)])
+            batch = batch.slice(last)
+        if batch.num_rows:
+            held.append(batch)
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks()
+
+
 def suspects(rows: DataFrame, percent: int) -> DataFrame:
     """(part, id, comp, is_main, partners): sets on a list of two components that may link across them.
 
-    ``rows``: key, id, comp, n_shingles, classes, lead (the first ``LEAD`` short lists).  A pair
-    is left to an earlier list that both carry in ``lead``.  Parts are as in ``near_dups``.
+    ``rows``: key, id, comp, n_shingles, classes, lead (the ``LEAD`` smallest keys of the set's rows).  A pair
+    is left to a smaller key that both carry in ``lead``.  Parts are as in ``near_dups``.
     """
     most, side = near_dups.PART_SHINGLES, near_dups.PART_ROWS
 
+    def wanted_of(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+        """Places (i, j) of suspects, i < j, of all tiles of a table at once: rows of one tile stand together."""
+        tile, comp, size, main = (table.column(c).to_numpy() for c in ("tile", "comp", "n_shingles", "is_main"))
+        classes = class_bounds(table.column("classes").to_pylist())
+        found, left = [], np.arange(len(tile))
+        for d in range(1, len(tile)):  # each row with the one d places on, while tiles are that long
+            left = left[left + d < len(tile)]
+            left = left[tile[left] == tile[left + d]]
+            if not len(left):
+                break
+            i = left[(comp[left] != comp[left + d]) & ~(main[left] & main[left + d]).astype(bool)]
+            need = -(-percent * (size[i] + size[i + d]) // (100 + percent))
+            i, need = (x[np.minimum(size[i], size[i + d]) >= need] for x in (i, need))
+            found.append(np.stack([i, i + d])[:, np.minimum(classes[i], classes[i + d]).sum(axis=1) >= need])
+        i, j = np.concatenate(found, axis=1) if found else np.empty((2, 0), np.int64)
+        if not len(i):
+            return i, j
+        key, lead = table.column("key").to_pylist(), table.column("lead").to_pylist()
+        keep = [all(k >= key[x] or k not in lead[y] for k in lead[x]) for x, y in zip(i.tolist(), j.tolist())]
+        return i[keep], j[keep]
+
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in near_dups._runs(batches):
-            if table.num_rows < 2:
-                continue
-            table, others = near_dups._others_first(table)
-            ids, comps, sizes = (table.column(c).to_numpy() for c in ("id", "comp", "n_shingles"))
-            classes = np.frombuffer(b"".join(table.column("classes").to_pylist()), np.uint16).reshape(-1, CLASSES)
-            full, lead, key = (classes == 65_535).any(axis=1), table.column("lead").to_pylist(), table.column("key")[0].as_py()
-            before = [set(x[: x.index(key)] if key in x else x) for x in lead]
-            wanted: list[tuple[int, np.ndarray]] = []
-            for i in range(others):
-                need = -(-percent * (sizes[i] + sizes[i + 1 :]) // (100 + percent))
-                j = np.flatnonzero((comps[i + 1 :] != comps[i]) & (np.minimum(sizes[i], sizes[i + 1 :]) >= need)) + i + 1
-                if len(j):
-                    j = j[(np.minimum(classes[j], classes[i]).sum(axis=1, dtype=np.int64) >= need[j - i - 1]) | full[j] | full[i]]
-                j = j[[before[i].isdisjoint(before[x]) for x in j.tolist()]] if len(j) else j
-                if len(j):
-                    wanted.append((i, j))
-            for n, part in enumerate(p for some in near_dups._squares(wanted, side) for p in near_dups._parts(some, sizes, most)):
-                at = np.unique(np.concatenate([*part.values(), np.fromiter(part, np.int64)]))
-                kept = table.select(["id", "comp", "is_main"]).take(pa.array(at)).combine_chunks().to_batches()[0]
-                number = mix64(np.asarray([int(table.column("tile")[0].as_py()) % 2**64], np.uint64) + np.uint64(n)).view(np.int64)
-                named = [ids[part[i]] if i in part else ids[:0] for i in at.tolist()]
-                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(number, len(at))), *kept.columns, pa.array(named, pa.list_(pa.int64()))], ["part", *kept.schema.names, "partners"])
+        for table in whole_tiles(batches):
+            i, j = wanted_of(table)
+            order = np.lexsort((j, i))
+            i, j = i[order], j[order]
+            ids, sizes, tiles = (table.column(c).to_numpy() for c in ("id", "n_shingles", "tile"))
+            cuts = np.flatnonzero(np.diff(tiles[i])) + 1
+            for rows, partners in zip(np.split(i, cuts), np.split(j, cuts)):
+                if not len(rows):
+                    continue
+                mine, begin = np.unique(rows, return_index=True)
+                wanted = list(zip(mine.tolist(), np.split(partners, begin[1:])))
+                number = np.asarray([int(tiles[rows[0]]) % 2**64], np.uint64)
+                for n, part in enumerate(p for some in near_dups._squares(wanted, side) for p in near_dups._parts(some, sizes, most)):
+                    at = np.unique(np.concatenate([*part.values(), np.fromiter(part, np.int64)]))
+                    kept = table.select(["id", "comp", "is_main"]).take(pa.array(at)).combine_chunks().to_batches()[0]
+                    named = [ids[part[x]] if x in part else ids[:0] for x in at.tolist()]
+                    part_id = mix64(number + np.uint64(n)).view(np.int64)
+                    yield pa.RecordBatch.from_arrays([pa.array(np.repeat(part_id, len(at))), *kept.columns, pa.array(named, pa.list_(pa.int64()))], ["part", *kept.schema.names, "partners"])
 
     dealt = near_dups._tiled(rows).select("tile", "key", "id", "comp", "is_main", "n_shingles", "classes", "lead")
     return dealt.repartition("tile").sortWithinPartitions("tile").mapInArrow(find, "part long, id long, comp long, is_main boolean, partners array<long>")
@@ -294,11 +385,9 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT, size: int = SHIN
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     signed = scratch.table(postings(texts, ListLengths(texts, scratch, size, slots), percent, size), "signed")
     reps, apart = near_dups.representatives(signed, ["n_shingles", "short", "classes"], scratch)
-    keyed = reps.select("id", F.explode("short").alias("key"))
-    lists = keyed.groupBy("key").agg(F.min("id").alias("centre"), F.max("id").alias("most")).where("centre < most").drop("most")
-    met = scratch.table(keyed.join(lists, "key"), "met")
+    met = sized_lists(reps, percent, scratch)
     wanted = reps.select("id", "rep", "d1", "d2").join(met.select("id").distinct(), "id", "left_semi")
-    bodies = scratch.table(near_dups.bodies_of(texts, wanted, size), "bodies")
+    bodies = scratch.table(texts_of(texts, wanted, signed, size), "bodies")
 
     first = met.where("id <> centre").groupBy("id", "centre").count()
     first = first.groupBy("id").agg(F.max_by("centre", F.struct("count", -F.col("centre"))).alias("b")).select(F.col("id").alias("a"), "b")
@@ -306,8 +395,9 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT, size: int = SHIN
 
     placed = met.join(labels, "id", "left").select("key", "id", F.coalesce("component", "id").alias("comp"))
     several = placed.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("key")
-    carried = reps.select("id", "n_shingles", "classes", F.slice("short", 1, LEAD).alias("lead"))
-    rows = scratch.table(placed.join(several, "key", "left_semi").join(carried, "id"), "open")
+    rows = scratch.table(placed.join(several, "key", "left_semi"), "several")
+    lead = rows.groupBy("id").agg(F.slice(F.array_sort(F.collect_set("key")), 1, LEAD).alias("lead"))  # as many keys as a set has short lists
+    rows = scratch.table(rows.join(reps.select("id", "n_shingles", "classes").join(lead, "id"), "id"), "open")
     found = scratch.table(suspects(rows, percent), "suspects")
     scratch.drop("met", "open", "first")
     return near_dups.settle(signed, reps, apart, labels, search_suspects(found, bodies, percent, size), scratch)

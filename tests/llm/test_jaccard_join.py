@@ -10,7 +10,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from shelfwise.llm import jaccard_join
-from shelfwise.llm.jaccard_join import Lists, class_counts, least_overlap
+from shelfwise.llm.jaccard_join import Lists, class_bounds, class_counts, least_overlap
 
 SCHEMA = "doc_id long, text string, key long, comp long, tile string"
 
@@ -74,7 +74,10 @@ def test_search_equals_all_comparisons(sets, query, percent, mu):
 @given(st.sets(st.integers(0, 2**64 - 1), max_size=200), st.sets(st.integers(0, 2**64 - 1), max_size=200), st.sets(st.integers(0, 2**64 - 1), max_size=50))
 def test_classes_bound_the_overlap(a, b, both):
     x, y = (np.asarray(sorted(s | both), np.uint64) for s in (a, b))
-    assert int(np.minimum(class_counts(x), class_counts(y)).sum(dtype=np.int64)) >= len((a | both) & (b | both))
+    if len(x) and len(y):
+        assert int(np.minimum(*class_bounds([class_counts(x), class_counts(y)])).sum()) >= len((a | both) & (b | both))
+    many = np.arange(100_000, dtype=np.uint64) << np.uint64(40)
+    assert int(class_bounds([class_counts(many)]).sum()) >= 100_000
 
 
 @pytest.mark.parametrize("size", [1, 2, 9, 10, 11, 19, 20, 21, 1000])
