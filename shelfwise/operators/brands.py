@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-import pandas as pd
+import functools
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -22,69 +25,96 @@ def brand_counts(df: DataFrame, brand: str = "brand", customer: str = "source_cu
     return rows.agg(F.count("*").alias("n"), F.array_sort(F.collect_set(customer)).alias("customers")).withColumn("key", brand_key(F.col("brand")))
 
 
+def _shortened(text: Column, most: Column) -> Column:
+    """A text with up to two of its characters behind the second left out (one where ``most`` is 1), itself included."""
+    less = lambda t: F.transform(F.sequence(F.lit(3), F.greatest(F.lit(3), F.char_length(t))), lambda i: F.concat(F.substring(t, F.lit(1), i - 1), F.substring(t, i + 1, F.char_length(t))))
+    once = less(text)
+    return F.array_distinct(F.concat(F.array(text), once, F.when(most > 1, F.flatten(F.transform(once, less))).otherwise(F.array().cast("array<string>"))))
+
+
 def close_keys(keys: DataFrame, exclude: DataFrame | None = None, cutoff: float = 88.0, least: int = 7) -> DataFrame:
     """(a, b): ordered pairs of keys that may be one brand.
 
-    Same first two characters (the block), both long enough, edit distance at most 1 (2 if
-    one is longer than ten) and a ratio of at least ``cutoff``; pairs of ``exclude`` never.
+    Same first two characters, both long enough, edit distance at most 1 (2 if one is longer
+    than ten) and a ratio of at least ``cutoff``; pairs of ``exclude`` never.  Texts of distance
+    d become equal when d characters or fewer are left out of each, and what opens both
+    alike can stay: keys meet by such shortened forms, so only close ones meet.
     """
-    long = keys.select("key").distinct().where(F.char_length("key") >= least).withColumn("block", F.substring("key", 1, 2))
-    a, b = long.select(F.col("key").alias("a"), "block"), long.select(F.col("key").alias("b"), "block")
-    pairs = a.join(b, "block").where((F.col("a") != F.col("b")) & (F.abs(F.char_length("a") - F.char_length("b")) <= 2))
+    long = keys.select("key").distinct().where(F.char_length("key") >= least)
+    # A key of eight characters or fewer meets none that is longer than ten.
+    forms = long.select("key", F.explode(_shortened(F.col("key"), F.when(F.char_length("key") >= 9, 2).otherwise(1))).alias("form"))
+    pairs = forms.select(F.col("key").alias("a"), "form").join(forms.select(F.col("key").alias("b"), "form"), "form").where("a <> b").select("a", "b").distinct()
     allowed = F.when(F.greatest(F.char_length("a"), F.char_length("b")) <= 10, 1).otherwise(2)
-    pairs = pairs.where(F.levenshtein("a", "b", 2).between(0, allowed)).drop("block")
+    pairs = pairs.where((F.substring("a", 1, 2) == F.substring("b", 1, 2)) & F.levenshtein("a", "b", 2).between(0, allowed))
     if exclude is not None:
         both = exclude.select("a", "b").union(exclude.select(F.col("b").alias("a"), F.col("a").alias("b")))
         pairs = pairs.join(both, ["a", "b"], "left_anti")
     return pairs.withColumn("score", score("ratio", F.col("a"), F.col("b"))).where(F.col("score") >= cutoff)
 
 
-def linked(close: DataFrame, scratch: Scratch) -> DataFrame:
-    """(key, part): the smallest key that each key is linked to by close pairs (both ways in ``close``), round by round."""
-    state = scratch.table(close.select(F.col("a").alias("key"), F.col("a").alias("part")).distinct(), "part-0")
-    pairs, step = scratch.table(close.select("a", "b").distinct(), "pairs"), 0
-    while True:
-        step += 1
-        near = pairs.join(state.select(F.col("key").alias("b"), "part"), "b").groupBy("a").agg(F.min("part").alias("least"))
-        new = state.join(near.withColumnRenamed("a", "key"), "key", "left").select("key", F.least("part", "least").alias("new"), "part")
-        new = scratch.table(new, f"part-{step}")
-        if new.where("new <> part").isEmpty():
-            return new.select("key", "part")
-        state = new.select("key", F.col("new").alias("part"))
+def settle_in_order(claims: DataFrame, scratch: Scratch, rows: int = 50_000) -> DataFrame:
+    """(key, leads) of every key that an earlier one may claim: it leads if none of these does.
 
+    ``claims``: key, at (its place), by, by_at: ``by`` comes earlier and takes ``key`` if it leads.
+    Each round deals the claims on open keys out by the order of the keys; a task goes through
+    its keys in order and settles each whose claimants are settled, before or by itself, or
+    of whom one leads.  The first open key always settles, and a chain of any length
+    needs no more rounds than there are tasks.
+    """
 
-def greedy_stars(keys: DataFrame, close: DataFrame, most: int = 8) -> DataFrame:
-    """(key, leader): keys are taken in order (``position``); a free key leads itself and its closest free neighbours.
-
-    The rule is sequential and not transitive, but keys that no chain of close pairs links
-    do not touch each other: each linked part is worked through on its own, and keys
-    without a close pair lead themselves.
+    def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[str, bool] = {}
+        key, led, open_ = None, False, False
+        done: list[tuple[str, bool]] = []
+        for batch in batches:
+            for v, u, leads in zip(*(batch.column(c).to_pylist() for c in ("key", "by", "leads"))):
+                if v != key:
+                    if key is not None and (led or not open_):
+                        known[key] = not led
+                        done.append((key, not led))
+                    key, led, open_ = v, False, False
+                leads = known.get(u) if leads is None else leads
+                led, open_ = led or bool(leads), open_ or leads is None
+            if done:
+                yield pa.RecordBatch.from_arrays([pa.array([d[0] for d in done], pa.string()), pa.array([d[1] for d in done])], ["key", "leads"])
+                done = []
+        if key is not None and (led or not open_):
+            yield pa.RecordBatch.from_arrays([pa.array([key], pa.string()), pa.array([not led])], ["key", "leads"])
+
+    # Who is claimed by nobody leads.
+    free = claims.select(F.col("by").alias("key")).distinct().join(claims.select("key").distinct(), "key", "left_anti")
+    pending = scratch.table(claims.join(free.select(F.col("key").alias("by"), F.lit(True).alias("leads")), "by", "left"), "claims-0")
+    step, parts = 0, []
+    while n := pending.count():
+        step += 1
+        tasks = -(-n // rows)
+        found = pending.repartitionByRange(tasks, "at", "key").sortWithinPartitions("at", "key", "by_at", "by").select("key", "by", "leads").mapInArrow(settle, "key string, leads boolean")
+        found = scratch.table(found, f"settled-{step}")
+        parts.append(found)
+        left = pending.join(found.select("key"), "key", "left_anti")
+        left = left.join(found.select(F.col("key").alias("by"), F.col("leads").alias("now")), "by", "left").withColumn("leads", F.coalesce("leads", "now")).drop("now")
+        pending = scratch.table(left, f"claims-{step}")
+        scratch.drop(f"claims-{step - 1}")
+    return functools.reduce(DataFrame.union, parts) if parts else pending.select("key", "leads")
+
+
+def greedy_stars(keys: DataFrame, close: DataFrame, most: int = 8, rows: int = 50_000) -> DataFrame:
+    """(key, leader): keys are taken in order (``position``, then key); a free key leads itself and those of its ``most`` - 1 closest keys that are free.
+
+    A key is claimed by the first leader before it that has it among its closest, so only
+    claims by earlier keys count (``settle_in_order``); keys without a claim lead themselves.
     """
     ship(keys.sparkSession)
     scratch = Scratch(keys.sparkSession, "stars")
-    close = scratch.table(close, "close")
-    involved = linked(close, scratch)
-    near = close.groupBy(F.col("a").alias("key")).agg(F.collect_list(F.struct(F.col("score"), F.col("b"))).alias("near"))
-    rows = keys.select("key", "position").join(near, "key").join(involved, "key")
-
-    def group(pdf: pd.DataFrame) -> pd.DataFrame:
-        used: set[str] = set()
-        out = []
-        for _, row in pdf.sort_values("position").iterrows():
-            if row["key"] in used:
-                continue
-            used.add(row["key"])
-            out.append((row["key"], row["key"]))
-            ranked = sorted(((-x["score"], x["b"]) for x in row["near"]))[: most - 1]
-            for _, b in ranked:
-                if b not in used:
-                    used.add(b)
-                    out.append((b, row["key"]))
-        return pd.DataFrame(out, columns=["key", "leader"])
-
-    stars = rows.groupBy("part").applyInPandas(group, "key string, leader string")
-    alone = keys.join(involved.select("key"), "key", "left_anti").select("key", F.col("key").alias("leader"))
-    return stars.unionByName(alone)
+    nearest = Window.partitionBy("a").orderBy(F.col("score").desc(), "b")
+    top = close.withColumn("_n", F.row_number().over(nearest)).where(F.col("_n") < most).select("a", "b")
+    of = lambda name, at: keys.select(F.col("key").alias(name), F.col("position").alias(at))
+    claims = top.select(F.col("a").alias("by"), F.col("b").alias("key")).join(of("key", "at"), "key").join(of("by", "by_at"), "by")
+    claims = scratch.table(claims.where(F.struct("by_at", "by") < F.struct(F.col("at").alias("by_at"), F.col("key").alias("by"))), "claims")
+    settled = settle_in_order(claims, scratch, rows)
+    followers = settled.where("not leads").select("key")
+    first = claims.join(followers, "key").join(followers.withColumnRenamed("key", "by"), "by", "left_anti").groupBy("key").agg(F.min_by("by", F.struct("by_at", "by")).alias("leader"))
+    return keys.select("key").join(first, "key", "left").select("key", F.coalesce("leader", "key").alias("leader"))
 
 
 def _preference(master: str) -> list[Column]:
