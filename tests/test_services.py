@@ -2,9 +2,12 @@ from __future__ import annotations
 
 import ftplib
 import zipfile
+import zlib
 
 import numpy as np
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from shelfwise.operators import adjudicate, brands, match, vectors
@@ -159,6 +162,28 @@ def test_workbooks_hold_text_and_colours(spark, tmp_path):
     assert all(workbook.column_number(workbook.column_letters(n) + "1") == n for n in (0, 25, 26, 701, 702, 16383))
 
 
+def test_workbooks_of_many_blocks(spark, tmp_path, monkeypatch):
+    """Rows keep their order over partitions, blocks and windows, and the archive holds together."""
+    monkeypatch.setattr(workbook, "BLOCK_ROWS", 70)
+    monkeypatch.setattr(workbook, "HELD_BYTES", 2_000)
+    df = spark.range(0, 1000, 1, 7).selectExpr("id", "concat('text ', id * id) AS t", "CASE WHEN id % 3 = 0 THEN '00FF00' END AS tint")
+    path = f"{tmp_path}/many.xlsx"
+    workbook.write_workbook({"rows": df, "again": df.drop("tint")}, f"file://{path}", "tint")
+    book = zipfile.ZipFile(path)
+    assert book.testzip() is None and book.read("xl/worksheets/sheet1.xml").count(b' s="1"') == 2 * 334
+    got = sorted((r.row_no, r.cells) for r in workbook.read_workbooks(spark, path, "rows").collect())
+    assert got == [(0, ["id", "t"])] + [(i + 1, [str(i), f"text {i * i}"]) for i in range(1000)]
+    monkeypatch.setattr(workbook, "MOST_ROWS", 1000)
+    with pytest.raises(ValueError, match="at most"):
+        workbook.write_workbook({"rows": df}, f"file://{path}", "tint")
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.binary(max_size=300), st.binary(max_size=300))
+def test_checksums_of_joined_texts(a, b):
+    assert workbook.crc_joined(zlib.crc32(a), zlib.crc32(b), len(b)) == zlib.crc32(a + b)
+
+
 def test_streamed_windows(spark, tmp_path):
     rows = [("2024-01-01 00:01:00", "a"), ("2024-01-01 00:09:00", "a"), ("2024-01-01 00:11:00", "b")]
     spark.createDataFrame(rows, "t string, k string").selectExpr("to_timestamp(t) AS t", "k").write.parquet(f"{tmp_path}/in")
