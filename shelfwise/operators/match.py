@@ -347,37 +347,43 @@ def fuzzy_top_k(pairs: DataFrame, scorer: str, k: int, least: float) -> DataFram
     return top_k(scored, ["row_id"], [F.col("score").desc(), F.col("src_id")], k).select("row_id", "src_id", "score", "rank")
 
 
-def three_layers(customers: DataFrame, catalogue: DataFrame, embedder: vectors.Embedder, scratch: Scratch) -> DataFrame:
+def three_layers(
+    customers: DataFrame, catalogue: DataFrame, embedder: vectors.Embedder, scratch: Scratch, strict: bool = False,
+    fuzzy: tuple[int, float] = FUZZY, sparse: tuple[int, float] = SPARSE, semantic: tuple[int, float] = SEMANTIC,
+) -> DataFrame:
     """(row_id, src_id, score, layer) of prepared customers: fuzzy, then TF-IDF, then vectors, each over all catalogue rows.
 
-    A layer takes the k best catalogue rows of a name at its threshold (ties to the smaller
-    src_id), and weight and pack choose among them.  A name with a candidate is matched, so
-    the next layer is asked for the others only.  Customers without a name are not matched.
+    A layer (k, least score) takes the k best catalogue rows of a name from its least score on (ties to the smaller
+    src_id), and weight and pack choose among them.  Rows without a match go on to the next layer, which is asked for
+    their names only: those whose name has no candidate and, if ``strict``, those whose candidates all have another
+    weight.  Customers without a name are not matched.
     """
-    mine = customers.select("row_id", F.col("name").alias("c_name")).where("c_name <> ''")
+    left = scratch.table(customers.select("row_id", F.col("name").alias("c_name")).where("c_name <> ''"), "left-0")
     theirs = scratch.table(catalogue.select("src_id", F.col("name").alias("s_name")).where("s_name <> ''"), "theirs")
-    asked = scratch.table(mine.select("c_name").distinct().withColumn("id", F.monotonically_increasing_id()), "asked")
     known = scratch.table(theirs.select("s_name").distinct(), "known")
 
-    def best(rows: DataFrame, k: int, name: str) -> DataFrame:
-        top = top_k(rows.select("c_name", "src_id", "score"), ["c_name"], [F.col("score").desc(), F.col("src_id")], k).drop("rank")
-        return scratch.table(top, name)
-
-    def rest(df: DataFrame, found: DataFrame) -> DataFrame:
-        return df.join(found.select("c_name").distinct(), "c_name", "left_anti")
-
-    scored = joins.name_pairs(asked.select("c_name"), known, FUZZY[1])
-    fuzzy = best(scored.join(theirs, "s_name"), FUZZY[0], "fuzzy")
-    left = rest(asked, fuzzy)
-    near = tfidf.top_matches(left, known, "c_name", "s_name", "c_name", "s_name", max(1, known.count()), SPARSE[1] / 100)
-    near = near.select(F.col("query_id").alias("c_name"), F.col("item_id").alias("s_name"), (F.col("similarity") * 100).alias("score"))
-    sparse = best(near.join(theirs, "s_name"), SPARSE[0], "tfidf")
-    left = scratch.table(rest(left, sparse), "left")
-    close = vectors.knn(vectors.embed(left, "c_name", embedder), vectors.embed(theirs, "s_name", embedder), SEMANTIC[0], "id", "src_id")
-    close = close.select(F.col("query_id").alias("id"), F.col("item_id").alias("src_id"), (F.col("similarity") * 100).alias("score")).where(F.col("score") >= SEMANTIC[1])
-    semantic = close.join(left, "id").select("c_name", "src_id", "score")
-    of = lambda found: mine.join(found, "c_name").select("row_id", "src_id", "score")
-    return layered(customers, catalogue, [("fuzzy", of(fuzzy), FUZZY[1]), ("tfidf", of(sparse), SPARSE[1]), ("semantic", of(semantic), SEMANTIC[1])])
+    def by_letters(asked: DataFrame, least: float, k: int) -> DataFrame:
+        return joins.name_pairs(asked, known, least).join(theirs, "s_name")
+
+    def by_grams(asked: DataFrame, least: float, k: int) -> DataFrame:
+        near = tfidf.top_matches(asked, known, "c_name", "s_name", "c_name", "s_name", max(1, known.count()), least / 100)
+        return near.select(F.col("query_id").alias("c_name"), F.col("item_id").alias("s_name"), (F.col("similarity") * 100).alias("score")).join(theirs, "s_name")
+
+    def by_vectors(asked: DataFrame, least: float, k: int) -> DataFrame:
+        asked = scratch.table(asked.withColumn("id", F.monotonically_increasing_id()), "asked")
+        close = vectors.knn(vectors.embed(asked, "c_name", embedder), vectors.embed(theirs, "s_name", embedder), k, "id", "src_id")
+        close = close.select(F.col("query_id").alias("id"), F.col("item_id").alias("src_id"), (F.col("similarity") * 100).alias("score"))
+        return close.where(F.col("score") >= least).join(asked, "id")
+
+    out = []
+    for name, find, (k, least) in (("fuzzy", by_letters, fuzzy), ("tfidf", by_grams, sparse), ("semantic", by_vectors, semantic)):
+        found = find(left.select("c_name").distinct(), least, k).select("c_name", "src_id", "score")
+        top = scratch.table(top_k(found, ["c_name"], [F.col("score").desc(), F.col("src_id")], k).drop("rank"), f"{name}-names")
+        rows = left.join(top, "c_name").select("row_id", "src_id", "score")
+        best = select_by_weight(_pairs(rows.select("row_id", "src_id"), customers, catalogue).join(rows, ["row_id", "src_id"]), strict)
+        out.append(scratch.table(best.select("row_id", "src_id", "score", F.lit(name).alias("layer")), name))
+        left = scratch.table(left.join(out[-1].select("row_id"), "row_id", "left_anti"), f"left-{name}")
+    return out[0].unionByName(out[1]).unionByName(out[2])
 
 
 def sampled_best(ours: DataFrame, theirs: DataFrame, our_column: str, their_column: str, n: int = 80, seed: int = 42) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -26,23 +27,24 @@ def with_row_id(df: DataFrame, name: str = "row_id") -> DataFrame:
     return marked.withColumn(name, within + F.element_at(table, F.col("_p").cast("long"))).drop("_p", "_m")
 
 
-def _first(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
-    ranked = df.withColumn("_rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
-    return ranked.where("_rank = 1").drop("_rank")
+def _one(df: DataFrame, keys: list[str], pick: Callable[[Column, Column], Column], order: list[Column]) -> DataFrame:
+    """One whole row per key; tasks reduce their rows first, so a key that many rows share makes no large task.  Null keys are one key."""
+    whole = F.struct(*[F.col(f"`{c}`") for c in df.columns])
+    return df.groupBy(*keys).agg(pick(whole, F.struct(*[c.alias(f"_{i}") for i, c in enumerate(order)])).alias("_row")).select("_row.*")
 
 
 def keep_first(df: DataFrame, keys: list[str], row_id: str = "row_id") -> DataFrame:
     """One row per key, the one with the smallest row id."""
-    return _first(df, keys, [F.col(row_id).asc()])
+    return _one(df, keys, F.min_by, [F.col(row_id)])
 
 
 def keep_last(df: DataFrame, keys: list[str], row_id: str = "row_id") -> DataFrame:
-    return _first(df, keys, [F.col(row_id).desc()])
+    return _one(df, keys, F.max_by, [F.col(row_id)])
 
 
 def keep_by_priority(df: DataFrame, keys: list[str], priority: Column, row_id: str = "row_id") -> DataFrame:
     """One row per key, the one with the smallest priority, then row id."""
-    return _first(df, keys, [priority.asc(), F.col(row_id).asc()])
+    return _one(df, keys, F.min_by, [priority, F.col(row_id)])
 
 
 def fingerprint(columns: list[str]) -> Column:
