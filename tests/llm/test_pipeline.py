@@ -76,7 +76,7 @@ def test_stages_on_odd_rows(spark):
 @pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
 def test_sql_gives_the_same(spark, sf_dir, name):
     con = duckdb.connect()
-    for t in ("documents", "embeddings"):
+    for t in ("documents", "embeddings", "labels"):
         con.sql(f"create view {t} as select * from '{sf_dir}/{t}.parquet'")
     found = con.sql(queries.oracle_sql()[name])
     order = sorted(found.columns)
@@ -88,7 +88,7 @@ def test_sql_gives_the_same(spark, sf_dir, name):
 
 def test_every_operator_has_its_query():
     names = [n for n in queries.queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
 
 
 def test_contract_columns(spark, sf_dir):
