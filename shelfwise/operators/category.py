@@ -59,7 +59,7 @@ def keyword_category(name: Column, category: Column, brand: Column, rules: list[
     context = F.concat_ws(" ", name, category, brand)
     out = None
     for trigger, exclude, target in rules or KEYWORD_RULES:
-        fits = name.rlike(f"(?i){trigger}") & ~context.rlike(f"(?i){exclude}")
+        fits = name.rlike(f"(?iu){trigger}") & ~context.rlike(f"(?iu){exclude}")
         out = F.when(fits, target) if out is None else out.when(fits, target)
     return out
 
